@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import lint_queries  # noqa: F401
+from . import browse_queries, change_queries, estate_queries, lint_queries  # noqa: F401
 from .registry import DOCS, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "DOCS"]

@@ -20,8 +20,12 @@ ORACLE: dict[str, str] = {}
 DOCS: dict[str, str] = {}
 
 
-def query(name: str, views=(), sql: str | None = None):
-    """Register ``fn`` under ``name``; ``sql`` (if any) is its oracle."""
+def query(name: str, views=(), sql: str | None = None, recursive: bool = False):
+    """Register ``fn`` under ``name``; ``sql`` (if any) is its oracle.
+
+    ``sql`` may start with ``,`` to add its own CTEs after the fixture views;
+    ``recursive`` turns the ``WITH`` list into ``WITH RECURSIVE``.
+    """
 
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
@@ -29,7 +33,10 @@ def query(name: str, views=(), sql: str | None = None):
         QUERIES[name] = fn
         DOCS[name] = (fn.__doc__ or "").strip()
         if sql is not None:
-            ORACLE[name] = with_clause(views) + sql.strip()
+            text = with_clause(views) + sql.strip()
+            if recursive:
+                text = "WITH RECURSIVE " + text[len("WITH "):]
+            ORACLE[name] = text
         return fn
 
     return deco
