@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 
-GROUP_ID = F.col("processGroupFlow.id")
+GROUP_ID = "processGroupFlow.id"
 
 
 def list_size(c: Column) -> Column:
@@ -21,7 +21,7 @@ def list_size(c: Column) -> Column:
 
 
 def _members(docs: DataFrame, kind: str) -> DataFrame:
-    return docs.select(GROUP_ID.alias("group_id"), F.explode(f"processGroupFlow.flow.{kind}").alias("m"))
+    return docs.select(F.col(GROUP_ID).alias("group_id"), F.explode(f"processGroupFlow.flow.{kind}").alias("m"))
 
 
 def canvas_explode(docs: DataFrame) -> dict[str, DataFrame]:
@@ -67,13 +67,13 @@ def flow_counts(docs: DataFrame) -> DataFrame:
     names = {"processors": "n_processors", "connections": "n_connections",
              "processGroups": "n_process_groups", "inputPorts": "n_input_ports",
              "outputPorts": "n_output_ports", "funnels": "n_funnels", "labels": "n_labels"}
-    return docs.select(GROUP_ID.alias("group_id"),
+    return docs.select(F.col(GROUP_ID).alias("group_id"),
                        *[list_size(F.col(f"processGroupFlow.flow.{k}")).alias(names[k]) for k in S.FLOW_KINDS])
 
 
 def document_groups(docs: DataFrame) -> DataFrame:
     """Group rows of the documents: id, parent id, breadcrumb name."""
-    return docs.select(GROUP_ID.alias("id"), F.col("processGroupFlow.parentGroupId").alias("parent_id"),
+    return docs.select(F.col(GROUP_ID).alias("id"), F.col("processGroupFlow.parentGroupId").alias("parent_id"),
                        F.col("processGroupFlow.breadcrumb.breadcrumb.name").alias("name"))
 
 
