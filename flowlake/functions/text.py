@@ -61,26 +61,29 @@ def capitalize(c: Column) -> Column:
 
 
 def _unit_lookup(unit: Column, table: dict) -> Column:
-    expr = None
-    for name, mult in table.items():
-        cond = unit == F.lit(name)
-        expr = F.when(cond, F.lit(mult)) if expr is None else expr.when(cond, F.lit(mult))
-    return expr
+    """Multiplier for ``unit`` from a literal map: one lookup, the unit text is
+    computed once (a CASE chain would re-evaluate it in every branch)."""
+    pairs = [x for name, mult in table.items() for x in (F.lit(name), F.lit(float(mult)))]
+    return F.try_element_at(F.create_map(*pairs), unit)
+
+
+_NUM_UNIT = r"^\s*([0-9]+(?:\.[0-9]+)?)\s*([A-Za-z]+)\s*$"
+
+
+def _scaled(c: Column, unit_case, table: dict) -> Column:
+    num = F.regexp_extract(c, _NUM_UNIT, 1)
+    unit = unit_case(F.regexp_extract(c, _NUM_UNIT, 2))
+    return F.when(num != "", (num.cast("double") * _unit_lookup(unit, table)).cast("bigint"))
 
 
 def parse_data_size(c: Column) -> Column:
     """``'1 GB'`` → bytes as bigint; unknown unit or malformed text → null."""
-    num = F.regexp_extract(c, r"^\s*([0-9]+(?:\.[0-9]+)?)\s*([A-Za-z]+)\s*$", 1)
-    unit = F.upper(F.regexp_extract(c, r"^\s*([0-9]+(?:\.[0-9]+)?)\s*([A-Za-z]+)\s*$", 2))
-    return F.when(num != "", (num.cast("double") * _unit_lookup(unit, SIZE_UNITS)).cast("bigint"))
+    return _scaled(c, F.upper, SIZE_UNITS)
 
 
 def parse_duration_ms(c: Column) -> Column:
     """``'365 days'`` / ``'0 sec'`` → milliseconds as bigint; malformed → null."""
-    pat = r"^\s*([0-9]+(?:\.[0-9]+)?)\s*([A-Za-z]+)\s*$"
-    num = F.regexp_extract(c, pat, 1)
-    unit = F.lower(F.regexp_extract(c, pat, 2))
-    return F.when(num != "", (num.cast("double") * _unit_lookup(unit, DURATION_UNITS_MS)).cast("bigint"))
+    return _scaled(c, F.lower, DURATION_UNITS_MS)
 
 
 def split_list(c: Column, sep: str = ";") -> Column:

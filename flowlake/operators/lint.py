@@ -28,10 +28,10 @@ def _name(c="name"):
 def connected_endpoints(connections: DataFrame) -> DataFrame:
     """Distinct (group_id, id) of every non-empty connection endpoint.
 
-    Partial aggregation before the shuffle keeps this at one row per endpoint.
+    One scan of the connections (both ends exploded from one row); partial
+    aggregation before the shuffle keeps this at one row per endpoint.
     """
-    ends = connections.select("group_id", F.col("source_id").alias("id")).unionByName(
-        connections.select("group_id", F.col("destination_id").alias("id")))
+    ends = connections.select("group_id", F.explode(F.array("source_id", "destination_id")).alias("id"))
     return ends.where(F.col("id").isNotNull() & (F.col("id") != "")).distinct()
 
 

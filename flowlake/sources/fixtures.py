@@ -8,6 +8,8 @@ an operator's work.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -152,31 +154,38 @@ def with_clause(names) -> str:
     return "WITH " + ",\n".join(parts) + "\n" if parts else ""
 
 
+def base_tables_of(name: str) -> list[str]:
+    """Base tables a view's text reads (word match on the table names)."""
+    text = VIEWS[name]
+    return [t for t in BASE_TABLES if re.search(rf"\b{t}\b", text)]
+
+
 class Fixtures:
     """Lazily built fixture DataFrames for one scale-factor directory.
 
-    Base tables are registered as temp views under their plain names so the
-    view texts above run unchanged; every fixture DataFrame is analysed when it
-    is built, so a later registration for another directory does not change it.
+    Base tables are registered as temp views under their plain names (only the
+    ones a view reads) so the view texts above run unchanged; every fixture
+    DataFrame is analysed when it is built, so a later registration for another
+    directory does not change it.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-    def _register_base(self) -> None:
-        for t in BASE_TABLES:
-            self.table(t).createOrReplaceTempView(t)
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            self._register_base()
             for dep in closure([name]):
                 if dep not in self._frames:
+                    for t in base_tables_of(dep):
+                        self.table(t).createOrReplaceTempView(t)
                     for d in _DEPENDS.get(dep, []):
                         self._frames[d].createOrReplaceTempView(d)
                     self._frames[dep] = self.spark.sql(VIEWS[dep])
