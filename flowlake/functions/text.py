@@ -22,6 +22,8 @@ PORT_STATES = ["RUNNING", "STOPPED", "DISABLED"]
 DEFAULT_BP_OBJECTS = 10000
 DEFAULT_BP_SIZE = "1 GB"
 DEFAULT_EXPIRATION = "0 sec"
+# Name of the root group when its document carries none.
+DEFAULT_ROOT_NAME = "NiFi Flow"
 # Lint messages.
 MSG_NO_PROCESSORS = "No processors found. Add processors to start building your pipeline."
 MSG_DISCONNECTED = "Processor '%s' (ID: %s) is not connected to any other component."

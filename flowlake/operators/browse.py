@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ranking import position_within
+from ..functions.text import DEFAULT_ROOT_NAME
 
 
 def _ids_frame(spark: SparkSession, ids: Iterable[str], name: str = "requested_id") -> DataFrame:
@@ -21,7 +22,7 @@ def _ids_frame(spark: SparkSession, ids: Iterable[str], name: str = "requested_i
     return spark.createDataFrame([(i,) for i in ids], f"{name} string")
 
 
-def root_group(groups: DataFrame, default_name: str = "NiFi Flow") -> DataFrame:
+def root_group(groups: DataFrame, default_name: str = DEFAULT_ROOT_NAME) -> DataFrame:
     """B1 on a group table: the group without a parent, name defaulted."""
     return groups.where(F.col("parent_id").isNull()).select(
         F.col("id").alias("root_id"),

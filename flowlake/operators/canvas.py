@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.text import DEFAULT_ROOT_NAME
 
 GROUP_ID = "processGroupFlow.id"
 
@@ -77,7 +78,7 @@ def document_groups(docs: DataFrame) -> DataFrame:
                        F.col("processGroupFlow.breadcrumb.breadcrumb.name").alias("name"))
 
 
-def root_from_documents(docs: DataFrame, default_name: str = "NiFi Flow") -> DataFrame:
+def root_from_documents(docs: DataFrame, default_name: str = DEFAULT_ROOT_NAME) -> DataFrame:
     """B1 on documents: the top-level ``id``, else ``processGroupFlow.id``; error when both are empty.
 
     Applied to the documents without a parent (the root's document).

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import DEFAULT_ROOT_NAME
 from ..operators import browse, canvas
 from ..session import shared_path
 from ..sources.flowdocs import build_flow_docs, read_flow_docs, write_flow_docs
@@ -21,8 +22,8 @@ def _flat_processors(df):
 
 # --- B1 ---------------------------------------------------------------------
 
-@query("root_group", ["fx_group"], """
-SELECT id AS root_id, coalesce(name, 'NiFi Flow') AS name, parent_id AS parent_group_id
+@query("root_group", ["fx_group"], f"""
+SELECT id AS root_id, coalesce(name, '{DEFAULT_ROOT_NAME}') AS name, parent_id AS parent_group_id
 FROM fx_group WHERE parent_id IS NULL""")
 def q_root_group(spark, sf_dir):
     """B1: the root group of the group table."""
@@ -205,8 +206,8 @@ def q_flow_counts(spark, sf_dir):
     return canvas.flow_counts(_docs(spark, sf_dir))
 
 
-@query("root_group_doc", ["fx_group"], """
-SELECT id AS root_id, coalesce(name, 'NiFi Flow') AS name, parent_id AS parent_group_id
+@query("root_group_doc", ["fx_group"], f"""
+SELECT id AS root_id, coalesce(name, '{DEFAULT_ROOT_NAME}') AS name, parent_id AS parent_group_id
 FROM fx_group WHERE parent_id IS NULL""")
 def q_root_group_doc(spark, sf_dir):
     """B1 on flow documents: top-level id, else processGroupFlow.id; error if both empty."""
