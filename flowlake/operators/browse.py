@@ -17,9 +17,10 @@ from ..functions.ranking import position_within
 from ..functions.text import DEFAULT_ROOT_NAME
 
 
-def _ids_frame(spark: SparkSession, ids: Iterable[str], name: str = "requested_id") -> DataFrame:
+def _ids_frame(spark: SparkSession, ids: Iterable, name: str = "requested_id",
+               id_type: str = "string") -> DataFrame:
     ids = list(dict.fromkeys(ids))
-    return spark.createDataFrame([(i,) for i in ids], f"{name} string")
+    return spark.createDataFrame([(i,) for i in ids], f"{name} {id_type}")
 
 
 def root_group(groups: DataFrame, default_name: str = DEFAULT_ROOT_NAME) -> DataFrame:
@@ -57,14 +58,14 @@ def group_ports(ports: DataFrame, group_ids: Iterable[str],
     return both.where(F.col("group_id").isin(list(group_ids)))
 
 
-def entity_lookup(spark: SparkSession, table: DataFrame, ids: Iterable[str],
-                  key: str = "id") -> DataFrame:
+def entity_lookup(spark: SparkSession, table: DataFrame, ids: Iterable,
+                  key: str = "id", id_type: str = "string") -> DataFrame:
     """Details by id; an unknown id is reported with ``found = false``.
 
     The requested ids form the preserved side of a left join; they are an
     argument list, so broadcasting them is bounded by its length.
     """
-    req = _ids_frame(spark, ids)
+    req = _ids_frame(spark, ids, id_type=id_type)
     found = table.withColumn("_found", F.lit(True))
     out = F.broadcast(req).join(found, F.col("requested_id") == F.col(key), "left")
     cols = [c for c in table.columns]

@@ -212,3 +212,40 @@ FROM fx_group WHERE parent_id IS NULL""")
 def q_root_group_doc(spark, sf_dir):
     """B1 on flow documents: top-level id, else processGroupFlow.id; error if both empty."""
     return canvas.root_from_documents(_docs(spark, sf_dir))
+
+
+# --- B6 for the other entity kinds --------------------------------------------
+
+@query("connection_lookup", ["fx_connection"], """
+, req(requested_id) AS (VALUES ('conn-0-129'), ('conn-0-1047'), ('conn-none'))
+SELECT r.requested_id, c.id IS NOT NULL AS found, c.* FROM req r LEFT JOIN fx_connection c ON c.id = r.requested_id""")
+def q_connection_lookup(spark, sf_dir):
+    """Connection details by id (unknown id reported)."""
+    conns = Estate.load(spark, sf_dir).connections
+    return browse.entity_lookup(spark, conns, ["conn-0-129", "conn-0-1047", "conn-none"])
+
+
+@query("group_lookup", ["fx_group"], """
+, req(requested_id) AS (VALUES ('pg-n7'), ('pg-root'), ('pg-none'))
+SELECT r.requested_id, g.id IS NOT NULL AS found, g.* FROM req r LEFT JOIN fx_group g ON g.id = r.requested_id""")
+def q_group_lookup(spark, sf_dir):
+    """Process group details by id (unknown id reported)."""
+    return browse.entity_lookup(spark, Estate.load(spark, sf_dir).groups, ["pg-n7", "pg-root", "pg-none"])
+
+
+@query("port_lookup", ["fx_port"], """
+, req(requested_id) AS (VALUES ('in-n3'), ('out-n3'), ('in-none'))
+SELECT r.requested_id, t.id IS NOT NULL AS found, t.* FROM req r LEFT JOIN fx_port t ON t.id = r.requested_id""")
+def q_port_lookup(spark, sf_dir):
+    """Input / output port details by id (unknown id reported)."""
+    return browse.entity_lookup(spark, Estate.load(spark, sf_dir).ports, ["in-n3", "out-n3", "in-none"])
+
+
+@query("provenance_event_lookup", ["fx_provenance"], """
+, req(requested_id) AS (VALUES (CAST(7 AS BIGINT)), (CAST(42 AS BIGINT)), (CAST(-1 AS BIGINT)))
+SELECT r.requested_id, e.event_id IS NOT NULL AS found, e.* FROM req r
+LEFT JOIN fx_provenance e ON e.event_id = r.requested_id""")
+def q_provenance_event_lookup(spark, sf_dir):
+    """Provenance events by event id (unknown id reported)."""
+    ev = Estate.load(spark, sf_dir).provenance
+    return browse.entity_lookup(spark, ev, [7, 42, -1], key="event_id", id_type="bigint")
