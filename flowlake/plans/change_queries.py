@@ -237,3 +237,15 @@ def q_bulletin_stream(spark, sf_dir):
     ev = streams.read_event_stream(spark, sf_dir)
     cust = Estate.load(spark, sf_dir).fx.table("customer")
     return streams.drain(streams.bulletin_stream(ev, cust, group_id="pg-n7"), "bulletins")
+
+
+@query("versioned_apply_stream", ["fx_command", "fx_processor"], _VERSIONED_SQL + """
+SELECT seq, target_id, op, expected_version, outcome, present_after, version_after FROM r""", recursive=True)
+def q_versioned_apply_stream(spark, sf_dir):
+    """H2 as a stream: commands from the event files, entity state kept in a state store."""
+    from ..streaming.versioned_stream import versioned_apply_stream
+
+    ev = streams.read_event_stream(spark, sf_dir)
+    cmds = streams.shape(ev, "fx_command")
+    initial = Estate.load(spark, sf_dir).processors.select("id", F.lit(0).cast("bigint").alias("version"))
+    return streams.drain(versioned_apply_stream(cmds, initial), "versioned")

@@ -32,7 +32,8 @@ def read_event_stream(spark: SparkSession, source_dir: str, glob: str = "events*
     return r.parquet(source_dir)
 
 
-def _shape(stream: DataFrame, view: str, table: str = "events") -> DataFrame:
+def shape(stream: DataFrame, view: str, table: str = "events") -> DataFrame:
+    """Run a fixture view text over a streaming DataFrame standing in for ``table``."""
     name = f"_fl_stream_{uuid.uuid4().hex[:12]}"
     stream.createOrReplaceTempView(name)
     return stream.sparkSession.sql(VIEWS[view].replace(f"FROM {table}", f"FROM {name}"))
@@ -46,7 +47,7 @@ def provenance_stream(events: DataFrame, event_type: str | None = None,
     it, which bounds the state.  The watermark needs a zoned timestamp, so a
     cast copy of ``event_time`` drives it and the NTZ column is kept as is.
     """
-    prov = _shape(events, "fx_provenance")
+    prov = shape(events, "fx_provenance")
     if event_type:
         prov = prov.where(F.col("event_type") == event_type)
     if component_id:
