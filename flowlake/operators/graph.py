@@ -21,14 +21,18 @@ def component_roles(components: DataFrame, connections: DataFrame,
     * ``is_router``: more than one distinct relationship on its outgoing edges.
     A self-loop counts as one outgoing and one incoming edge.
     """
-    out_deg = connections.groupBy(F.col("source_id").alias("id")).agg(F.count(F.lit(1)).alias("out_degree"))
-    in_deg = connections.groupBy(F.col("destination_id").alias("id")).agg(F.count(F.lit(1)).alias("in_degree"))
+    # both ends from one scan, both degrees from one aggregation
+    ends = connections.select(F.explode(F.array(
+        F.struct(F.col("source_id").alias("id"), F.lit(1).alias("o"), F.lit(0).alias("i")),
+        F.struct(F.col("destination_id").alias("id"), F.lit(0).alias("o"), F.lit(1).alias("i")))).alias("e"))
+    degrees = ends.groupBy(F.col("e.id").alias("id")).agg(
+        F.sum("e.o").alias("out_degree"), F.sum("e.i").alias("in_degree"))
     rels = relationships.join(connections.select(F.col("id").alias("connection_id"), "source_id"),
                               "connection_id") \
         .groupBy(F.col("source_id").alias("id")) \
         .agg(F.count_distinct("relationship").alias("out_relationships"))
     df = components.select("id", "group_id", "kind")
-    for part in (out_deg, in_deg, rels):
+    for part in (degrees, rels):
         df = df.join(part, "id", "left")
     o = F.coalesce("out_degree", F.lit(0)).cast("bigint")
     i = F.coalesce("in_degree", F.lit(0)).cast("bigint")

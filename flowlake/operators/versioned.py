@@ -9,9 +9,11 @@ Per entity, commands run in ``seq`` order against the state (present, version):
 * any other op → ``invalid_op``.
 
 Commands of one entity depend on each other, so this is an ordered fold.  It is
-distributed without gathering an entity into one task: the commands are
-range-partitioned on ``(target_id, seq)`` (a hot entity is cut across
-partitions) and checkpointed; pass A computes, for the entity a partition
+distributed without gathering an entity into one task: the commands, together
+with one ``INIT`` row per entity of the initial table (null ``seq``, so it sorts
+first in its entity), are range-partitioned on ``(target_id, seq)`` (a hot
+entity is cut across partitions; the commands shuffle once, with no join) and
+checkpointed; pass A computes, for the entity a partition
 starts with, its end state for every start state that can matter (absent, each
 expected version in the segment, anything else = unchanged), with converging
 trajectories merged; the driver chains these per-partition summaries (one row
@@ -30,6 +32,7 @@ from pyspark.sql import types as T
 from ..functions.ranking import sorted_checkpoint
 
 CREATE, UPDATE, DELETE = "CREATE", "UPDATE", "DELETE"
+INIT = "__INIT__"  # initial-state row: present at the version in expected_version
 ABSENT = "absent"  # key of the absent state in a summary
 
 OUTCOME_SCHEMA = T.StructType([
@@ -62,10 +65,6 @@ def _ints(s: pd.Series):
     return [None if pd.isna(x) else int(x) for x in s]
 
 
-def _bools(s: pd.Series):
-    return [bool(x) if not pd.isna(x) else False for x in s]
-
-
 class _Summary:
     """End state of one command segment for every start state that can matter."""
 
@@ -93,6 +92,11 @@ class _Summary:
             dst.extend(lst)
 
     def feed(self, op, e):
+        if op == INIT:
+            # every trajectory is reset to (present, e)
+            merged = [c for lst in self.groups.values() for c in lst]
+            self.groups = {e: merged}
+            return
         if op in (UPDATE, DELETE) and e is not None:
             # A start version equal to e is still at e unless an earlier command
             # moved it; add_class only registers it if it was never seen.
@@ -123,14 +127,6 @@ def _apply_summary(summary: dict, present: bool, version):
     return (False, None) if end == ABSENT else (True, end)
 
 
-def _segments(pdf: pd.DataFrame):
-    """Start index of each run of equal target_id in a sorted batch."""
-    t = pdf["target_id"]
-    change = (t != t.shift()).to_numpy()
-    change[0] = True
-    return change
-
-
 def versioned_apply(commands: DataFrame, initial: DataFrame,
                     num_partitions: int | None = None) -> DataFrame:
     """Outcome of every command; see the module docstring for the rules.
@@ -138,16 +134,15 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
     ``commands``: ``seq bigint, target_id string, op string, expected_version bigint``.
     ``initial``: entities present before the batch, ``id string, version bigint``.
     """
-    init = initial.select(F.col("id").alias("target_id"), F.col("version").cast("bigint").alias("init_version"),
-                          F.lit(True).alias("init_present"))
     cmds = commands.select(F.col("seq").cast("bigint"), "target_id", F.upper("op").alias("op"),
-                           F.col("expected_version").cast("bigint")) \
-        .join(init, "target_id", "left")
-    ck = sorted_checkpoint(cmds, ["target_id", "seq"], num_partitions)
+                           F.col("expected_version").cast("bigint"))
+    inits = initial.select(F.lit(None).cast("bigint").alias("seq"), F.col("id").alias("target_id"),
+                           F.lit(INIT).alias("op"), F.col("version").cast("bigint").alias("expected_version"))
+    # asc sorts nulls first: an entity's INIT row precedes its commands
+    ck = sorted_checkpoint(cmds.unionByName(inits), ["target_id", "seq"], num_partitions)
 
     summary_schema = T.StructType([
         T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
-        T.StructField("first_present", T.BooleanType()), T.StructField("first_version", T.LongType()),
         T.StructField("whole", T.BooleanType()),
         T.StructField("summary_from", T.ArrayType(T.StringType())),
         T.StructField("summary_to", T.ArrayType(T.StringType())),
@@ -156,12 +151,19 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
     ])
 
     def enc(x):
-        return ABSENT if x == ABSENT else str(x)
+        return "null" if x is None else (ABSENT if x == ABSENT else str(x))
+
+    def dec(x):
+        return None if x == "null" else (ABSENT if x == ABSENT else int(x))
+
+    def fold_state(op, e, present, version):
+        if op == INIT:
+            return None, True, e
+        return step(op, e, present, version)
 
     def pass_a(it):
         pid = TaskContext.get().partitionId()
         first_key = None
-        first_init = None
         summ = _Summary()
         in_first = True
         cur_key, cur_p, cur_v = None, False, None
@@ -171,11 +173,8 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
             keys = pdf["target_id"].tolist()
             ops = pdf["op"].tolist()
             exps = _ints(pdf["expected_version"])
-            ip = _bools(pdf["init_present"])
-            iv = _ints(pdf["init_version"])
             if first_key is None:
                 first_key = keys[0]
-                first_init = (ip[0], iv[0])
             n = len(keys)
             i = 0
             if in_first:
@@ -186,40 +185,37 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
                     in_first = False
             if i >= n:
                 continue
-            # only the batch's tail run can be the partition's last key
+            # only the batch's tail run can be the partition's last key; a key
+            # that starts after the first segment starts absent (its INIT row,
+            # if any, is its first row)
             last = keys[-1]
             j = n - 1
             while j > i and keys[j - 1] == last:
                 j -= 1
             if cur_key != last or j > i:
-                cur_key, cur_p, cur_v = last, ip[j], iv[j]
+                cur_key, cur_p, cur_v = last, False, None
             for k in range(j, n):
-                _, cur_p, cur_v = step(ops[k], exps[k], cur_p, cur_v)
+                _, cur_p, cur_v = fold_state(ops[k], exps[k], cur_p, cur_v)
         if first_key is None:
             return
         res = summ.result()
         yield pd.DataFrame([{
-            "pid": pid, "first_key": first_key, "first_present": first_init[0],
-            "first_version": first_init[1], "whole": in_first,
+            "pid": pid, "first_key": first_key, "whole": in_first,
             "summary_from": [enc(k) for k in res], "summary_to": [enc(v) for v in res.values()],
             "last_key": first_key if in_first else cur_key,
             "last_present": None if in_first else cur_p,
             "last_version": None if in_first else cur_v,
         }])
 
-    rows = sorted(ck.select("target_id", "op", "expected_version", "init_present", "init_version")
+    rows = sorted(ck.select("target_id", "op", "expected_version")
                   .mapInPandas(pass_a, summary_schema).collect(), key=lambda r: r["pid"])
 
-    def dec(x):
-        return ABSENT if x == ABSENT else int(x)
-
+    # Chain the partitions: a partition's first entity starts from the state the
+    # previous partition ended it in, or absent when it starts here.
     starts = {}
     prev_key, prev_state = None, None
     for r in rows:
-        if prev_key is not None and r["first_key"] == prev_key:
-            start = prev_state
-        else:
-            start = (bool(r["first_present"]), r["first_version"] if r["first_present"] else None)
+        start = prev_state if (prev_key is not None and r["first_key"] == prev_key) else (False, None)
         starts[r["pid"]] = (r["first_key"], start)
         summary = {dec(a): dec(b) for a, b in zip(r["summary_from"], r["summary_to"])}
         end_first = _apply_summary(summary, *start)
@@ -236,9 +232,8 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
             keys = pdf["target_id"].tolist()
             ops = pdf["op"].tolist()
             exps = _ints(pdf["expected_version"])
-            ip = _bools(pdf["init_present"])
-            iv = _ints(pdf["init_version"])
-            outc, pres, vers = [], [], []
+            seqs = pdf["seq"].tolist()
+            o_seq, o_key, o_op, o_exp, outc, pres, vers = [], [], [], [], [], [], []
             for k in range(len(keys)):
                 if keys[k] != cur_key:
                     cur_key = keys[k]
@@ -246,18 +241,24 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
                         cur_p, cur_v = first_start
                         first_start = None
                     else:
-                        cur_p, cur_v = ip[k], iv[k]
-                o, cur_p, cur_v = step(ops[k], exps[k], cur_p, cur_v)
+                        cur_p, cur_v = False, None
+                o, cur_p, cur_v = fold_state(ops[k], exps[k], cur_p, cur_v)
+                if o is None:
+                    continue
+                o_seq.append(int(seqs[k]))
+                o_key.append(keys[k])
+                o_op.append(ops[k])
+                o_exp.append(exps[k])
                 outc.append(o)
                 pres.append(cur_p)
                 vers.append(cur_v)
             yield pd.DataFrame({
-                "seq": pdf["seq"].astype("int64"), "target_id": pdf["target_id"], "op": pdf["op"],
-                "expected_version": pd.array(exps, dtype="Int64"), "outcome": outc,
-                "present_after": pres, "version_after": pd.array(vers, dtype="Int64")})
+                "seq": pd.array(o_seq, dtype="int64"), "target_id": pd.array(o_key, dtype=object),
+                "op": pd.array(o_op, dtype=object), "expected_version": pd.array(o_exp, dtype="Int64"),
+                "outcome": pd.array(outc, dtype=object), "present_after": pd.array(pres, dtype=bool),
+                "version_after": pd.array(vers, dtype="Int64")})
 
-    return ck.select("seq", "target_id", "op", "expected_version", "init_present", "init_version") \
-        .mapInPandas(pass_b, OUTCOME_SCHEMA)
+    return ck.select("seq", "target_id", "op", "expected_version").mapInPandas(pass_b, OUTCOME_SCHEMA)
 
 
 def versioned_table(outcomes: DataFrame, initial: DataFrame) -> DataFrame:

@@ -30,6 +30,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # top-k above this many rows plans as a distributed sort + limit instead
+        # of one in-memory priority queue per task sized to the limit
+        .config("spark.sql.execution.topKSortFallbackThreshold", "1000000")
         .config("spark.driver.memory", os.environ.get("FLOWLAKE_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
