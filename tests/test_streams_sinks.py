@@ -49,3 +49,17 @@ def test_write_by_relationship(spark, tmp_path):
     assert dirs == ["relationship=big", "relationship=small", "relationship=unmatched"]
     back = spark.read.parquet(out)
     assert sorted((r["k"], r["relationship"]) for r in back.collect()) == [(1, "small"), (2, "big"), (3, "unmatched")]
+
+
+def test_flow_docs_stream_equals_batch(spark, tmp_path):
+    from flowlake.operators import canvas
+    from flowlake.sources.flowdocs import build_flow_docs, read_flow_docs, write_flow_docs
+    from flowlake.sources.tables import Estate
+    e = Estate.load(spark, SF001)
+    path = str(tmp_path / "docs")
+    write_flow_docs(build_flow_docs(e.groups, e.processors, e.connections, e.ports), path)
+    docs = read_flow_docs(spark, path, streaming=True)
+    procs = canvas.canvas_explode(docs)["processors"].select("id", "group_id", "run_status")
+    out = streams.drain(procs, "docs", str(tmp_path / "sink"), str(tmp_path / "ck"))
+    assert sorted(tuple(r) for r in out.collect()) == sorted(
+        tuple(r) for r in e.processors.select("id", "group_id", "run_status").collect())
