@@ -17,12 +17,15 @@ checkpointed; pass A computes, for the entity a partition
 starts with, its end state for every start state that can matter (absent, each
 expected version in the segment, anything else = unchanged), with converging
 trajectories merged; the driver chains these per-partition summaries (one row
-per partition) to find each partition's true start state; pass B folds every
+per partition; start versions that share an end state are stored as runs, so a
+long chain of successful updates is one entry) to find each partition's true start state; pass B folds every
 row once with the right start state.
 """
 
 from __future__ import annotations
 
+import bisect
+
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -109,21 +112,38 @@ class _Summary:
         elif op == DELETE and e is not None and e in self.groups:
             self._move(e, ABSENT)
 
-    def result(self) -> dict:
-        out = {}
+    def result(self):
+        """``(absent_end, runs)``: the end state from absent, and the end state of
+        every start version as runs ``(lo, hi, end)`` of consecutive start
+        versions sharing an end (a long chain of successful updates is one run).
+        Versions in no run are unchanged."""
+        absent_end = ABSENT
+        per_version = []
         for state, starts in self.groups.items():
-            for s in starts:
-                out[s] = state
-        return out
-
-
-def _apply_summary(summary: dict, present: bool, version):
+            for st in starts:
+                if st == ABSENT:
+                    absent_end = state
+                else:
+                    per_version.append((st, state))
+        per_version.sort()
+        runs = []
+        for v, end in per_version:
+            if runs and runs[-1][1] == v - 1 and runs[-1][2] == end:
+                runs[-1][1] = v
+            else:
+                runs.append([v, v, end])
+        return absent_end, runs
+
+
+def _apply_summary(absent_end, runs, present: bool, version):
+    """End state of a segment from start (present, version), given its summary."""
     if not present:
-        end = summary.get(ABSENT, ABSENT)
-    elif version in summary:
-        end = summary[version]
+        end = absent_end
     else:
-        return True, version
+        lo = bisect.bisect_right([r[0] for r in runs], version) - 1 if version is not None else -1
+        if lo < 0 or version > runs[lo][1]:
+            return True, version
+        end = runs[lo][2]
     return (False, None) if end == ABSENT else (True, end)
 
 
@@ -144,8 +164,10 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
     summary_schema = T.StructType([
         T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
         T.StructField("whole", T.BooleanType()),
-        T.StructField("summary_from", T.ArrayType(T.StringType())),
-        T.StructField("summary_to", T.ArrayType(T.StringType())),
+        T.StructField("absent_end", T.StringType()),
+        T.StructField("run_lo", T.ArrayType(T.LongType())),
+        T.StructField("run_hi", T.ArrayType(T.LongType())),
+        T.StructField("run_end", T.ArrayType(T.StringType())),
         T.StructField("last_key", T.StringType()),
         T.StructField("last_present", T.BooleanType()), T.StructField("last_version", T.LongType()),
     ])
@@ -198,10 +220,11 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
                 _, cur_p, cur_v = fold_state(ops[k], exps[k], cur_p, cur_v)
         if first_key is None:
             return
-        res = summ.result()
+        absent_end, runs = summ.result()
         yield pd.DataFrame([{
             "pid": pid, "first_key": first_key, "whole": in_first,
-            "summary_from": [enc(k) for k in res], "summary_to": [enc(v) for v in res.values()],
+            "absent_end": enc(absent_end), "run_lo": [r[0] for r in runs], "run_hi": [r[1] for r in runs],
+            "run_end": [enc(r[2]) for r in runs],
             "last_key": first_key if in_first else cur_key,
             "last_present": None if in_first else cur_p,
             "last_version": None if in_first else cur_v,
@@ -217,8 +240,8 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
     for r in rows:
         start = prev_state if (prev_key is not None and r["first_key"] == prev_key) else (False, None)
         starts[r["pid"]] = (r["first_key"], start)
-        summary = {dec(a): dec(b) for a, b in zip(r["summary_from"], r["summary_to"])}
-        end_first = _apply_summary(summary, *start)
+        runs = [(lo, hi, dec(e)) for lo, hi, e in zip(r["run_lo"], r["run_hi"], r["run_end"])]
+        end_first = _apply_summary(dec(r["absent_end"]), runs, *start)
         prev_key = r["last_key"]
         prev_state = end_first if r["whole"] else (bool(r["last_present"]), r["last_version"])
 

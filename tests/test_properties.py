@@ -100,3 +100,23 @@ def test_closure_matches_loop(spark):
             want.add((cur, n, d))
             cur, d = parent[cur], d + 1
     assert got == want
+
+
+def test_versioned_summary_runs_stay_small(spark):
+    from flowlake.operators.versioned import _Summary
+    s = _Summary()
+    for v in range(10000):
+        s.feed("UPDATE", v)
+    absent_end, runs = s.result()
+    assert absent_end == "absent" and runs == [[0, 9999, 10000]]
+
+
+def test_versioned_long_update_chain_across_partitions(spark):
+    cmds = [(0, "x", "CREATE", None)] + [(i, "x", "UPDATE", i - 1) for i in range(1, 3000)]
+    cmds += [(3000 + i, "y", "UPDATE", 5) for i in range(50)]
+    cdf = spark.createDataFrame(cmds, "seq bigint, target_id string, op string, expected_version bigint")
+    idf = spark.createDataFrame([("y", 5)], "id string, version bigint")
+    got = {r["seq"]: (r["outcome"], r["present_after"], r["version_after"])
+           for r in versioned_apply(cdf, idf, num_partitions=20).collect()}
+    want, _ = _reference_fold(cmds, {"y": 5})
+    assert got == want
