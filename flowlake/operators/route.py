@@ -32,3 +32,17 @@ def write_by_relationship(routed: DataFrame, path: str, name: str = "relationshi
                           mode: str = "append", fmt: str = "parquet") -> None:
     """A5: sink routed rows with one directory per relationship (``partitionBy``)."""
     routed.write.mode(mode).partitionBy(name).format(fmt).save(path)
+
+
+def write_stream_by_relationship(routed_stream: DataFrame, path: str, checkpoint: str,
+                                 name: str = "relationship", available_now: bool = True):
+    """A5 on a stream: append routed rows under one directory per relationship.
+
+    The checkpoint makes the file sink exactly-once across restarts.  Returns
+    the started query (``availableNow`` drains what is there and stops).
+    """
+    w = (routed_stream.writeStream.format("parquet").partitionBy(name)
+         .option("path", path).option("checkpointLocation", checkpoint).outputMode("append"))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()

@@ -63,3 +63,27 @@ def test_flow_docs_stream_equals_batch(spark, tmp_path):
     out = streams.drain(procs, "docs", str(tmp_path / "sink"), str(tmp_path / "ck"))
     assert sorted(tuple(r) for r in out.collect()) == sorted(
         tuple(r) for r in e.processors.select("id", "group_id", "run_status").collect())
+
+
+def test_stream_routed_sink(spark, tmp_path):
+    from flowlake.operators.route import write_stream_by_relationship
+    src = tmp_path / "ev"
+    src.mkdir()
+    f = [x for x in os.listdir(SF001) if x == "events.parquet"][0]
+    shutil.copy(os.path.join(SF001, f), src / "events.parquet")
+    s = streams.read_event_stream(spark, str(src))
+    routed = relationship_route(s, {"errors": F.col("event_type") == "error", "big": F.col("value") > 40},
+                                auto_terminated=["big"])
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    q = write_stream_by_relationship(routed, out, ck)
+    q.awaitTermination()
+    back = spark.read.parquet(out)
+    batch = relationship_route(spark.read.parquet(str(src)),
+                               {"errors": F.col("event_type") == "error", "big": F.col("value") > 40},
+                               auto_terminated=["big"])
+    assert back.count() == batch.count()
+    assert {r[0] for r in back.select("relationship").distinct().collect()} == {"errors", "unmatched"}
+    # restart: nothing new
+    q2 = write_stream_by_relationship(routed, out, ck)
+    q2.awaitTermination()
+    assert spark.read.parquet(out).count() == batch.count()
