@@ -8,7 +8,9 @@ an operator's work.
 
 from __future__ import annotations
 
+import itertools
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -160,18 +162,24 @@ def base_tables_of(name: str) -> list[str]:
     return [t for t in BASE_TABLES if re.search(rf"\b{t}\b", text)]
 
 
+_NAMES = BASE_TABLES + list(VIEWS)
+_NAME_RE = re.compile(r"\b(" + "|".join(_NAMES) + r")\b")
+_counter = itertools.count()
+
+
 class Fixtures:
     """Lazily built fixture DataFrames for one scale-factor directory.
 
-    Base tables are registered as temp views under their plain names (only the
-    ones a view reads) so the view texts above run unchanged; every fixture
-    DataFrame is analysed when it is built, so a later registration for another
-    directory does not change it.
+    Tables and views are registered under names private to this instance (the
+    view texts are rewritten to use them), so the caller's own temp views are
+    never replaced.  Every fixture DataFrame is analysed when it is built and
+    does not change afterwards.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.prefix = f"_fl{next(_counter)}_{uuid.uuid4().hex[:6]}_"
         self._frames: dict[str, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
 
@@ -180,13 +188,16 @@ class Fixtures:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
+    def _sql(self, name: str) -> str:
+        return _NAME_RE.sub(lambda m: self.prefix + m.group(1), VIEWS[name])
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             for dep in closure([name]):
                 if dep not in self._frames:
                     for t in base_tables_of(dep):
-                        self.table(t).createOrReplaceTempView(t)
+                        self.table(t).createOrReplaceTempView(self.prefix + t)
                     for d in _DEPENDS.get(dep, []):
-                        self._frames[d].createOrReplaceTempView(d)
-                    self._frames[dep] = self.spark.sql(VIEWS[dep])
+                        self._frames[d].createOrReplaceTempView(self.prefix + d)
+                    self._frames[dep] = self.spark.sql(self._sql(dep))
         return self._frames[name]

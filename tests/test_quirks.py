@@ -179,3 +179,12 @@ def test_flow_docs_malformed_and_missing_lists(spark, tmp_path):
     counts = {r["group_id"]: r["n_processors"] for r in canvas.flow_counts(good).collect()}
     assert counts == {"root-1": 1, "g2": 0}
     assert canvas.root_from_documents(good).first()["root_id"] == "root-1"
+
+
+def test_fixtures_do_not_replace_caller_views(spark):
+    from conftest import SF001
+    from flowlake.plans.catalog import QUERIES
+    spark.range(3).createOrReplaceTempView("region")
+    QUERIES["root_group"](spark, SF001).collect()
+    assert spark.table("region").count() == 3
+    spark.catalog.dropTempView("region")
