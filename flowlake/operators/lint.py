@@ -86,30 +86,29 @@ def lint_report(groups: DataFrame, processors: DataFrame, connections: DataFrame
     proc = processors.select("id", "group_id", "name", "run_status", "validation_errors")
     conn = connections.select("id", "group_id", "source_id", "destination_id")
 
-    empty = groups.select(F.col("id").alias("group_id")).join(
-        proc.select("group_id").distinct(), "group_id", "left_anti"
-    ).select(
+    # Per-group counts, aggregated before they meet the suggestion rows (the
+    # join is many-to-one on a per-group table, no fan-out).  The processor
+    # counts also tell which groups are empty, so that aggregate is planned once
+    # and its exchange reused.
+    pcount = proc.groupBy("group_id").agg(F.count(F.lit(1)).alias("processor_count"))
+    ccount = conn.groupBy("group_id").agg(F.count(F.lit(1)).alias("connection_count"))
+    counts = pcount.join(ccount, "group_id", "left").select(
+        "group_id", "processor_count",
+        F.coalesce("connection_count", F.lit(0)).cast("bigint").alias("connection_count"))
+
+    empty = groups.select(F.col("id").alias("group_id")).join(pcount, "group_id", "left_anti").select(
         "group_id",
         F.lit(None).cast("string").alias("processor_id"),
         F.lit("no_processors").alias("rule"),
         F.lit(T.MSG_NO_PROCESSORS).alias("suggestion"),
+        F.lit(None).cast("bigint").alias("processor_count"),
+        F.lit(None).cast("bigint").alias("connection_count"),
     )
-
     rules = (
         lint_disconnected(proc, conn)
         .unionByName(lint_stopped(proc))
         .unionByName(lint_invalid(proc))
-    )
-    # Counts are aggregated per group before they meet the suggestion rows, so
-    # the join is many-to-one on a per-group table (no fan-out).
-    counts = proc.groupBy("group_id").agg(F.count(F.lit(1)).alias("processor_count")).join(
-        conn.groupBy("group_id").agg(F.count(F.lit(1)).alias("connection_count")),
-        "group_id", "left",
-    ).select("group_id", "processor_count",
-             F.coalesce("connection_count", F.lit(0)).cast("bigint").alias("connection_count"))
-    rules = rules.join(counts, "group_id", "left")
-    empty = empty.select("*", F.lit(None).cast("bigint").alias("processor_count"),
-                         F.lit(None).cast("bigint").alias("connection_count"))
+    ).join(counts, "group_id", "left")
     order = F.create_map(*[x for k, v in RULE_ORDER.items() for x in (F.lit(k), F.lit(v))])
     return rules.unionByName(empty).withColumn("rule_order", order[F.col("rule")]).select(
         "group_id", "rule", "rule_order", "processor_id", "suggestion",

@@ -39,13 +39,19 @@ def own_status(groups: DataFrame, processors: DataFrame, connections: DataFrame,
 
 def group_status(groups: DataFrame, closure: DataFrame, processors: DataFrame,
                  connections: DataFrame, queue: DataFrame) -> DataFrame:
-    """Own counts and counts rolled up over each group's subtree."""
+    """Own counts and counts rolled up over each group's subtree.
+
+    One aggregation over (closure x per-group counts): the closure holds every
+    group at distance 0, so the own counts are the distance-0 part of the same
+    sums and the per-group counts are computed once.
+    """
     own = own_status(groups, processors, connections, queue)
-    rolled = closure.join(own.withColumnRenamed("group_id", "descendant"), "descendant") \
+    at_self = F.col("distance") == 0
+    return closure.join(own.withColumnRenamed("group_id", "descendant"), "descendant") \
         .groupBy(F.col("ancestor").alias("group_id")) \
-        .agg(*[F.sum(m).cast("bigint").alias(f"total_{m}") for m in METRICS])
-    return own.select("group_id", *[F.col(m).alias(f"own_{m}") for m in METRICS]) \
-        .join(rolled, "group_id")
+        .agg(*[F.sum(F.when(at_self, F.col(m)).otherwise(F.lit(0))).cast("bigint").alias(f"own_{m}")
+               for m in METRICS],
+             *[F.sum(m).cast("bigint").alias(f"total_{m}") for m in METRICS])
 
 
 def queue_load(queue: DataFrame) -> DataFrame:
