@@ -44,8 +44,11 @@ def provenance_stream(events: DataFrame, event_type: str | None = None,
     """A3: new provenance events, each event id once, optional filters.
 
     ``dropDuplicatesWithinWatermark`` forgets an id once the watermark passes
-    it, which bounds the state.  The watermark needs a zoned timestamp, so a
-    cast copy of ``event_time`` drives it and the NTZ column is kept as is.
+    it, which bounds the state.  As with every Spark watermark, an event that
+    arrives later than ``watermark`` behind the newest event seen is dropped:
+    pick a delay at least the source's lateness.  The watermark needs a zoned
+    timestamp, so a cast copy of ``event_time`` drives it and the NTZ column is
+    kept as is.
     """
     prov = shape(events, "fx_provenance")
     if event_type:

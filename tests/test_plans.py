@@ -7,7 +7,7 @@ from flowlake.plans.catalog import QUERIES
 
 # Operators that run Python by design (ordered fold / positions in a range-sorted layout).
 PYTHON_BY_DESIGN = {"queue_listing", "versioned_apply", "versioned_table"}
-STREAMS = {"provenance_stream", "bulletin_stream"}
+STREAMS = {"provenance_stream", "bulletin_stream", "versioned_apply_stream"}
 
 
 def _plan(df):
@@ -40,3 +40,27 @@ def test_group_filter_pushed_to_scan(spark):
 
 def test_route_has_no_shuffle(spark):
     assert "Exchange" not in _plan(QUERIES["relationship_route"](spark, SF001))
+
+
+@pytest.mark.parametrize("key", sorted(set(QUERIES) - STREAMS - {"versioned_apply_stream"}))
+def test_no_cartesian_product(spark, key):
+    plan = _plan(QUERIES[key](spark, SF001))
+    assert "CartesianProduct" not in plan, key
+    # a nested-loop join may only come from Catalyst's existence check on a
+    # constant row, whose build side is cut to one row per partition
+    if "BroadcastNestedLoopJoin" in plan:
+        assert "LocalLimit 1" in plan, key
+
+
+def test_search_terms_reach_parquet_on_stored_table(spark, tmp_path):
+    """On a stored provenance table the terms are pushed into the scan and only
+    the summarized columns are read."""
+    from flowlake.operators.provenance import provenance_search
+    from flowlake.sources.tables import Estate
+    path = str(tmp_path / "prov")
+    Estate.load(spark, SF001).provenance.write.parquet(path)
+    df = provenance_search(spark.read.parquet(path), {"componentId": "proc-c46", "flowFileUuid": "ff-7"}, 20)
+    plan = _plan(df)
+    assert "EqualTo(component_id,proc-c46)" in plan and "EqualTo(flowfile_uuid,ff-7)" in plan
+    assert "details" not in plan.split("ReadSchema")[1].split("\n")[0]
+    assert "TakeOrderedAndProject" in plan
