@@ -14,6 +14,15 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _formatted(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - PYTHON_BY_DESIGN - STREAMS))
 def test_no_python_node(spark, key):
     plan = _plan(QUERIES[key](spark, SF001))
@@ -60,7 +69,7 @@ def test_search_terms_reach_parquet_on_stored_table(spark, tmp_path):
     path = str(tmp_path / "prov")
     Estate.load(spark, SF001).provenance.write.parquet(path)
     df = provenance_search(spark.read.parquet(path), {"componentId": "proc-c46", "flowFileUuid": "ff-7"}, 20)
-    plan = _plan(df)
+    plan = _formatted(df)
     assert "EqualTo(component_id,proc-c46)" in plan and "EqualTo(flowfile_uuid,ff-7)" in plan
     assert "details" not in plan.split("ReadSchema")[1].split("\n")[0]
     assert "TakeOrderedAndProject" in plan
