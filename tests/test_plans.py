@@ -1,6 +1,7 @@
 """Physical plans: pushed filters, top-k, pruned scans, no Python in pure batch operators."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from flowlake.plans.catalog import QUERIES
@@ -73,3 +74,19 @@ def test_search_terms_reach_parquet_on_stored_table(spark, tmp_path):
     assert "EqualTo(component_id,proc-c46)" in plan and "EqualTo(flowfile_uuid,ff-7)" in plan
     assert "details" not in plan.split("ReadSchema")[1].split("\n")[0]
     assert "TakeOrderedAndProject" in plan
+
+
+def test_fact_layout_prunes_dates(spark, tmp_path):
+    from flowlake.sources.facts import read_facts, write_facts
+    from flowlake.sources.tables import Estate
+    from flowlake.operators.provenance import provenance_search
+    path = str(tmp_path / "facts")
+    prov = Estate.load(spark, SF001).provenance
+    write_facts(prov, path, "event_time")
+    dates = sorted(r[0] for r in spark.read.parquet(path).select("event_date").distinct().collect())
+    assert len(dates) > 1
+    df = provenance_search(read_facts(spark, path, start=dates[-1]), {"componentId": "proc-c46"}, 20)
+    plan = _formatted(df)
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert df.count() == prov.where(F.to_date("event_time") >= F.lit(dates[-1])) \
+        .where("component_id = 'proc-c46'").limit(20).count()
