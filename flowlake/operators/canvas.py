@@ -91,4 +91,6 @@ def root_from_documents(docs: DataFrame, default_name: str = DEFAULT_ROOT_NAME)
         F.when(rid.isNull(), F.raise_error(F.lit("root process group id not found"))).otherwise(rid)
         .alias("root_id"),
         F.coalesce(F.col("processGroupFlow.breadcrumb.breadcrumb.name"), F.lit(default_name)).alias("name"),
-        F.col("processGroupFlow.parentGroupId").alias("parent_group_id"))
+        F.col("processGroupFlow.uri").alias("uri"),
+        F.col("processGroupFlow.parentGroupId").alias("parent_group_id"),
+        F.col("processGroupFlow.parameterContext.id").alias("parameter_context_id"))

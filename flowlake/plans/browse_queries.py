@@ -207,7 +207,8 @@ def q_flow_counts(spark, sf_dir):
 
 
 @query("root_group_doc", ["fx_group"], f"""
-SELECT id AS root_id, coalesce(name, '{DEFAULT_ROOT_NAME}') AS name, parent_id AS parent_group_id
+SELECT id AS root_id, coalesce(name, '{DEFAULT_ROOT_NAME}') AS name, '/flow/process-groups/' || id AS uri,
+  parent_id AS parent_group_id, CAST(NULL AS VARCHAR) AS parameter_context_id
 FROM fx_group WHERE parent_id IS NULL""")
 def q_root_group_doc(spark, sf_dir):
     """B1 on flow documents: top-level id, else processGroupFlow.id; error if both empty."""
