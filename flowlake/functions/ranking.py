@@ -51,11 +51,16 @@ def _changes(pdf: pd.DataFrame, by, prev_key) -> pd.Series:
 
 
 def sorted_checkpoint(df: DataFrame, keys, num_partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort on ``keys``; materialise in the checkpoint folder."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    """Range-partition and sort on ``keys``; materialise in the checkpoint folder.
+
+    Without ``num_partitions`` the range shuffle starts from
+    ``spark.sql.shuffle.partitions`` and AQE merges adjacent small partitions
+    (merging neighbours keeps the global order), so the layout follows the data
+    size.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    parts = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    return parts.sortWithinPartitions(*keys).checkpoint(eager=True)
 
 
 def partition_runs(ck: DataFrame, by) -> list:
