@@ -74,9 +74,10 @@ class _Summary:
     def __init__(self):
         self.groups: dict = {ABSENT: [ABSENT]}  # current state → start classes
         self.classes: set = set()
+        self.const = False  # after an INIT row the end no longer depends on the start
 
     def add_class(self, v):
-        if v is not None and v not in self.classes:
+        if not self.const and v is not None and v not in self.classes:
             self.classes.add(v)
             # a start version first seen now has been unchanged so far
             self.groups.setdefault(v, []).append(v)
@@ -96,9 +97,10 @@ class _Summary:
 
     def feed(self, op, e):
         if op == INIT:
-            # every trajectory is reset to (present, e)
-            merged = [c for lst in self.groups.values() for c in lst]
-            self.groups = {e: merged}
+            # every trajectory is reset to (present, e): one trajectory remains
+            self.groups = {e: [ABSENT]}
+            self.classes = set()
+            self.const = True
             return
         if op in (UPDATE, DELETE) and e is not None:
             # A start version equal to e is still at e unless an earlier command
@@ -113,10 +115,11 @@ class _Summary:
             self._move(e, ABSENT)
 
     def result(self):
-        """``(absent_end, runs)``: the end state from absent, and the end state of
-        every start version as runs ``(lo, hi, end)`` of consecutive start
-        versions sharing an end (a long chain of successful updates is one run).
-        Versions in no run are unchanged."""
+        """``(absent_end, runs, const)``: the end state from absent, and the end
+        state of every start version as runs ``(lo, hi, end)`` of consecutive
+        start versions sharing an end (a long chain of successful updates is one
+        run); versions in no run are unchanged.  ``const``: every start ends in
+        ``absent_end`` (the segment holds an INIT row)."""
         absent_end = ABSENT
         per_version = []
         for state, starts in self.groups.items():
@@ -132,12 +135,12 @@ class _Summary:
                 runs[-1][1] = v
             else:
                 runs.append([v, v, end])
-        return absent_end, runs
+        return absent_end, runs, self.const
 
 
-def _apply_summary(absent_end, runs, present: bool, version):
+def _apply_summary(absent_end, runs, const, present: bool, version):
     """End state of a segment from start (present, version), given its summary."""
-    if not present:
+    if const or not present:
         end = absent_end
     else:
         lo = bisect.bisect_right([r[0] for r in runs], version) - 1 if version is not None else -1
@@ -164,7 +167,7 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
     summary_schema = T.StructType([
         T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
         T.StructField("whole", T.BooleanType()),
-        T.StructField("absent_end", T.StringType()),
+        T.StructField("absent_end", T.StringType()), T.StructField("const", T.BooleanType()),
         T.StructField("run_lo", T.ArrayType(T.LongType())),
         T.StructField("run_hi", T.ArrayType(T.LongType())),
         T.StructField("run_end", T.ArrayType(T.StringType())),
@@ -220,10 +223,10 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
                 _, cur_p, cur_v = fold_state(ops[k], exps[k], cur_p, cur_v)
         if first_key is None:
             return
-        absent_end, runs = summ.result()
+        absent_end, runs, const = summ.result()
         yield pd.DataFrame([{
             "pid": pid, "first_key": first_key, "whole": in_first,
-            "absent_end": enc(absent_end), "run_lo": [r[0] for r in runs], "run_hi": [r[1] for r in runs],
+            "absent_end": enc(absent_end), "const": const, "run_lo": [r[0] for r in runs], "run_hi": [r[1] for r in runs],
             "run_end": [enc(r[2]) for r in runs],
             "last_key": first_key if in_first else cur_key,
             "last_present": None if in_first else cur_p,
@@ -241,7 +244,7 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
         start = prev_state if (prev_key is not None and r["first_key"] == prev_key) else (False, None)
         starts[r["pid"]] = (r["first_key"], start)
         runs = [(lo, hi, dec(e)) for lo, hi, e in zip(r["run_lo"], r["run_hi"], r["run_end"])]
-        end_first = _apply_summary(dec(r["absent_end"]), runs, *start)
+        end_first = _apply_summary(dec(r["absent_end"]), runs, bool(r["const"]), *start)
         prev_key = r["last_key"]
         prev_state = end_first if r["whole"] else (bool(r["last_present"]), r["last_version"])
 
