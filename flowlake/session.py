@@ -28,6 +28,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # broadcast only behind a size check: the planner's estimate (static)
+        # and the measured shuffle size (AQE); larger sides are shuffled
+        .config("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # top-k above this many rows plans as a distributed sort + limit instead

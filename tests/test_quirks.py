@@ -188,3 +188,49 @@ def test_fixtures_do_not_replace_caller_views(spark):
     QUERIES["root_group"](spark, SF001).collect()
     assert spark.table("region").count() == 3
     spark.catalog.dropTempView("region")
+
+
+def test_delete_preflight_ports_groups_connections(spark):
+    groups = spark.createDataFrame([("g", None, "G"), ("e", "g", "E"), ("h", "g", "H")],
+                                   "id string, parent_id string, name string")
+    procs = _procs(spark, [("a", "h", "A", "T", "STOPPED", 0, None), ("b", "h", "B", "T", "RUNNING", 0, None)])
+    ports = spark.createDataFrame([("in1", "h", "INPUT_PORT", "I", "STOPPED"), ("out1", "h", "OUTPUT_PORT", "O", "STOPPED")],
+                                  "id string, group_id string, kind string, name string, run_status string")
+    conns = spark.createDataFrame([("c1", "h", "out1", "b"), ("c2", "h", "b", "b")], CONN)
+    queue = spark.createDataFrame([("c1", "h", "f1", 3)], "connection_id string, group_id string, flowfile_uuid string, "
+                                  "size_bytes bigint")
+    cmds = spark.createDataFrame([("processor", "a"), ("processor", "b"), ("input_port", "in1"), ("output_port", "out1"),
+                                  ("connection", "c1"), ("connection", "c2"), ("group", "e"), ("group", "h"),
+                                  ("group", "zz")], "kind string, target_id string")
+    facts = changes.delete_facts(procs, conns, groups, ports, queue)
+    got = {(r["kind"], r["target_id"]): (r["allowed"], r["reasons"])
+           for r in changes.delete_preflight(cmds, facts).collect()}
+    assert got[("processor", "a")] == (True, "")
+    assert got[("processor", "b")] == (False, "not_stopped, has_connections")
+    assert got[("input_port", "in1")] == (True, "")
+    assert got[("output_port", "out1")] == (False, "has_connections")
+    assert got[("connection", "c1")] == (False, "queue_not_empty")
+    assert got[("connection", "c2")] == (True, "")
+    assert got[("group", "e")] == (True, "")
+    assert got[("group", "h")] == (False, "not_stopped, not_empty")
+    assert got[("group", "zz")] == (False, "not_found")
+
+
+def test_connection_validate_rules(spark):
+    comps = spark.createDataFrame([("p1", "g", "PROCESSOR"), ("p2", "g", "PROCESSOR"), ("i1", "g", "INPUT_PORT"),
+                                   ("x", "other", "PROCESSOR")], "id string, group_id string, kind string")
+    reqs = spark.createDataFrame([
+        (1, "g", "p1", "processor", "p2", None, None),
+        (2, "g", "p1", "WIDGET", "p2", "PROCESSOR", ""),
+        (3, "g", "i1", "PROCESSOR", "p2", "PROCESSOR", "n"),
+        (4, "g", "p1", "PROCESSOR", "x", "PROCESSOR", "n"),
+        (5, "g", "zz", "PROCESSOR", "p2", "PROCESSOR", "n"),
+    ], "request_id bigint, group_id string, source_id string, source_type string, destination_id string, "
+       "destination_type string, name string")
+    got = {r["request_id"]: r for r in changes.connection_validate(reqs, comps).collect()}
+    assert got[1]["valid"] and got[1]["name"] == "Connection from p1 to p2" and got[1]["source_type"] == "PROCESSOR"
+    assert (got[1]["bp_objects"], got[1]["bp_size"], got[1]["expiration"]) == (10000, "1 GB", "0 sec")
+    assert got[2]["reasons"] == "bad_source_type, source_type_mismatch" and got[2]["name"] == "Connection from p1 to p2"
+    assert got[3]["reasons"] == "source_type_mismatch"
+    assert got[4]["reasons"] == "destination_other_group"
+    assert got[5]["reasons"] == "source_not_found"
