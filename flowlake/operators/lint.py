@@ -8,10 +8,16 @@ Input tables (flat, one row per entity):
 
 Every rule is a filter or an anti join on (group_id, id), so each rule shuffles
 at most once on a unique key; no rule gathers a group into one task.
+
+``scope`` names columns that partition the estate (for example
+``["snapshot_id"]`` when several snapshots are loaded together): they are added
+to every join key and grouping and lead the output columns.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,26 +31,29 @@ def _name(c="name"):
     return F.coalesce(F.col(c), F.lit(T.UNKNOWN_NAME))
 
 
-def connected_endpoints(connections: DataFrame) -> DataFrame:
-    """Distinct (group_id, id) of every non-empty connection endpoint.
+def connected_endpoints(connections: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Distinct (scope, group_id, id) of every non-empty connection endpoint.
 
     One scan of the connections (both ends exploded from one row); partial
     aggregation before the shuffle keeps this at one row per endpoint.
     """
-    ends = connections.select("group_id", F.explode(F.array("source_id", "destination_id")).alias("id"))
+    ends = connections.select(*scope, "group_id",
+                              F.explode(F.array("source_id", "destination_id")).alias("id"))
     return ends.where(F.col("id").isNotNull() & (F.col("id") != "")).distinct()
 
 
-def lint_disconnected(processors: DataFrame, connections: DataFrame) -> DataFrame:
+def lint_disconnected(processors: DataFrame, connections: DataFrame,
+                      scope: Sequence[str] = ()) -> DataFrame:
     """Processors that are neither source nor destination of a connection of their group.
 
     A DataFrame ``left_anti`` join, never SQL ``NOT IN`` (a null id in the
     subquery would empty the result).
     """
-    edges = connected_endpoints(connections)
+    edges = connected_endpoints(connections, scope)
     return (
-        processors.join(edges, ["group_id", "id"], "left_anti")
+        processors.join(edges, [*scope, "group_id", "id"], "left_anti")
         .select(
+            *scope,
             "group_id",
             F.col("id").alias("processor_id"),
             F.lit("disconnected").alias("rule"),
@@ -53,10 +62,11 @@ def lint_disconnected(processors: DataFrame, connections: DataFrame) -> DataFram
     )
 
 
-def lint_stopped(processors: DataFrame) -> DataFrame:
+def lint_stopped(processors: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Processors whose run status is exactly ``STOPPED`` (missing = UNKNOWN)."""
     status = F.coalesce(F.col("run_status"), F.lit(T.UNKNOWN_STATUS))
     return processors.where(status == "STOPPED").select(
+        *scope,
         "group_id",
         F.col("id").alias("processor_id"),
         F.lit("stopped").alias("rule"),
@@ -64,10 +74,11 @@ def lint_stopped(processors: DataFrame) -> DataFrame:
     )
 
 
-def lint_invalid(processors: DataFrame) -> DataFrame:
+def lint_invalid(processors: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Processors with a non-empty validation error list, errors joined by ``', '``."""
     errs = F.col("validation_errors")
     return processors.where(F.coalesce(F.size(errs), F.lit(-1)) > 0).select(
+        *scope,
         "group_id",
         F.col("id").alias("processor_id"),
         F.lit("invalid").alias("rule"),
@@ -75,29 +86,32 @@ def lint_invalid(processors: DataFrame) -> DataFrame:
     )
 
 
-def lint_report(groups: DataFrame, processors: DataFrame, connections: DataFrame) -> DataFrame:
+def lint_report(groups: DataFrame, processors: DataFrame, connections: DataFrame,
+                scope: Sequence[str] = ()) -> DataFrame:
     """One row per suggestion for every group, with the group's counts.
 
-    Columns: ``group_id, rule, rule_order, processor_id, suggestion,
+    Columns: ``[scope...], group_id, rule, rule_order, processor_id, suggestion,
     processor_count, connection_count``.  Within a group the suggestions sort by
     ``(rule_order, processor_id)``.  A group without processors gets the single
     "no processors" line and null counts.
     """
-    proc = processors.select("id", "group_id", "name", "run_status", "validation_errors")
-    conn = connections.select("id", "group_id", "source_id", "destination_id")
+    scope = list(scope)
+    gkey = [*scope, "group_id"]
+    proc = processors.select(*scope, "id", "group_id", "name", "run_status", "validation_errors")
+    conn = connections.select(*scope, "id", "group_id", "source_id", "destination_id")
 
     # Per-group counts, aggregated before they meet the suggestion rows (the
     # join is many-to-one on a per-group table, no fan-out).  The processor
     # counts also tell which groups are empty, so that aggregate is planned once
     # and its exchange reused.
-    pcount = proc.groupBy("group_id").agg(F.count(F.lit(1)).alias("processor_count"))
-    ccount = conn.groupBy("group_id").agg(F.count(F.lit(1)).alias("connection_count"))
-    counts = pcount.join(ccount, "group_id", "left").select(
-        "group_id", "processor_count",
+    pcount = proc.groupBy(*gkey).agg(F.count(F.lit(1)).alias("processor_count"))
+    ccount = conn.groupBy(*gkey).agg(F.count(F.lit(1)).alias("connection_count"))
+    counts = pcount.join(ccount, gkey, "left").select(
+        *gkey, "processor_count",
         F.coalesce("connection_count", F.lit(0)).cast("bigint").alias("connection_count"))
 
-    empty = groups.select(F.col("id").alias("group_id")).join(pcount, "group_id", "left_anti").select(
-        "group_id",
+    empty = groups.select(*scope, F.col("id").alias("group_id")).join(pcount, gkey, "left_anti").select(
+        *gkey,
         F.lit(None).cast("string").alias("processor_id"),
         F.lit("no_processors").alias("rule"),
         F.lit(T.MSG_NO_PROCESSORS).alias("suggestion"),
@@ -105,12 +119,12 @@ def lint_report(groups: DataFrame, processors: DataFrame, connections: DataFrame
         F.lit(None).cast("bigint").alias("connection_count"),
     )
     rules = (
-        lint_disconnected(proc, conn)
-        .unionByName(lint_stopped(proc))
-        .unionByName(lint_invalid(proc))
-    ).join(counts, "group_id", "left")
+        lint_disconnected(proc, conn, scope)
+        .unionByName(lint_stopped(proc, scope))
+        .unionByName(lint_invalid(proc, scope))
+    ).join(counts, gkey, "left")
     order = F.create_map(*[x for k, v in RULE_ORDER.items() for x in (F.lit(k), F.lit(v))])
     return rules.unionByName(empty).withColumn("rule_order", order[F.col("rule")]).select(
-        "group_id", "rule", "rule_order", "processor_id", "suggestion",
+        *gkey, "rule", "rule_order", "processor_id", "suggestion",
         "processor_count", "connection_count",
     )

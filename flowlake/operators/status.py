@@ -3,11 +3,15 @@
 Facts (processors, connections, queued items) are aggregated to one row per
 group or connection *before* they meet the group closure, so the closure join
 multiplies group rows, never fact rows.
+
+``scope`` (for example ``["snapshot_id"]``) is added to every join key and
+grouping and leads the output columns.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,58 +23,59 @@ METRICS = ["processors", "running", "stopped", "disabled", "invalid",
 
 
 def own_status(groups: DataFrame, processors: DataFrame, connections: DataFrame,
-               queue: DataFrame) -> DataFrame:
+               queue: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Per group, its own counts: processors by run state, connections, queue load."""
+    gkey = [*scope, "group_id"]
     rs = F.col("run_status")
-    p = processors.groupBy("group_id").agg(
+    p = processors.groupBy(*gkey).agg(
         F.count(F.lit(1)).alias("processors"),
         F.count_if(rs == "RUNNING").alias("running"),
         F.count_if(rs == "STOPPED").alias("stopped"),
         F.count_if(rs == "DISABLED").alias("disabled"),
         F.count_if(F.coalesce(F.size("validation_errors"), F.lit(0)) > 0).alias("invalid"))
-    c = connections.groupBy("group_id").agg(F.count(F.lit(1)).alias("connections"))
-    q = queue.groupBy("group_id").agg(F.count(F.lit(1)).alias("queued_items"),
-                                      F.sum("size_bytes").cast("bigint").alias("queued_bytes"))
-    out = groups.select(F.col("id").alias("group_id"))
+    c = connections.groupBy(*gkey).agg(F.count(F.lit(1)).alias("connections"))
+    q = queue.groupBy(*gkey).agg(F.count(F.lit(1)).alias("queued_items"),
+                                 F.sum("size_bytes").cast("bigint").alias("queued_bytes"))
+    out = groups.select(*scope, F.col("id").alias("group_id"))
     for part in (p, c, q):
-        out = out.join(part, "group_id", "left")
-    return out.select("group_id", *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in METRICS])
+        out = out.join(part, gkey, "left")
+    return out.select(*gkey, *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in METRICS])
 
 
 def group_status(groups: DataFrame, closure: DataFrame, processors: DataFrame,
-                 connections: DataFrame, queue: DataFrame) -> DataFrame:
+                 connections: DataFrame, queue: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Own counts and counts rolled up over each group's subtree.
 
     One aggregation over (closure x per-group counts): the closure holds every
     group at distance 0, so the own counts are the distance-0 part of the same
     sums and the per-group counts are computed once.
     """
-    own = own_status(groups, processors, connections, queue)
+    own = own_status(groups, processors, connections, queue, scope)
     at_self = F.col("distance") == 0
-    return closure.join(own.withColumnRenamed("group_id", "descendant"), "descendant") \
-        .groupBy(F.col("ancestor").alias("group_id")) \
+    return closure.join(own.withColumnRenamed("group_id", "descendant"), [*scope, "descendant"]) \
+        .groupBy(*scope, F.col("ancestor").alias("group_id")) \
         .agg(*[F.sum(F.when(at_self, F.col(m)).otherwise(F.lit(0))).cast("bigint").alias(f"own_{m}")
                for m in METRICS],
              *[F.sum(m).cast("bigint").alias(f"total_{m}") for m in METRICS])
 
 
-def queue_load(queue: DataFrame) -> DataFrame:
+def queue_load(queue: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Queued items and bytes per connection (partial aggregation before the shuffle)."""
-    return queue.groupBy("connection_id").agg(
+    return queue.groupBy(*scope, "connection_id").agg(
         F.count(F.lit(1)).alias("queued_items"),
         F.sum("size_bytes").cast("bigint").alias("queued_bytes"))
 
 
-def backpressure_check(connections: DataFrame, queue: DataFrame) -> DataFrame:
+def backpressure_check(connections: DataFrame, queue: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Connections at or over their object or size threshold.
 
     Missing thresholds take the new-connection defaults (10000 items, 1 GB).
     """
-    load = queue_load(queue)
+    load = queue_load(queue, scope)
     objs = F.coalesce(F.col("bp_objects"), F.lit(T.DEFAULT_BP_OBJECTS)).cast("bigint")
     size = T.parse_data_size(F.coalesce(F.col("bp_size"), F.lit(T.DEFAULT_BP_SIZE)))
-    out = connections.join(load, F.col("id") == F.col("connection_id")).select(
-        F.col("id").alias("connection_id"), "group_id", "queued_items", "queued_bytes",
+    out = connections.withColumnRenamed("id", "connection_id").join(load, [*scope, "connection_id"]).select(
+        *scope, "connection_id", "group_id", "queued_items", "queued_bytes",
         objs.alias("bp_objects"), size.alias("bp_bytes"))
     out = out.withColumn("over_objects", F.col("queued_items") >= F.col("bp_objects")) \
         .withColumn("over_size", F.coalesce(F.col("queued_bytes") >= F.col("bp_bytes"), F.lit(False)))
@@ -85,15 +90,16 @@ def _ts_ntz(as_of) -> Column:
     return F.to_timestamp_ntz(F.lit(str(as_of)))
 
 
-def flowfile_expiry(connections: DataFrame, queue: DataFrame, as_of) -> DataFrame:
+def flowfile_expiry(connections: DataFrame, queue: DataFrame, as_of,
+                    scope: Sequence[str] = ()) -> DataFrame:
     """Queued items on expiring connections, flagged when older than the expiry.
 
     ``0 sec`` means never; ``as_of`` is an argument, never the wall clock.
     """
     ms = T.parse_duration_ms(F.coalesce(F.col("expiration"), F.lit(T.DEFAULT_EXPIRATION)))
-    conn = connections.select(F.col("id").alias("connection_id"), ms.alias("expiration_ms")) \
+    conn = connections.select(*scope, F.col("id").alias("connection_id"), ms.alias("expiration_ms")) \
         .where(F.col("expiration_ms") > 0)
     cutoff = F.timestamp_add("MILLISECOND", -F.col("expiration_ms"), _ts_ntz(as_of))
-    return queue.join(conn, "connection_id").select(
-        "connection_id", "flowfile_uuid", "queued_at", "expiration_ms",
+    return queue.join(conn, [*scope, "connection_id"]).select(
+        *scope, "connection_id", "flowfile_uuid", "queued_at", "expiration_ms",
         (F.col("queued_at") < cutoff).alias("expired"))

@@ -4,11 +4,15 @@ The group tree is walked with Spark SQL's recursive CTE.  Spark stops a
 recursion after 100 levels, so a cycle in parent links fails loudly instead of
 looping.  Only the group tree is walked this way; connections may be cyclic
 and nothing here follows them transitively.
+
+``scope`` (for example ``["snapshot_id"]``) keeps trees of different snapshots
+apart: its columns join every recursion step and lead the output.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,58 +27,69 @@ def _view(df: DataFrame, stem: str) -> str:
     return name
 
 
-def group_closure(groups: DataFrame) -> DataFrame:
-    """(ancestor, descendant, distance) for every group, itself at distance 0."""
-    g = _view(groups.select("id", "parent_id"), "groups")
+def _scope_sql(scope, left, right):
+    cols = "".join(f"{c}, " for c in scope)
+    on = "".join(f" AND {right}.{c} = {left}.{c}" for c in scope)
+    sel = "".join(f"{right}.{c}, " for c in scope)
+    return cols, on, sel
+
+
+def group_closure(groups: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """([scope...], ancestor, descendant, distance) for every group, itself at distance 0."""
+    g = _view(groups.select(*scope, "id", "parent_id"), "groups")
+    cols, on, sel = _scope_sql(scope, "c", "g")
     return groups.sparkSession.sql(f"""
-        WITH RECURSIVE c(ancestor, descendant, distance) AS (
-            SELECT id, id, 0 FROM {g}
+        WITH RECURSIVE c({cols}ancestor, descendant, distance) AS (
+            SELECT {cols}id, id, 0 FROM {g}
             UNION ALL
-            SELECT c.ancestor, g.id, c.distance + 1 FROM c JOIN {g} g ON g.parent_id = c.descendant
-        ) SELECT ancestor, descendant, CAST(distance AS INT) AS distance FROM c""")
+            SELECT {sel}c.ancestor, g.id, c.distance + 1 FROM c JOIN {g} g ON g.parent_id = c.descendant{on}
+        ) SELECT {cols}ancestor, descendant, CAST(distance AS INT) AS distance FROM c""")
 
 
-def pipeline_list(groups: DataFrame) -> DataFrame:
+def pipeline_list(groups: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """The root and its immediate children as (id, name, parent name).
 
     The root's parent is ``root``; a child without a name is
     ``ProcessGroup-<id>``.  (One level, like the tool it mirrors; see
     ``pipeline_tree`` for every level.)
     """
+    scope = list(scope)
     root = groups.where(F.col("parent_id").isNull()).select(
-        F.col("id").alias("root_id"), F.coalesce("name", F.lit(ROOT_PARENT)).alias("root_name"))
-    top = root.select(F.col("root_id").alias("id"), F.col("root_name").alias("name"),
+        *scope, F.col("id").alias("parent_id"), F.coalesce("name", F.lit(ROOT_PARENT)).alias("root_name"))
+    top = root.select(*scope, F.col("parent_id").alias("id"), F.col("root_name").alias("name"),
                       F.lit(ROOT_PARENT).alias("parent"))
-    kids = groups.join(root, F.col("parent_id") == F.col("root_id")).select(
-        "id",
+    kids = groups.join(root, [*scope, "parent_id"]).select(
+        *scope, "id",
         F.coalesce("name", F.concat(F.lit(CHILD_NAME_PREFIX), F.col("id"))).alias("name"),
         F.col("root_name").alias("parent"))
     return top.unionByName(kids)
 
 
-def pipeline_tree(groups: DataFrame) -> DataFrame:
+def pipeline_tree(groups: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """E1, every level: id, name, parent name, depth and the name path from the root."""
-    g = _view(groups.select("id", "parent_id", "name"), "groups")
+    g = _view(groups.select(*scope, "id", "parent_id", "name"), "groups")
+    cols, on, sel = _scope_sql(scope, "t", "g")
     return groups.sparkSession.sql(f"""
-        WITH RECURSIVE t(id, name, parent, depth, path) AS (
-            SELECT id, coalesce(name, '{ROOT_PARENT}'), '{ROOT_PARENT}', 0, coalesce(name, '{ROOT_PARENT}')
+        WITH RECURSIVE t({cols}id, name, parent, depth, path) AS (
+            SELECT {cols}id, coalesce(name, '{ROOT_PARENT}'), '{ROOT_PARENT}', 0, coalesce(name, '{ROOT_PARENT}')
             FROM {g} WHERE parent_id IS NULL
             UNION ALL
-            SELECT g.id, coalesce(g.name, '{CHILD_NAME_PREFIX}' || g.id), t.name, t.depth + 1,
+            SELECT {sel}g.id, coalesce(g.name, '{CHILD_NAME_PREFIX}' || g.id), t.name, t.depth + 1,
                    t.path || '/' || coalesce(g.name, '{CHILD_NAME_PREFIX}' || g.id)
-            FROM t JOIN {g} g ON g.parent_id = t.id
-        ) SELECT id, name, parent, CAST(depth AS INT) AS depth, path FROM t""")
+            FROM t JOIN {g} g ON g.parent_id = t.id{on}
+        ) SELECT {cols}id, name, parent, CAST(depth AS INT) AS depth, path FROM t""")
 
 
-def effective_parameters(closure: DataFrame, parameters: DataFrame) -> DataFrame:
+def effective_parameters(closure: DataFrame, parameters: DataFrame,
+                         scope: Sequence[str] = ()) -> DataFrame:
     """Parameters visible to each group; the nearest definition wins.
 
     ``min(struct(distance, ...))`` per (group, name) is a plain aggregate with a
     map-side partial step, so a group with many inherited parameters is not
     gathered into one window partition.  Groups that see no parameter give no rows.
     """
-    joined = closure.join(parameters.withColumnRenamed("group_id", "ancestor"), "ancestor")
-    best = joined.groupBy(F.col("descendant").alias("group_id"), "name").agg(
+    joined = closure.join(parameters.withColumnRenamed("group_id", "ancestor"), [*scope, "ancestor"])
+    best = joined.groupBy(*scope, F.col("descendant").alias("group_id"), "name").agg(
         F.min(F.struct("distance", "value", "ancestor")).alias("b"))
-    return best.select("group_id", "name", F.col("b.value").alias("value"),
+    return best.select(*scope, "group_id", "name", F.col("b.value").alias("value"),
                        F.col("b.ancestor").alias("defined_in"), F.col("b.distance").alias("distance"))
