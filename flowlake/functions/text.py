@@ -33,6 +33,8 @@ UNKNOWN_NAME = "Unknown"
 UNKNOWN_STATUS = "UNKNOWN"
 # Pipeline specs.
 MSG_MISSING_FIELD = "Processor %d missing required '%s' field"
+MSG_PIPELINE_CREATED = "Successfully created pipeline '%s' with %d processors"
+PIPELINE_GROUP_X, PIPELINE_GROUP_Y = 100.0, 100.0
 # Update kinds for processor config.
 CONFIG_PROPERTIES = "properties"
 CONFIG_AUTO_TERMINATED = "auto-terminatedrelationships"

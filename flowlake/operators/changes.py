@@ -150,6 +150,32 @@ def pipeline_spec_expand(specs: DataFrame) -> DataFrame:
         F.coalesce("y", F.lit(200.0)).cast("double").alias("y"))
 
 
+def pipeline_summary(expanded: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """H1 per pipeline: its group (at the fixed position), steps created, outcome.
+
+    ``expanded`` is the output of ``pipeline_spec_expand``; ``names`` optionally
+    maps ``pipeline_id`` to ``name`` (the id is used otherwise).  A pipeline
+    with a rejected step is not a success and reports that step's message; the
+    group and the steps before it exist anyway (creation is not atomic).  One
+    grouped aggregate with a map-side partial step.
+    """
+    agg = expanded.groupBy("pipeline_id").agg(
+        F.count_if(F.col("status") == "created").alias("created"),
+        F.min(F.when(F.col("status") == "rejected", F.struct("i", "message"))).alias("bad"))
+    if names is not None:
+        agg = agg.join(names.select("pipeline_id", "name"), "pipeline_id", "left")
+        name = F.coalesce(F.col("name"), F.col("pipeline_id").cast("string"))
+    else:
+        name = F.col("pipeline_id").cast("string")
+    ok = F.col("bad").isNull()
+    return agg.select(
+        "pipeline_id", name.alias("name"),
+        F.lit(T.PIPELINE_GROUP_X).alias("x"), F.lit(T.PIPELINE_GROUP_Y).alias("y"),
+        F.col("created").cast("bigint").alias("created"), ok.alias("success"),
+        F.when(ok, F.format_string(T.MSG_PIPELINE_CREATED, name, F.col("created").cast("int")))
+        .otherwise(F.col("bad.message")).alias("message"))
+
+
 # ---------------------------------------------------------------------------
 # H3: processor config updates
 # ---------------------------------------------------------------------------

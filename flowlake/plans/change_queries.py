@@ -249,3 +249,23 @@ def q_versioned_apply_stream(spark, sf_dir):
     cmds = streams.shape(ev, "fx_command")
     initial = Estate.load(spark, sf_dir).processors.select("id", F.lit(0).cast("bigint").alias("version"))
     return streams.drain(versioned_apply_stream(cmds, initial), "versioned")
+
+
+@query("pipeline_summary", ["fx_pipeline_spec"], """
+, fb AS (SELECT pipeline_id, MIN(CASE WHEN type IS NULL OR name IS NULL THEN i END) AS first_bad
+         FROM fx_pipeline_spec GROUP BY pipeline_id),
+x AS (SELECT s.pipeline_id, s.i, s.type, fb.first_bad FROM fx_pipeline_spec s JOIN fb ON fb.pipeline_id = s.pipeline_id),
+agg AS (SELECT pipeline_id, first_bad,
+          SUM(CASE WHEN first_bad IS NULL OR i < first_bad THEN 1 ELSE 0 END) AS created,
+          MAX(CASE WHEN i = first_bad THEN CASE WHEN type IS NULL THEN 'type' ELSE 'name' END END) AS missing
+        FROM x GROUP BY pipeline_id, first_bad)
+SELECT pipeline_id, CAST(pipeline_id AS VARCHAR) AS name, CAST(100.0 AS DOUBLE) AS x, CAST(100.0 AS DOUBLE) AS y,
+  CAST(created AS BIGINT) AS created, first_bad IS NULL AS success,
+  CASE WHEN first_bad IS NULL
+       THEN 'Successfully created pipeline ''' || CAST(pipeline_id AS VARCHAR) || ''' with '
+            || CAST(created AS VARCHAR) || ' processors'
+       ELSE 'Processor ' || CAST(first_bad AS VARCHAR) || ' missing required ''' || missing || ''' field' END AS message
+FROM agg""")
+def q_pipeline_summary(spark, sf_dir):
+    """H1 per pipeline: group at (100, 100), steps created, success message or the rejecting error."""
+    return changes.pipeline_summary(changes.pipeline_spec_expand(Estate.load(spark, sf_dir).pipeline_specs))
