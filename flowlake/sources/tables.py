@@ -20,9 +20,20 @@ class Estate:
     def __init__(self, fx: Fixtures):
         self.fx = fx
 
+    _cache: dict = {}
+
     @classmethod
-    def load(cls, spark, sf_dir: str) -> "Estate":
-        return cls(Fixtures(spark, sf_dir))
+    def load(cls, spark, sf_dir: str, refresh: bool = False) -> "Estate":
+        """Input tables for ``sf_dir``, defined once per session and directory.
+
+        Only lazy plans are kept (like tables registered once per session): no
+        data is cached and every query still reads the files when it runs.
+        ``refresh`` re-lists the files, e.g. after new ones arrived.
+        """
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if refresh or key not in cls._cache:
+            cls._cache[key] = cls(Fixtures(spark, sf_dir))
+        return cls._cache[key]
 
     # dimensions -----------------------------------------------------------
     @property
