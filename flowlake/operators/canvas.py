@@ -94,3 +94,23 @@ def root_from_documents(docs: DataFrame, default_name: str = DEFAULT_ROOT_NAME)
         F.col("processGroupFlow.uri").alias("uri"),
         F.col("processGroupFlow.parentGroupId").alias("parent_group_id"),
         F.col("processGroupFlow.parameterContext.id").alias("parameter_context_id"))
+
+
+def pipeline_list_from_documents(docs: DataFrame, root_name: str = "root",
+                                 child_prefix: str = "ProcessGroup-") -> DataFrame:
+    """E1 on documents: the root document's group and its ``processGroups`` list.
+
+    The root's name comes from its breadcrumb (default ``root``), its parent is
+    ``root``; a child without a name is ``ProcessGroup-<id>``.  Narrow: one
+    explode of the root document's child list.
+    """
+    roots = docs.where(F.col("processGroupFlow.parentGroupId").isNull()).select(
+        F.coalesce(F.col(GROUP_ID), F.lit("root")).alias("id"),
+        F.coalesce(F.col("processGroupFlow.breadcrumb.breadcrumb.name"), F.lit(root_name)).alias("root_name"),
+        F.col("processGroupFlow.flow.processGroups").alias("kids"))
+    top = roots.select("id", F.col("root_name").alias("name"), F.lit(root_name).alias("parent"))
+    kids = roots.select("root_name", F.explode("kids").alias("k")).select(
+        F.col("k.id").alias("id"),
+        F.coalesce(F.col("k.component").getField("name"), F.concat(F.lit(child_prefix), F.col("k.id"))).alias("name"),
+        F.col("root_name").alias("parent"))
+    return top.unionByName(kids)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_ROOT_NAME
-from ..operators import browse, canvas
+from ..operators import browse, canvas, lint
 from ..session import shared_path
 from ..sources.flowdocs import build_flow_docs, read_flow_docs, write_flow_docs
 from ..sources.tables import Estate
+from .lint_queries import lint_report_sql as _lint_report_sql
 from .registry import query
 
 PROC_COLS = ["id", "group_id", "name", "type", "run_status", "version", "validation_errors"]
@@ -250,3 +251,23 @@ def q_provenance_event_lookup(spark, sf_dir):
     """Provenance events by event id (unknown id reported)."""
     ev = Estate.load(spark, sf_dir).provenance
     return browse.entity_lookup(spark, ev, [7, 42, -1], key="event_id", id_type="bigint")
+
+
+# --- the reference's own path: flow documents -> canvas -> lint / pipelines -----
+
+@query("lint_report_doc", ["fx_group", "fx_processor", "fx_connection"], _lint_report_sql())
+def q_lint_report_doc(spark, sf_dir):
+    """D1 from flow documents: JSON documents read back, exploded (A2), then linted."""
+    docs = _docs(spark, sf_dir)
+    parts = canvas.canvas_explode(docs)
+    return lint.lint_report(canvas.document_groups(docs), parts["processors"], parts["connections"])
+
+
+@query("pipeline_list_doc", ["fx_group"], """
+SELECT id, coalesce(name, 'root') AS name, 'root' AS parent FROM fx_group WHERE parent_id IS NULL
+UNION ALL
+SELECT g.id, coalesce(g.name, 'ProcessGroup-' || g.id) AS name, coalesce(r.name, 'root') AS parent
+FROM fx_group g JOIN fx_group r ON g.parent_id = r.id WHERE r.parent_id IS NULL""")
+def q_pipeline_list_doc(spark, sf_dir):
+    """E1 from flow documents: root document's group and its child-group list."""
+    return canvas.pipeline_list_from_documents(_docs(spark, sf_dir))

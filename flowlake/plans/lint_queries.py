@@ -67,3 +67,8 @@ def q_lint_report(spark, sf_dir):
     """All lint suggestions for every group, in rule order, with group counts."""
     e = Estate.load(spark, sf_dir)
     return lint.lint_report(e.groups, e.processors, e.connections)
+
+
+def lint_report_sql() -> str:
+    """The lint report oracle text (shared by the document-based query)."""
+    return _REPORT_SQL
