@@ -2,17 +2,21 @@
 
 Each query is planned and run to completion into Spark's ``noop`` sink (the
 whole plan executes, nothing is collected); the time is the median of
-$BENCH_REPEATS runs after one warm-up.  Prints one JSON line.
+$BENCH_REPEATS runs after one warm-up.  Shuffle bytes written per run come from
+Spark's event log, written to a fresh scratch folder.  Prints one JSON line.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
 import statistics
 import sys
+import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,6 +29,28 @@ HEADLINE = [
 ]
 
 
+def shuffle_bytes_by_group(log_dir: str) -> dict:
+    """Shuffle bytes written per job group, summed over the event log's tasks."""
+    stage_group, totals = {}, defaultdict(int)
+    for path in sorted(glob.glob(os.path.join(log_dir, "**", "*"), recursive=True)):
+        if os.path.isdir(path) or os.path.basename(path).startswith((".", "appstatus")):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(ev.get("Stage ID"))
+                    metrics = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    if group:
+                        totals[group] += int(metrics.get("Shuffle Bytes Written", 0))
+    return totals
+
+
 def main() -> None:
     from flowlake.plans.catalog import QUERIES
     from flowlake.session import build_session
@@ -36,22 +62,31 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
 
-    spark = build_session(app_name="flowlake-bench")
+    log_dir = tempfile.mkdtemp(prefix="flowlake-bench-events-")
+    spark = build_session(app_name="flowlake-bench",
+                          extra_conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+                                      "spark.eventLog.compress": "false"})
+    sc = spark.sparkContext
 
-    def run(key):
+    def run(key, group):
+        sc.setJobGroup(group, key)
         t0 = time.perf_counter()
         QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
     times = {}
     for key in keys:
-        run(key)  # warm-up
-        times[key] = round(statistics.median(run(key) for _ in range(repeats)), 3)
+        run(key, f"warmup:{key}")
+        times[key] = round(statistics.median(run(key, f"run:{key}") for _ in range(repeats)), 3)
         print(f"# {key}: {times[key]}s", file=sys.stderr, flush=True)
+    spark.stop()
+
+    shuffled = shuffle_bytes_by_group(log_dir)
+    shuffle = {k: shuffled.get(f"run:{k}", 0) // repeats for k in keys}
     print(json.dumps({"metric": "sum_of_median_query_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf,
+                      "shuffle_bytes_per_run": shuffle,
                       "cpus": int(os.environ.get("BENCH_CPUS", "8")), "repeats": repeats}))
-    spark.stop()
 
 
 if __name__ == "__main__":

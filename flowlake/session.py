@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "flowlake") -> SparkSession:
+                  app_name: str = "flowlake", extra_conf: dict | None = None) -> SparkSession:
     """Session with the settings every operator here assumes.
 
     AQE coalesces small shuffles and splits skewed join partitions at run time;
@@ -39,6 +39,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.execution.topKSortFallbackThreshold", "1000000")
         .config("spark.driver.memory", os.environ.get("FLOWLAKE_DRIVER_MEMORY", "8g"))
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
