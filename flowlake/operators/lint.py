@@ -8,6 +8,9 @@ Input tables (flat, one row per entity):
 
 Every rule is a filter or an anti join on (group_id, id), so each rule shuffles
 at most once on a unique key; no rule gathers a group into one task.
+``lint_documents`` computes the same report per flow document (one document
+is one group as read), with array functions and no shuffle, on batches or
+streams.
 
 ``scope`` names columns that partition the estate (for example
 ``["snapshot_id"]`` when several snapshots are loaded together): they are added
@@ -128,3 +131,58 @@ def lint_report(groups: DataFrame, processors: DataFrame, connections: DataFrame
         *gkey, "rule", "rule_order", "processor_id", "suggestion",
         "processor_count", "connection_count",
     )
+
+
+def lint_documents(docs: DataFrame) -> DataFrame:
+    """D1 on flow documents, one document at a time, without any join.
+
+    Each document holds one group's processors and connections, so the rules
+    run on its arrays with built-in higher-order functions: the disconnected
+    ids are ``array_except(processor ids, endpoint ids)`` (hash based, linear
+    in the document) and names come from a map lookup.  Narrow and stateless,
+    so it runs unchanged on a stream of documents.  Same columns and rows as
+    ``lint_report`` on the flattened tables.
+    """
+    flow = F.col("processGroupFlow.flow")
+    procs = flow.getField("processors")
+    conns = flow.getField("connections")
+    ids = F.transform(procs, lambda p: p["id"])
+    names = F.map_from_arrays(ids, F.transform(
+        procs, lambda p: F.coalesce(p["component"].getField("name"), F.lit(T.UNKNOWN_NAME))))
+    ends = F.filter(F.flatten(F.transform(conns, lambda c: F.array(
+        c["component"]["source"]["id"], c["component"]["destination"]["id"]))),
+        lambda x: x.isNotNull() & (x != ""))
+    disconnected = F.array_except(ids, F.coalesce(ends, F.array().cast("array<string>")))
+
+    def line(rule, pid, text):
+        return F.struct(F.lit(rule).alias("rule"), F.lit(RULE_ORDER[rule]).alias("rule_order"),
+                        pid.alias("processor_id"), text.alias("suggestion"))
+
+    def pname(p):
+        return F.coalesce(p["component"].getField("name"), F.lit(T.UNKNOWN_NAME))
+
+    def perrs(p):
+        return F.coalesce(p["status"]["validationErrors"], p["component"]["validationErrors"])
+
+    n_procs = F.when(procs.isNull(), F.lit(0)).otherwise(F.size(procs))
+    lines = F.when(
+        n_procs == 0,
+        F.array(line("no_processors", F.lit(None).cast("string"), F.lit(T.MSG_NO_PROCESSORS))),
+    ).otherwise(F.concat(
+        F.transform(disconnected, lambda i: line(
+            "disconnected", i, F.format_string(T.MSG_DISCONNECTED, names[i], i))),
+        F.transform(F.filter(procs, lambda p: F.coalesce(p["status"]["runStatus"], F.lit(T.UNKNOWN_STATUS))
+                             == "STOPPED"),
+                    lambda p: line("stopped", p["id"], F.format_string(T.MSG_STOPPED, pname(p)))),
+        F.transform(F.filter(procs, lambda p: F.coalesce(F.size(perrs(p)), F.lit(-1)) > 0),
+                    lambda p: line("invalid", p["id"], F.format_string(
+                        T.MSG_INVALID, pname(p), F.array_join(perrs(p), ", "))))))
+    has = n_procs > 0
+    return docs.select(
+        F.col("processGroupFlow.id").alias("group_id"),
+        F.when(has, n_procs.cast("bigint")).alias("processor_count"),
+        F.when(has, F.when(conns.isNull(), F.lit(0)).otherwise(F.size(conns)).cast("bigint"))
+        .alias("connection_count"),
+        F.explode(lines).alias("l"),
+    ).select("group_id", "l.rule", "l.rule_order", "l.processor_id", "l.suggestion",
+             "processor_count", "connection_count")

@@ -165,11 +165,15 @@ def q_queue_listing(spark, sf_dir):
 
 # --- A1, A2, D5 (flow documents, JSON round trip) --------------------------------
 
-def _docs(spark, sf_dir):
+def _docs_path(spark, sf_dir):
     e = Estate.load(spark, sf_dir)
     path = shared_path(spark, "flowdocs")
     write_flow_docs(build_flow_docs(e.groups, e.processors, e.connections, e.ports), path)
-    return read_flow_docs(spark, path)
+    return path
+
+
+def _docs(spark, sf_dir):
+    return read_flow_docs(spark, _docs_path(spark, sf_dir))
 
 
 @query("read_flow_docs", ["fx_group"], "SELECT id, parent_id, name FROM fx_group")
@@ -271,3 +275,17 @@ FROM fx_group g JOIN fx_group r ON g.parent_id = r.id WHERE r.parent_id IS NULL"
 def q_pipeline_list_doc(spark, sf_dir):
     """E1 from flow documents: root document's group and its child-group list."""
     return canvas.pipeline_list_from_documents(_docs(spark, sf_dir))
+
+
+@query("lint_documents", ["fx_group", "fx_processor", "fx_connection"], _lint_report_sql())
+def q_lint_documents(spark, sf_dir):
+    """D1 per flow document with array functions (no join), batch read of the documents."""
+    return lint.lint_documents(_docs(spark, sf_dir))
+
+
+@query("lint_documents_stream", ["fx_group", "fx_processor", "fx_connection"], _lint_report_sql())
+def q_lint_documents_stream(spark, sf_dir):
+    """D1 per flow document on a document stream (availableNow drain)."""
+    from ..streaming import streams
+    path = _docs_path(spark, sf_dir)
+    return streams.drain(lint.lint_documents(read_flow_docs(spark, path, streaming=True)), "lintdocs")

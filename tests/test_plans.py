@@ -8,7 +8,7 @@ from flowlake.plans.catalog import QUERIES
 
 # Operators that run Python by design (ordered fold / positions in a range-sorted layout).
 PYTHON_BY_DESIGN = {"queue_listing", "versioned_apply", "versioned_table"}
-STREAMS = {"provenance_stream", "bulletin_stream", "versioned_apply_stream"}
+STREAMS = {"provenance_stream", "bulletin_stream", "versioned_apply_stream", "lint_documents_stream"}
 
 
 def _plan(df):
