@@ -6,7 +6,10 @@ Per entity, commands run in ``seq`` order against the state (present, version):
 * ``UPDATE``/``DELETE``: absent → ``not_found``; version differs from the
   command's expected version → ``conflict``; else ``updated`` (version + 1) or
   ``deleted`` (absent);
-* any other op → ``invalid_op``.
+* any other op → ``invalid_op``;
+* ops listed in ``strict_ops`` report a missing entity as ``error`` instead of
+  ``not_found`` (an update of a connection that does not exist is an error,
+  a delete of one is not).
 
 Commands of one entity depend on each other, so this is an ordered fold.  It is
 distributed without gathering an entity into one task: the commands, together
@@ -49,14 +52,14 @@ OUTCOME_SCHEMA = T.StructType([
 ])
 
 
-def step(op, expected, present, version):
+def step(op, expected, present, version, strict_ops=()):
     """One command against (present, version) → (outcome, present, version)."""
     if op == CREATE:
         return ("exists", present, version) if present else ("created", True, 0)
     if op not in (UPDATE, DELETE):
         return "invalid_op", present, version
     if not present:
-        return "not_found", present, version
+        return ("error" if op in strict_ops else "not_found"), present, version
     if expected is None or version != expected:
         return "conflict", present, version
     if op == DELETE:
@@ -151,7 +154,7 @@ def _apply_summary(absent_end, runs, const, present: bool, version):
 
 
 def versioned_apply(commands: DataFrame, initial: DataFrame,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, strict_ops=()) -> DataFrame:
     """Outcome of every command; see the module docstring for the rules.
 
     ``commands``: ``seq bigint, target_id string, op string, expected_version bigint``.
@@ -181,10 +184,12 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
     def dec(x):
         return None if x == "null" else (ABSENT if x == ABSENT else int(x))
 
+    strict = tuple(o.upper() for o in strict_ops)
+
     def fold_state(op, e, present, version):
         if op == INIT:
             return None, True, e
-        return step(op, e, present, version)
+        return step(op, e, present, version, strict)
 
     def pass_a(it):
         pid = TaskContext.get().partitionId()

@@ -24,6 +24,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 class VersionedProcessor(StatefulProcessor):
     """Folds each entity's commands into its (present, version) state."""
 
+    def __init__(self, strict_ops=()):
+        self.strict_ops = tuple(o.upper() for o in strict_ops)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("entity", STATE_SCHEMA)
 
@@ -42,7 +45,7 @@ class VersionedProcessor(StatefulProcessor):
         out, pres, vers = [], [], []
         exps = [None if pd.isna(x) else int(x) for x in pdf["expected_version"]]
         for op, e in zip(pdf["op"].tolist(), exps):
-            o, present, version = step(op, e, present, version)
+            o, present, version = step(op, e, present, version, self.strict_ops)
             out.append(o)
             pres.append(present)
             vers.append(version)
@@ -56,7 +59,7 @@ class VersionedProcessor(StatefulProcessor):
         pass
 
 
-def versioned_apply_stream(commands: DataFrame, initial: DataFrame) -> DataFrame:
+def versioned_apply_stream(commands: DataFrame, initial: DataFrame, strict_ops=()) -> DataFrame:
     """Streaming outcomes for a command stream against an initial entity table.
 
     Needs the RocksDB state store (set on the session when unset).
@@ -69,5 +72,5 @@ def versioned_apply_stream(commands: DataFrame, initial: DataFrame) -> DataFrame
                            F.col("expected_version").cast("bigint"))
     init = initial.select(F.col("id").alias("target_id"), F.col("version").cast("bigint")).groupBy("target_id")
     return cmds.groupBy("target_id").transformWithStateInPandas(
-        statefulProcessor=VersionedProcessor(), outputStructType=OUTCOME_SCHEMA,
+        statefulProcessor=VersionedProcessor(strict_ops), outputStructType=OUTCOME_SCHEMA,
         outputMode="Append", timeMode="None", initialState=init)

@@ -130,3 +130,11 @@ def test_versioned_duplicate_initial_rows(spark):
     idf = spark.createDataFrame([("x", 3)] * 50, "id string, version bigint")
     got = Counter(r["outcome"] for r in versioned_apply(cdf, idf, num_partitions=9).collect())
     assert got == Counter({"updated": 200})
+
+
+def test_versioned_strict_ops(spark):
+    cmds = [(1, "a", "UPDATE", 0), (2, "a", "DELETE", 0), (3, "b", "DELETE", 0), (4, "b", "UPDATE", 0)]
+    cdf = spark.createDataFrame(cmds, "seq bigint, target_id string, op string, expected_version bigint")
+    idf = spark.createDataFrame([], "id string, version bigint")
+    got = {r["seq"]: r["outcome"] for r in versioned_apply(cdf, idf, strict_ops=["update"]).collect()}
+    assert got == {1: "error", 2: "not_found", 3: "not_found", 4: "error"}
