@@ -8,6 +8,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowlake.functions.ranking import position_within
 from flowlake.operators import tree
@@ -138,3 +139,64 @@ def test_versioned_strict_ops(spark):
     idf = spark.createDataFrame([], "id string, version bigint")
     got = {r["seq"]: r["outcome"] for r in versioned_apply(cdf, idf, strict_ops=["update"]).collect()}
     assert got == {1: "error", 2: "not_found", 3: "not_found", 4: "error"}
+
+
+def _lint_loop(groups, procs, conns):
+    """Per group, the reference's three passes over its processor list."""
+    from flowlake.functions import text as T
+    out = set()
+    for g in groups:
+        ps = [p for p in procs if p[1] == g]
+        cs = [c for c in conns if c[1] == g]
+        if not ps:
+            out.add((g, "no_processors", None, T.MSG_NO_PROCESSORS, None, None))
+            continue
+        connected = {x for c in cs for x in (c[2], c[3]) if x}
+        n, m = len(ps), len(cs)
+        for pid, _, name, status, errs in ps:
+            nm = name if name is not None else "Unknown"
+            if pid not in connected:
+                out.add((g, "disconnected", pid, T.MSG_DISCONNECTED % (nm, pid), n, m))
+            if (status or "UNKNOWN") == "STOPPED":
+                out.add((g, "stopped", pid, T.MSG_STOPPED % nm, n, m))
+            if errs:
+                out.add((g, "invalid", pid, T.MSG_INVALID % (nm, ", ".join(errs)), n, m))
+    return out
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_lint_report_matches_loop(spark, seed):
+    from flowlake.operators.lint import lint_report
+    rng = random.Random(seed)
+    groups = [f"g{i}" for i in range(8)]
+    procs = []
+    for i in range(120):
+        g = rng.choice(groups[:6])  # g6, g7 stay empty
+        procs.append((f"p{i}", g, rng.choice([f"n{i}", None]), rng.choice(["STOPPED", "RUNNING", None, "stopped"]),
+                      rng.choice([None, [], ["e1"], ["e1", "e2"]])))
+    ids = [p[0] for p in procs]
+    conns = []
+    for i in range(150):
+        g = rng.choice(groups)
+        conns.append((f"c{i}", g, rng.choice(ids + [None, ""]), rng.choice(ids + [None])))
+    gdf = spark.createDataFrame([(g,) for g in groups], "id string")
+    pdf = spark.createDataFrame(procs, "id string, group_id string, name string, run_status string, "
+                                       "validation_errors array<string>")
+    cdf = spark.createDataFrame(conns, "id string, group_id string, source_id string, destination_id string")
+    got = {(r["group_id"], r["rule"], r["processor_id"], r["suggestion"], r["processor_count"],
+            r["connection_count"]) for r in lint_report(gdf, pdf, cdf).collect()}
+    assert got == _lint_loop(groups, procs, conns)
+    assert lint_report(gdf, pdf, cdf).count() == len(got)
+
+    # the per-document form over the same estate nested into flow documents
+    from flowlake.operators.lint import lint_documents
+    from flowlake.sources.flowdocs import build_flow_docs
+    g2 = spark.createDataFrame([(g, None, g) for g in groups], "id string, parent_id string, name string")
+    ports = spark.createDataFrame([], "id string, group_id string, kind string, name string, run_status string")
+    c2 = cdf.withColumn("bp_objects", F.lit(None).cast("bigint")).withColumn("bp_size", F.lit(None).cast("string")) \
+        .withColumn("expiration", F.lit(None).cast("string"))
+    p2 = pdf.withColumn("type", F.lit("T")).withColumn("version", F.lit(0).cast("bigint"))
+    docs = build_flow_docs(g2, p2, c2, ports)
+    got_docs = [(r["group_id"], r["rule"], r["processor_id"], r["suggestion"], r["processor_count"],
+                 r["connection_count"]) for r in lint_documents(docs).collect()]
+    assert len(got_docs) == len(got) and set(got_docs) == got
