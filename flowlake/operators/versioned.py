@@ -74,14 +74,20 @@ def _ints(s: pd.Series):
 class _Summary:
     """End state of one command segment for every start state that can matter."""
 
-    def __init__(self):
+    def __init__(self, limit: int | None = None):
         self.groups: dict = {ABSENT: [ABSENT]}  # current state → start classes
         self.classes: set = set()
         self.const = False  # after an INIT row the end no longer depends on the start
+        self.limit = limit
+        self.overflow = False  # more start classes than ``limit``: resolved exactly later
 
     def add_class(self, v):
         if not self.const and v is not None and v not in self.classes:
             self.classes.add(v)
+            if self.limit is not None and len(self.classes) > self.limit:
+                self.overflow = True
+                self.groups, self.classes = {}, set()
+                return
             # a start version first seen now has been unchanged so far
             self.groups.setdefault(v, []).append(v)
 
@@ -104,12 +110,17 @@ class _Summary:
             self.groups = {e: [ABSENT]}
             self.classes = set()
             self.const = True
+            self.overflow = False
+            return
+        if self.overflow:
             return
         if op in (UPDATE, DELETE) and e is not None:
             # A start version equal to e is still at e unless an earlier command
             # moved it; add_class only registers it if it was never seen.
             if e not in self.classes:
                 self.add_class(e)
+                if self.overflow:
+                    return
         if op == CREATE:
             self._move(ABSENT, 0)
         elif op == UPDATE and e is not None and e in self.groups:
@@ -141,6 +152,24 @@ class _Summary:
         return absent_end, runs, self.const
 
 
+def _first_segment_end(ck: DataFrame, pid: int, first_key: str, start, fold_state):
+    """End state of partition ``pid``'s first entity, folded from ``start``.
+
+    Used when that partition's summary overflowed: one job over that one
+    partition (the checkpoint keeps the rows in sorted order).
+    """
+    def run(rows):
+        p, v = start
+        for row in rows:
+            if row["target_id"] != first_key:
+                break
+            _, p, v = fold_state(row["op"], row["expected_version"], p, v)
+        return [(p, v)]
+
+    rdd = ck.select("target_id", "op", "expected_version").rdd
+    return ck.sparkSession.sparkContext.runJob(rdd, run, partitions=[pid])[0]
+
+
 def _apply_summary(absent_end, runs, const, present: bool, version):
     """End state of a segment from start (present, version), given its summary."""
     if const or not present:
@@ -154,11 +183,15 @@ def _apply_summary(absent_end, runs, const, present: bool, version):
 
 
 def versioned_apply(commands: DataFrame, initial: DataFrame,
-                    num_partitions: int | None = None, strict_ops=()) -> DataFrame:
+                    num_partitions: int | None = None, strict_ops=(),
+                    summary_limit: int = 100_000) -> DataFrame:
     """Outcome of every command; see the module docstring for the rules.
 
     ``commands``: ``seq bigint, target_id string, op string, expected_version bigint``.
     ``initial``: entities present before the batch, ``id string, version bigint``.
+    ``summary_limit`` bounds the start classes a partition summary may hold; a
+    partition over it is resolved exactly by folding its first entity from the
+    start state the chain reached (one small job for that partition).
     """
     cmds = commands.select(F.col("seq").cast("bigint"), "target_id", F.upper("op").alias("op"),
                            F.col("expected_version").cast("bigint"))
@@ -171,6 +204,7 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
         T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
         T.StructField("whole", T.BooleanType()),
         T.StructField("absent_end", T.StringType()), T.StructField("const", T.BooleanType()),
+        T.StructField("overflow", T.BooleanType()),
         T.StructField("run_lo", T.ArrayType(T.LongType())),
         T.StructField("run_hi", T.ArrayType(T.LongType())),
         T.StructField("run_end", T.ArrayType(T.StringType())),
@@ -194,7 +228,7 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
     def pass_a(it):
         pid = TaskContext.get().partitionId()
         first_key = None
-        summ = _Summary()
+        summ = _Summary(summary_limit)
         in_first = True
         cur_key, cur_p, cur_v = None, False, None
         for pdf in it:
@@ -229,9 +263,10 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
         if first_key is None:
             return
         absent_end, runs, const = summ.result()
+        overflow = summ.overflow
         yield pd.DataFrame([{
             "pid": pid, "first_key": first_key, "whole": in_first,
-            "absent_end": enc(absent_end), "const": const, "run_lo": [r[0] for r in runs], "run_hi": [r[1] for r in runs],
+            "absent_end": enc(absent_end), "const": const, "overflow": overflow, "run_lo": [r[0] for r in runs], "run_hi": [r[1] for r in runs],
             "run_end": [enc(r[2]) for r in runs],
             "last_key": first_key if in_first else cur_key,
             "last_present": None if in_first else cur_p,
@@ -248,8 +283,11 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
     for r in rows:
         start = prev_state if (prev_key is not None and r["first_key"] == prev_key) else (False, None)
         starts[r["pid"]] = (r["first_key"], start)
-        runs = [(lo, hi, dec(e)) for lo, hi, e in zip(r["run_lo"], r["run_hi"], r["run_end"])]
-        end_first = _apply_summary(dec(r["absent_end"]), runs, bool(r["const"]), *start)
+        if r["overflow"]:
+            end_first = _first_segment_end(ck, r["pid"], r["first_key"], start, fold_state)
+        else:
+            runs = [(lo, hi, dec(e)) for lo, hi, e in zip(r["run_lo"], r["run_hi"], r["run_end"])]
+            end_first = _apply_summary(dec(r["absent_end"]), runs, bool(r["const"]), *start)
         prev_key = r["last_key"]
         prev_state = end_first if r["whole"] else (bool(r["last_present"]), r["last_version"])
 
