@@ -104,10 +104,14 @@ def q_pipeline_spec_expand(spark, sf_dir):
 
 # --- H2 -------------------------------------------------------------------------
 
-def _step_sql(p: str, v: str) -> tuple[str, str, str]:
+def _step_sql(p: str, v: str, strict=()) -> tuple[str, str, str]:
+    missing = "'not_found'"
+    if strict:
+        ops = ", ".join(f"'{o}'" for o in strict)
+        missing = f"CASE WHEN op IN ({ops}) THEN 'error' ELSE 'not_found' END"
     outcome = (f"CASE WHEN op = 'CREATE' THEN CASE WHEN {p} THEN 'exists' ELSE 'created' END "
                f"WHEN op NOT IN ('UPDATE', 'DELETE') THEN 'invalid_op' "
-               f"WHEN NOT {p} THEN 'not_found' "
+               f"WHEN NOT {p} THEN {missing} "
                f"WHEN expected_version IS NULL OR {v} <> expected_version THEN 'conflict' "
                f"WHEN op = 'DELETE' THEN 'deleted' ELSE 'updated' END")
     pa = (f"CASE WHEN op = 'CREATE' AND NOT {p} THEN TRUE "
@@ -118,23 +122,26 @@ def _step_sql(p: str, v: str) -> tuple[str, str, str]:
     return outcome, pa, va
 
 
-_O, _PA, _VA = _step_sql("p", "v")
-
-_VERSIONED_SQL = f"""
+def _versioned_sql(strict=()) -> str:
+    o, pa, va = _step_sql("p", "v", strict)
+    return f"""
 , c AS (SELECT seq, target_id, upper(op) AS op, expected_version,
           row_number() OVER (PARTITION BY target_id ORDER BY seq) AS rn FROM fx_command),
 init AS (SELECT id, CAST(0 AS BIGINT) AS version FROM fx_processor),
 r(target_id, rn, seq, op, expected_version, outcome, present_after, version_after) AS (
-  SELECT target_id, rn, seq, op, expected_version, {_O}, {_PA}, {_VA}
+  SELECT target_id, rn, seq, op, expected_version, {o}, {pa}, {va}
   FROM (SELECT c.*, i.id IS NOT NULL AS p, i.version AS v FROM c LEFT JOIN init i ON i.id = c.target_id
         WHERE c.rn = 1) s
   UNION ALL
-  SELECT target_id, rn, seq, op, expected_version, {_O}, {_PA}, {_VA}
+  SELECT target_id, rn, seq, op, expected_version, {o}, {pa}, {va}
   FROM (SELECT c.*, r.present_after AS p, r.version_after AS v
         FROM r JOIN c ON c.target_id = r.target_id AND c.rn = r.rn + 1) s)
 """
 
 
+_VERSIONED_SQL = _versioned_sql()
+
+
 def _versioned(spark, sf_dir):
     e = Estate.load(spark, sf_dir)
     initial = e.processors.select("id", F.lit(0).cast("bigint").alias("version"))
@@ -269,3 +276,12 @@ FROM agg""")
 def q_pipeline_summary(spark, sf_dir):
     """H1 per pipeline: group at (100, 100), steps created, success message or the rejecting error."""
     return changes.pipeline_summary(changes.pipeline_spec_expand(Estate.load(spark, sf_dir).pipeline_specs))
+
+
+@query("versioned_apply_strict", ["fx_command", "fx_processor"], _versioned_sql(("UPDATE",)) + """
+SELECT seq, target_id, op, expected_version, outcome, present_after, version_after FROM r""", recursive=True)
+def q_versioned_apply_strict(spark, sf_dir):
+    """H2 with UPDATE strict: an update of a missing entity is an error, a delete is not_found."""
+    e = Estate.load(spark, sf_dir)
+    initial = e.processors.select("id", F.lit(0).cast("bigint").alias("version"))
+    return versioned.versioned_apply(e.commands, initial, strict_ops=["UPDATE"])
