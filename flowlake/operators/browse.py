@@ -62,14 +62,16 @@ def entity_lookup(spark: SparkSession, table: DataFrame, ids: Iterable,
                   key: str = "id", id_type: str = "string") -> DataFrame:
     """Details by id; an unknown id is reported with ``found = false``.
 
-    The requested ids form the preserved side of a left join; they are an
-    argument list, so broadcasting them is bounded by its length.
+    The ids become an ``IN`` filter that reaches the Parquet scan, so only the
+    matching rows leave it; the requested ids are then the preserved side of a
+    left join with those few rows (an outer join cannot broadcast its preserved
+    side, so the table itself is never what gets joined).
     """
+    ids = list(dict.fromkeys(ids))
     req = _ids_frame(spark, ids, id_type=id_type)
-    found = table.withColumn("_found", F.lit(True))
-    out = F.broadcast(req).join(found, F.col("requested_id") == F.col(key), "left")
-    cols = [c for c in table.columns]
-    return out.select("requested_id", F.coalesce("_found", F.lit(False)).alias("found"), *cols)
+    hits = table.where(F.col(key).isin(ids)).withColumn("_found", F.lit(True))
+    out = req.join(hits, F.col("requested_id") == F.col(key), "left")
+    return out.select("requested_id", F.coalesce("_found", F.lit(False)).alias("found"), *table.columns)
 
 
 def processor_type_catalog(types: DataFrame) -> DataFrame:

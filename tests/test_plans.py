@@ -90,3 +90,14 @@ def test_fact_layout_prunes_dates(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert df.count() == prov.where(F.to_date("event_time") >= F.lit(dates[-1])) \
         .where("component_id = 'proc-c46'").limit(20).count()
+
+
+def test_lookup_pushes_ids_into_scan(spark, tmp_path):
+    from flowlake.operators.browse import entity_lookup
+    from flowlake.sources.tables import Estate
+    path = str(tmp_path / "prov")
+    Estate.load(spark, SF001).provenance.write.parquet(path)
+    df = entity_lookup(spark, spark.read.parquet(path), [7, 42, -1], key="event_id", id_type="bigint")
+    plan = _formatted(df)
+    assert "In(event_id, [-1,42,7])" in plan or "In(event_id, [7,42,-1])" in plan, plan
+    assert {r["requested_id"]: r["found"] for r in df.collect()} == {7: True, 42: True, -1: False}
