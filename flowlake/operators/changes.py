@@ -254,5 +254,6 @@ def group_state_apply(spark, requests: Iterable[tuple[str, str]], processors: Da
     rq = spark.createDataFrame(req, "group_id string, state string")
     eligible = (F.coalesce(F.col("run_status"), F.lit("")) != "DISABLED") & \
         (F.coalesce(F.size("validation_errors"), F.lit(0)) <= 0)
-    return processors.join(F.broadcast(rq), "group_id").where(eligible).select(
+    groups = sorted({g for g, _ in req})
+    return processors.where(F.col("group_id").isin(groups)).join(F.broadcast(rq), "group_id").where(eligible).select(
         "id", "group_id", F.col("run_status").alias("previous_state"), F.col("state").alias("new_state"))
