@@ -9,8 +9,9 @@ from ..operators import browse, canvas, lint
 from ..session import shared_path
 from ..sources.flowdocs import build_flow_docs, read_flow_docs, write_flow_docs
 from ..sources.tables import Estate
+from .lint_queries import COUNTS
 from .lint_queries import lint_report_sql as _lint_report_sql
-from .registry import query
+from .registry import nullable_as_double, query
 
 PROC_COLS = ["id", "group_id", "name", "type", "run_status", "version", "validation_errors"]
 
@@ -65,13 +66,13 @@ def q_group_ports(spark, sf_dir):
 
 @query("entity_lookup", ["fx_processor"], """
 , req(requested_id) AS (VALUES ('proc-s3'), ('proc-c46'), ('proc-none'))
-SELECT r.requested_id, p.id IS NOT NULL AS found, p.id, p.group_id, p.name, p.type, p.run_status, p.version,
-  p.validation_errors
+SELECT r.requested_id, p.id IS NOT NULL AS found, p.id, p.group_id, p.name, p.type, p.run_status,
+  CAST(p.version AS DOUBLE) AS version, p.validation_errors
 FROM req r LEFT JOIN fx_processor p ON p.id = r.requested_id""")
 def q_entity_lookup(spark, sf_dir):
     """Processor details by id; unknown ids reported with found = false."""
     procs = _flat_processors(Estate.load(spark, sf_dir).processors)
-    return browse.entity_lookup(spark, procs, ["proc-s3", "proc-c46", "proc-none"])
+    return nullable_as_double(browse.entity_lookup(spark, procs, ["proc-s3", "proc-c46", "proc-none"]), "version")
 
 
 # --- B7 -----------------------------------------------------------------------
@@ -224,11 +225,14 @@ def q_root_group_doc(spark, sf_dir):
 
 @query("connection_lookup", ["fx_connection"], """
 , req(requested_id) AS (VALUES ('conn-0-129'), ('conn-0-1047'), ('conn-none'))
-SELECT r.requested_id, c.id IS NOT NULL AS found, c.* FROM req r LEFT JOIN fx_connection c ON c.id = r.requested_id""")
+SELECT r.requested_id, c.id IS NOT NULL AS found, c.id, c.group_id, c.source_id, c.destination_id,
+  CAST(c.bp_objects AS DOUBLE) AS bp_objects, c.bp_size, c.expiration
+FROM req r LEFT JOIN fx_connection c ON c.id = r.requested_id""")
 def q_connection_lookup(spark, sf_dir):
     """Connection details by id (unknown id reported)."""
     conns = Estate.load(spark, sf_dir).connections
-    return browse.entity_lookup(spark, conns, ["conn-0-129", "conn-0-1047", "conn-none"])
+    return nullable_as_double(browse.entity_lookup(spark, conns, ["conn-0-129", "conn-0-1047", "conn-none"]),
+                              "bp_objects")
 
 
 @query("group_lookup", ["fx_group"], """
@@ -249,12 +253,15 @@ def q_port_lookup(spark, sf_dir):
 
 @query("provenance_event_lookup", ["fx_provenance"], """
 , req(requested_id) AS (VALUES (CAST(7 AS BIGINT)), (CAST(42 AS BIGINT)), (CAST(-1 AS BIGINT)))
-SELECT r.requested_id, e.event_id IS NOT NULL AS found, e.* FROM req r
-LEFT JOIN fx_provenance e ON e.event_id = r.requested_id""")
+SELECT r.requested_id, e.event_id IS NOT NULL AS found, CAST(e.event_id AS DOUBLE) AS event_id, e.event_time,
+  e.event_type, e.component_id, e.flowfile_uuid, CAST(e.input_claim AS DOUBLE) AS input_claim,
+  CAST(e.output_claim AS DOUBLE) AS output_claim, e.details
+FROM req r LEFT JOIN fx_provenance e ON e.event_id = r.requested_id""")
 def q_provenance_event_lookup(spark, sf_dir):
     """Provenance events by event id (unknown id reported)."""
     ev = Estate.load(spark, sf_dir).provenance
-    return browse.entity_lookup(spark, ev, [7, 42, -1], key="event_id", id_type="bigint")
+    out = browse.entity_lookup(spark, ev, [7, 42, -1], key="event_id", id_type="bigint")
+    return nullable_as_double(out, "event_id", "input_claim", "output_claim")
 
 
 # --- the reference's own path: flow documents -> canvas -> lint / pipelines -----
@@ -264,7 +271,8 @@ def q_lint_report_doc(spark, sf_dir):
     """D1 from flow documents: JSON documents read back, exploded (A2), then linted."""
     docs = _docs(spark, sf_dir)
     parts = canvas.canvas_explode(docs)
-    return lint.lint_report(canvas.document_groups(docs), parts["processors"], parts["connections"])
+    return nullable_as_double(
+        lint.lint_report(canvas.document_groups(docs), parts["processors"], parts["connections"]), *COUNTS)
 
 
 @query("pipeline_list_doc", ["fx_group"], """
@@ -280,7 +288,7 @@ def q_pipeline_list_doc(spark, sf_dir):
 @query("lint_documents", ["fx_group", "fx_processor", "fx_connection"], _lint_report_sql())
 def q_lint_documents(spark, sf_dir):
     """D1 per flow document with array functions (no join), batch read of the documents."""
-    return lint.lint_documents(_docs(spark, sf_dir))
+    return nullable_as_double(lint.lint_documents(_docs(spark, sf_dir)), *COUNTS)
 
 
 @query("lint_documents_stream", ["fx_group", "fx_processor", "fx_connection"], _lint_report_sql())
@@ -288,4 +296,5 @@ def q_lint_documents_stream(spark, sf_dir):
     """D1 per flow document on a document stream (availableNow drain)."""
     from ..streaming import streams
     path = _docs_path(spark, sf_dir)
-    return streams.drain(lint.lint_documents(read_flow_docs(spark, path, streaming=True)), "lintdocs")
+    out = streams.drain(lint.lint_documents(read_flow_docs(spark, path, streaming=True)), "lintdocs")
+    return nullable_as_double(out, *COUNTS)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import changes, versioned
 from ..sources.tables import Estate
 from ..streaming import streams
-from .registry import query
+from .registry import nullable_as_double, query
 
 # --- C3 -------------------------------------------------------------------------
 
@@ -149,10 +149,11 @@ def _versioned(spark, sf_dir):
 
 
 @query("versioned_apply", ["fx_command", "fx_processor"], _VERSIONED_SQL + """
-SELECT seq, target_id, op, expected_version, outcome, present_after, version_after FROM r""", recursive=True)
+SELECT seq, target_id, op, expected_version, outcome, present_after, CAST(version_after AS DOUBLE) AS version_after
+FROM r""", recursive=True)
 def q_versioned_apply(spark, sf_dir):
     """H2: ordered commands with optimistic locking; every processor starts present at version 0."""
-    return _versioned(spark, sf_dir)[0]
+    return nullable_as_double(_versioned(spark, sf_dir)[0], "version_after")
 
 
 @query("versioned_table", ["fx_command", "fx_processor"], _VERSIONED_SQL + """
@@ -247,7 +248,8 @@ def q_bulletin_stream(spark, sf_dir):
 
 
 @query("versioned_apply_stream", ["fx_command", "fx_processor"], _VERSIONED_SQL + """
-SELECT seq, target_id, op, expected_version, outcome, present_after, version_after FROM r""", recursive=True)
+SELECT seq, target_id, op, expected_version, outcome, present_after, CAST(version_after AS DOUBLE) AS version_after
+FROM r""", recursive=True)
 def q_versioned_apply_stream(spark, sf_dir):
     """H2 as a stream: commands from the event files, entity state kept in a state store."""
     from ..streaming.versioned_stream import versioned_apply_stream
@@ -255,7 +257,7 @@ def q_versioned_apply_stream(spark, sf_dir):
     ev = streams.read_event_stream(spark, sf_dir)
     cmds = streams.shape(ev, "fx_command")
     initial = Estate.load(spark, sf_dir).processors.select("id", F.lit(0).cast("bigint").alias("version"))
-    return streams.drain(versioned_apply_stream(cmds, initial), "versioned")
+    return nullable_as_double(streams.drain(versioned_apply_stream(cmds, initial), "versioned"), "version_after")
 
 
 @query("pipeline_summary", ["fx_pipeline_spec"], """
@@ -279,9 +281,11 @@ def q_pipeline_summary(spark, sf_dir):
 
 
 @query("versioned_apply_strict", ["fx_command", "fx_processor"], _versioned_sql(("UPDATE",)) + """
-SELECT seq, target_id, op, expected_version, outcome, present_after, version_after FROM r""", recursive=True)
+SELECT seq, target_id, op, expected_version, outcome, present_after, CAST(version_after AS DOUBLE) AS version_after
+FROM r""", recursive=True)
 def q_versioned_apply_strict(spark, sf_dir):
     """H2 with UPDATE strict: an update of a missing entity is an error, a delete is not_found."""
     e = Estate.load(spark, sf_dir)
     initial = e.processors.select("id", F.lit(0).cast("bigint").alias("version"))
-    return versioned.versioned_apply(e.commands, initial, strict_ops=["UPDATE"])
+    return nullable_as_double(versioned.versioned_apply(e.commands, initial, strict_ops=["UPDATE"]),
+                              "version_after")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph, provenance, route, status, tree
 from ..sources.tables import Estate
-from .registry import query
+from .registry import nullable_as_double, query
 
 # --- E1 -------------------------------------------------------------------------
 
@@ -181,16 +181,18 @@ def q_provenance_search_inverse(spark, sf_dir):
 # --- C2 -------------------------------------------------------------------------
 
 @query("provenance_event_content", ["fx_provenance", "fx_content"], """
-SELECT e.event_id, 'input' AS direction, e.input_claim AS claim_id, c.claim_id IS NOT NULL AS found, c.n_chars, c.body_md5
+SELECT e.event_id, 'input' AS direction, e.input_claim AS claim_id, c.claim_id IS NOT NULL AS found,
+  CAST(c.n_chars AS DOUBLE) AS n_chars, c.body_md5
 FROM fx_provenance e LEFT JOIN fx_content c ON c.claim_id = e.input_claim
 UNION ALL
-SELECT e.event_id, 'output', e.output_claim, c.claim_id IS NOT NULL, c.n_chars, c.body_md5
+SELECT e.event_id, 'output', e.output_claim, c.claim_id IS NOT NULL, CAST(c.n_chars AS DOUBLE), c.body_md5
 FROM fx_provenance e LEFT JOIN fx_content c ON c.claim_id = e.output_claim""")
 def q_provenance_event_content(spark, sf_dir):
     """Every event with its input and its output body (found flag, size, md5)."""
     e = Estate.load(spark, sf_dir)
-    return provenance.provenance_event_content(e.provenance, e.content, "input").unionByName(
+    both = provenance.provenance_event_content(e.provenance, e.content, "input").unionByName(
         provenance.provenance_event_content(e.provenance, e.content, "output"))
+    return nullable_as_double(both, "n_chars")
 
 
 # --- E3, E4 -----------------------------------------------------------------------

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from ..operators import lint
 from ..sources.tables import Estate
-from .registry import query
+from .registry import nullable_as_double, query
+
+COUNTS = ("processor_count", "connection_count")
 
 _DISCONNECTED_SQL = """
 SELECT p.group_id, p.id AS processor_id, 'disconnected' AS rule,
@@ -53,11 +55,12 @@ _REPORT_SQL = f"""
 cc AS (SELECT group_id, COUNT(*) AS n FROM fx_connection GROUP BY group_id)
 SELECT r.group_id, r.rule,
   CASE r.rule WHEN 'disconnected' THEN 1 WHEN 'stopped' THEN 2 ELSE 3 END AS rule_order,
-  r.processor_id, r.suggestion, pc.n AS processor_count, CAST(coalesce(cc.n, 0) AS BIGINT) AS connection_count
+  r.processor_id, r.suggestion, CAST(pc.n AS DOUBLE) AS processor_count,
+  CAST(coalesce(cc.n, 0) AS DOUBLE) AS connection_count
 FROM rules r LEFT JOIN pc ON pc.group_id = r.group_id LEFT JOIN cc ON cc.group_id = r.group_id
 UNION ALL
 SELECT g.id, 'no_processors', 0, CAST(NULL AS VARCHAR),
-  'No processors found. Add processors to start building your pipeline.', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+  'No processors found. Add processors to start building your pipeline.', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
 FROM fx_group g WHERE NOT EXISTS (SELECT 1 FROM fx_processor p WHERE p.group_id = g.id)
 """
 
@@ -66,7 +69,7 @@ FROM fx_group g WHERE NOT EXISTS (SELECT 1 FROM fx_processor p WHERE p.group_id
 def q_lint_report(spark, sf_dir):
     """All lint suggestions for every group, in rule order, with group counts."""
     e = Estate.load(spark, sf_dir)
-    return lint.lint_report(e.groups, e.processors, e.connections)
+    return nullable_as_double(lint.lint_report(e.groups, e.processors, e.connections), *COUNTS)
 
 
 def lint_report_sql() -> str:

@@ -15,6 +15,18 @@ from ..sources.fixtures import with_clause
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+
+def nullable_as_double(df: DataFrame, *cols: str) -> DataFrame:
+    """Return integer columns that can hold nulls as DOUBLE.
+
+    Spark and DuckDB hand a nullable integer column to pandas differently
+    (float64 with NaN vs. nullable Int64); as DOUBLE both engines give the
+    same values and types.  Used only by registered queries; operators keep
+    their integer types.
+    """
+    from pyspark.sql import functions as F
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 DOCS: dict[str, str] = {}

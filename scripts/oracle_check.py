@@ -47,6 +47,31 @@ def duck(sf_dir: str):
     return con
 
 
+def pandas_view(pdf):
+    """Columns sorted by name; values as text the way pandas prints them."""
+    pdf = pdf[sorted(pdf.columns)]
+    out = pdf.astype(str)
+    return sorted(map(tuple, out.values.tolist())), [str(t).replace("[us]", "").replace("[ns]", "")
+                                                      for t in pdf.dtypes]
+
+
+def compare_pandas(spark, sf_dir, keys=None, verbose=True):
+    """Stricter check: Spark ``toPandas`` against DuckDB ``.df()`` (dtypes and text values)."""
+    from flowlake.plans.catalog import ORACLE, QUERIES
+
+    con = duck(sf_dir)
+    bad = {}
+    for key in keys or sorted(ORACLE):
+        a_rows, a_types = pandas_view(QUERIES[key](spark, sf_dir).toPandas())
+        b_rows, b_types = pandas_view(con.execute(ORACLE[key]).df())
+        ok = a_rows == b_rows and a_types == b_types
+        if not ok:
+            bad[key] = (a_types, b_types)
+        if verbose:
+            print(key, "pandas ok" if ok else f"pandas MISMATCH {a_types} vs {b_types}", flush=True)
+    return bad
+
+
 def compare(spark, sf_dir, keys=None, verbose=True):
     from flowlake.plans.catalog import ORACLE, QUERIES
 
@@ -78,9 +103,13 @@ def compare(spark, sf_dir, keys=None, verbose=True):
 if __name__ == "__main__":
     from flowlake.session import build_session
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:] or None
+    args = [a for a in sys.argv[1:] if a != "--pandas"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    keys = args[1:] or None
     spark = build_session()
+    if "--pandas" in sys.argv:
+        print("PANDAS MISMATCH:", list(compare_pandas(spark, sf, keys)) or "none")
+        raise SystemExit(0)
     res = compare(spark, sf, keys)
     bad = [k for k, v in res.items() if "values" in v and not (v["cols"] and v["values"])]
     print("MISMATCH:", bad if bad else "none", "| no oracle:",

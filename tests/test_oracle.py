@@ -34,3 +34,9 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert set(e.queries()) == set(QUERIES)
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("key", sorted(ORACLE))
+def test_query_matches_oracle_through_pandas_sf0001(spark, key):
+    """The stricter view: Spark toPandas vs DuckDB .df(), dtypes and text values."""
+    assert oracle_check.compare_pandas(spark, SF001, [key], verbose=False) == {}
