@@ -37,6 +37,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # top-k above this many rows plans as a distributed sort + limit instead
         # of one in-memory priority queue per task sized to the limit
         .config("spark.sql.execution.topKSortFallbackThreshold", "1000000")
+        # checkpoint files of the ordered operators are removed once their
+        # DataFrames are garbage collected (long-lived sessions do not pile up)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("FLOWLAKE_DRIVER_MEMORY", "8g"))
     )
     for k, v in (extra_conf or {}).items():
