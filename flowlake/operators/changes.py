@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .lint import connected_endpoints
 
 
 def _reasons(*pairs: tuple[Column, str]) -> Column:
@@ -29,7 +28,9 @@ def _reasons(*pairs: tuple[Column, str]) -> Column:
 def delete_facts(processors: DataFrame, connections: DataFrame, groups: DataFrame,
                  ports: DataFrame, queue: DataFrame) -> DataFrame:
     """One row per deletable entity: (kind, id, stopped, connected, queued, members, running)."""
-    ends = connected_endpoints(connections).select("id").distinct().withColumn("_conn", F.lit(True))
+    # endpoint ids of any group: one scan, one distinct
+    ends = connections.select(F.explode(F.array("source_id", "destination_id")).alias("id")) \
+        .where(F.col("id").isNotNull() & (F.col("id") != "")).distinct().withColumn("_conn", F.lit(True))
     procs = processors.select("id", "run_status").join(ends, "id", "left").select(
         F.lit("processor").alias("kind"), "id",
         (F.col("run_status") == "STOPPED").alias("stopped"),
