@@ -266,8 +266,8 @@ def versioned_apply(commands: DataFrame, initial: DataFrame,
         overflow = summ.overflow
         yield pd.DataFrame([{
             "pid": pid, "first_key": first_key, "whole": in_first,
-            "absent_end": enc(absent_end), "const": const, "overflow": overflow, "run_lo": [r[0] for r in runs], "run_hi": [r[1] for r in runs],
-            "run_end": [enc(r[2]) for r in runs],
+            "absent_end": enc(absent_end), "const": const, "overflow": overflow,
+            "run_lo": [r[0] for r in runs], "run_hi": [r[1] for r in runs], "run_end": [enc(r[2]) for r in runs],
             "last_key": first_key if in_first else cur_key,
             "last_present": None if in_first else cur_p,
             "last_version": None if in_first else cur_v,
