@@ -212,6 +212,33 @@ def config_update(properties: DataFrame, updates: DataFrame, processors: DataFra
     return status, config
 
 
+def config_update_maps(processors: DataFrame, updates: DataFrame) -> DataFrame:
+    """H3 on the nested config: ``properties`` (map) and ``auto_terminated`` (list).
+
+    ``processors``: ``id, properties map<string,string>, auto_terminated array<string>``;
+    ``updates``: long rows ``(processor_id, update_type, name, value)``.  A
+    ``properties`` update replaces the whole map with the payload map, an
+    ``auto-terminatedrelationships`` update replaces the list with the payload
+    values; other kinds change nothing.  Each payload is gathered per command
+    (bounded by that command's size) and joined to its processor.
+    """
+    valid = updates.where(F.col("update_type").isin(T.CONFIG_PROPERTIES, T.CONFIG_AUTO_TERMINATED))
+    payload = valid.groupBy("processor_id").agg(
+        F.map_from_entries(F.collect_list(F.when(
+            F.col("update_type") == T.CONFIG_PROPERTIES, F.struct("name", "value")))).alias("_props"),
+        F.max(F.col("update_type") == T.CONFIG_PROPERTIES).alias("_has_props"),
+        F.array_sort(F.collect_list(F.when(
+            F.col("update_type") == T.CONFIG_AUTO_TERMINATED, F.col("value")))).alias("_auto"),
+        F.max(F.col("update_type") == T.CONFIG_AUTO_TERMINATED).alias("_has_auto"))
+    df = processors.join(payload.withColumnRenamed("processor_id", "id"), "id", "left")
+    return df.select(
+        "id",
+        F.when(F.coalesce("_has_props", F.lit(False)), F.col("_props")).otherwise(F.col("properties"))
+        .alias("properties"),
+        F.when(F.coalesce("_has_auto", F.lit(False)), F.col("_auto")).otherwise(F.col("auto_terminated"))
+        .alias("auto_terminated"))
+
+
 # ---------------------------------------------------------------------------
 # H4 / H5: run state
 # ---------------------------------------------------------------------------

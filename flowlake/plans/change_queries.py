@@ -289,3 +289,27 @@ def q_versioned_apply_strict(spark, sf_dir):
     initial = e.processors.select("id", F.lit(0).cast("bigint").alias("version"))
     return nullable_as_double(versioned.versioned_apply(e.commands, initial, strict_ops=["UPDATE"]),
                               "version_after")
+
+
+@query("config_update_maps", ["fx_config_update", "fx_processor", "fx_property"], """
+, cur AS (SELECT processor_id, string_agg(name || '=' || value, ';' ORDER BY name) AS props
+          FROM fx_property GROUP BY processor_id),
+pu AS (SELECT processor_id, string_agg(name || '=' || value, ';' ORDER BY name) AS props
+       FROM fx_config_update WHERE update_type = 'properties' GROUP BY processor_id),
+au AS (SELECT processor_id, string_agg(value, ';' ORDER BY value) AS auto
+       FROM fx_config_update WHERE update_type = 'auto-terminatedrelationships' GROUP BY processor_id)
+SELECT p.id, coalesce(pu.props, cur.props) AS properties, au.auto AS auto_terminated
+FROM fx_processor p LEFT JOIN cur ON cur.processor_id = p.id LEFT JOIN pu ON pu.processor_id = p.id
+LEFT JOIN au ON au.processor_id = p.id""")
+def q_config_update_maps(spark, sf_dir):
+    """H3 on the nested config: each processor's property map and auto-terminated list after the updates."""
+    e = Estate.load(spark, sf_dir)
+    current = e.properties.groupBy(F.col("processor_id").alias("id")).agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("properties"))
+    procs = e.processors.select("id").join(current, "id", "left") \
+        .withColumn("auto_terminated", F.lit(None).cast("array<string>"))
+    out = changes.config_update_maps(procs, e.config_updates)
+    as_text = F.array_join(F.transform(F.array_sort(F.map_entries("properties")),
+                                       lambda kv: F.concat(kv["key"], F.lit("="), kv["value"])), ";")
+    return out.select("id", as_text.alias("properties"),
+                      F.array_join("auto_terminated", ";").alias("auto_terminated"))

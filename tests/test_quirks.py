@@ -234,3 +234,13 @@ def test_connection_validate_rules(spark):
     assert got[3]["reasons"] == "source_type_mismatch"
     assert got[4]["reasons"] == "destination_other_group"
     assert got[5]["reasons"] == "source_not_found"
+
+
+def test_config_update_maps_replaces_whole_values(spark):
+    procs = spark.createDataFrame([("a", {"k1": "v1", "k2": "v2"}, ["success"]), ("b", {"k1": "v1"}, None)],
+                                  "id string, properties map<string,string>, auto_terminated array<string>")
+    upd = spark.createDataFrame([("a", "properties", "k3", "v3"), ("b", "auto-terminatedrelationships", None, "failure"),
+                                 ("b", "comments", "x", "y")],
+                                "processor_id string, update_type string, name string, value string")
+    got = {r["id"]: (r["properties"], r["auto_terminated"]) for r in changes.config_update_maps(procs, upd).collect()}
+    assert got == {"a": ({"k3": "v3"}, ["success"]), "b": ({"k1": "v1"}, ["failure"])}
