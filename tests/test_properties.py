@@ -223,3 +223,17 @@ def test_versioned_summary_overflow_is_exact(spark, limit, monkeypatch):
     want, _ = _reference_fold(cmds, {"k1": 0, "k3": 2})
     assert got == want
     assert len(calls) >= 5  # the hot entity's partitions took the exact fallback
+
+
+def test_ordered_operators_with_empty_partitions(spark):
+    rows = [("a", 3, "x"), ("a", 1, "y"), ("b", 2, "z")]
+    df = spark.createDataFrame(rows, "k string, t int, u string")
+    got = {r["u"]: r["pos"] for r in position_within(df, ["k"], ["t", "u"], "pos", num_partitions=64).collect()}
+    assert got == {"y": 1, "x": 2, "z": 1}
+    cmds = [(1, "a", "CREATE", None), (2, "a", "UPDATE", 0), (3, "b", "DELETE", 0)]
+    cdf = spark.createDataFrame(cmds, "seq bigint, target_id string, op string, expected_version bigint")
+    idf = spark.createDataFrame([("b", 0)], "id string, version bigint")
+    got = {r["seq"]: r["outcome"] for r in versioned_apply(cdf, idf, num_partitions=64).collect()}
+    assert got == {1: "created", 2: "updated", 3: "deleted"}
+    empty = spark.createDataFrame([], "seq bigint, target_id string, op string, expected_version bigint")
+    assert versioned_apply(empty, spark.createDataFrame([], "id string, version bigint")).count() == 0
