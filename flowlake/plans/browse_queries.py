@@ -164,6 +164,15 @@ def q_queue_listing(spark, sf_dir):
     return browse.queue_listing(Estate.load(spark, sf_dir).queue)
 
 
+@query("queue_listing_connection", ["fx_queue"], """
+SELECT connection_id, group_id, flowfile_uuid, size_bytes, queued_at,
+  row_number() OVER (PARTITION BY connection_id ORDER BY queued_at, flowfile_uuid, size_bytes) AS position
+FROM fx_queue WHERE connection_id IN ('conn-79-952', 'conn-8-45')""")
+def q_queue_listing_connection(spark, sf_dir):
+    """B10 for given connections (the filter reaches the scan before positions are numbered)."""
+    return browse.queue_listing(Estate.load(spark, sf_dir).queue, ["conn-79-952", "conn-8-45"])
+
+
 # --- A1, A2, D5 (flow documents, JSON round trip) --------------------------------
 
 def _docs_path(spark, sf_dir):
