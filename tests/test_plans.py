@@ -7,7 +7,7 @@ from conftest import SF001
 from flowlake.plans.catalog import QUERIES
 
 # Operators that run Python by design (ordered fold / positions in a range-sorted layout).
-PYTHON_BY_DESIGN = {"queue_listing", "versioned_apply", "versioned_apply_strict", "versioned_table"}
+PYTHON_BY_DESIGN = {k for k in QUERIES if k.startswith(("queue_listing", "versioned_apply", "versioned_table"))}
 STREAMS = {"provenance_stream", "bulletin_stream", "versioned_apply_stream", "lint_documents_stream"}
 
 
