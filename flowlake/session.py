@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -71,3 +72,24 @@ def shared_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so their Python workers can import it.
+
+    Needed wherever the driver found it by its own ``sys.path``; in local mode
+    the workers see the driver's files and nothing is sent.
+    """
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.master == "local":
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        if root not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+            sc.environment["PYTHONPATH"] = os.pathsep.join(
+                p for p in (root, sc.environment.get("PYTHONPATH"), os.environ.get("PYTHONPATH")) if p)
+        return
+    if getattr(sc, "_flowlake_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="flowlake-package-"), "flowlake")
+    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+    sc._flowlake_shipped = True
