@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, lsh_forest, packing, suffix_dedup
+from ..session import shared_path
+from . import bitplane_store, decontaminate, language_id, lsh_forest, packing, page_text, prefix_counts, suffix_dedup
 from .common import table
 from .oracles import ORACLE  # noqa: F401
 
@@ -38,6 +39,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("k1", "k2")
 
 
+@query
+def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, without what recurs over its host's pages."""
+    return page_text.page_texts(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, by a network trained on rows that are not held out."""
@@ -45,6 +52,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(docs, language_id.fit_language_model(docs))
 
 
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and how much of it fits 2048 tokens."""
+    return prefix_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document, at Jaccard 0.8 on two-word shingles."""
@@ -52,3 +65,11 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a null id that is its component's only id counts as that component's smallest
     return groups.select("doc_id", "n_shingles", "component_id",
                          F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written as bit planes and read back, as places and checksums."""
+    path = shared_path(spark, "token-ids")
+    bitplane_store.write_token_ids(table(spark, sf_dir, "documents"), path)
+    return bitplane_store.read_token_ids(spark, path, with_ids=False).drop("ids")

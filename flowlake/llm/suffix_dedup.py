@@ -1,24 +1,28 @@
 """Removal of repeated byte strings by a depth-limited radix sort of suffixes.
 
 Suffixes are ordered only through ``threshold`` bytes, by most-significant-digit
-passes: a pass deals the suffixes of each bucket out by their next digit, a
-suffix alone in its bucket is settled and leaves, and two suffixes still in one
-bucket at depth ``threshold`` start the same repeated window.
+passes: a pass sorts what is left by its next digit, a suffix alone in its
+bucket is settled and leaves, and suffixes still in one bucket at depth
+``threshold`` start the same repeated window.
 
 Sorting every suffix of every text would move many times the input, so the
 passes work on runs of neighbouring suffixes. Each window has an anchor, the
-smallest ``digit``-byte hash that starts in it; as the anchor depends on the
-window's bytes alone, equal windows have it at the same place. Consecutive
-windows with a common anchor are one run (some 200 windows for 400 bytes).
-
-* Pass 1, digit = the anchor's bytes: runs whose anchor occurs once leave.
-* Pass 2, digit = the whole stretch that a run covers: runs in one bucket hold
-  the same windows, so all of them are repeated.
-* Pass 3, for anchors with several different stretches, one run of each
-  stretch: digit = each single window through its full depth. Windows in one
-  bucket are repeated.
-
-Digits are compared as 64-bit hashes of their bytes, windows as 128-bit ones.
+smallest hash of ``digit`` bytes in it; as the anchor depends on the window's
+bytes alone, equal windows have it at the same place. Consecutive windows with
+a common anchor are one run.
+
+* Pass 1, digits = the anchor's bytes, then the whole stretch of the run: runs
+  with a lone anchor leave; runs of one bucket hold the same windows, so all of
+  them are repeated; of the other runs, one of each stretch goes on.
+* Pass 2, the runs cut into parts of ``PART`` windows, placed alike to the
+  anchor. Digits = the bytes that all of a part's windows share, then all bytes
+  they cover; decided as in pass 1.
+* Pass 3, digits = the shared bytes, then each single window's bytes before and
+  after them: at full depth, equal windows are repeated.
+
+Each pass is one distributed sort, cut into ranges of equal size even where one
+string fills many of them. Digits are compared as 64-bit hashes of their bytes,
+two of them before anything is called repeated.
 """
 
 from __future__ import annotations
@@ -33,11 +37,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import U64, RangeHash, arrow_bytes, internal, keyed, row_keys, written
+from .common import U64, RangeHash, arrow_bytes, internal, keyed, mix64, row_keys, written
 
 PIECE = 1 << 18
-RUNS = "k1 long, k2 long, lo long, n int, lead int, anchor long, cover long"
-WINDOWS = "k1 long, k2 long, pos long, w1 long, w2 long"
+PART = 8
+ROWS = "d1 long, d2 long, k1 long, k2 long, lo long, n short, lead short, left long, right long"
+FOUND = "kind byte, k1 long, k2 long, lo long, n short, lead short, d1 long, d2 long, left long, right long"
+WHOLE, OPEN, EDGE = 1, 2, 3
+
+
+def _batch(schema: str, columns: dict, n: int) -> pa.RecordBatch:
+    """Columns by the names of a schema; missing ones are null."""
+    kinds = {"long": pa.int64(), "short": pa.int16(), "byte": pa.int8()}
+    fields = [c.split() for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[name], kinds[kind]) if name in columns else pa.nulls(n, kinds[kind])
+         for name, kind in fields], names=[name for name, _ in fields])
 
 
 def pieces(offsets: np.ndarray, threshold: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -95,7 +110,7 @@ def _joined(buf, offsets, group):
 
 
 def suffix_runs(docs: DataFrame, threshold: int, digit: int) -> DataFrame:
-    """Every run of every text: row keys, first window, windows, lead (windows before the anchor), digits."""
+    """Pass 1's rows: every run of every text; lo: its first window, n: windows, lead: from there to the anchor."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,134 +119,217 @@ def suffix_runs(docs: DataFrame, threshold: int, digit: int) -> DataFrame:
             for group in pieces(offsets, threshold):
                 text, owner, base = _joined(buf, offsets, group)
                 lo, n, anchor = runs_of(text, owner, threshold, digit)
-                hashes = RangeHash(text, 2)
+                hashes, lead = RangeHash(text, 2), anchor - lo
                 piece = owner[lo]
                 row = np.array([g[0] for g in group])[piece]
                 first = np.array([g[1] for g in group])[piece]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (
-                    k1[row], k2[row], lo - base[piece] + first, n.astype(np.int32), (anchor - lo).astype(np.int32),
-                    hashes.of(anchor, anchor + digit).view(np.int64),
-                    hashes.of(lo, lo + n + threshold - 1).view(np.int64))],
-                    names=["k1", "k2", "lo", "n", "lead", "anchor", "cover"])
+                stretch = hashes.of(lo, lo + n + threshold - 1) + (n * threshold + lead).astype(U64)
+                yield _batch(ROWS, {
+                    "d1": hashes.of(anchor, anchor + digit).view(np.int64), "d2": mix64(stretch).view(np.int64),
+                    "k1": k1[row], "k2": k2[row], "lo": lo - base[piece] + first,
+                    "n": n.astype(np.int16), "lead": lead.astype(np.int16)}, len(lo))
 
-    return docs.select("k1", "k2", "text").mapInArrow(scan, RUNS)
+    return docs.select("k1", "k2", "text").mapInArrow(scan, ROWS).select("d1", "d2", "k1", "k2", "lo", "n", "lead")
 
 
-def _single_windows(wanted: DataFrame, threshold: int) -> DataFrame:
-    """pos and 128-bit digit of each window of the wanted runs; wanted: k1, k2, text, runs (lo, n)."""
+def run_parts(open_rows: DataFrame, threshold: int) -> DataFrame:
+    """Pass 2's rows: the open runs (arrays lo, n, lead beside k1, k2, text) cut into parts.
+
+    Part j of an anchor holds the windows that start PART * j + i bytes before
+    it, 0 <= i < PART. left and right are the PART - 1 bytes before and after
+    what they share, nearest first.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offsets = arrow_bytes(batch.column("text"))
-            for at, runs in enumerate(batch.column("runs").to_pylist()):
-                keys = batch.column("k1")[at].as_py(), batch.column("k2")[at].as_py()
+            for at in range(batch.num_rows):
+                lo, n, lead = (batch.column(c)[at].values.to_numpy().astype(np.int64) for c in ("lo", "n", "lead"))
                 text = buf[offsets[at]:offsets[at + 1]]
-                runs.sort(key=lambda r: r["lo"])
-                lo = np.array([r["lo"] for r in runs])
-                n = np.array([r["n"] for r in runs])
-                part = (lo - lo[0]) // PIECE  # bounded stretches of the text
-                for p in np.unique(part):
-                    a, m = lo[part == p], n[part == p]
-                    stretch = text[a[0]:int((a + m).max()) + threshold - 1]
-                    pos = np.repeat(a - np.cumsum(m) + m, m) + np.arange(m.sum())
-                    here = pos - a[0]
-                    digits = [RangeHash(stretch, seed).of(here, here + threshold).view(np.int64) for seed in (1, 2)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(pos), k, np.int64)) for k in keys]
-                        + [pa.array(pos), pa.array(digits[0]), pa.array(digits[1])],
-                        names=["k1", "k2", "pos", "w1", "w2"])
-
-    return wanted.mapInArrow(scan, WINDOWS)
-
-
-def repeated_windows(docs: DataFrame, threshold: int = 400, digit: int = 32) -> DataFrame:
-    """(k1, k2, lo, hi): stretches of window starts lo <= p < hi whose window also starts elsewhere.
-
-    docs: k1, k2, text as of ``keyed``. Every stretch is found; some may be listed twice.
+                order = np.argsort(lo, kind="stable")
+                lo, n, lead = lo[order], n[order], lead[order]
+                for stretch in np.split(np.arange(len(lo)), np.flatnonzero(np.diff(lo // PIECE)) + 1):
+                    a, m, before = lo[stretch], n[stretch], lead[stretch]
+                    begin, end = int(a[0]), int((a + m).max()) + threshold - 1
+                    yield parts_of(text[begin:end], a - begin, m, before, begin,
+                                   batch.column("k1")[at].as_py(), batch.column("k2")[at].as_py())
+
+    def parts_of(text, lo, n, lead, begin, k1, k2):
+        first, last = (lead - n + 1) // PART, lead // PART
+        parts = last - first + 1
+        run = np.repeat(np.arange(len(lo)), parts)
+        j = first[run] + np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
+        anchor = (lo + lead)[run]
+        shared = anchor - PART * j  # where the shared bytes begin; window i begins i bytes before
+        least = np.maximum(anchor - (lo + n - 1)[run] - PART * j, 0)
+        most = np.minimum(anchor - lo[run] - PART * j, PART - 1)
+        hashes = RangeHash(text, 2)
+        size = threshold - PART + 1
+        padded = np.concatenate([np.zeros(PART, np.uint8), text, np.zeros(PART, np.uint8)]).astype(U64)
+        left = sum(padded[shared + PART - 1 - t] << U64(8 * t) for t in range(PART - 1))
+        right = sum(padded[shared + size + PART + t] << U64(8 * t) for t in range(PART - 1))
+        cover = hashes.of(shared - most, shared + threshold - least)
+        return _batch(ROWS, {
+            "d1": hashes.of(shared, shared + size).view(np.int64),
+            "d2": mix64(cover + (least * PART + most).astype(U64)).view(np.int64),
+            "k1": np.full(len(run), k1), "k2": np.full(len(run), k2), "lo": shared - most + begin,
+            "n": (most - least + 1).astype(np.int16), "lead": most.astype(np.int16),
+            "left": left.view(np.int64), "right": right.view(np.int64)}, len(run))
+
+    return open_rows.mapInArrow(scan, ROWS)
+
+
+def part_windows(parts: DataFrame) -> DataFrame:
+    """Pass 3's rows: the single windows of the open parts."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col = {c: batch.column(c).to_numpy() for c in ("d1", "k1", "k2", "lo", "n", "lead", "left", "right")}
+            n = col["n"].astype(np.int64)
+            row = np.repeat(np.arange(len(n)), n)
+            nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            i = (col["lead"][row] - nth).astype(U64)  # bytes before the shared ones
+            left = col["left"].view(U64)[row] & ((U64(1) << (U64(8) * i)) - U64(1))
+            right = col["right"].view(U64)[row] & ((U64(1) << (U64(8) * (U64(PART - 1) - i))) - U64(1))
+            d2 = mix64(mix64(left + (i << U64(57))) + right)
+            yield _batch(ROWS, {"d1": col["d1"][row], "d2": d2.view(np.int64), "k1": col["k1"][row],
+                                "k2": col["k2"][row], "lo": col["lo"][row] + nth,
+                                "n": np.ones(len(row), np.int16)}, len(row))
+
+    return parts.mapInArrow(scan, ROWS).select("d1", "d2", "k1", "k2", "lo", "n", "lead")
+
+
+def radix_pass(rows: DataFrame, last: bool = False) -> DataFrame:
+    """Sort by the two digits and tell what is repeated (WHOLE) and what must go on (OPEN).
+
+    A row is WHOLE if another has both its digits. One row of each second digit
+    is OPEN where a first digit has several; at the ends of a range, where the
+    neighbours are not seen, always. Rows alone in their bucket leave. In the
+    last pass nothing goes on: what stands at the ends of ranges is given as
+    EDGE, to be counted by its digits.
+    """
+    rows = rows.withColumns({c: F.lit(None).cast("long") for c in ("left", "right") if c not in rows.columns})
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        whole_range = pa.Table.from_batches(got).combine_chunks()
+        d1, d2 = (whole_range.column(c).to_numpy() for c in ("d1", "d2"))
+        same1 = d1[1:] == d1[:-1]
+        same2 = same1 & (d2[1:] == d2[:-1])
+        first2 = np.concatenate([[True], ~same2])
+        repeated = np.concatenate([[False], same2]) | np.concatenate([same2, [False]])
+        bucket = np.concatenate([[0], np.cumsum(~same1)])
+        mixed = np.bincount(bucket, weights=first2) > 1
+        mixed[[0, -1]] = True
+        ends = np.zeros(len(d1), bool)
+        ends[[0, -1]] = True
+        chosen = [(WHOLE, repeated), (EDGE, ends)] if last else [(WHOLE, repeated), (OPEN, first2 & mixed[bucket])]
+        for kind, rows_ in chosen:
+            part = whole_range.filter(pa.array(rows_)).combine_chunks()
+            if part.num_rows:
+                columns = {c: part.column(c).combine_chunks() for c in part.column_names
+                           if kind != WHOLE or c in ("k1", "k2", "lo", "n")}
+                yield _batch(FOUND, columns | {"kind": np.full(part.num_rows, kind, np.int8)}, part.num_rows)
+
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["d1", "d2", "k1", "k2", "lo"]
+    return rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).mapInArrow(mark, FOUND)
+
+
+def _stretches(found: DataFrame) -> DataFrame:
+    return found.filter(F.col("kind") == WHOLE).select("k1", "k2", "lo", (F.col("lo") + F.col("n")).alias("hi"))
+
+
+def repeated_windows(docs: DataFrame, threshold: int = 400, digit: int = 128) -> tuple[DataFrame, DataFrame]:
+    """Every repeated window, and the texts that have any.
+
+    First: (k1, k2, lo, hi), stretches of window starts lo <= p < hi whose
+    window also starts elsewhere; some may be listed twice. Second: (k1, k2,
+    text, ...), one row for each distinct row of ``docs`` (k1, k2, text as of
+    ``keyed``) that can have a stretch.
     """
-    runs = written(suffix_runs(docs, threshold, digit), "runs")
-    anchors = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("same")).filter("same > 1").select("anchor")
-    shared = runs.join(anchors, "anchor", "left_semi")
-    # identical rows share their keys, so a stretch counts its places, not its rows
-    covers = written(
-        shared.groupBy("anchor", "cover", "n", "lead")
-        .agg(F.count(F.lit(1)).alias("places"), F.min(F.struct("k1", "k2", "lo")).alias("rep")), "covers")
-    equal = shared.join(covers.filter("places > 1").select("anchor", "cover", "n", "lead"),
-                        ["anchor", "cover", "n", "lead"], "left_semi")
-    whole = equal.select("k1", "k2", "lo", (F.col("lo") + F.col("n")).alias("hi"))
-    mixed = covers.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("anchor")
-    # lone stretches may hold a repeated window; repeated ones only serve as its counterpart
-    open_runs = covers.join(mixed, "anchor", "left_semi").select("rep.*", "n")
-    wanted = open_runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
-    texts = docs.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "runs")
-    windows = written(_single_windows(texts, threshold), "windows")
-    twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("places")).filter("places > 1").select("w1", "w2")
-    single = (windows.join(twice, ["w1", "w2"], "left_semi")
-              .select("k1", "k2", F.col("pos").alias("lo"), (F.col("pos") + 1).alias("hi")))
-    return whole.union(single)
-
-
-def removed_stretches(docs: DataFrame, threshold: int = 400, digit: int = 32) -> DataFrame:
-    """k1, k2 and the sorted arrays lo, hi of each row's repeated stretches (rows without any are left out)."""
-    spans = written(repeated_windows(docs, threshold, digit), "repeats")
+    first = written(radix_pass(suffix_runs(docs, threshold, digit)), "pass1")
+    is_open = F.col("kind") == OPEN
+    per_row = first.groupBy("k1", "k2").agg(
+        # at most one entry for each run of the row
+        *[F.collect_list(F.when(is_open, F.col(c))).alias(c) for c in ("lo", "n", "lead")])
+    # identical rows share their keys; their runs were told as repeated in pass 1
+    affected = written(docs.select("k1", "k2", "text").join(per_row, ["k1", "k2"])
+                       .dropDuplicates(["k1", "k2"]), "affected")
+    second = written(radix_pass(run_parts(affected.filter("size(lo) > 0"), threshold)), "pass2")
+    third = written(radix_pass(part_windows(second.filter(is_open)), last=True), "pass3")
+    edges = third.filter(F.col("kind") == EDGE).select("d1", "d2", "k1", "k2", "lo", "n").distinct()
+    twice = edges.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("places")).filter("places > 1")
+    across = edges.join(twice, ["d1", "d2"], "left_semi").select("k1", "k2", "lo", (F.col("lo") + F.col("n")).alias("hi"))
+    return _stretches(first).union(_stretches(second)).union(_stretches(third)).union(across), affected
+
+
+def cut_rows(docs: DataFrame, threshold: int, digit: int) -> DataFrame:
+    """k1, k2 and ``cut`` (see ``cut_text``) of the distinct rows that lose bytes; docs as of ``keyed``."""
+    stretches, texts = repeated_windows(docs, threshold, digit)
     # a row's stretches are at most as many as its windows
-    return (spans.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
-            .select("k1", "k2", F.expr("transform(spans, s -> s.lo)").alias("lo"),
-                    F.expr("transform(spans, s -> s.hi)").alias("hi")))
+    per_row = (stretches.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("s"))
+               .select("k1", "k2", F.expr("transform(s, x -> x.lo)").alias("from"),
+                       F.expr("transform(s, x -> x.hi)").alias("to")))
+    return (texts.select("k1", "k2", "text").join(per_row, ["k1", "k2"])
+            .select("k1", "k2", cut_text(threshold)("text", "from", "to").alias("cut")))
 
 
 def cut_text(threshold: int):
-    """Column function (text, lo, hi) -> n_bytes, n_removed, n_spans, kept_sha256, kept."""
+    """Column function (text, lo, hi) -> n_removed, n_spans, kept_sha256, kept."""
 
-    @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    @F.pandas_udf("n_removed long, n_spans long, kept_sha256 string, kept binary")
     def cut(texts: pd.Series, los: pd.Series, his: pd.Series) -> pd.DataFrame:
         rows = []
         for text, lo, hi in zip(texts, los, his):
-            raw = text.encode() if text is not None else b""
-            n_spans, kept = 0, raw
-            if lo is not None:
-                hi = np.maximum.accumulate(hi + (threshold - 1))
-                gap = np.flatnonzero(lo[1:] > hi[:-1])
-                begin, end = lo[np.append(0, gap + 1)], hi[np.append(gap, len(hi) - 1)]
-                n_spans = len(begin)
-                kept = b"".join(raw[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(raw)]))
-            rows.append((len(raw), len(raw) - len(kept), n_spans, hashlib.sha256(kept).hexdigest(), kept))
-        return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            raw = text.encode()
+            hi = np.maximum.accumulate(hi + (threshold - 1))
+            gap = np.flatnonzero(lo[1:] > hi[:-1])
+            begin, end = lo[np.append(0, gap + 1)], hi[np.append(gap, len(hi) - 1)]
+            kept = b"".join(raw[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(raw)]))
+            rows.append((len(raw) - len(kept), len(begin), hashlib.sha256(kept).hexdigest(), kept))
+        return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256", "kept"])
 
     return cut
 
 
-def remove_repeats(docs: DataFrame, threshold: int = 400, digit: int = 32) -> DataFrame:
+def remove_repeats(docs: DataFrame, threshold: int = 400, digit: int = 128) -> DataFrame:
     """Each row's text without the bytes that lie in a repeated ``threshold``-byte window.
 
     Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
-    kept_sha256 and kept (the remaining bytes). Windows never cross rows and
-    are judged on the input; overlaps count, also within one row. Null and
-    empty texts have no bytes. Repeated rows are copies of each other, so all
-    their windows are repeated. Only doc_id and text are read.
+    kept_sha256 and kept (the remaining bytes where any were removed, else
+    null). Windows never cross rows and are judged on the input; overlaps
+    count, also within one row. Null and empty texts have no bytes. Repeated
+    rows are copies of each other, so all their windows are repeated. Only
+    doc_id and text are read.
     """
     named = keyed(docs)
-    found = removed_stretches(named, threshold, digit)
-    return (named.join(found, ["k1", "k2"], "left")
-            .select("doc_id", cut_text(threshold)("text", "lo", "hi").alias("cut")).select("doc_id", "cut.*"))
+    cut = cut_rows(named, threshold, digit)
+    raw = F.coalesce("text", F.lit("")).cast("binary")
+    whole = named.select("k1", "k2", "doc_id", F.octet_length(raw).cast("long").alias("n_bytes"),
+                         F.sha2(raw, 256).alias("sha256"))
+    return (whole.join(cut, ["k1", "k2"], "left")
+            .select("doc_id", "n_bytes", F.coalesce("cut.n_removed", F.lit(0)).alias("n_removed"),
+                    F.coalesce("cut.n_spans", F.lit(0)).alias("n_spans"),
+                    F.coalesce("cut.kept_sha256", "sha256").alias("kept_sha256"), F.col("cut.kept").alias("kept")))
 
 
-def without_repeats(docs: DataFrame, threshold: int = 400, digit: int = 32) -> DataFrame:
+def without_repeats(docs: DataFrame, threshold: int = 400, digit: int = 128) -> DataFrame:
     """``docs`` with all its columns, text cut as by ``remove_repeats`` and n_chars, if there, counted anew.
 
     Bytes of a character of which only a part was removed go too. Null texts stay null.
     """
-    key = {c: internal(docs, c) for c in ("k1", "k2", "lo", "hi", "cut")}
-    found = removed_stretches(keyed(docs), threshold, digit).withColumnsRenamed(key)
+    key = {c: internal(docs, c) for c in ("k1", "k2", "kept")}
+    found = (cut_rows(keyed(docs), threshold, digit)
+             .select("k1", "k2", whole_characters("cut.kept").alias("kept")).withColumnsRenamed(key))
     k1, k2 = row_keys(F.col("doc_id").cast("long"), F.col("text"))
     marked = (docs.withColumns({key["k1"]: k1, key["k2"]: k2}).join(found, [key["k1"], key["k2"]], "left")
-              .withColumn(key["cut"], F.when(F.col(key["lo"]).isNotNull(),
-                                             cut_text(threshold)("text", key["lo"], key["hi"])["kept"])))
-    text = F.when(F.col(key["cut"]).isNull(), F.col("text")).otherwise(whole_characters(F.col(key["cut"])))
-    out = marked.withColumn("text", text)
+              .withColumn("text", F.coalesce(key["kept"], "text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        marked = marked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return marked.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @F.pandas_udf(StringType())

@@ -12,7 +12,7 @@ import os
 import re
 from array import array
 
-MEMORY_CHUNKS = 400_000
+MEMORY_CHUNKS = 800_000
 LONGEST_CHUNK = 64
 
 
@@ -35,6 +35,17 @@ def load_tokenizer(name: str):
     return tokenizer
 
 
+def byte_letters() -> list[str]:
+    """The printable letter that byte-level vocabularies write for each byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters, spare = {b: chr(b) for b in plain}, 0x100
+    for b in range(256):
+        if b not in letters:
+            letters[b] = chr(spare)
+            spare += 1
+    return [letters[b] for b in range(256)]
+
+
 def _pack(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
@@ -56,6 +67,9 @@ class ChunkEncoder:
         self.tokenizer = load_tokenizer(name)
         self.dropped = (spaces or ("dropped" if "word_" in os.path.basename(name) else "kept")) == "dropped"
         self.memory: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.marks = dict(zip(".,;:!?", self.encode(list(".,;:!?"))))
 
     def chunks(self, text: str) -> list[str] | None:
         """The chunks of a text; None where it has to be encoded whole."""
@@ -69,6 +83,19 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         return [_pack(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of one chunk: a plain word goes straight to the library's byte-pair model."""
+        lead, word, tail = "", chunk, b""
+        if not self.dropped and chunk[:1] == " ":
+            lead, word = "\u0120", chunk[1:]  # the byte-level letter of a space
+        if word[-1:] in self.marks and word[:-1].isalpha():
+            word, tail = word[:-1], self.marks[word[-1]]
+        if not word.isalpha():
+            return self.encode([chunk])[0]
+        if not word.isascii():
+            word = "".join([self.letters[b] for b in word.encode()])
+        return _pack([t.id for t in self.model.tokenize(lead + word)]) + tail
+
     def ids(self, texts: list[str]) -> list[bytes]:
         memory, out = self.memory, []
         for text in texts:
@@ -76,17 +103,16 @@ class ChunkEncoder:
             if chunks is None:
                 out.append(self.encode([text])[0])
                 continue
-            new = list({c for c in chunks if c not in memory})
-            if new:
-                if len(memory) > MEMORY_CHUNKS:
-                    memory.clear()
-                    new = list(set(chunks))
-                memory.update(zip(new, self.encode(new)))
-            out.append(b"".join(map(memory.__getitem__, chunks)))
-            if new:
-                for c in new:
-                    if len(c) > LONGEST_CHUNK:
-                        del memory[c]
+            parts = []
+            for chunk in chunks:
+                known = memory.get(chunk)
+                if known is None:
+                    known = self._chunk(chunk)
+                    # what comes first is what is common; memory stays bounded
+                    if len(memory) < MEMORY_CHUNKS and len(chunk) <= LONGEST_CHUNK:
+                        memory[chunk] = known
+                parts.append(known)
+            out.append(b"".join(parts))
         return out
 
 
