@@ -263,7 +263,8 @@ def near_duplicate_groups(docs: DataFrame, words: int = 2, percent: int = 80, fo
     groups = connected_components(joined)
     member = (classes.select(F.col("c1").alias("node"), "min_doc").join(groups, "node", "left")
               .select("node", "min_doc", F.coalesce("root", "node").alias("root")))
-    smallest = member.groupBy("root").agg(F.min("min_doc").alias("component_id"))
+    # written, so that the join below deals its sides out by itself and can split a large component
+    smallest = written(member.groupBy("root").agg(F.min("min_doc").alias("component_id")), "smallest")
     named = member.join(smallest, "root").select(F.col("node").alias("c1"), "root", "component_id")
     return (signed.join(named, "c1", "left")
             .select("k1", "k2", "doc_id", "n_shingles", F.col("root").alias("component"),
