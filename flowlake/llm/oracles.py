@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from .license_scan import NO_WORD, PHRASES, TEMPLATES, token_set
+from .quality_rules import CLASSES, Divergence
+
 ORACLE: dict[str, str] = {}
 
 _FIVE_WORD_SHINGLES = r"""
@@ -25,3 +28,117 @@ SELECT d.id AS doc_id, b.id AS item_id, any_value(sizes.n) AS item_shingles, cou
 FROM shingles d JOIN shingles b ON d.s = b.s AND d.kind = 'd' AND b.kind = 'b' JOIN sizes ON sizes.id = b.id
 GROUP BY d.id, b.id HAVING 100 * count(*) >= 80 * any_value(sizes.n)
 """
+
+
+def _quality_sql(rules: Divergence) -> str:
+    """The base counts, the corpus histograms by language, and the verdict, all from the texts."""
+    vocabulary = sorted({w for words in rules.languages.values() for w in words})
+    strip = "text"
+    lefts = ["text"]
+    for c in CLASSES:
+        strip = f"regexp_replace({strip}, '{c.replace(chr(39), chr(39) * 2)}', '', 'g')"
+        lefts.append(strip)
+    chars = [f"length({a}) - length({b}) AS c{k}" for k, (a, b) in enumerate(zip(lefts, lefts[1:]))]
+    chars.append(f"length({lefts[-1]}) AS c{len(CLASSES)}")
+    n_classes = len(CLASSES) + 1
+    counts = [f"len(list_filter(words, lambda x: x = '{w}')) AS w{k}" for k, w in enumerate(vocabulary)]
+
+    def distance(pairs):
+        terms = []
+        for p, q in pairs:
+            p, q = f"({p})", f"({q})"
+            terms.append(f"CASE WHEN {p} > 0 THEN {p} * log2({p} / (({p} + {q}) / 2)) ELSE 0 END"
+                         f" + CASE WHEN {q} > 0 THEN {q} * log2({q} / (({p} + {q}) / 2)) ELSE 0 END")
+        return f"sqrt(greatest(({' + '.join(terms)}) / 2, 0))"
+
+    near = []
+    total = " + ".join(f"r.c{k}" for k in range(n_classes))
+    for lang, words in rules.languages.items():
+        ks = [vocabulary.index(w) for w in words]
+        own, ref = (" + ".join(f"{t}.w{k}" for k in ks) for t in ("d", "r"))
+        by_char = distance((f"1.0 * d.c{k} / d.total_chars", f"1.0 * r.c{k} / ({total})") for k in range(n_classes))
+        by_word = distance([*((f"1.0 * d.w{k} / d.n_words", f"1.0 * r.w{k} / r.n_words") for k in ks),
+                            (f"1.0 * (d.n_words - ({own})) / d.n_words", f"1.0 * (r.n_words - ({ref})) / r.n_words")])
+        near.append(f"""(r.lang = '{lang}'
+          AND (d.total_chars < {rules.min_chars} OR {by_char} <= {rules.max_chars} + {rules.noise} / sqrt(d.total_chars))
+          AND (d.n_words < {rules.min_words} OR {by_word} <= {rules.max_words} + {rules.noise} / sqrt(d.n_words)))""")
+    return f"""
+WITH docs AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, words[i:i + 2] AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM docs)),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, lang, text, len(words) AS n_words, length(text) AS total_chars,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+         {", ".join(chars)}, {", ".join(counts)}
+  FROM docs),
+refs AS (
+  SELECT lang, sum(n_words) AS n_words, {", ".join(f"sum(c{k}) AS c{k}" for k in range(n_classes))},
+         {", ".join(f"sum(w{k}) AS w{k}" for k in range(len(vocabulary)))}
+  FROM counted WHERE lang IN ({", ".join(f"'{x}'" for x in rules.languages)}) GROUP BY lang HAVING sum(n_words) > 0),
+near AS (SELECT DISTINCT d.doc_id FROM counted d, refs r WHERE d.n_words >= 50 AND ({" OR ".join(near)})),
+base AS (
+  SELECT counted.doc_id, n_words::BIGINT AS n_words,
+         length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         (total_chars - length(regexp_replace(text, '[#*$%&|<>]+', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM counted LEFT JOIN covered ON covered.doc_id = counted.doc_id)
+SELECT base.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND (near.doc_id IS NOT NULL OR NOT EXISTS (SELECT 1 FROM refs)) AS kept
+FROM base LEFT JOIN near ON near.doc_id = base.doc_id
+"""
+
+
+ORACLE["op1_quality_rules"] = _quality_sql(Divergence())
+
+
+def _license_sql(percent: int = 90) -> str:
+    """Phrases at every word, and every line against every template, without any filter.
+
+    first_word and last_word can be null; as DOUBLE they reach pandas like Spark's nullable longs do.
+    """
+    phrases = ", ".join(f"(['{"', '".join(p.split())}'], '{label}')" for p, label in PHRASES.items())
+    templates = [(n, label, token_set(text)) for n, (label, text) in enumerate(TEMPLATES)]
+    rows = ", ".join(f"({n}, '{label}', {len(s)}, {-(-len(s) * percent // 100)}, '{t}')"
+                     for n, label, s in templates for t in sorted(s))
+    return f"""
+WITH docs AS (SELECT doc_id, lower(coalesce(text, '')) AS text FROM documents),
+phrases(p, label) AS (VALUES {phrases}),
+templates(n, label, size, need, token) AS (VALUES {rows}),
+words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(text, '{NO_WORD}'), lambda x: x <> '') AS w FROM docs),
+places AS (
+  SELECT doc_id, i - 1 AS place, label FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words), phrases
+  WHERE w[i:i + len(p) - 1] = p),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word FROM places GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, line_no, unnest(list_distinct(regexp_split_to_array(line, '{NO_WORD}'))) AS token
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+               unnest(range(len(string_split(text, chr(10))))) AS line_no FROM docs)),
+matches AS (
+  SELECT doc_id, label, count(*) / any_value(size) AS score FROM lines JOIN templates USING (token)
+  GROUP BY doc_id, line_no, n, label HAVING count(*) >= any_value(need)),
+labelled AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM matches) GROUP BY doc_id),
+base_labelled AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
+scored AS (SELECT doc_id, max(score) AS score FROM matches GROUP BY doc_id)
+SELECT words.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+       first_word::DOUBLE AS first_word, last_word::DOUBLE AS last_word,
+       coalesce(base_labelled.labels, '') AS base_labels, coalesce(labelled.labels, '') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN base_labelled USING (doc_id) LEFT JOIN labelled USING (doc_id)
+     LEFT JOIN scored USING (doc_id)
+"""
+
+
+ORACLE["op7_license_scan"] = _license_sql()

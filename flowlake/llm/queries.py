@@ -8,7 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from . import bitplane_store, decontaminate, language_id, lsh_forest, packing, page_text, prefix_counts, suffix_dedup
+from . import (
+    bitplane_store,
+    decontaminate,
+    language_id,
+    license_scan,
+    lsh_forest,
+    packing,
+    page_text,
+    prefix_counts,
+    quality_rules,
+    suffix_dedup,
+)
 from .common import table
 from .oracles import ORACLE  # noqa: F401
 
@@ -20,6 +31,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and its verdict by distance from the languages' histograms."""
+    return quality_rules.quality(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document without all repeated 400-byte strings, as counts and a digest."""
@@ -52,6 +69,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(docs, language_id.fit_language_model(docs))
 
 
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template matches of every document."""
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and how much of it fits 2048 tokens."""

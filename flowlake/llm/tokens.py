@@ -12,7 +12,7 @@ import os
 import re
 from array import array
 
-MEMORY_CHUNKS = 800_000
+MEMORY_CHUNKS = 1_500_000
 LONGEST_CHUNK = 64
 
 
@@ -66,35 +66,34 @@ class ChunkEncoder:
     def __init__(self, name: str, spaces: str | None = None):
         self.tokenizer = load_tokenizer(name)
         self.dropped = (spaces or ("dropped" if "word_" in os.path.basename(name) else "kept")) == "dropped"
+        self.lead, self.lead_letter = ("", "") if self.dropped else (" ", "\u0120")  # a space, as byte-level letter
         self.memory: dict[str, bytes] = {}
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.marks = dict(zip(".,;:!?", self.encode(list(".,;:!?"))))
 
     def chunks(self, text: str) -> list[str] | None:
-        """The chunks of a text; None where it has to be encoded whole."""
+        """What a text's spaces separate; None where it has to be encoded whole."""
         if self.dropped:
             return None if self._DROPPED_WHOLE.search(text) else text.lower().split()
-        if self._KEPT_WHOLE.search(text):
-            return None
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)]
+        return None if self._KEPT_WHOLE.search(text) else text.split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [_pack(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of one chunk: a plain word goes straight to the library's byte-pair model."""
-        lead, word, tail = "", chunk, b""
-        if not self.dropped and chunk[:1] == " ":
-            lead, word = "\u0120", chunk[1:]  # the byte-level letter of a space
+        word, tail = chunk, b""
         if word[-1:] in self.marks and word[:-1].isalpha():
             word, tail = word[:-1], self.marks[word[-1]]
+            known = self.memory.get(word)
+            if known is not None:
+                return known + tail
         if not word.isalpha():
-            return self.encode([chunk])[0]
+            return self.encode([self.lead + chunk])[0]
         if not word.isascii():
             word = "".join([self.letters[b] for b in word.encode()])
-        return _pack([t.id for t in self.model.tokenize(lead + word)]) + tail
+        return _pack([t.id for t in self.model.tokenize(self.lead_letter + word)]) + tail
 
     def ids(self, texts: list[str]) -> list[bytes]:
         memory, out = self.memory, []
@@ -103,16 +102,18 @@ class ChunkEncoder:
             if chunks is None:
                 out.append(self.encode([text])[0])
                 continue
-            parts = []
-            for chunk in chunks:
-                known = memory.get(chunk)
-                if known is None:
-                    known = self._chunk(chunk)
-                    # what comes first is what is common; memory stays bounded
-                    if len(memory) < MEMORY_CHUNKS and len(chunk) <= LONGEST_CHUNK:
-                        memory[chunk] = known
-                parts.append(known)
-            out.append(b"".join(parts))
+            start = b""
+            if self.lead:  # no space stands before the first one
+                start = self.encode(chunks[:1])[0]
+                del chunks[0]
+            new = {c: self._chunk(c) for c in set(chunks).difference(memory)}
+            if new and len(memory) < MEMORY_CHUNKS:
+                # what comes first is what is common; memory stays bounded
+                memory.update({c: ids for c, ids in new.items() if len(c) <= LONGEST_CHUNK})
+            if all(map(memory.__contains__, new)):
+                out.append(start + b"".join(map(memory.__getitem__, chunks)))
+            else:
+                out.append(start + b"".join([new[c] if c in new else memory[c] for c in chunks]))
         return out
 
 
