@@ -13,11 +13,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_bytes, keyed
+from .common import arrow_bytes, row_groups
 
 UNDETERMINED = "und"
 
@@ -194,9 +194,14 @@ def fit_language_model(docs: DataFrame, sample_rows: int = 4000, sample_bytes: i
     """
     text, doc_id = F.col("text"), F.col("doc_id").cast("long")
     usable = F.col("lang").isNotNull() & text.rlike(r"\p{L}") & ~held_out(doc_id) & doc_id.isNotNull()
+    # only rows that can be among the smallest hashes are sent; three times as many as are needed
+    n = docs.filter(F.col("lang").isNotNull() & doc_id.isNotNull() & ~held_out(doc_id)).count()
+    share = min(1.0, 3 * sample_rows / max(n, 1))
+    h = F.xxhash64(doc_id, text)
+    usable = usable & (h <= int(-2 ** 63 + share * (2 ** 64 - 1)) if share < 1 else F.lit(True))
     middle = F.greatest(F.lit(1), F.floor((F.length(text) - sample_bytes) / 2)).cast("int")
     rows = (docs.filter(usable)
-            .select(F.xxhash64(doc_id, text).alias("h"), F.col("lang").cast("string").alias("lang"),
+            .select(h.alias("h"), F.col("lang").cast("string").alias("lang"),
                     F.substring(text, middle, F.lit(sample_bytes)).alias("text"))
             .orderBy("h", "lang").limit(sample_rows).collect())
     labels = sorted({r.lang for r in rows})
@@ -219,33 +224,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def language_of(model: BiGru | None):
-    """Column function text -> struct<lang, score>: whole texts through the network."""
+def labels_and_scores(scorer: Scorer, labels: list[str], column) -> tuple[np.ndarray, np.ndarray]:
+    """Best label and its probability of each text of an Arrow column (null or empty: undetermined, 0)."""
+    buf, offsets = arrow_bytes(column)
+    lang, score = np.full(len(column), UNDETERMINED, object), np.zeros(len(column))
+    names = np.array(labels, object)
+    for lo, hi in row_groups(offsets, 1 << 20):
+        own = offsets[lo:hi + 1] - offsets[lo]
+        probs = scorer.documents(buf[offsets[lo]:offsets[hi]], own)
+        best = probs.argmax(1)
+        some = np.diff(own) > 0
+        lang[lo:hi][some] = names[best[some]]
+        score[lo:hi][some] = np.clip(probs[np.arange(len(best)), best][some], 0, 1)
+    return lang, score
 
-    @F.pandas_udf("lang string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        import pyarrow as pa
 
-        scorer = Scorer(model) if model else None
-        for texts in batches:
-            lang, score = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))
-            if scorer:
-                buf, offsets = arrow_bytes(pa.array(texts, pa.large_string()))
-                probs = scorer.documents(buf, offsets)
-                best = probs.argmax(1)
-                some = np.diff(offsets) > 0
-                lang[some] = np.array(model.labels, object)[best[some]]
-                score[some] = np.clip(probs[np.arange(len(best)), best][some], 0, 1)
-            yield pd.DataFrame({"lang": lang, "score": score})
-
-    has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-
-    def column(text: Column) -> Column:
-        found = predict(F.when(has_letter, text))
-        return F.when(has_letter, found).otherwise(
-            F.struct(F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score")))
-
-    return column
+def _has_letter() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 
 
 def language_id(docs: DataFrame, model: BiGru | None) -> DataFrame:
@@ -256,12 +251,34 @@ def language_id(docs: DataFrame, model: BiGru | None) -> DataFrame:
     doc_id and text are read; lang, source and doc_id are no inputs of a
     prediction, other columns may have any name.
     """
-    named = keyed(docs).select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    out = named.withColumn("found", language_of(model)(F.col("text")))
-    return out.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"),
+                       F.when(_has_letter(), F.col("text")).alias("text"))
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model) if model else None
+        for batch in batches:
+            n = batch.num_rows
+            lang, score = (labels_and_scores(scorer, model.labels, batch.column("text")) if scorer
+                           else ([UNDETERMINED] * n, np.zeros(n)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score)],
+                names=["doc_id", "held_out", "lang_pred", "score"])
+
+    return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: BiGru | None, min_score: float = 0.4) -> DataFrame:
-    """Rows whose language the network tells with at least ``min_score``; all columns unchanged."""
-    found = language_of(model)(F.col("text"))
-    return docs.filter((found["lang"] != UNDETERMINED) & (found["score"] >= min_score))
+    """Rows whose language the network tells with at least ``min_score``; all columns unchanged.
+
+    Without a model (no labelled row) no language can be told and no row stays.
+    """
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model) if model else None
+        for batch in batches:
+            if scorer and batch.num_rows:
+                lang, score = labels_and_scores(scorer, model.labels, batch.column("text"))
+                yield batch.filter(pa.array((lang != UNDETERMINED) & (score >= min_score)))
+
+    return docs.filter(_has_letter()).mapInArrow(keep, docs.schema)

@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from .common import row_keys
 
 NO_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: The same in texts that are not lower-cased yet.
+CASED_NO_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+CASED_WORD = CASED_NO_WORD.replace("[", "[^", 1)
 
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -144,11 +146,11 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     found = (matching_blocks(rows, ordered, order).groupBy("k1", "k2")
              .agg(F.collect_set("label").alias("more"), F.max("score").alias("score")))  # a set of given labels
     text = F.coalesce("text", F.lit(""))
-    some = {label: phrase.replace(" ", NO_WORD) for phrase, label in PHRASES.items()}
-    edge_before, edge_after = f"(?<!{WORD[:-1]})", f"(?!{WORD[:-1]})"
+    some = {label: phrase.replace(" ", CASED_NO_WORD) for phrase, label in PHRASES.items()}
+    edge_before, edge_after = f"(?<!{CASED_WORD[:-1]})", f"(?!{CASED_WORD[:-1]})"
     pattern = f"(?i){edge_before}(?:{'|'.join(some.values())}){edge_after}"
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    words = lambda c: F.regexp_count(c, F.lit(WORD)).cast("long")
+    words = lambda c: F.regexp_count(c, F.lit(CASED_WORD)).cast("long")
     base = rows.select(*row_keys(F.col("doc_id"), F.col("text")), "doc_id", words(text).alias("n_words"),
                        F.when(text.rlike(pattern), text).alias("text"))
     base = base.withColumn("hits", F.when(F.col("text").isNotNull(), hits).otherwise(F.array().cast("array<string>")))

@@ -70,6 +70,7 @@ class ChunkEncoder:
         self.memory: dict[str, bytes] = {}
         self.model = self.tokenizer.model
         self.letters = byte_letters()
+        self.line = self.encode(["\n"])[0]
         self.marks = dict(zip(".,;:!?", self.encode(list(".,;:!?"))))
 
     def chunks(self, text: str) -> list[str] | None:
@@ -81,19 +82,29 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         return [_pack(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of one chunk: a plain word goes straight to the library's byte-pair model."""
+    def _chunk(self, chunk: str, lead: bool = True) -> bytes:
+        """Ids of one chunk, after a space if the vocabulary keeps them and ``lead``.
+
+        A plain word goes straight to the library's byte-pair model, as do the
+        parts of two lines of which the second begins without white space.
+        """
         word, tail = chunk, b""
+        if not self.dropped and "\n" in chunk:
+            first, second = chunk.split("\n", 1)
+            if first and second and not first[-1].isspace() and not second[0].isspace():
+                known = self.memory.get(first) if lead else None
+                first = self._chunk(first, lead) if known is None else known
+                return first + self.line + self._chunk(second, False)
         if word[-1:] in self.marks and word[:-1].isalpha():
             word, tail = word[:-1], self.marks[word[-1]]
-            known = self.memory.get(word)
+            known = self.memory.get(word) if lead else None
             if known is not None:
                 return known + tail
         if not word.isalpha():
-            return self.encode([self.lead + chunk])[0]
+            return self.encode([self.lead + chunk if lead else chunk])[0]
         if not word.isascii():
             word = "".join([self.letters[b] for b in word.encode()])
-        return _pack([t.id for t in self.model.tokenize(self.lead_letter + word)]) + tail
+        return _pack([t.id for t in self.model.tokenize(self.lead_letter + word if lead else word)]) + tail
 
     def ids(self, texts: list[str]) -> list[bytes]:
         memory, out = self.memory, []
@@ -104,7 +115,7 @@ class ChunkEncoder:
                 continue
             start = b""
             if self.lead:  # no space stands before the first one
-                start = self.encode(chunks[:1])[0]
+                start = self._chunk(chunks[0], False)
                 del chunks[0]
             new = {c: self._chunk(c) for c in set(chunks).difference(memory)}
             if new and len(memory) < MEMORY_CHUNKS:
