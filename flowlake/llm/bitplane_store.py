@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import row_keys
+from .common import row_keys, short_batches
 from .tokens import encoder
 
 MAGIC = b"BPL1"
@@ -75,13 +75,18 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.j
     ones are ordered by their text's hash, repeated rows are stored each for
     itself. Only doc_id and text are read. Ranges of doc_ids become shards.
     """
+    short_batches(docs.sparkSession)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     doc_id = F.col("doc_id").cast("long")
     rows = docs.select(doc_id.alias("doc_id"), row_keys(doc_id, F.col("text"))[1], F.col("text").alias("text"))
     ordered = rows.repartitionByRange(partitions, "doc_id", "k2").sortWithinPartitions("doc_id", "k2")
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, shard = encoder(tokenizer), TaskContext.get().partitionId()
+        with encoder(tokenizer) as enc:
+            yield from store_with(enc, batches)
+
+    def store_with(enc, batches):
+        shard = TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         waiting, held, written, total = [], 0, 0, 0
 

@@ -13,6 +13,19 @@ from ..session import shared_path
 U64 = np.uint64
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Send 1000 rows at a time to Python unless the session sets a number of its own.
+
+    Rows here hold whole texts; Spark's default of 10000 makes batches of tens
+    of megabytes, of which the JVM and the worker hold several copies.
+    """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -24,6 +37,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage: what follows reads finished files, so a lost executor
     costs only its own tasks and no later step repeats the work above.
     """
+    short_batches(df.sparkSession)
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -39,6 +53,7 @@ def row_keys(doc_id: Column, text: Column) -> list[Column]:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """k1, k2, doc_id (long) and text of every row; other columns stay behind."""
+    short_batches(docs.sparkSession)
     doc_id = F.col("doc_id").cast("long")
     return docs.select(*row_keys(doc_id, F.col("text")), doc_id.alias("doc_id"), F.col("text").alias("text"))
 
@@ -103,7 +118,7 @@ class RangeHash:
             power, inverse = np.full(size, self.BASE[seed], U64), np.full(size, pow(self.BASE[seed], -1, 1 << 64), U64)
             power[0] = inverse[0] = 1
             power, inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
-            if size <= 1 << 21:
+            if size <= 1 << 20:
                 self._powers[seed] = power, inverse
         self.inverse = inverse
         self.sums = np.zeros(n, U64)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_bytes, row_groups
+from .common import arrow_bytes, row_groups, short_batches
 
 UNDETERMINED = "und"
 
@@ -251,6 +251,7 @@ def language_id(docs: DataFrame, model: BiGru | None) -> DataFrame:
     doc_id and text are read; lang, source and doc_id are no inputs of a
     prediction, other columns may have any name.
     """
+    short_batches(docs.sparkSession)
     doc_id = F.col("doc_id").cast("long")
     rows = docs.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"),
                        F.when(_has_letter(), F.col("text")).alias("text"))
@@ -281,4 +282,5 @@ def keep_identified(docs: DataFrame, model: BiGru | None, min_score: float = 0.4
                 lang, score = labels_and_scores(scorer, model.labels, batch.column("text"))
                 yield batch.filter(pa.array((lang != UNDETERMINED) & (score >= min_score)))
 
+    short_batches(docs.sparkSession)
     return docs.filter(_has_letter()).mapInArrow(keep, docs.schema)

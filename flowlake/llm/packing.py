@@ -142,7 +142,11 @@ def sized_documents(docs: DataFrame, tokenizer: str, capacity: int, end_id: int)
     end = np.array([end_id], "<u4").tobytes()
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(tokenizer), TaskContext.get().partitionId()
+        with encoder(tokenizer) as enc:
+            yield from size_with(enc, batches)
+
+    def size_with(enc, batches):
+        part = TaskContext.get().partitionId()
         ranks: Counter = Counter()
         full = 0
         for batch in batches:
@@ -227,16 +231,16 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity: int =
     texts = named.select("k1", "k2", "text").join(keys, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
 
     def checksum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            crcs = []
-            for text, start, length in zip(*(batch.column(c).to_pylist() for c in ("text", "start", "length"))):
-                ids = enc.ids([text or ""])[0] + end
-                crcs.append(zlib.crc32(ids[4 * start:4 * (start + length)]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(crcs, pa.int64()) if c == "ids_crc32" else batch.column(c) for c in PIECE_NAMES],
-                names=PIECE_NAMES)
+        with encoder(tokenizer) as enc:
+            for batch in batches:
+                crcs = []
+                for text, start, length in zip(*(batch.column(c).to_pylist() for c in ("text", "start", "length"))):
+                    ids = enc.ids([text or ""])[0] + end
+                    crcs.append(zlib.crc32(ids[4 * start:4 * (start + length)]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(crcs, pa.int64()) if c == "ids_crc32" else batch.column(c) for c in PIECE_NAMES],
+                    names=PIECE_NAMES)
 
     mended = cut.join(texts, ["k1", "k2"]).select(*PIECE_NAMES, "text").mapInArrow(checksum, PIECES)
     return pieces.filter("ids_crc32 is not null").union(mended)
@@ -252,14 +256,14 @@ def packed_sequences(pieces: DataFrame, docs: DataFrame, tokenizer: str = "byte_
     end = np.array([end_id], "<u4").tobytes()
 
     def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
-        for batch in batches:
-            ids = []
-            for text, start, length in zip(*(batch.column(c).to_pylist() for c in ("text", "start", "length"))):
-                ids.append((enc.ids([text or ""])[0] + end)[4 * start:4 * (start + length)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("sequence_id"), batch.column("offset"), pa.array(ids, pa.binary())],
-                names=["sequence_id", "offset", "ids"])
+        with encoder(tokenizer) as enc:
+            for batch in batches:
+                ids = []
+                for text, start, length in zip(*(batch.column(c).to_pylist() for c in ("text", "start", "length"))):
+                    ids.append((enc.ids([text or ""])[0] + end)[4 * start:4 * (start + length)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("sequence_id"), batch.column("offset"), pa.array(ids, pa.binary())],
+                    names=["sequence_id", "offset", "ids"])
 
     parts = (pieces.join(texts, ["k1", "k2"]).select("sequence_id", "offset", "start", "length", "text")
              .mapInArrow(ids_of, "sequence_id long, offset long, ids binary"))

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import short_batches
 from .tokens import ChunkEncoder, byte_letters, tokenizer_path
 
 MEMORY = 600_000
@@ -218,6 +219,7 @@ def token_counts(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", limit: i
                 [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit", "fits_chars"])
 
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     return rows.mapInArrow(scan, f"doc_id long, {COUNTED}")
 
@@ -242,5 +244,6 @@ def prefix_tables(docs: DataFrame, tokenizer: str = "word_bpe_49k.json") -> Data
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ends, lists), pa.array(tokens, lists)],
                                              names=["doc_id", "ends", "counts"])
 
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     return rows.mapInArrow(scan, "doc_id long, ends array<long>, counts array<long>")

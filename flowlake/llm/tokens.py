@@ -11,8 +11,10 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-MEMORY_CHUNKS = 1_500_000
+MEMORY_CHUNKS = 600_000
 LONGEST_CHUNK = 64
 
 
@@ -131,8 +133,16 @@ class ChunkEncoder:
 _encoders: dict[str, ChunkEncoder] = {}
 
 
-def encoder(name: str) -> ChunkEncoder:
-    """This process's encoder of a vocabulary; kept between the tasks of one worker."""
+@contextmanager
+def encoder(name: str) -> Iterator[ChunkEncoder]:
+    """This process's encoder of a vocabulary, for one task.
+
+    The vocabulary stays loaded between the tasks of a worker; what the task
+    remembered is forgotten at its end.
+    """
     if name not in _encoders:
         _encoders[name] = ChunkEncoder(name)
-    return _encoders[name]
+    try:
+        yield _encoders[name]
+    finally:
+        _encoders[name].memory.clear()
