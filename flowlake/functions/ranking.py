@@ -13,40 +13,52 @@ many partitions, and the position is finished in two narrow passes:
 3. on the driver, the per-partition rows (bounded by the partition count) give
    the rows of a key that precede each partition;
 4. pass B: each partition numbers its rows with a vectorised cumulative count,
-   starting its first key at that carry.
+   starting its first key at that carry. Rows stay Arrow batches throughout, so
+   no value is converted.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import ensure_checkpoint_dir
 
 
-def _same(a: pd.Series, b: pd.Series) -> pd.Series:
-    return (a == b) | (a.isna() & b.isna())
+def _row_key(batch: pa.RecordBatch, by, i: int) -> tuple:
+    return tuple(batch.column(c)[i].as_py() for c in by)
 
 
 def _key_eq(x, y) -> bool:
+    """Equality of two keys as Spark groups them: null equals null, NaN equals NaN."""
     if x is None or y is None:
         return x is y
-    return all((u == v) or (pd.isna(u) and pd.isna(v)) for u, v in zip(x, y))
+    return all(u == v or (u != u and v != v) for u, v in zip(x, y))
 
 
-def _row_key(pdf: pd.DataFrame, by, i):
-    return tuple(None if pd.isna(v) else v for v in (pdf[c].iloc[i] for c in by))
+def _changes(batch: pa.RecordBatch, by, prev_key) -> np.ndarray:
+    """Whether each row's key differs from the row's before (the first row's: from ``prev_key``).
 
-
-def _changes(pdf: pd.DataFrame, by, prev_key) -> pd.Series:
-    change = pd.Series(False, index=pdf.index)
+    Compares Arrow columns, so large integers are never rounded through floats.
+    """
+    n = batch.num_rows
+    change = np.zeros(n, bool)
     for c in by:
-        s = pdf[c]
-        change |= ~_same(s, s.shift())
-    first = not _key_eq(_row_key(pdf, by, 0), prev_key)
-    change.iloc[0] = first
+        col = batch.column(c)
+        above, below = col.slice(0, n - 1), col.slice(1)
+        differs = pc.fill_null(pc.not_equal(below, above), False).to_numpy(zero_copy_only=False)
+        if pa.types.is_floating(col.type):
+            nan = pc.fill_null(pc.is_nan(col), False).to_numpy(zero_copy_only=False)
+            differs = differs & ~(nan[1:] & nan[:-1])
+        null = pc.is_null(col).to_numpy(zero_copy_only=False)
+        change[1:] |= differs | (null[1:] != null[:-1])
+    if n:
+        change[0] = not _key_eq(_row_key(batch, by, 0), prev_key)
     return change
 
 
@@ -72,44 +84,30 @@ def partition_runs(ck: DataFrame, by) -> list:
         + [T.StructField(f"f_{f.name}", f.dataType) for f in key_fields]
         + [T.StructField(f"l_{f.name}", f.dataType) for f in key_fields])
 
-    def summarize(it):
-        pid = TaskContext.get().partitionId()
-        n = 0
+    def summarize(batches):
+        pid, n = TaskContext.get().partitionId(), 0
         first = last = None
         first_run = last_run = 0
-        first_open = True
-        for pdf in it:
-            if len(pdf) == 0:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            k0, kl = _row_key(pdf, by, 0), _row_key(pdf, by, len(pdf) - 1)
-            eq0 = pd.Series(True, index=pdf.index)
-            eql = pd.Series(True, index=pdf.index)
-            for i, c in enumerate(by):
-                eq0 &= _same(pdf[c], pd.Series([k0[i]] * len(pdf), index=pdf.index, dtype=object))
-                eql &= _same(pdf[c], pd.Series([kl[i]] * len(pdf), index=pdf.index, dtype=object))
-            c0, cl = int(eq0.sum()), int(eql.sum())
+            starts = np.flatnonzero(_changes(batch, by, last))
             if first is None:
-                first, first_run, first_open = k0, c0, c0 == len(pdf)
-            elif first_open:
-                if _key_eq(k0, first):
-                    first_run += c0
-                    first_open = c0 == len(pdf)
-                else:
-                    first_open = False
-            if last is not None and _key_eq(kl, last) and cl == len(pdf):
-                last_run += cl
-            else:
-                last_run = cl
-            last = kl
-            n += len(pdf)
+                first = _row_key(batch, by, 0)
+                starts = starts[1:]  # the first key's own start
+                first_open = True
+            if first_open:
+                first_run += int(starts[0]) if len(starts) else batch.num_rows
+                first_open = not len(starts)
+            last_run = batch.num_rows - int(starts[-1]) if len(starts) else last_run + batch.num_rows
+            last = _row_key(batch, by, batch.num_rows - 1)
+            n += batch.num_rows
         if n:
             row = {"pid": pid, "n": n, "first_run": first_run, "last_run": last_run}
-            for i, c in enumerate(by):
-                row[f"f_{c}"] = first[i]
-                row[f"l_{c}"] = last[i]
-            yield pd.DataFrame([row])
+            row |= {f"f_{c}": v for c, v in zip(by, first)} | {f"l_{c}": v for c, v in zip(by, last)}
+            yield pa.RecordBatch.from_pylist([row], schema=to_arrow_schema(schema))
 
-    rows = ck.select(*by).mapInPandas(summarize, schema).collect()
+    rows = ck.select(*by).mapInArrow(summarize, schema).collect()
     return sorted(rows, key=lambda r: r["pid"])
 
 
@@ -139,20 +137,18 @@ def position_within(df: DataFrame, by, order, name: str = "position",
     info = carries(partition_runs(ck, by), by)
     schema = T.StructType(ck.schema.fields + [T.StructField(name, T.LongType(), False)])
 
-    def assign(it):
-        pid = TaskContext.get().partitionId()
-        prev_key, prev_count = info.get(pid, (None, 0))
-        for pdf in it:
-            if len(pdf) == 0:
+    def assign(batches):
+        prev_key, prev_count = info.get(TaskContext.get().partitionId(), (None, 0))
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
                 continue
-            change = _changes(pdf, by, prev_key)
-            grp = change.cumsum()
-            pos = pdf.groupby(grp).cumcount() + 1
-            if not change.iloc[0]:
-                pos = pos + (grp == grp.iloc[0]) * prev_count
-            pdf[name] = pos.astype("int64")
-            prev_key = _row_key(pdf, by, len(pdf) - 1)
-            prev_count = int(pdf[name].iloc[-1])
-            yield pdf
-
-    return ck.mapInPandas(assign, schema)
+            change = _changes(batch, by, prev_key)
+            at = np.arange(n)
+            start = np.maximum.accumulate(np.where(change, at, -1))
+            position = np.where(start < 0, prev_count + at + 1, at - start + 1)
+            prev_key, prev_count = _row_key(batch, by, n - 1), int(position[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(position, pa.int64())],
+                                             names=[*batch.schema.names, name])
+
+    return ck.mapInArrow(assign, schema)

@@ -92,8 +92,11 @@ def connection_validate(requests: DataFrame, components: DataFrame) -> DataFrame
     Types are upper-cased and must be one of the connectable types; an empty
     name becomes ``Connection from S to D``; thresholds default to 10000 items,
     ``1 GB`` and ``0 sec``.  Both endpoints must exist, have the declared type
-    and live in the request's group.
+    and live in the request's group, which becomes the group of both.  With a
+    column ``relationships`` (an array) the selected relationships are carried
+    along, and a request without them is invalid; an empty list is a choice.
     """
+    carried = [c for c in ("relationships",) if c in requests.columns]
     comp = components.select("id", F.col("group_id").alias("_g"), F.col("kind").alias("_k"))
     src = comp.select(F.col("id").alias("source_id"), F.col("_g").alias("src_group"), F.col("_k").alias("src_kind"))
     dst = comp.select(F.col("id").alias("destination_id"), F.col("_g").alias("dst_group"),
@@ -109,12 +112,14 @@ def connection_validate(requests: DataFrame, components: DataFrame) -> DataFrame
         (F.col("src_group").isNotNull() & (F.col("src_kind") != st), "source_type_mismatch"),
         (F.col("dst_group").isNotNull() & (F.col("dst_kind") != dt_), "destination_type_mismatch"),
         (F.col("src_group") != F.col("group_id"), "source_other_group"),
-        (F.col("dst_group") != F.col("group_id"), "destination_other_group"))
+        (F.col("dst_group") != F.col("group_id"), "destination_other_group"),
+        *[(F.col(c).isNull(), "no_relationships") for c in carried])
     name = T.default_text(F.col("name"), F.concat(F.lit("Connection from "), F.col("source_id"),
                                                   F.lit(" to "), F.col("destination_id")))
     return df.select(
-        "request_id", "group_id", "source_id", st.alias("source_type"),
-        "destination_id", dt_.alias("destination_type"), name.alias("name"),
+        "request_id", "group_id", "source_id", st.alias("source_type"), F.col("group_id").alias("source_group_id"),
+        "destination_id", dt_.alias("destination_type"), F.col("group_id").alias("destination_group_id"),
+        name.alias("name"), *carried,
         F.lit(T.DEFAULT_BP_OBJECTS).cast("bigint").alias("bp_objects"),
         F.lit(T.DEFAULT_BP_SIZE).alias("bp_size"), F.lit(T.DEFAULT_EXPIRATION).alias("expiration"),
         (F.size(reasons) == 0).alias("valid"), F.array_join(reasons, ", ").alias("reasons"))
@@ -127,8 +132,9 @@ def connection_validate(requests: DataFrame, components: DataFrame) -> DataFrame
 def pipeline_spec_expand(specs: DataFrame) -> DataFrame:
     """H1: pipeline steps → created / rejected / skipped component rows.
 
-    Input rows: ``pipeline_id, i, type, name, x, y`` (one row per step; a
-    missing field is null).  ``type`` is checked before ``name``.  Steps before
+    Input rows: ``pipeline_id, i, type, name, x, y, config`` (one row per step; a
+    missing field is null; ``y`` and the map ``config`` may be left out, and a
+    null config becomes an empty map).  ``type`` is checked before ``name``.  Steps before
     the first bad one are created, the bad one is rejected with the message,
     the rest are skipped.  Default position ``(200 + 200*i, 200)``.
 
@@ -139,7 +145,8 @@ def pipeline_spec_expand(specs: DataFrame) -> DataFrame:
         specs = specs.withColumn("y", F.lit(None).cast("double"))
     bad = F.col("type").isNull() | F.col("name").isNull()
     first_bad = specs.groupBy("pipeline_id").agg(F.min(F.when(bad, F.col("i"))).alias("first_bad"))
-    df = specs.join(first_bad, "pipeline_id")
+    first_bad = first_bad.withColumnRenamed("pipeline_id", "_pipeline")
+    df = specs.join(first_bad, specs["pipeline_id"].eqNullSafe(first_bad["_pipeline"]))
     fb = F.col("first_bad")
     status = (F.when(fb.isNull() | (F.col("i") < fb), F.lit("created"))
               .when(F.col("i") == fb, F.lit("rejected")).otherwise(F.lit("skipped")))
@@ -148,14 +155,17 @@ def pipeline_spec_expand(specs: DataFrame) -> DataFrame:
     return df.select(
         "pipeline_id", "i", status.alias("status"), message.alias("message"), "type", "name",
         F.coalesce("x", F.lit(200.0) + F.lit(200.0) * F.col("i")).cast("double").alias("x"),
-        F.coalesce("y", F.lit(200.0)).cast("double").alias("y"))
+        F.coalesce("y", F.lit(200.0)).cast("double").alias("y"),
+        *([F.coalesce("config", F.create_map().cast("map<string,string>")).alias("config")]
+          if "config" in specs.columns else []))
 
 
 def pipeline_summary(expanded: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """H1 per pipeline: its group (at the fixed position), steps created, outcome.
 
     ``expanded`` is the output of ``pipeline_spec_expand``; ``names`` optionally
-    maps ``pipeline_id`` to ``name`` (the id is used otherwise).  A pipeline
+    maps ``pipeline_id`` to ``name`` (the id is used otherwise); a pipeline that
+    is only there has no steps and succeeds with 0 processors.  A pipeline
     with a rejected step is not a success and reports that step's message; the
     group and the steps before it exist anyway (creation is not atomic).  One
     grouped aggregate with a map-side partial step.
@@ -164,7 +174,8 @@ def pipeline_summary(expanded: DataFrame, names: DataFrame | None = None) -> Dat
         F.count_if(F.col("status") == "created").alias("created"),
         F.min(F.when(F.col("status") == "rejected", F.struct("i", "message"))).alias("bad"))
     if names is not None:
-        agg = agg.join(names.select("pipeline_id", "name"), "pipeline_id", "left")
+        agg = agg.join(names.select("pipeline_id", "name"), "pipeline_id", "full").withColumn(
+            "created", F.coalesce("created", F.lit(0)))
         name = F.coalesce(F.col("name"), F.col("pipeline_id").cast("string"))
     else:
         name = F.col("pipeline_id").cast("string")
@@ -181,55 +192,73 @@ def pipeline_summary(expanded: DataFrame, names: DataFrame | None = None) -> Dat
 # H3: processor config updates
 # ---------------------------------------------------------------------------
 
-def config_update(properties: DataFrame, updates: DataFrame, processors: DataFrame):
-    """H3: apply config updates given as long rows ``(processor_id, update_type, name, value)``.
-
-    ``properties`` replaces the processor's whole property map with the
-    payload; ``auto-terminatedrelationships`` replaces its auto-terminated list
-    with the payload values; any other kind is rejected, as is an unknown
-    processor.  Returns ``(status, config)``: one status row per
-    (processor_id, update_type), and the new long config table
-    ``(processor_id, section, name, value)``.
+def _last_commands(updates: DataFrame) -> DataFrame:
+    """The rows of each processor's last command of each type (highest ``seq``; without one, all rows are one command)."""
+    if "seq" not in updates.columns:
+        return updates.select("processor_id", "update_type", "name", "value")
+    key = ["processor_id", "update_type"]
+    last = updates.groupBy(*key).agg(F.max("seq").alias("seq"))
+    return updates.join(last, [*key, "seq"]).select(*key, "name", "value")
+
+
+def config_update(properties: DataFrame, updates: DataFrame, processors: DataFrame,
+                  auto_terminated: DataFrame | None = None):
+    """H3: apply config updates given as long rows ``([seq,] processor_id, update_type, name, value)``.
+
+    Rows of one ``seq`` are one command; of several commands of one type to one
+    processor the last replaces those before.  ``properties`` replaces the
+    processor's whole property map with the payload; a row without a name is an
+    empty payload.  ``auto-terminatedrelationships`` replaces its list with the
+    payload's values; a row without a value is an empty list.  Any other kind is
+    rejected, as is an unknown processor; everything else is kept.
+    ``auto_terminated`` (``processor_id, value``) is the list before.  Returns
+    ``(status, config)``: one status row per (processor_id, update_type), and
+    the new long config table ``(processor_id, section, name, value)``.
     """
     cmds = updates.select("processor_id", "update_type").distinct()
     known = processors.select(F.col("id").alias("processor_id"), F.lit(True).alias("_found"))
-    ok_kind = F.col("update_type").isin(T.CONFIG_PROPERTIES, T.CONFIG_AUTO_TERMINATED)
+    ok_kind = F.coalesce(F.col("update_type").isin(T.CONFIG_PROPERTIES, T.CONFIG_AUTO_TERMINATED), F.lit(False))
     status = cmds.join(known, "processor_id", "left").select(
         "processor_id", "update_type",
         F.when(~ok_kind, F.lit("invalid_update_type"))
         .when(F.col("_found").isNull(), F.lit("not_found")).otherwise(F.lit("applied")).alias("status"))
-    applied = status.where(F.col("status") == "applied")
-    prop_upd = applied.where(F.col("update_type") == T.CONFIG_PROPERTIES).select("processor_id")
-    auto_upd = applied.where(F.col("update_type") == T.CONFIG_AUTO_TERMINATED).select("processor_id")
+    applied = _last_commands(updates.where(ok_kind)).join(
+        known.select("processor_id"), "processor_id", "left_semi")
+
+    def section(kind, label, old, name, value, some):
+        new = applied.where(F.col("update_type") == kind)
+        kept = old.join(new.select("processor_id").distinct(), "processor_id", "left_anti")
+        rows = kept.select("processor_id", name, value).unionByName(new.where(some).select("processor_id", name, value))
+        return rows.select("processor_id", F.lit(label).alias("section"), "name", "value")
 
-    kept = properties.join(prop_upd, "processor_id", "left_anti")
-    new_props = updates.where(F.col("update_type") == T.CONFIG_PROPERTIES).join(prop_upd, "processor_id", "left_semi")
-    props = kept.select("processor_id", "name", "value").unionByName(new_props.select("processor_id", "name", "value"))
-    auto = updates.where(F.col("update_type") == T.CONFIG_AUTO_TERMINATED).join(auto_upd, "processor_id", "left_semi")
-    config = props.select("processor_id", F.lit("properties").alias("section"), "name", "value").unionByName(
-        auto.select("processor_id", F.lit("autoTerminatedRelationships").alias("section"),
-                    F.lit(None).cast("string").alias("name"), "value"))
-    return status, config
+    none = F.lit(None).cast("string").alias("name")
+    config = section(T.CONFIG_PROPERTIES, "properties", properties, F.col("name"), F.col("value"),
+                     F.col("name").isNotNull())
+    old_auto = auto_terminated if auto_terminated is not None else properties.where(F.lit(False))
+    return status, config.unionByName(section(T.CONFIG_AUTO_TERMINATED, "autoTerminatedRelationships", old_auto, none,
+                                              F.col("value"), F.col("value").isNotNull()))
 
 
 def config_update_maps(processors: DataFrame, updates: DataFrame) -> DataFrame:
     """H3 on the nested config: ``properties`` (map) and ``auto_terminated`` (list).
 
     ``processors``: ``id, properties map<string,string>, auto_terminated array<string>``;
-    ``updates``: long rows ``(processor_id, update_type, name, value)``.  A
-    ``properties`` update replaces the whole map with the payload map, an
-    ``auto-terminatedrelationships`` update replaces the list with the payload
-    values; other kinds change nothing.  Each payload is gathered per command
-    (bounded by that command's size) and joined to its processor.
+    ``updates``: long rows ``([seq,] processor_id, update_type, name, value)``, by the
+    rules of ``config_update``; of a name that one payload holds twice the larger
+    value stays.  Each last payload is gathered per processor (bounded by that
+    command's size) and joined to its processor.
     """
-    valid = updates.where(F.col("update_type").isin(T.CONFIG_PROPERTIES, T.CONFIG_AUTO_TERMINATED))
-    payload = valid.groupBy("processor_id").agg(
-        F.map_from_entries(F.collect_list(F.when(
-            F.col("update_type") == T.CONFIG_PROPERTIES, F.struct("name", "value")))).alias("_props"),
-        F.max(F.col("update_type") == T.CONFIG_PROPERTIES).alias("_has_props"),
-        F.array_sort(F.collect_list(F.when(
-            F.col("update_type") == T.CONFIG_AUTO_TERMINATED, F.col("value")))).alias("_auto"),
-        F.max(F.col("update_type") == T.CONFIG_AUTO_TERMINATED).alias("_has_auto"))
+    last = _last_commands(updates.where(F.col("update_type").isin(T.CONFIG_PROPERTIES, T.CONFIG_AUTO_TERMINATED)))
+    is_props = F.col("update_type") == T.CONFIG_PROPERTIES
+    entries = last.groupBy("processor_id", "update_type", F.when(is_props, F.col("name")).otherwise(F.col("value"))
+                           .alias("entry")).agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("times"))
+    payload = entries.groupBy("processor_id").agg(
+        F.map_from_entries(F.collect_list(F.when(is_props & F.col("entry").isNotNull(), F.struct("entry", "value"))))
+        .alias("_props"),
+        F.max(is_props).alias("_has_props"),
+        F.array_sort(F.flatten(F.collect_list(F.when(~is_props & F.col("entry").isNotNull(), F.array_repeat(
+            "entry", F.col("times").cast("int")))))).alias("_auto"),
+        F.max(~is_props).alias("_has_auto"))
     df = processors.join(payload.withColumnRenamed("processor_id", "id"), "id", "left")
     return df.select(
         "id",
@@ -249,15 +278,17 @@ def state_apply(commands: DataFrame, processors: DataFrame, ports: DataFrame | N
     Processors accept RUNNING and STOPPED; ports also DISABLED.  No version is
     needed (ports re-read their revision).  Status: ``set``, ``invalid_state``
     or ``not_found``.  An unknown id is ``not_found`` unless the state is
-    invalid for every kind.
+    invalid for every kind; a missing state is invalid.
     """
     comp = processors.select("id", F.lit("processor").alias("kind"), "run_status")
     if ports is not None:
         comp = comp.unionByName(ports.select("id", F.lit("port").alias("kind"), "run_status"))
     st = F.upper(F.col("state"))
     df = commands.join(comp, F.col("target_id") == F.col("id"), "left")
-    allowed = (F.when(F.col("kind") == "port", st.isin(T.PORT_STATES)).otherwise(st.isin(T.PROCESSOR_STATES)))
-    status = (F.when(~allowed, F.lit("invalid_state"))
+    any_kind = sorted({*T.PORT_STATES, *T.PROCESSOR_STATES})
+    allowed = (F.when(F.col("kind") == "port", st.isin(T.PORT_STATES))
+               .when(F.col("kind") == "processor", st.isin(T.PROCESSOR_STATES)).otherwise(st.isin(any_kind)))
+    status = (F.when(~F.coalesce(allowed, F.lit(False)), F.lit("invalid_state"))
               .when(F.col("kind").isNull(), F.lit("not_found")).otherwise(F.lit("set")))
     return df.select(
         "target_id", "kind", st.alias("requested_state"), F.col("run_status").alias("previous_state"),
@@ -265,23 +296,32 @@ def state_apply(commands: DataFrame, processors: DataFrame, ports: DataFrame | N
         F.when(status == "set", st).otherwise(F.col("run_status")).alias("new_state"))
 
 
-def group_state_apply(spark, requests: Iterable[tuple[str, str]], processors: DataFrame) -> DataFrame:
-    """H5: set the state of every eligible processor of the requested groups.
+def group_state_apply(spark, requests: Iterable[tuple[str, str]] | DataFrame, processors: DataFrame,
+                      ports: DataFrame | None = None) -> DataFrame:
+    """H5: set the state of every eligible component of the requested groups.
 
-    ``requests`` is a list of (group_id, state); state must be RUNNING or
-    STOPPED after upper-casing.  Eligible: not DISABLED and no validation
-    error.  No version check.  The request list is broadcast (its size is the
-    argument's length).
+    ``requests`` is a list of (group_id, state), or a table ``group_id, state,
+    seq``; of several requests for a group the last one counts.  State must be
+    RUNNING or STOPPED after upper-casing: a list with another one is an error,
+    such rows of a table are left out.  Eligible: not DISABLED and no
+    validation error (processors; ports have none).  No version check.
     """
-    req = []
-    for g, s in requests:
-        s = s.upper()
-        if s not in T.GROUP_STATES:
-            raise ValueError(f"Invalid state {s!r}: must be one of {T.GROUP_STATES}")
-        req.append((g, s))
-    rq = spark.createDataFrame(req, "group_id string, state string")
     eligible = (F.coalesce(F.col("run_status"), F.lit("")) != "DISABLED") & \
         (F.coalesce(F.size("validation_errors"), F.lit(0)) <= 0)
-    groups = sorted({g for g, _ in req})
-    return processors.where(F.col("group_id").isin(groups)).join(F.broadcast(rq), "group_id").where(eligible).select(
+    members = processors.select("id", "group_id", "run_status", "validation_errors")
+    if ports is not None:
+        members = members.unionByName(ports.select("id", "group_id", "run_status"), allowMissingColumns=True)
+    if isinstance(requests, DataFrame):
+        valid = requests.withColumn("state", F.upper("state")).where(F.col("state").isin(T.GROUP_STATES))
+        rq = valid.groupBy("group_id").agg(F.max_by("state", F.struct("seq", "state")).alias("state"))
+    else:
+        req = {}
+        for g, s in requests:
+            req[g] = s.upper()
+            if req[g] not in T.GROUP_STATES:
+                raise ValueError(f"Invalid state {s!r}: must be one of {T.GROUP_STATES}")
+        # as long as the argument
+        rq = F.broadcast(spark.createDataFrame(list(req.items()), "group_id string, state string"))
+        members = members.where(F.col("group_id").isin(sorted(req)))
+    return members.join(rq, "group_id").where(eligible).select(
         "id", "group_id", F.col("run_status").alias("previous_state"), F.col("state").alias("new_state"))

@@ -137,22 +137,30 @@ def lint_documents(docs: DataFrame) -> DataFrame:
     """D1 on flow documents, one document at a time, without any join.
 
     Each document holds one group's processors and connections, so the rules
-    run on its arrays with built-in higher-order functions: the disconnected
-    ids are ``array_except(processor ids, endpoint ids)`` (hash based, linear
-    in the document) and names come from a map lookup.  Narrow and stateless,
-    so it runs unchanged on a stream of documents.  Same columns and rows as
+    run on its arrays with built-in higher-order functions.  A processor is
+    looked up among the endpoint ids or among the ids that are no endpoint
+    (``array_except``, hash based), whichever are fewer; processors without an
+    id or with a repeated one are each reported.  Narrow and stateless, so it
+    runs unchanged on a stream of documents.  Same columns and rows as
     ``lint_report`` on the flattened tables.
     """
     flow = F.col("processGroupFlow.flow")
     procs = flow.getField("processors")
     conns = flow.getField("connections")
     ids = F.transform(procs, lambda p: p["id"])
-    names = F.map_from_arrays(ids, F.transform(
-        procs, lambda p: F.coalesce(p["component"].getField("name"), F.lit(T.UNKNOWN_NAME))))
     ends = F.filter(F.flatten(F.transform(conns, lambda c: F.array(
         c["component"]["source"]["id"], c["component"]["destination"]["id"]))),
         lambda x: x.isNotNull() & (x != ""))
-    disconnected = F.array_except(ids, F.coalesce(ends, F.array().cast("array<string>")))
+    ends = F.coalesce(F.array_distinct(ends), F.array().cast("array<string>"))
+
+    def lone(procs, ends, free):
+        has = lambda where, p: F.coalesce(F.array_contains(where, p["id"]), F.lit(False))
+        return F.when(F.size(free) < F.size(ends), F.filter(procs, lambda p: has(free, p) | p["id"].isNull())).otherwise(
+            F.filter(procs, lambda p: ~has(ends, p)))
+
+    # one-element arrays bind a value that the lookups then use many times
+    disconnected = F.transform(F.array(ends), lambda e: F.transform(
+        F.array(F.array_except(ids, e)), lambda free: lone(procs, e, free)))[0][0]
 
     def line(rule, pid, text):
         return F.struct(F.lit(rule).alias("rule"), F.lit(RULE_ORDER[rule]).alias("rule_order"),
@@ -169,8 +177,8 @@ def lint_documents(docs: DataFrame) -> DataFrame:
         n_procs == 0,
         F.array(line("no_processors", F.lit(None).cast("string"), F.lit(T.MSG_NO_PROCESSORS))),
     ).otherwise(F.concat(
-        F.transform(disconnected, lambda i: line(
-            "disconnected", i, F.format_string(T.MSG_DISCONNECTED, names[i], i))),
+        F.transform(disconnected, lambda p: line(
+            "disconnected", p["id"], F.format_string(T.MSG_DISCONNECTED, pname(p), p["id"]))),
         F.transform(F.filter(procs, lambda p: F.coalesce(p["status"]["runStatus"], F.lit(T.UNKNOWN_STATUS))
                              == "STOPPED"),
                     lambda p: line("stopped", p["id"], F.format_string(T.MSG_STOPPED, pname(p)))),

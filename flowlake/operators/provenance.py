@@ -40,7 +40,7 @@ def provenance_search(events: DataFrame, terms: dict, max_results: int = 1000,
     """events matching all terms, newest first, at most ``max_results``.
 
     ``terms`` maps a key to a value or to ``(value, inverse)``; an inverse term
-    keeps the events that do *not* match.  ``summarize`` drops the detail
+    keeps the events that do *not* match, those without a value included.  ``summarize`` drops the detail
     columns.
     """
     df = events
@@ -48,7 +48,7 @@ def provenance_search(events: DataFrame, terms: dict, max_results: int = 1000,
         value, inverse = (spec if isinstance(spec, tuple) else (spec, False))
         col = _term_column(key, events.columns)
         cond = F.col(col) == F.lit(value)
-        df = df.where(~cond if inverse else cond)
+        df = df.where(~F.coalesce(cond, F.lit(False)) if inverse else cond)
     if summarize:
         df = df.drop(*[c for c in DETAIL_COLUMNS if c in df.columns])
     return df.orderBy(F.col("event_time").desc(), F.col("event_id").desc()).limit(int(max_results))
@@ -57,15 +57,17 @@ def provenance_search(events: DataFrame, terms: dict, max_results: int = 1000,
 def provenance_event_content(events: DataFrame, content: DataFrame, direction: str) -> DataFrame:
     """Each event with its input or output body; a missing body is reported.
 
-    ``direction`` must be exactly ``input`` or ``output``.  The content side is
-    one row per claim; many events share a claim, and AQE splits a hot claim's
-    partition on the event side.
+    ``content`` has one row per claim: ``claim_id``, ``body`` and any further
+    columns, which come out as they are (null where the claim is missing).
+    ``direction`` must be exactly ``input`` or ``output``.  Many events share a
+    claim; AQE splits a hot claim's partition on the event side.
     """
     if direction not in DIRECTIONS:
         raise ValueError(f"direction must be 'input' or 'output', got {direction!r}")
     claim = F.col(f"{direction}_claim")
     ev = events.select("event_id", claim.alias("claim_id"))
-    body = content.select("claim_id", "n_chars", "body_md5", F.lit(True).alias("_found"))
+    columns = [c for c in content.columns if c != "claim_id"]
+    body = content.select("claim_id", *columns, F.lit(True).alias("_found"))
     return ev.join(body, "claim_id", "left").select(
         "event_id", F.lit(direction).alias("direction"), "claim_id",
-        F.coalesce("_found", F.lit(False)).alias("found"), "n_chars", "body_md5")
+        F.coalesce("_found", F.lit(False)).alias("found"), *columns)

@@ -1,49 +1,66 @@
 """Group hierarchy: pipeline list, closure, inherited parameters.
 
-The group tree is walked with Spark SQL's recursive CTE.  Spark stops a
-recursion after 100 levels, so a cycle in parent links fails loudly instead of
-looping.  Only the group tree is walked this way; connections may be cyclic
-and nothing here follows them transitively.
+The closure is built by doubling: from each group's ancestors nearer than 2**k
+and the table of jumps 2**k levels up follow those nearer than 2**(k+1), so a
+tree of any depth takes a logarithmic number of joins, and there is no limit on
+rows or levels. Jump tables, and deeper closures, are written to the shared
+folder to cut the lineage. A cycle in parent links never runs out of jumps; it
+is told by a jump longer than there are groups. Only the group tree is walked
+this way; connections may be cyclic and nothing here follows them transitively.
 
 ``scope`` (for example ``["snapshot_id"]``) keeps trees of different snapshots
-apart: its columns join every recursion step and lead the output.
+apart: its columns join every step and lead the output.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_path
+
 ROOT_PARENT = "root"
 CHILD_NAME_PREFIX = "ProcessGroup-"
+#: Rounds whose closure stays a plan of joins; later ones start from a written table.
+PLAIN_ROUNDS = 2
 
 
-def _view(df: DataFrame, stem: str) -> str:
-    name = f"_fl_{stem}_{uuid.uuid4().hex[:12]}"
-    df.createOrReplaceTempView(name)
-    return name
-
-
-def _scope_sql(scope, left, right):
-    cols = "".join(f"{c}, " for c in scope)
-    on = "".join(f" AND {right}.{c} = {left}.{c}" for c in scope)
-    sel = "".join(f"{right}.{c}, " for c in scope)
-    return cols, on, sel
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def group_closure(groups: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """([scope...], ancestor, descendant, distance) for every group, itself at distance 0."""
-    g = _view(groups.select(*scope, "id", "parent_id"), "groups")
-    cols, on, sel = _scope_sql(scope, "c", "g")
-    return groups.sparkSession.sql(f"""
-        WITH RECURSIVE c({cols}ancestor, descendant, distance) AS (
-            SELECT {cols}id, id, 0 FROM {g}
-            UNION ALL
-            SELECT {sel}c.ancestor, g.id, c.distance + 1 FROM c JOIN {g} g ON g.parent_id = c.descendant{on}
-        ) SELECT {cols}ancestor, descendant, CAST(distance AS INT) AS distance FROM c""")
+    """([scope...], ancestor, descendant, distance) for every group, itself at distance 0.
+
+    Raises ``ValueError`` if parent links form a cycle.
+    """
+    scope = list(scope)
+    ids = groups.select(*scope, "id")
+    parents = ids.withColumnRenamed("id", "up")
+    jump = _written(groups.where(F.col("parent_id").isNotNull())
+                    .select(*scope, "id", F.col("parent_id").alias("up"))
+                    .join(parents, [*scope, "up"], "left_semi").select(*scope, "id", "up"), "jump")
+    closure = ids.select(*scope, F.col("id").alias("ancestor"), F.col("id").alias("descendant"),
+                         F.lit(0).alias("distance"))
+    n, k = None, 0
+    while not jump.isEmpty():
+        if k >= PLAIN_ROUNDS:
+            n = ids.count() if n is None else n
+            if 2 ** k > n:
+                raise ValueError("the parent links of the groups form a cycle")
+        farther = closure.join(jump.withColumnRenamed("id", "ancestor"), [*scope, "ancestor"]).select(
+            *scope, F.col("up").alias("ancestor"), "descendant", (F.col("distance") + 2 ** k).alias("distance"))
+        closure = closure.unionByName(farther)
+        if k >= PLAIN_ROUNDS:
+            closure = _written(closure, "closure")
+        step = jump.select(*scope, F.col("id").alias("up"), F.col("up").alias("top"))
+        jump = _written(jump.join(step, [*scope, "up"]).select(*scope, "id", F.col("top").alias("up")), "jump")
+        k += 1
+    return closure
 
 
 def pipeline_list(groups: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -66,18 +83,24 @@ def pipeline_list(groups: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 
 def pipeline_tree(groups: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """E1, every level: id, name, parent name, depth and the name path from the root."""
-    g = _view(groups.select(*scope, "id", "parent_id", "name"), "groups")
-    cols, on, sel = _scope_sql(scope, "t", "g")
-    return groups.sparkSession.sql(f"""
-        WITH RECURSIVE t({cols}id, name, parent, depth, path) AS (
-            SELECT {cols}id, coalesce(name, '{ROOT_PARENT}'), '{ROOT_PARENT}', 0, coalesce(name, '{ROOT_PARENT}')
-            FROM {g} WHERE parent_id IS NULL
-            UNION ALL
-            SELECT {sel}g.id, coalesce(g.name, '{CHILD_NAME_PREFIX}' || g.id), t.name, t.depth + 1,
-                   t.path || '/' || coalesce(g.name, '{CHILD_NAME_PREFIX}' || g.id)
-            FROM t JOIN {g} g ON g.parent_id = t.id{on}
-        ) SELECT {cols}id, name, parent, CAST(depth AS INT) AS depth, path FROM t""")
+    """E1, every level: id, name, parent name, depth and the name path from the root.
+
+    Groups that no chain of parents joins to a root give no rows. The names on
+    a path are gathered per group: as many as the group is deep.
+    """
+    scope = list(scope)
+    is_root = F.col("parent_id").isNull()
+    names = groups.select(*scope, F.col("id").alias("ancestor"), is_root.alias("is_root"), F.coalesce(
+        "name", F.when(is_root, F.lit(ROOT_PARENT)).otherwise(F.concat(F.lit(CHILD_NAME_PREFIX), F.col("id"))))
+        .alias("name"))
+    above = group_closure(groups, scope).join(names, [*scope, "ancestor"])
+    paths = above.groupBy(*scope, F.col("descendant").alias("id")).agg(
+        F.max("is_root").alias("rooted"), F.sort_array(F.collect_list(F.struct("distance", "name"))).alias("up"))
+    path = F.reverse(F.transform("up", lambda x: x["name"]))
+    return paths.where("rooted").select(
+        *scope, "id", F.col("up")[0]["name"].alias("name"),
+        F.coalesce(F.get("up", F.lit(1))["name"], F.lit(ROOT_PARENT)).alias("parent"),
+        (F.size("up") - 1).alias("depth"), F.array_join(path, "/").alias("path"))
 
 
 def effective_parameters(closure: DataFrame, parameters: DataFrame,

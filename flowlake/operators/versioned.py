@@ -11,34 +11,35 @@ Per entity, commands run in ``seq`` order against the state (present, version):
   ``not_found`` (an update of a connection that does not exist is an error,
   a delete of one is not).
 
+* a command without a target → ``no_target``, whatever its op.
+
 Commands of one entity depend on each other, so this is an ordered fold.  It is
 distributed without gathering an entity into one task: the commands, together
-with one ``INIT`` row per entity of the initial table (null ``seq``, so it sorts
-first in its entity), are range-partitioned on ``(target_id, seq)`` (a hot
-entity is cut across partitions; the commands shuffle once, with no join) and
-checkpointed; pass A computes, for the entity a partition
-starts with, its end state for every start state that can matter (absent, each
-expected version in the segment, anything else = unchanged), with converging
-trajectories merged; the driver chains these per-partition summaries (one row
-per partition; start versions that share an end state are stored as runs, so a
-long chain of successful updates is one entry) to find each partition's true start state; pass B folds every
-row once with the right start state.
+with one initial row per entity of the initial table (marked by a column of its
+own and sorted ahead of the entity's commands), are range-partitioned on
+``(target_id, seq)`` (a hot entity is cut across partitions; the commands
+shuffle once, with no join) and checkpointed; pass A computes, for the entity a
+partition starts with, its end state for every start state that can matter
+(absent, each expected version in the segment, anything else = unchanged), with
+converging trajectories merged and start versions that share an end state
+written as one run; a second job walks each entity's runs in partition order,
+every entity by itself and holding one state only, and so finds the true start
+state of each partition; pass B folds every row once with that state.  Rows
+stay Arrow batches, so no integer passes through a float.
 """
 
 from __future__ import annotations
 
-import bisect
-
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.ranking import sorted_checkpoint
 
 CREATE, UPDATE, DELETE = "CREATE", "UPDATE", "DELETE"
-INIT = "__INIT__"  # initial-state row: present at the version in expected_version
 ABSENT = "absent"  # key of the absent state in a summary
 
 OUTCOME_SCHEMA = T.StructType([
@@ -67,29 +68,13 @@ def step(op, expected, present, version, strict_ops=()):
     return "updated", True, version + 1
 
 
-def _ints(s: pd.Series):
-    return [None if pd.isna(x) else int(x) for x in s]
-
-
 class _Summary:
     """End state of one command segment for every start state that can matter."""
 
-    def __init__(self, limit: int | None = None):
+    def __init__(self):
         self.groups: dict = {ABSENT: [ABSENT]}  # current state → start classes
         self.classes: set = set()
-        self.const = False  # after an INIT row the end no longer depends on the start
-        self.limit = limit
-        self.overflow = False  # more start classes than ``limit``: resolved exactly later
-
-    def add_class(self, v):
-        if not self.const and v is not None and v not in self.classes:
-            self.classes.add(v)
-            if self.limit is not None and len(self.classes) > self.limit:
-                self.overflow = True
-                self.groups, self.classes = {}, set()
-                return
-            # a start version first seen now has been unchanged so far
-            self.groups.setdefault(v, []).append(v)
+        self.const = False  # after an initial row the end no longer depends on the start
 
     def _move(self, a, b):
         lst = self.groups.pop(a, None)
@@ -104,23 +89,15 @@ class _Summary:
         else:
             dst.extend(lst)
 
+    def reset(self, version):
+        """An initial row: every trajectory goes on as (present, version)."""
+        self.groups, self.classes, self.const = {version: [ABSENT]}, set(), True
+
     def feed(self, op, e):
-        if op == INIT:
-            # every trajectory is reset to (present, e): one trajectory remains
-            self.groups = {e: [ABSENT]}
-            self.classes = set()
-            self.const = True
-            self.overflow = False
-            return
-        if self.overflow:
-            return
-        if op in (UPDATE, DELETE) and e is not None:
-            # A start version equal to e is still at e unless an earlier command
-            # moved it; add_class only registers it if it was never seen.
-            if e not in self.classes:
-                self.add_class(e)
-                if self.overflow:
-                    return
+        if op in (UPDATE, DELETE) and e is not None and e not in self.classes and not self.const:
+            # a start version first seen now has been unchanged so far
+            self.classes.add(e)
+            self.groups.setdefault(e, []).append(e)
         if op == CREATE:
             self._move(ABSENT, 0)
         elif op == UPDATE and e is not None and e in self.groups:
@@ -129,11 +106,10 @@ class _Summary:
             self._move(e, ABSENT)
 
     def result(self):
-        """``(absent_end, runs, const)``: the end state from absent, and the end
-        state of every start version as runs ``(lo, hi, end)`` of consecutive
-        start versions sharing an end (a long chain of successful updates is one
-        run); versions in no run are unchanged.  ``const``: every start ends in
-        ``absent_end`` (the segment holds an INIT row)."""
+        """``(absent_end, runs)``: the end state from absent, and the end state of
+        every start version as runs ``(lo, hi, end)`` of consecutive start versions
+        sharing an end (a long chain of successful updates is one run); versions in
+        no run are unchanged."""
         absent_end = ABSENT
         per_version = []
         for state, starts in self.groups.items():
@@ -149,196 +125,170 @@ class _Summary:
                 runs[-1][1] = v
             else:
                 runs.append([v, v, end])
-        return absent_end, runs, self.const
+        return absent_end, runs
 
 
-def _first_segment_end(ck: DataFrame, pid: int, first_key: str, start, fold_state):
-    """End state of partition ``pid``'s first entity, folded from ``start``.
+SUMMARY_SCHEMA = T.StructType([
+    T.StructField("key", T.StringType()), T.StructField("pid", T.IntegerType()),
+    # 0: from absent, 1: from the versions lo..hi, 2: from any state
+    T.StructField("kind", T.IntegerType()),
+    T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType()),
+    T.StructField("present", T.BooleanType()), T.StructField("version", T.LongType()),
+])
+START_SCHEMA = T.StructType([
+    T.StructField("pid", T.IntegerType()), T.StructField("key", T.StringType()),
+    T.StructField("present", T.BooleanType()), T.StructField("version", T.LongType()),
+])
 
-    Used when that partition's summary overflowed: one job over that one
-    partition (the checkpoint keeps the rows in sorted order).
-    """
-    def run(rows):
-        p, v = start
-        for row in rows:
-            if row["target_id"] != first_key:
-                break
-            _, p, v = fold_state(row["op"], row["expected_version"], p, v)
-        return [(p, v)]
-
-    rdd = ck.select("target_id", "op", "expected_version").rdd
-    return ck.sparkSession.sparkContext.runJob(rdd, run, partitions=[pid])[0]
-
-
-def _apply_summary(absent_end, runs, const, present: bool, version):
-    """End state of a segment from start (present, version), given its summary."""
-    if const or not present:
-        end = absent_end
-    else:
-        lo = bisect.bisect_right([r[0] for r in runs], version) - 1 if version is not None else -1
-        if lo < 0 or version > runs[lo][1]:
-            return True, version
-        end = runs[lo][2]
-    return (False, None) if end == ABSENT else (True, end)
-
-
-def versioned_apply(commands: DataFrame, initial: DataFrame,
-                    num_partitions: int | None = None, strict_ops=(),
-                    summary_limit: int = 100_000) -> DataFrame:
-    """Outcome of every command; see the module docstring for the rules.
 
-    ``commands``: ``seq bigint, target_id string, op string, expected_version bigint``.
-    ``initial``: entities present before the batch, ``id string, version bigint``.
-    ``summary_limit`` bounds the start classes a partition summary may hold; a
-    partition over it is resolved exactly by folding its first entity from the
-    start state the chain reached (one small job for that partition).
-    """
-    cmds = commands.select(F.col("seq").cast("bigint"), "target_id", F.upper("op").alias("op"),
-                           F.col("expected_version").cast("bigint"))
-    inits = initial.select(F.lit(None).cast("bigint").alias("seq"), F.col("id").alias("target_id"),
-                           F.lit(INIT).alias("op"), F.col("version").cast("bigint").alias("expected_version"))
-    # asc sorts nulls first: an entity's INIT row precedes its commands
-    ck = sorted_checkpoint(cmds.unionByName(inits), ["target_id", "seq"], num_partitions)
-
-    summary_schema = T.StructType([
-        T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
-        T.StructField("whole", T.BooleanType()),
-        T.StructField("absent_end", T.StringType()), T.StructField("const", T.BooleanType()),
-        T.StructField("overflow", T.BooleanType()),
-        T.StructField("run_lo", T.ArrayType(T.LongType())),
-        T.StructField("run_hi", T.ArrayType(T.LongType())),
-        T.StructField("run_end", T.ArrayType(T.StringType())),
-        T.StructField("last_key", T.StringType()),
-        T.StructField("last_present", T.BooleanType()), T.StructField("last_version", T.LongType()),
-    ])
-
-    def enc(x):
-        return "null" if x is None else (ABSENT if x == ABSENT else str(x))
-
-    def dec(x):
-        return None if x == "null" else (ABSENT if x == ABSENT else int(x))
+def _rows(batch: pa.RecordBatch):
+    """(target_id, is_cmd, op, expected_version) of every row, as Python values."""
+    return zip(*(batch.column(c).to_pylist() for c in ("target_id", "is_cmd", "op", "expected_version")))
 
-    strict = tuple(o.upper() for o in strict_ops)
 
-    def fold_state(op, e, present, version):
-        if op == INIT:
-            return None, True, e
-        return step(op, e, present, version, strict)
+def _summaries(strict):
+    """Pass A over the sorted commands: what each partition does to its first entity, and how its last one ends."""
+    schema = to_arrow_schema(SUMMARY_SCHEMA)
 
-    def pass_a(it):
+    def run(batches):
         pid = TaskContext.get().partitionId()
-        first_key = None
-        summ = _Summary(summary_limit)
-        in_first = True
-        cur_key, cur_p, cur_v = None, False, None
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            keys = pdf["target_id"].tolist()
-            ops = pdf["op"].tolist()
-            exps = _ints(pdf["expected_version"])
-            if first_key is None:
-                first_key = keys[0]
-            n = len(keys)
-            i = 0
-            if in_first:
-                while i < n and keys[i] == first_key:
-                    summ.feed(ops[i], exps[i])
-                    i += 1
-                if i < n:
-                    in_first = False
-            if i >= n:
-                continue
-            # only the batch's tail run can be the partition's last key; a key
-            # that starts after the first segment starts absent (its INIT row,
-            # if any, is its first row)
-            last = keys[-1]
-            j = n - 1
-            while j > i and keys[j - 1] == last:
-                j -= 1
-            if cur_key != last or j > i:
-                cur_key, cur_p, cur_v = last, False, None
-            for k in range(j, n):
-                _, cur_p, cur_v = fold_state(ops[k], exps[k], cur_p, cur_v)
-        if first_key is None:
+        first = key = None
+        seen = False  # a row was read; keys themselves are never null here
+        summary, present, version = _Summary(), False, None
+        for batch in batches:
+            for k, is_cmd, op, e in _rows(batch):
+                if not seen:
+                    seen, first = True, k
+                if k == first:
+                    summary.feed(op, e) if is_cmd else summary.reset(e)
+                    continue
+                if k != key:
+                    key, present, version = k, False, None
+                if is_cmd:
+                    _, present, version = step(op, e, present, version, strict)
+                else:
+                    present, version = True, e
+        if not seen:
             return
-        absent_end, runs, const = summ.result()
-        overflow = summ.overflow
-        yield pd.DataFrame([{
-            "pid": pid, "first_key": first_key, "whole": in_first,
-            "absent_end": enc(absent_end), "const": const, "overflow": overflow,
-            "run_lo": [r[0] for r in runs], "run_hi": [r[1] for r in runs], "run_end": [enc(r[2]) for r in runs],
-            "last_key": first_key if in_first else cur_key,
-            "last_present": None if in_first else cur_p,
-            "last_version": None if in_first else cur_v,
-        }])
-
-    rows = sorted(ck.select("target_id", "op", "expected_version")
-                  .mapInPandas(pass_a, summary_schema).collect(), key=lambda r: r["pid"])
-
-    # Chain the partitions: a partition's first entity starts from the state the
-    # previous partition ended it in, or absent when it starts here.
-    starts = {}
-    prev_key, prev_state = None, None
-    for r in rows:
-        start = prev_state if (prev_key is not None and r["first_key"] == prev_key) else (False, None)
-        starts[r["pid"]] = (r["first_key"], start)
-        if r["overflow"]:
-            end_first = _first_segment_end(ck, r["pid"], r["first_key"], start, fold_state)
-        else:
-            runs = [(lo, hi, dec(e)) for lo, hi, e in zip(r["run_lo"], r["run_hi"], r["run_end"])]
-            end_first = _apply_summary(dec(r["absent_end"]), runs, bool(r["const"]), *start)
-        prev_key = r["last_key"]
-        prev_state = end_first if r["whole"] else (bool(r["last_present"]), r["last_version"])
+        absent_end, runs = summary.result()
+
+        def row(k, kind, lo, hi, end):
+            return {"key": k, "pid": pid, "kind": kind, "lo": lo, "hi": hi, "present": end != ABSENT,
+                    "version": None if end == ABSENT else end}
+
+        out = [row(first, 2 if summary.const else 0, None, None, absent_end)]
+        out += [row(first, 1, lo, hi, end) for lo, hi, end in runs]
+        if key is not None:
+            out.append(row(key, 2, None, None, version if present else ABSENT))
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
+
+
+def _chain(batches):
+    """Start state of every partition's first entity, from the summaries sorted by (key, pid, kind, lo)."""
+    schema = to_arrow_schema(START_SCHEMA)
+    key = pid = None
+    state = after = (False, None)
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            if r["key"] != key:
+                key, pid, after = r["key"], None, (False, None)
+            if r["pid"] != pid:
+                pid, state = r["pid"], after  # after: the end of the partition before
+            end = (r["present"], r["version"])
+            if r["kind"] == 0:
+                out.append({"pid": pid, "key": key, "present": state[0], "version": state[1]})
+                if not state[0]:
+                    after = end
+            elif r["kind"] == 2 or state[0] and state[1] is not None and r["lo"] <= state[1] <= r["hi"]:
+                after = end
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+
+def versioned_apply(commands: DataFrame, initial: DataFrame, num_partitions: int | None = None,
+                    strict_ops=(), payload=()) -> DataFrame:
+    """Outcome of every command; see the module docstring for the rules.
 
-    def pass_b(it):
-        pid = TaskContext.get().partitionId()
-        first_key, first_start = starts.get(pid, (None, None))
-        cur_key, cur_p, cur_v = None, False, None
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            keys = pdf["target_id"].tolist()
-            ops = pdf["op"].tolist()
-            exps = _ints(pdf["expected_version"])
-            seqs = pdf["seq"].tolist()
-            o_seq, o_key, o_op, o_exp, outc, pres, vers = [], [], [], [], [], [], []
-            for k in range(len(keys)):
-                if keys[k] != cur_key:
-                    cur_key = keys[k]
-                    if cur_key == first_key and first_start is not None:
-                        cur_p, cur_v = first_start
-                        first_start = None
-                    else:
-                        cur_p, cur_v = False, None
-                o, cur_p, cur_v = fold_state(ops[k], exps[k], cur_p, cur_v)
-                if o is None:
-                    continue
-                o_seq.append(int(seqs[k]))
-                o_key.append(keys[k])
-                o_op.append(ops[k])
-                o_exp.append(exps[k])
-                outc.append(o)
-                pres.append(cur_p)
-                vers.append(cur_v)
-            yield pd.DataFrame({
-                "seq": pd.array(o_seq, dtype="int64"), "target_id": pd.array(o_key, dtype=object),
-                "op": pd.array(o_op, dtype=object), "expected_version": pd.array(o_exp, dtype="Int64"),
-                "outcome": pd.array(outc, dtype=object), "present_after": pd.array(pres, dtype=bool),
-                "version_after": pd.array(vers, dtype="Int64")})
-
-    return ck.select("seq", "target_id", "op", "expected_version").mapInPandas(pass_b, OUTCOME_SCHEMA)
-
-
-def versioned_table(outcomes: DataFrame, initial: DataFrame) -> DataFrame:
+    ``commands``: ``seq bigint, target_id string, op string, expected_version bigint``
+    and the columns named in ``payload``, which come out as they went in.
+    ``initial``: entities present before the batch, ``id string, version bigint``
+    (rows without an id are no entities).  Commands of one entity with equal
+    ``seq`` run in order of op and expected version.
+    """
+    strict = tuple(o.upper() for o in strict_ops)
+    payload = list(payload)
+    cmds = commands.select(F.col("seq").cast("bigint"), "target_id", F.upper("op").alias("op"),
+                           F.col("expected_version").cast("bigint"), *payload)
+    known = cmds.where(F.col("target_id").isNotNull()).withColumn("is_cmd", F.lit(True))
+    inits = initial.where(F.col("id").isNotNull()).select(
+        F.col("id").alias("target_id"), F.col("version").cast("bigint").alias("expected_version"),
+        F.lit(False).alias("is_cmd"))
+    rows = known.unionByName(inits, allowMissingColumns=True)
+    # false sorts before true: an entity's initial row precedes its commands
+    ck = sorted_checkpoint(rows, ["target_id", "is_cmd", "seq", "op", "expected_version"], num_partitions)
+
+    summaries = ck.select("target_id", "is_cmd", "op", "expected_version").mapInArrow(_summaries(strict), SUMMARY_SCHEMA)
+    chained = (summaries.repartition("key").sortWithinPartitions("key", "pid", "kind", "lo")
+               .mapInArrow(_chain, START_SCHEMA))
+    # one row per partition at most
+    starts = {r["pid"]: (r["key"], r["present"], r["version"]) for r in chained.collect()}
+    out_schema = T.StructType(OUTCOME_SCHEMA.fields + [ck.schema[c] for c in payload])
+
+    def fold(batches):
+        first, present, version = starts.get(TaskContext.get().partitionId(), (None, False, None))
+        key = first
+        for batch in batches:
+            outcomes, presents, versions = [], [], []
+            for k, is_cmd, op, e in _rows(batch):
+                if k != key:
+                    key, present, version = k, False, None
+                if is_cmd:
+                    outcome, present, version = step(op, e, present, version, strict)
+                    outcomes.append(outcome), presents.append(present), versions.append(version)
+                else:
+                    present, version = True, e
+            rows = batch.filter(batch.column("is_cmd"))
+            yield pa.RecordBatch.from_arrays(
+                [*(rows.column(c) for c in ("seq", "target_id", "op", "expected_version")),
+                 pa.array(outcomes, pa.string()), pa.array(presents, pa.bool_()), pa.array(versions, pa.int64()),
+                 *(rows.column(c) for c in payload)], names=[f.name for f in out_schema])
+
+    lost = cmds.where(F.col("target_id").isNull()).select(
+        "seq", "target_id", "op", "expected_version", F.lit("no_target").alias("outcome"),
+        F.lit(False).alias("present_after"), F.lit(None).cast("bigint").alias("version_after"), *payload)
+    return ck.mapInArrow(fold, out_schema).unionByName(lost)
+
+
+def versioned_table(outcomes: DataFrame, initial: DataFrame, payload=()) -> DataFrame:
     """The entity table after the batch: last outcome per entity, untouched rows kept.
 
-    ``max_by`` per entity is a plain aggregate with a map-side partial step.
+    With ``payload`` (columns of both tables), a ``created`` or ``updated``
+    outcome writes its payload: fields that are null in the command keep what
+    they had, those of an entity created in this batch start from nothing.
+    Everything is an aggregate per entity with a map-side partial step.
     """
-    last = outcomes.groupBy("target_id").agg(
-        F.max_by(F.struct("present_after", "version_after"), "seq").alias("s"))
+    payload = list(payload)
+    real = outcomes.where(F.col("target_id").isNotNull())
+    last = real.groupBy("target_id").agg(
+        F.max_by(F.struct("present_after", "version_after"), F.struct("seq", "op", "expected_version")).alias("s"),
+        F.max(F.when(F.col("outcome").isin("created", "deleted"), F.col("seq"))).alias("_since"))
     touched = last.where(F.col("s.present_after")).select(
-        F.col("target_id").alias("id"), F.col("s.version_after").alias("version"))
-    untouched = initial.select("id", F.col("version").cast("bigint")) \
-        .join(last.select(F.col("target_id").alias("id")), "id", "left_anti")
-    return untouched.unionByName(touched)
+        F.col("target_id").alias("id"), F.col("s.version_after").alias("version"), "_since")
+    rest = initial.select("id", F.col("version").cast("bigint"), *payload)
+    untouched = rest.join(last.select(F.col("target_id").alias("id")), "id", "left_anti")
+    if not payload:
+        return untouched.unionByName(touched.drop("_since"))
+    writes = real.where(F.col("outcome").isin("created", "updated")).join(
+        last.select("target_id", "_since"), "target_id").where(
+        F.col("_since").isNull() | (F.col("seq") >= F.col("_since")))
+    new = writes.groupBy(F.col("target_id").alias("id")).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(f"_new_{i}") for i, c in enumerate(payload)])
+    old = rest.select("id", *[F.col(c).alias(f"_old_{i}") for i, c in enumerate(payload)])
+    written = touched.join(new, "id", "left").join(old, "id", "left").select(
+        "id", "version",
+        *[F.coalesce(F.col(f"_new_{i}"), F.when(F.col("_since").isNull(), F.col(f"_old_{i}"))).alias(c)
+          for i, c in enumerate(payload)])
+    return untouched.unionByName(written)

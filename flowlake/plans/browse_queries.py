@@ -178,7 +178,7 @@ def q_queue_listing_connection(spark, sf_dir):
 def _docs_path(spark, sf_dir):
     e = Estate.load(spark, sf_dir)
     path = shared_path(spark, "flowdocs")
-    write_flow_docs(build_flow_docs(e.groups, e.processors, e.connections, e.ports), path)
+    write_flow_docs(build_flow_docs(e.groups, e.processors, e.connections, e.ports, e.funnels, e.labels), path)
     return path
 
 
@@ -207,14 +207,46 @@ def q_canvas_connections(spark, sf_dir):
     return c.select("id", "group_id", "source_id", "destination_id", "bp_objects", "bp_size", "expiration")
 
 
-@query("flow_counts", ["fx_group", "fx_processor", "fx_connection", "fx_port"], """
+@query("canvas_process_groups", ["fx_group"], """
+SELECT id, parent_id, name FROM fx_group WHERE parent_id IS NOT NULL""")
+def q_canvas_process_groups(spark, sf_dir):
+    """A2: child groups exploded from the flow documents equal the flat table."""
+    return canvas.canvas_explode(_docs(spark, sf_dir))["processGroups"]
+
+
+@query("canvas_input_ports", ["fx_port"], "SELECT * FROM fx_port WHERE kind = 'INPUT_PORT'")
+def q_canvas_input_ports(spark, sf_dir):
+    """A2: input ports exploded from the flow documents equal the flat table."""
+    return canvas.canvas_explode(_docs(spark, sf_dir))["inputPorts"]
+
+
+@query("canvas_output_ports", ["fx_port"], "SELECT * FROM fx_port WHERE kind = 'OUTPUT_PORT'")
+def q_canvas_output_ports(spark, sf_dir):
+    """A2: output ports exploded from the flow documents equal the flat table."""
+    return canvas.canvas_explode(_docs(spark, sf_dir))["outputPorts"]
+
+
+@query("canvas_funnels", ["fx_funnel"], "SELECT id, group_id FROM fx_funnel")
+def q_canvas_funnels(spark, sf_dir):
+    """A2: funnels exploded from the flow documents equal the flat table."""
+    return canvas.canvas_explode(_docs(spark, sf_dir))["funnels"]
+
+
+@query("canvas_labels", ["fx_label"], "SELECT id, group_id FROM fx_label")
+def q_canvas_labels(spark, sf_dir):
+    """A2: labels exploded from the flow documents equal the flat table."""
+    return canvas.canvas_explode(_docs(spark, sf_dir))["labels"]
+
+
+@query("flow_counts", ["fx_group", "fx_processor", "fx_connection", "fx_port", "fx_funnel", "fx_label"], """
 SELECT g.id AS group_id,
   CAST((SELECT COUNT(*) FROM fx_processor p WHERE p.group_id = g.id) AS BIGINT) AS n_processors,
   CAST((SELECT COUNT(*) FROM fx_connection c WHERE c.group_id = g.id) AS BIGINT) AS n_connections,
   CAST((SELECT COUNT(*) FROM fx_group k WHERE k.parent_id = g.id) AS BIGINT) AS n_process_groups,
   CAST((SELECT COUNT(*) FROM fx_port t WHERE t.group_id = g.id AND t.kind = 'INPUT_PORT') AS BIGINT) AS n_input_ports,
   CAST((SELECT COUNT(*) FROM fx_port t WHERE t.group_id = g.id AND t.kind = 'OUTPUT_PORT') AS BIGINT) AS n_output_ports,
-  CAST(0 AS BIGINT) AS n_funnels, CAST(0 AS BIGINT) AS n_labels
+  CAST((SELECT COUNT(*) FROM fx_funnel f WHERE f.group_id = g.id) AS BIGINT) AS n_funnels,
+  CAST((SELECT COUNT(*) FROM fx_label l WHERE l.group_id = g.id) AS BIGINT) AS n_labels
 FROM fx_group g""")
 def q_flow_counts(spark, sf_dir):
     """Entries per member kind in each flow document (missing list = 0)."""

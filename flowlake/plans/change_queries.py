@@ -72,16 +72,20 @@ x AS (
       CASE WHEN s.id IS NOT NULL AND s.kind <> r.st THEN 'source_type_mismatch' END,
       CASE WHEN d.id IS NOT NULL AND d.kind <> r.dt THEN 'destination_type_mismatch' END,
       CASE WHEN s.group_id <> r.group_id THEN 'source_other_group' END,
-      CASE WHEN d.group_id <> r.group_id THEN 'destination_other_group' END) AS reasons
+      CASE WHEN d.group_id <> r.group_id THEN 'destination_other_group' END,
+      CASE WHEN r.relationships IS NULL THEN 'no_relationships' END) AS reasons,
+    r.relationships
   FROM r LEFT JOIN comp s ON s.id = r.source_id LEFT JOIN comp d ON d.id = r.destination_id)
-SELECT request_id, group_id, source_id, source_type, destination_id, destination_type, name, bp_objects, bp_size,
-  expiration, reasons = '' AS valid, reasons FROM x""")
+SELECT request_id, group_id, source_id, source_type, group_id AS source_group_id, destination_id, destination_type,
+  group_id AS destination_group_id, name, relationships, bp_objects, bp_size, expiration, reasons = '' AS valid, reasons
+FROM x""")
 def q_connection_validate(spark, sf_dir):
     """C4: connection requests normalised, defaulted and checked against the components."""
     e = Estate.load(spark, sf_dir)
     comp = e.processors.select("id", "group_id", F.lit("PROCESSOR").alias("kind")).unionByName(
         e.ports.select("id", "group_id", "kind"))
-    return changes.connection_validate(e.connection_requests, comp)
+    requests = e.connection_requests.withColumn("relationships", F.split("relationships", ";"))
+    return changes.connection_validate(requests, comp).withColumn("relationships", F.array_join("relationships", ";"))
 
 
 # --- H1 -------------------------------------------------------------------------
@@ -95,11 +99,23 @@ x AS (SELECT s.*, CASE WHEN fb.first_bad IS NULL OR s.i < fb.first_bad THEN 'cre
 SELECT pipeline_id, i, status,
   CASE WHEN status = 'rejected' THEN 'Processor ' || CAST(i AS VARCHAR) || ' missing required '''
        || CASE WHEN type IS NULL THEN 'type' ELSE 'name' END || ''' field' END AS message,
-  type, name, CAST(coalesce(x, 200.0 + 200.0 * i) AS DOUBLE) AS x, CAST(200.0 AS DOUBLE) AS y
+  type, name, CAST(coalesce(x, 200.0 + 200.0 * i) AS DOUBLE) AS x, CAST(200.0 AS DOUBLE) AS y,
+  coalesce(config, '') AS config
 FROM x""")
 def q_pipeline_spec_expand(spark, sf_dir):
-    """H1: pipeline specs expanded to created / rejected / skipped steps with default positions."""
-    return changes.pipeline_spec_expand(Estate.load(spark, sf_dir).pipeline_specs)
+    """H1: pipeline specs expanded to created / rejected / skipped steps with default positions and configs."""
+    return _as_text(changes.pipeline_spec_expand(_specs(Estate.load(spark, sf_dir))), "config")
+
+
+def _specs(e: Estate):
+    """Pipeline specs with the fixture's ``k=v`` configs as maps."""
+    return e.pipeline_specs.withColumn("config", F.expr("str_to_map(config, ';', '=')"))
+
+
+def _as_text(df, *maps):
+    """Maps as ``k=v;...`` text in key order."""
+    return df.withColumns({m: F.array_join(F.transform(
+        F.array_sort(F.map_entries(m)), lambda kv: F.concat(kv["key"], F.lit("="), kv["value"])), ";") for m in maps})
 
 
 # --- H2 -------------------------------------------------------------------------
@@ -126,7 +142,7 @@ def _versioned_sql(strict=()) -> str:
     o, pa, va = _step_sql("p", "v", strict)
     return f"""
 , c AS (SELECT seq, target_id, upper(op) AS op, expected_version,
-          row_number() OVER (PARTITION BY target_id ORDER BY seq) AS rn FROM fx_command),
+          row_number() OVER (PARTITION BY target_id ORDER BY seq) AS rn FROM fx_command WHERE target_id IS NOT NULL),
 init AS (SELECT id, CAST(0 AS BIGINT) AS version FROM fx_processor),
 r(target_id, rn, seq, op, expected_version, outcome, present_after, version_after) AS (
   SELECT target_id, rn, seq, op, expected_version, {o}, {pa}, {va}
@@ -135,7 +151,9 @@ r(target_id, rn, seq, op, expected_version, outcome, present_after, version_afte
   UNION ALL
   SELECT target_id, rn, seq, op, expected_version, {o}, {pa}, {va}
   FROM (SELECT c.*, r.present_after AS p, r.version_after AS v
-        FROM r JOIN c ON c.target_id = r.target_id AND c.rn = r.rn + 1) s)
+        FROM r JOIN c ON c.target_id = r.target_id AND c.rn = r.rn + 1) s),
+res AS (SELECT seq, target_id, op, expected_version, outcome, present_after, version_after FROM r
+  UNION ALL SELECT seq, NULL, upper(op), expected_version, 'no_target', FALSE, NULL FROM fx_command WHERE target_id IS NULL)
 """
 
 
@@ -150,7 +168,7 @@ def _versioned(spark, sf_dir):
 
 @query("versioned_apply", ["fx_command", "fx_processor"], _VERSIONED_SQL + """
 SELECT seq, target_id, op, expected_version, outcome, present_after, CAST(version_after AS DOUBLE) AS version_after
-FROM r""", recursive=True)
+FROM res""", recursive=True)
 def q_versioned_apply(spark, sf_dir):
     """H2: ordered commands with optimistic locking; every processor starts present at version 0."""
     return nullable_as_double(_versioned(spark, sf_dir)[0], "version_after")
@@ -158,13 +176,25 @@ def q_versioned_apply(spark, sf_dir):
 
 @query("versioned_table", ["fx_command", "fx_processor"], _VERSIONED_SQL + """
 , last AS (SELECT target_id, present_after, version_after,
-             row_number() OVER (PARTITION BY target_id ORDER BY rn DESC) AS k FROM r)
-SELECT id, version FROM init WHERE id NOT IN (SELECT target_id FROM last)
-UNION ALL SELECT target_id, version_after FROM last WHERE k = 1 AND present_after""", recursive=True)
+             row_number() OVER (PARTITION BY target_id ORDER BY rn DESC) AS k FROM r),
+since AS (SELECT target_id, max(seq) AS s FROM r WHERE outcome IN ('created', 'deleted') GROUP BY target_id),
+payload AS (
+  SELECT r.target_id, arg_max(f.config, r.seq) AS config
+  FROM r JOIN fx_command f ON f.seq = r.seq LEFT JOIN since ON since.target_id = r.target_id
+  WHERE r.outcome IN ('created', 'updated') AND f.config IS NOT NULL AND (since.s IS NULL OR r.seq >= since.s)
+  GROUP BY r.target_id)
+SELECT id, version, 'initial' AS config FROM init WHERE id NOT IN (SELECT target_id FROM last)
+UNION ALL
+SELECT last.target_id, last.version_after,
+  coalesce(payload.config, CASE WHEN since.s IS NULL THEN 'initial' END)
+FROM last LEFT JOIN payload ON payload.target_id = last.target_id LEFT JOIN since ON since.target_id = last.target_id
+WHERE k = 1 AND present_after""", recursive=True)
 def q_versioned_table(spark, sf_dir):
-    """H2: the entity table (id, version) after the command batch."""
-    outcomes, initial = _versioned(spark, sf_dir)
-    return versioned.versioned_table(outcomes, initial)
+    """H2: the entity table (id, version, config) after the command batch; applied commands write their config."""
+    e = Estate.load(spark, sf_dir)
+    initial = e.processors.select("id", F.lit(0).cast("bigint").alias("version"), F.lit("initial").alias("config"))
+    outcomes = versioned.versioned_apply(e.commands, initial, payload=["config"])
+    return versioned.versioned_table(outcomes, initial, payload=["config"])
 
 
 # --- H3 -------------------------------------------------------------------------
@@ -186,19 +216,28 @@ def q_config_update_status(spark, sf_dir):
     return changes.config_update(e.properties, e.config_updates, e.processors)[0]
 
 
-@query("config_update", ["fx_config_update", "fx_processor", "fx_property"], _CONFIG_STATUS_SQL + """
-, pu AS (SELECT processor_id FROM st WHERE status = 'applied' AND update_type = 'properties'),
-au AS (SELECT processor_id FROM st WHERE status = 'applied' AND update_type = 'auto-terminatedrelationships')
+#: Rows of the last command of each processor and type.
+_LAST_CONFIG_SQL = """
+, lst AS (SELECT u.* FROM fx_config_update u JOIN (
+    SELECT processor_id, update_type, max(seq) AS seq FROM fx_config_update GROUP BY processor_id, update_type) m
+  ON m.processor_id = u.processor_id AND m.update_type = u.update_type AND m.seq = u.seq
+  JOIN fx_processor p ON p.id = u.processor_id)
+"""
+
+
+@query("config_update", ["fx_config_update", "fx_processor", "fx_property", "fx_auto_terminated"], _LAST_CONFIG_SQL + """
 SELECT processor_id, 'properties' AS section, name, value FROM fx_property
-  WHERE processor_id NOT IN (SELECT processor_id FROM pu)
-UNION ALL SELECT processor_id, 'properties', name, value FROM fx_config_update
-  WHERE update_type = 'properties' AND processor_id IN (SELECT processor_id FROM pu)
-UNION ALL SELECT processor_id, 'autoTerminatedRelationships', CAST(NULL AS VARCHAR), value FROM fx_config_update
-  WHERE update_type = 'auto-terminatedrelationships' AND processor_id IN (SELECT processor_id FROM au)""")
+  WHERE processor_id NOT IN (SELECT processor_id FROM lst WHERE update_type = 'properties')
+UNION ALL SELECT processor_id, 'properties', name, value FROM lst
+  WHERE update_type = 'properties' AND name IS NOT NULL
+UNION ALL SELECT processor_id, 'autoTerminatedRelationships', CAST(NULL AS VARCHAR), value FROM fx_auto_terminated
+  WHERE processor_id NOT IN (SELECT processor_id FROM lst WHERE update_type = 'auto-terminatedrelationships')
+UNION ALL SELECT processor_id, 'autoTerminatedRelationships', CAST(NULL AS VARCHAR), value FROM lst
+  WHERE update_type = 'auto-terminatedrelationships' AND value IS NOT NULL""")
 def q_config_update(spark, sf_dir):
-    """H3: processor config after the updates (properties replaced whole; auto-terminated list replaced)."""
+    """H3: processor config after the updates (the last payload of each kind replaces what was there)."""
     e = Estate.load(spark, sf_dir)
-    return changes.config_update(e.properties, e.config_updates, e.processors)[1]
+    return changes.config_update(e.properties, e.config_updates, e.processors, e.auto_terminated)[1]
 
 
 # --- H4, H5 ---------------------------------------------------------------------
@@ -207,9 +246,9 @@ def q_config_update(spark, sf_dir):
 , comp AS (SELECT id, 'processor' AS kind, run_status FROM fx_processor
            UNION ALL SELECT id, 'port', run_status FROM fx_port),
 x AS (SELECT s.target_id, c.kind, upper(s.state) AS requested_state, c.run_status AS previous_state,
-        CASE WHEN NOT (CASE WHEN c.kind = 'port' THEN upper(s.state) IN ('RUNNING', 'STOPPED', 'DISABLED')
-                            ELSE upper(s.state) IN ('RUNNING', 'STOPPED') END) THEN 'invalid_state'
-             WHEN c.kind IS NULL THEN 'not_found' ELSE 'set' END AS status
+        CASE WHEN s.state IS NULL OR upper(s.state) NOT IN ('RUNNING', 'STOPPED', 'DISABLED') THEN 'invalid_state'
+             WHEN c.id IS NULL THEN 'not_found'
+             WHEN c.kind = 'processor' AND upper(s.state) = 'DISABLED' THEN 'invalid_state' ELSE 'set' END AS status
       FROM fx_state_command s LEFT JOIN comp c ON c.id = s.target_id)
 SELECT *, CASE WHEN status = 'set' THEN requested_state ELSE previous_state END AS new_state FROM x""")
 def q_state_apply(spark, sf_dir):
@@ -218,14 +257,35 @@ def q_state_apply(spark, sf_dir):
     return changes.state_apply(e.state_commands, e.processors, e.ports)
 
 
-@query("group_state_apply", ["fx_processor"], """
-SELECT id, group_id, run_status AS previous_state, 'RUNNING' AS new_state FROM fx_processor
-WHERE group_id = 'pg-n7' AND coalesce(run_status, '') <> 'DISABLED'
+_MEMBERS_SQL = """
+, m AS (SELECT id, group_id, run_status, validation_errors FROM fx_processor
+        UNION ALL SELECT id, group_id, run_status, NULL FROM fx_port)
+"""
+
+
+@query("group_state_apply", ["fx_processor", "fx_port"], _MEMBERS_SQL + """
+SELECT id, group_id, run_status AS previous_state, CASE group_id WHEN 'pg-n7' THEN 'RUNNING' ELSE 'STOPPED' END AS new_state
+FROM m WHERE group_id IN ('pg-n7', 'pg-n3') AND coalesce(run_status, '') <> 'DISABLED'
   AND (validation_errors IS NULL OR validation_errors = '')""")
 def q_group_state_apply(spark, sf_dir):
-    """H5: start every eligible processor of group pg-n7 (not disabled, no validation errors)."""
+    """H5: start pg-n7, start and then stop pg-n3: every eligible component (not disabled, no validation errors)."""
+    e = Estate.load(spark, sf_dir)
+    requests = [("pg-n7", "running"), ("pg-n3", "running"), ("pg-n3", "Stopped")]
+    return changes.group_state_apply(spark, requests, e.processors, e.ports)
+
+
+@query("group_state_apply_table", ["fx_group", "fx_processor", "fx_port"], _MEMBERS_SQL + """
+SELECT m.id, group_id, run_status AS previous_state, CASE WHEN parent_id = 'pg-r1' THEN 'STOPPED' ELSE 'RUNNING' END AS new_state
+FROM m JOIN fx_group g ON g.id = m.group_id WHERE coalesce(run_status, '') <> 'DISABLED'
+  AND (validation_errors IS NULL OR validation_errors = '')""")
+def q_group_state_apply_table(spark, sf_dir):
+    """H5 with requests as a table: all groups started, those below pg-r1 then stopped, all asked for an unknown state."""
     e = Estate.load(spark, sf_dir)
-    return changes.group_state_apply(spark, [("pg-n7", "running")], e.processors)
+    ask = lambda df, state, seq: df.select(
+        F.col("id").alias("group_id"), F.lit(state).alias("state"), F.lit(seq).alias("seq"))
+    requests = ask(e.groups, "running", 1).unionByName(ask(e.groups, "paused", 3)).unionByName(
+        ask(e.groups.where("parent_id = 'pg-r1'"), "stopped", 2))
+    return changes.group_state_apply(spark, requests, e.processors, e.ports)
 
 
 # --- A3, A4 ---------------------------------------------------------------------
@@ -249,7 +309,7 @@ def q_bulletin_stream(spark, sf_dir):
 
 @query("versioned_apply_stream", ["fx_command", "fx_processor"], _VERSIONED_SQL + """
 SELECT seq, target_id, op, expected_version, outcome, present_after, CAST(version_after AS DOUBLE) AS version_after
-FROM r""", recursive=True)
+FROM res""", recursive=True)
 def q_versioned_apply_stream(spark, sf_dir):
     """H2 as a stream: commands from the event files, entity state kept in a state store."""
     from ..streaming.versioned_stream import versioned_apply_stream
@@ -260,7 +320,7 @@ def q_versioned_apply_stream(spark, sf_dir):
     return nullable_as_double(streams.drain(versioned_apply_stream(cmds, initial), "versioned"), "version_after")
 
 
-@query("pipeline_summary", ["fx_pipeline_spec"], """
+@query("pipeline_summary", ["fx_pipeline_spec", "fx_pipeline_name"], """
 , fb AS (SELECT pipeline_id, MIN(CASE WHEN type IS NULL OR name IS NULL THEN i END) AS first_bad
          FROM fx_pipeline_spec GROUP BY pipeline_id),
 x AS (SELECT s.pipeline_id, s.i, s.type, fb.first_bad FROM fx_pipeline_spec s JOIN fb ON fb.pipeline_id = s.pipeline_id),
@@ -268,21 +328,21 @@ agg AS (SELECT pipeline_id, first_bad,
           SUM(CASE WHEN first_bad IS NULL OR i < first_bad THEN 1 ELSE 0 END) AS created,
           MAX(CASE WHEN i = first_bad THEN CASE WHEN type IS NULL THEN 'type' ELSE 'name' END END) AS missing
         FROM x GROUP BY pipeline_id, first_bad)
-SELECT pipeline_id, CAST(pipeline_id AS VARCHAR) AS name, CAST(100.0 AS DOUBLE) AS x, CAST(100.0 AS DOUBLE) AS y,
-  CAST(created AS BIGINT) AS created, first_bad IS NULL AS success,
+SELECT n.pipeline_id, n.name, CAST(100.0 AS DOUBLE) AS x, CAST(100.0 AS DOUBLE) AS y,
+  CAST(coalesce(created, 0) AS BIGINT) AS created, first_bad IS NULL AS success,
   CASE WHEN first_bad IS NULL
-       THEN 'Successfully created pipeline ''' || CAST(pipeline_id AS VARCHAR) || ''' with '
-            || CAST(created AS VARCHAR) || ' processors'
+       THEN 'Successfully created pipeline ''' || n.name || ''' with ' || CAST(coalesce(created, 0) AS VARCHAR) || ' processors'
        ELSE 'Processor ' || CAST(first_bad AS VARCHAR) || ' missing required ''' || missing || ''' field' END AS message
-FROM agg""")
+FROM fx_pipeline_name n LEFT JOIN agg ON agg.pipeline_id = n.pipeline_id""")
 def q_pipeline_summary(spark, sf_dir):
-    """H1 per pipeline: group at (100, 100), steps created, success message or the rejecting error."""
-    return changes.pipeline_summary(changes.pipeline_spec_expand(Estate.load(spark, sf_dir).pipeline_specs))
+    """H1 per pipeline, those without steps too: group at (100, 100), steps created, message or the rejecting error."""
+    e = Estate.load(spark, sf_dir)
+    return changes.pipeline_summary(changes.pipeline_spec_expand(_specs(e)), e.pipeline_names)
 
 
 @query("versioned_apply_strict", ["fx_command", "fx_processor"], _versioned_sql(("UPDATE",)) + """
 SELECT seq, target_id, op, expected_version, outcome, present_after, CAST(version_after AS DOUBLE) AS version_after
-FROM r""", recursive=True)
+FROM res""", recursive=True)
 def q_versioned_apply_strict(spark, sf_dir):
     """H2 with UPDATE strict: an update of a missing entity is an error, a delete is not_found."""
     e = Estate.load(spark, sf_dir)
@@ -291,25 +351,26 @@ def q_versioned_apply_strict(spark, sf_dir):
                               "version_after")
 
 
-@query("config_update_maps", ["fx_config_update", "fx_processor", "fx_property"], """
+@query("config_update_maps", ["fx_config_update", "fx_processor", "fx_property", "fx_auto_terminated"],
+       _LAST_CONFIG_SQL + """
 , cur AS (SELECT processor_id, string_agg(name || '=' || value, ';' ORDER BY name) AS props
           FROM fx_property GROUP BY processor_id),
-pu AS (SELECT processor_id, string_agg(name || '=' || value, ';' ORDER BY name) AS props
-       FROM fx_config_update WHERE update_type = 'properties' GROUP BY processor_id),
-au AS (SELECT processor_id, string_agg(value, ';' ORDER BY value) AS auto
-       FROM fx_config_update WHERE update_type = 'auto-terminatedrelationships' GROUP BY processor_id)
-SELECT p.id, coalesce(pu.props, cur.props) AS properties, au.auto AS auto_terminated
+cur_auto AS (SELECT processor_id, string_agg(value, ';' ORDER BY value) AS auto
+             FROM fx_auto_terminated GROUP BY processor_id),
+pu AS (SELECT processor_id, coalesce(string_agg(name || '=' || value, ';' ORDER BY name), '') AS props
+       FROM lst WHERE update_type = 'properties' GROUP BY processor_id),
+au AS (SELECT processor_id, coalesce(string_agg(value, ';' ORDER BY value), '') AS auto
+       FROM lst WHERE update_type = 'auto-terminatedrelationships' GROUP BY processor_id)
+SELECT p.id, coalesce(pu.props, cur.props) AS properties, coalesce(au.auto, cur_auto.auto) AS auto_terminated
 FROM fx_processor p LEFT JOIN cur ON cur.processor_id = p.id LEFT JOIN pu ON pu.processor_id = p.id
-LEFT JOIN au ON au.processor_id = p.id""")
+LEFT JOIN au ON au.processor_id = p.id LEFT JOIN cur_auto ON cur_auto.processor_id = p.id""")
 def q_config_update_maps(spark, sf_dir):
     """H3 on the nested config: each processor's property map and auto-terminated list after the updates."""
     e = Estate.load(spark, sf_dir)
     current = e.properties.groupBy(F.col("processor_id").alias("id")).agg(
         F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("properties"))
-    procs = e.processors.select("id").join(current, "id", "left") \
-        .withColumn("auto_terminated", F.lit(None).cast("array<string>"))
-    out = changes.config_update_maps(procs, e.config_updates)
-    as_text = F.array_join(F.transform(F.array_sort(F.map_entries("properties")),
-                                       lambda kv: F.concat(kv["key"], F.lit("="), kv["value"])), ";")
-    return out.select("id", as_text.alias("properties"),
-                      F.array_join("auto_terminated", ";").alias("auto_terminated"))
+    auto = e.auto_terminated.groupBy(F.col("processor_id").alias("id")).agg(
+        F.sort_array(F.collect_list("value")).alias("auto_terminated"))
+    procs = e.processors.select("id").join(current, "id", "left").join(auto, "id", "left")
+    out = _as_text(changes.config_update_maps(procs, e.config_updates), "properties")
+    return out.select("id", "properties", F.array_join("auto_terminated", ";").alias("auto_terminated"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import graph, provenance, route, status, tree
+from ..session import shared_path
 from ..sources.tables import Estate
 from .registry import nullable_as_double, query
 
@@ -170,7 +171,7 @@ def q_provenance_search_flowfile(spark, sf_dir):
 
 
 @query("provenance_search_inverse", ["fx_provenance"], f"""
-SELECT {_PROV_COLS} FROM fx_provenance WHERE component_id <> 'proc-c46'
+SELECT {_PROV_COLS} FROM fx_provenance WHERE component_id IS DISTINCT FROM 'proc-c46'
 ORDER BY event_time DESC, event_id DESC LIMIT 1000""")
 def q_provenance_search_inverse(spark, sf_dir):
     """inverse term: newest 1000 events not of component proc-c46."""
@@ -181,18 +182,16 @@ def q_provenance_search_inverse(spark, sf_dir):
 # --- C2 -------------------------------------------------------------------------
 
 @query("provenance_event_content", ["fx_provenance", "fx_content"], """
-SELECT e.event_id, 'input' AS direction, e.input_claim AS claim_id, c.claim_id IS NOT NULL AS found,
-  CAST(c.n_chars AS DOUBLE) AS n_chars, c.body_md5
+SELECT e.event_id, 'input' AS direction, e.input_claim AS claim_id, c.claim_id IS NOT NULL AS found, c.body
 FROM fx_provenance e LEFT JOIN fx_content c ON c.claim_id = e.input_claim
 UNION ALL
-SELECT e.event_id, 'output', e.output_claim, c.claim_id IS NOT NULL, CAST(c.n_chars AS DOUBLE), c.body_md5
+SELECT e.event_id, 'output', e.output_claim, c.claim_id IS NOT NULL, c.body
 FROM fx_provenance e LEFT JOIN fx_content c ON c.claim_id = e.output_claim""")
 def q_provenance_event_content(spark, sf_dir):
-    """Every event with its input and its output body (found flag, size, md5)."""
+    """Every event with its input and its output body."""
     e = Estate.load(spark, sf_dir)
-    both = provenance.provenance_event_content(e.provenance, e.content, "input").unionByName(
+    return provenance.provenance_event_content(e.provenance, e.content, "input").unionByName(
         provenance.provenance_event_content(e.provenance, e.content, "output"))
-    return nullable_as_double(both, "n_chars")
 
 
 # --- E3, E4 -----------------------------------------------------------------------
@@ -254,7 +253,25 @@ UNION ALL SELECT *, 'unmatched' FROM li
              OR coalesce(l_returnflag = 'R', false))""")
 def q_relationship_route(spark, sf_dir):
     """Lineitem rows routed to success / large / failure; failure auto-terminated."""
+    return _routed(spark, sf_dir)
+
+
+def _routed(spark, sf_dir):
     li = Estate.load(spark, sf_dir).fx.table("lineitem")
     rules = {"success": F.col("l_returnflag") == "A", "large": F.col("l_quantity") > 40,
              "failure": F.col("l_returnflag") == "R"}
     return route.relationship_route(li, rules, auto_terminated=["failure"])
+
+
+@query("write_by_relationship", [], """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'success' AS relationship FROM lineitem WHERE l_returnflag = 'A'
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'large' FROM lineitem WHERE l_quantity > 40
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'unmatched' FROM lineitem
+  WHERE NOT (coalesce(l_returnflag = 'A', false) OR coalesce(l_quantity > 40, false)
+             OR coalesce(l_returnflag = 'R', false))""")
+def q_write_by_relationship(spark, sf_dir):
+    """A5: routed lineitem rows written with one directory per relationship, and read back."""
+    path = shared_path(spark, "routed")
+    route.write_by_relationship(
+        _routed(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "relationship"), path)
+    return spark.read.parquet(path)

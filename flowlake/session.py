@@ -51,11 +51,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def is_local(sc) -> bool:
+    """Whether driver and executors are one process."""
+    return sc.master == "local" or sc.master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when nothing is configured (local tests) a
-    folder of our own is set.
+    Read from the session; only in local mode, where one machine runs all
+    tasks, a folder of our own is set when nothing is configured.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(sc):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="flowlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -81,7 +88,7 @@ def ship_package(spark: SparkSession) -> None:
     the workers see the driver's files and nothing is sent.
     """
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local":
+    if is_local(sc):
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         if root not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
             sc.environment["PYTHONPATH"] = os.pathsep.join(

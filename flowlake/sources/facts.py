@@ -17,11 +17,11 @@ def write_facts(df: DataFrame, path: str, ts_col: str, mode: str = "append",
                 max_records_per_file: int | None = None) -> None:
     """Write ``df`` under ``path`` partitioned by the date of ``ts_col``.
 
-    Rows are clustered by date before the write so each task writes few
-    directories.
+    Rows are dealt out by ranges of (date, timestamp) before the write: each
+    task writes few directories, and a day with many rows is split over tasks.
     """
     out = df.withColumn(DATE_COL, F.to_date(F.col(ts_col)))
-    w = out.repartition(DATE_COL).write.mode(mode).partitionBy(DATE_COL)
+    w = out.repartitionByRange(DATE_COL, ts_col).write.mode(mode).partitionBy(DATE_COL)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     w.parquet(path)

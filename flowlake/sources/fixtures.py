@@ -64,14 +64,21 @@ SELECT 'in-n' || CAST(n_nationkey AS STRING) AS id, 'pg-n' || CAST(n_nationkey A
   CASE n_nationkey % 2 WHEN 0 THEN 'RUNNING' ELSE 'STOPPED' END AS run_status FROM nation
 UNION ALL SELECT 'out-n' || CAST(n_nationkey AS STRING), 'pg-n' || CAST(n_nationkey AS STRING), 'OUTPUT_PORT', 'out ' || n_name,
   CASE n_nationkey % 3 WHEN 0 THEN 'DISABLED' ELSE 'RUNNING' END FROM nation
+""",
+    "fx_funnel": """
+SELECT 'fn-' || CAST(s_suppkey AS STRING) AS id, 'pg-n' || CAST(s_nationkey AS STRING) AS group_id FROM supplier WHERE s_acctbal > 5000
+""",
+    "fx_label": """
+SELECT 'lb-' || CAST(c_custkey AS STRING) AS id, 'pg-n' || CAST(c_nationkey AS STRING) AS group_id FROM customer WHERE c_acctbal > 9000
 """,
     "fx_provenance": """
-SELECT event_id, ts AS event_time, upper(event_type) AS event_type, 'proc-c' || CAST(user_id AS STRING) AS component_id,
+SELECT event_id, ts AS event_time, upper(event_type) AS event_type,
+  CASE WHEN event_id % 41 <> 0 THEN 'proc-c' || CAST(user_id AS STRING) END AS component_id,
   'ff-' || CAST(event_id % 500 AS STRING) AS flowfile_uuid, event_id % 1250 AS input_claim, (event_id + 1) % 1250 AS output_claim, props AS details
 FROM events
 """,
     "fx_content": """
-SELECT doc_id AS claim_id, n_chars, md5(text) AS body_md5 FROM documents
+SELECT doc_id AS claim_id, text AS body FROM documents
 """,
     "fx_bulletin": """
 SELECT event_id AS id, ts, 'pg-n' || CAST(c_nationkey AS STRING) AS group_id, 'proc-c' || CAST(user_id AS STRING) AS source_id,
@@ -92,13 +99,19 @@ FROM part GROUP BY p_type, p_brand
     "fx_pipeline_spec": """
 SELECT conv_id AS pipeline_id, turn AS i, CASE WHEN role = 'system' THEN NULL ELSE role END AS type,
   CASE WHEN (conv_id + turn) % 11 = 0 THEN NULL ELSE 'step-' || CAST(turn AS STRING) END AS name,
-  CASE WHEN turn % 3 = 0 THEN CAST(turn * 10 AS DOUBLE) END AS x
+  CASE WHEN turn % 3 = 0 THEN CAST(turn * 10 AS DOUBLE) END AS x,
+  CASE WHEN turn % 2 = 0 THEN 'batch=' || CAST(turn AS STRING) END AS config
 FROM conversations
+""",
+    "fx_pipeline_name": """
+SELECT DISTINCT conv_id AS pipeline_id, 'pipe ' || CAST(conv_id AS STRING) AS name FROM conversations
+UNION ALL SELECT -1 - conv_id, 'without steps ' || CAST(conv_id AS STRING) FROM conversations WHERE turn = 0
 """,
     "fx_command": """
-SELECT event_id AS seq, 'proc-c' || CAST(user_id AS STRING) AS target_id,
-  CASE event_type WHEN 'purchase' THEN 'DELETE' WHEN 'signup' THEN 'CREATE' ELSE 'UPDATE' END AS op,
-  CAST(event_id % 4 AS BIGINT) AS expected_version FROM events
+SELECT event_id + 9007199254740993 AS seq,
+  CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 20 = 0 THEN 'proc-hot' ELSE 'proc-c' || CAST(user_id AS STRING) END AS target_id,
+  CASE WHEN event_id % 89 = 0 THEN '__init__' WHEN event_type = 'purchase' THEN 'DELETE' WHEN event_type = 'signup' THEN 'CREATE' ELSE 'UPDATE' END AS op,
+  CAST(event_id % 4 AS BIGINT) AS expected_version, props AS config FROM events
 """,
     "fx_delete_command": """
 SELECT 'processor' AS kind, id AS target_id FROM fx_processor
@@ -108,21 +121,35 @@ UNION ALL SELECT 'processor', 'proc-none'
 """,
     "fx_state_command": """
 SELECT id AS target_id, CASE CAST(version AS INT) WHEN 0 THEN 'running' WHEN 1 THEN 'Stopped' ELSE 'PAUSED' END AS state FROM fx_processor
+UNION ALL SELECT id, 'disabled' FROM fx_port
+UNION ALL SELECT id, CAST(NULL AS STRING) FROM fx_port WHERE kind = 'INPUT_PORT'
+UNION ALL SELECT id, CAST(NULL AS STRING) FROM fx_processor WHERE type = 'SupplierFeed'
 UNION ALL SELECT 'proc-none', 'RUNNING'
+UNION ALL SELECT 'proc-gone', 'DISABLED'
+UNION ALL SELECT 'proc-lost', 'PAUSED'
 """,
     "fx_property": """
 SELECT id AS processor_id, 'label' AS name, name AS value FROM fx_processor
 UNION ALL SELECT id, 'kind', type FROM fx_processor
+""",
+    "fx_auto_terminated": """
+SELECT id AS processor_id, 'success' AS value FROM fx_processor WHERE version <> 2
 """,
     "fx_config_update": """
-SELECT id AS processor_id, CASE WHEN version = 0 THEN 'properties' WHEN version = 1 THEN 'auto-terminatedrelationships' ELSE 'comments' END AS update_type,
+SELECT 1 AS seq, id AS processor_id, CASE WHEN version = 0 THEN 'properties' WHEN version = 1 THEN 'auto-terminatedrelationships' ELSE 'comments' END AS update_type,
   'label' AS name, 'new' AS value FROM fx_processor WHERE run_status = 'STOPPED'
+UNION ALL SELECT 2, id, 'properties', 'label', 'newer' FROM fx_processor WHERE run_status = 'STOPPED' AND version = 0 AND type = 'SupplierFeed'
+UNION ALL SELECT 2, id, 'properties', 'extra', 'more' FROM fx_processor WHERE run_status = 'STOPPED' AND version = 0 AND type = 'SupplierFeed'
+UNION ALL SELECT 3, id, 'properties', CAST(NULL AS STRING), CAST(NULL AS STRING) FROM fx_processor WHERE run_status = 'STOPPED' AND version = 1
+UNION ALL SELECT 2, id, 'auto-terminatedrelationships', CAST(NULL AS STRING), 'failure' FROM fx_processor WHERE run_status = 'STOPPED' AND version = 1 AND type = 'SupplierFeed'
+UNION ALL SELECT 1, 'proc-none', 'properties', 'label', 'new'
 """,
     "fx_connection_request": """
 SELECT event_id AS request_id, 'pg-n' || CAST(c_nationkey AS STRING) AS group_id, 'proc-s' || CAST(event_id % 120 AS STRING) AS source_id,
   CASE event_id % 5 WHEN 0 THEN 'processor' WHEN 1 THEN 'WIDGET' ELSE 'PROCESSOR' END AS source_type,
   'proc-c' || CAST(user_id AS STRING) AS destination_id, 'PROCESSOR' AS destination_type,
-  CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'link' END AS name
+  CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'link' END AS name,
+  CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'success' ELSE 'success;failure' END AS relationships
 FROM events JOIN customer ON user_id = c_custkey
 """,
 }
@@ -132,8 +159,9 @@ _DEPENDS = {
     "fx_connection": ["fx_transfer"],
     "fx_connection_rel": ["fx_transfer"],
     "fx_delete_command": ["fx_processor", "fx_connection", "fx_group"],
-    "fx_state_command": ["fx_processor"],
+    "fx_state_command": ["fx_processor", "fx_port"],
     "fx_property": ["fx_processor"],
+    "fx_auto_terminated": ["fx_processor"],
     "fx_config_update": ["fx_processor"],
 }
 

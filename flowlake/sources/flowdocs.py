@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas as S
 
@@ -30,17 +29,13 @@ def read_flow_docs(spark: SparkSession, path: str, multi_line: bool = False,
             .json(path))
 
 
-def _cast(c, dtype: T.DataType):
-    return c.cast(dtype)
-
-
 def build_flow_docs(groups: DataFrame, processors: DataFrame, connections: DataFrame,
-                    ports: DataFrame) -> DataFrame:
+                    ports: DataFrame, funnels: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
     """Nest flat tables into flow documents (test input only).
 
     Each member table is grouped by its group id and left-joined to the
-    groups, so a group without members has a null list.  Funnels and labels
-    stay null.  This builds stand-in input; no operator depends on it.
+    groups, so a group without members has a null list.  This builds stand-in
+    input; no operator depends on it.
     """
     proc_struct = F.struct(
         F.col("id"),
@@ -78,13 +73,18 @@ def build_flow_docs(groups: DataFrame, processors: DataFrame, connections: DataF
     kids = groups.where(F.col("parent_id").isNotNull()).groupBy(F.col("parent_id").alias("group_id")).agg(
         F.collect_list(F.struct(F.col("id"), F.struct(F.col("name")).alias("component"))).alias("processGroups"))
     df = groups.select(F.col("id").alias("group_id"), "parent_id", "name")
-    for part in (procs, conns, kids, inp, outp):
+    parts = [procs, conns, kids, inp, outp]
+    for table, kind in ((funnels, "funnels"), (labels, "labels")):
+        if table is not None:
+            parts.append(table.groupBy("group_id").agg(F.collect_list(F.struct("id")).alias(kind)))
+        else:
+            df = df.withColumn(kind, F.lit(None).cast(S.FLOW[kind].dataType))
+    for part in parts:
         df = df.join(part, "group_id", "left")
     flow = F.struct(
         F.col("processors"), F.col("connections"), F.col("processGroups"),
         F.col("inputPorts"), F.col("outputPorts"),
-        F.lit(None).cast(S.FLOW["funnels"].dataType).alias("funnels"),
-        F.lit(None).cast(S.FLOW["labels"].dataType).alias("labels"))
+        F.col("funnels"), F.col("labels"))
     return df.select(
         F.col("group_id").alias("id"),
         F.struct(

@@ -20,20 +20,10 @@ class Estate:
     def __init__(self, fx: Fixtures):
         self.fx = fx
 
-    _cache: dict = {}
-
     @classmethod
-    def load(cls, spark, sf_dir: str, refresh: bool = False) -> "Estate":
-        """Input tables for ``sf_dir``, defined once per session and directory.
-
-        Only lazy plans are kept (like tables registered once per session): no
-        data is cached and every query still reads the files when it runs.
-        ``refresh`` re-lists the files, e.g. after new ones arrived.
-        """
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-        if refresh or key not in cls._cache:
-            cls._cache[key] = cls(Fixtures(spark, sf_dir))
-        return cls._cache[key]
+    def load(cls, spark, sf_dir: str) -> "Estate":
+        """Input tables for ``sf_dir`` as lazy plans over the files that are there now."""
+        return cls(Fixtures(spark, sf_dir))
 
     # dimensions -----------------------------------------------------------
     @property
@@ -57,6 +47,14 @@ class Estate:
     def ports(self) -> DataFrame:
         return self.fx["fx_port"]
 
+    @property
+    def funnels(self) -> DataFrame:
+        return self.fx["fx_funnel"]
+
+    @property
+    def labels(self) -> DataFrame:
+        return self.fx["fx_label"]
+
     @property
     def parameters(self) -> DataFrame:
         return self.fx["fx_parameter"]
@@ -91,6 +89,14 @@ class Estate:
     def pipeline_specs(self) -> DataFrame:
         return self.fx["fx_pipeline_spec"]
 
+    @property
+    def pipeline_names(self) -> DataFrame:
+        return self.fx["fx_pipeline_name"]
+
+    @property
+    def auto_terminated(self) -> DataFrame:
+        return self.fx["fx_auto_terminated"]
+
     @property
     def commands(self) -> DataFrame:
         return self.fx["fx_command"]

@@ -70,7 +70,12 @@ def versioned_apply_stream(commands: DataFrame, initial: DataFrame, strict_ops=(
         spark.conf.set(key, ROCKSDB)
     cmds = commands.select(F.col("seq").cast("bigint"), "target_id", F.upper("op").alias("op"),
                            F.col("expected_version").cast("bigint"))
-    init = initial.select(F.col("id").alias("target_id"), F.col("version").cast("bigint")).groupBy("target_id")
-    return cmds.groupBy("target_id").transformWithStateInPandas(
+    lost = cmds.where(F.col("target_id").isNull()).select(
+        "*", F.lit("no_target").alias("outcome"), F.lit(False).alias("present_after"),
+        F.lit(None).cast("bigint").alias("version_after"))
+    cmds = cmds.where(F.col("target_id").isNotNull())
+    init = initial.where(F.col("id").isNotNull()).select(F.col("id").alias("target_id"), F.col("version").cast("bigint")).groupBy("target_id")
+    folded = cmds.groupBy("target_id").transformWithStateInPandas(
         statefulProcessor=VersionedProcessor(strict_ops), outputStructType=OUTCOME_SCHEMA,
         outputMode="Append", timeMode="None", initialState=init)
+    return folded.unionByName(lost)

@@ -36,13 +36,13 @@ def test_delete_preflight_allowed(spark):
 
 
 def test_connection_validate(spark):
-    assert QUERIES["connection_validate"](spark, SF01).where("valid").count() == 267
+    assert QUERIES["connection_validate"](spark, SF01).where("valid").count() == 231
 
 
 def test_provenance_matches_before_limit(spark, estate01):
     from flowlake.operators.provenance import provenance_search
     ev = estate01.provenance
-    assert provenance_search(ev, {"componentId": "proc-c46"}, max_results=100000).count() == 74
+    assert provenance_search(ev, {"componentId": "proc-c46"}, max_results=100000).count() == 72
     assert provenance_search(ev, {"flowFileUuid": "ff-7"}, max_results=100000).count() == 20
 
 
@@ -58,17 +58,17 @@ def test_pipeline_spec_counts(spark):
 
 def test_versioned_counts(spark):
     c = _counts(QUERIES["versioned_apply"](spark, SF01), "outcome")
-    assert c == Counter({"conflict": 5940, "created": 273, "deleted": 278, "exists": 1744,
-                         "not_found": 986, "updated": 779})
+    assert c == Counter({"conflict": 5899, "created": 248, "deleted": 255, "exists": 1730, "invalid_op": 111,
+                         "no_target": 104, "not_found": 930, "updated": 723})
 
 
 def test_state_apply_counts(spark):
     c = _counts(QUERIES["state_apply"](spark, SF01), "status")
-    assert c == Counter({"set": 1067, "invalid_state": 533, "not_found": 1})
+    assert c == Counter({"set": 1117, "invalid_state": 659, "not_found": 2})
 
 
 def test_group_state_apply(spark):
-    assert QUERIES["group_state_apply"](spark, SF01).count() == 51
+    assert QUERIES["group_state_apply"](spark, SF01).count() == 98
 
 
 def test_route_before_termination(spark, estate01):

@@ -244,3 +244,89 @@ def test_config_update_maps_replaces_whole_values(spark):
                                 "processor_id string, update_type string, name string, value string")
     got = {r["id"]: (r["properties"], r["auto_terminated"]) for r in changes.config_update_maps(procs, upd).collect()}
     assert got == {"a": ({"k3": "v3"}, ["success"]), "b": ({"k1": "v1"}, ["failure"])}
+
+
+def test_lint_documents_with_missing_and_repeated_ids(spark):
+    """Processors without an id or with a repeated one: each is reported, as by the report on flat tables."""
+    from flowlake.operators import canvas, lint
+    from flowlake.sources.flowdocs import build_flow_docs
+    groups = spark.createDataFrame([("g", None, "G"), ("h", "g", "H")], "id string, parent_id string, name string")
+    procs = spark.createDataFrame(
+        [(None, "g", "lost", "T", "STOPPED", 0, None), (None, "g", "lost too", "T", "RUNNING", 0, ["e1", "e2"]),
+         ("a", "g", "one", "T", "RUNNING", 0, None), ("a", "g", "two", "T", "STOPPED", 0, None),
+         ("b", "g", "three", "T", "RUNNING", 0, None), ("a", "h", None, "T", "RUNNING", 0, None)],
+        "id string, group_id string, name string, type string, run_status string, version long, "
+        "validation_errors array<string>")
+    conns = spark.createDataFrame([("c", "g", "b", None, 1, "1 GB", "0 sec"), ("d", "h", "", "b", 1, "1 GB", "0 sec")],
+                                  "id string, group_id string, source_id string, destination_id string, "
+                                  "bp_objects long, bp_size string, expiration string")
+    ports = spark.createDataFrame([], "id string, group_id string, kind string, name string, run_status string")
+    docs = build_flow_docs(groups, procs, conns, ports)
+    cols = ["group_id", "rule", "processor_id", "suggestion", "processor_count", "connection_count"]
+    got = sorted(map(str, lint.lint_documents(docs).select(*cols).collect()))
+    flat = canvas.canvas_explode(docs)
+    report = lint.lint_report(canvas.document_groups(docs), flat["processors"], flat["connections"])
+    assert got == sorted(map(str, report.select(*cols).collect()))
+    assert sum("rule='disconnected'" in x for x in got) == 5
+
+
+def test_cluster_needs_a_shared_folder(monkeypatch):
+    from flowlake import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_provenance_inverse_keeps_rows_without_a_value(spark):
+    from flowlake.operators.provenance import provenance_search
+    ev = spark.createDataFrame([(1, None), (2, "p"), (3, "q")], "event_id long, component_id string") \
+        .withColumn("event_time", F.current_timestamp())
+    got = provenance_search(ev, {"componentId": ("p", True)}).collect()
+    assert {r["event_id"] for r in got} == {1, 3}
+
+
+def test_state_apply_of_unknown_and_missing(spark):
+    from flowlake.operators.changes import state_apply
+    procs = spark.createDataFrame([("p", "RUNNING")], "id string, run_status string")
+    ports = spark.createDataFrame([("i", "RUNNING")], "id string, run_status string")
+    cmds = [("p", "DISABLED"), ("p", None), ("p", "stopped"), ("i", "Disabled"), ("x", "disabled"), ("x", "OFF"), ("x", None)]
+    got = state_apply(spark.createDataFrame(cmds, "target_id string, state string"), procs, ports).collect()
+    assert sorted((r["target_id"], r["requested_state"] or "", r["status"], r["new_state"] or "") for r in got) == sorted([
+        ("p", "DISABLED", "invalid_state", "RUNNING"), ("p", "", "invalid_state", "RUNNING"), ("p", "STOPPED", "set", "STOPPED"),
+        ("i", "DISABLED", "set", "DISABLED"), ("x", "DISABLED", "not_found", ""), ("x", "OFF", "invalid_state", ""),
+        ("x", "", "invalid_state", "")])
+
+
+def test_config_updates_repeat_and_empty(spark):
+    from flowlake.operators.changes import config_update, config_update_maps
+    props = spark.createDataFrame([("p", "a", "1"), ("q", "b", "2"), ("r", "c", "3")], "processor_id string, name string, value string")
+    auto = spark.createDataFrame([("p", "ok"), ("q", "ok")], "processor_id string, value string")
+    procs = spark.createDataFrame([("p",), ("q",), ("r",)], "id string")
+    ups = spark.createDataFrame([
+        (1, "p", "properties", "x", "old"), (2, "p", "properties", "y", "new"), (2, "p", "properties", "z", "new"),
+        (5, "q", "properties", None, None), (3, "q", "properties", "lost", "v"),
+        (4, "q", "auto-terminatedrelationships", None, "retry"), (9, "r", None, "x", "x"), (9, "n", "properties", "x", "x")],
+        "seq int, processor_id string, update_type string, name string, value string")
+    status, config = config_update(props, ups, procs, auto)
+    assert {tuple(r) for r in config.collect()} == {
+        ("p", "properties", "y", "new"), ("p", "properties", "z", "new"), ("r", "properties", "c", "3"),
+        ("p", "autoTerminatedRelationships", None, "ok"), ("q", "autoTerminatedRelationships", None, "retry")}
+    assert {(r[0], r[2]) for r in status.collect()} == {
+        ("p", "applied"), ("q", "applied"), ("r", "invalid_update_type"), ("n", "not_found")}
+    nested = spark.createDataFrame([("p", {"a": "1"}, ["ok"]), ("q", {"b": "2"}, ["ok"]), ("r", {"c": "3"}, None)],
+                                   "id string, properties map<string,string>, auto_terminated array<string>")
+    got = {r["id"]: (r["properties"], r["auto_terminated"]) for r in config_update_maps(nested, ups).collect()}
+    assert got == {"p": ({"y": "new", "z": "new"}, ["ok"]), "q": ({}, ["retry"]), "r": ({"c": "3"}, None)}
