@@ -26,6 +26,7 @@ SELECT 'pg-root' AS id, CAST(NULL AS STRING) AS parent_id, 'Root' AS name
 UNION ALL SELECT 'pg-r' || CAST(r_regionkey AS STRING), 'pg-root', r_name FROM region
 UNION ALL SELECT 'pg-e' || CAST(r_regionkey AS STRING), 'pg-r' || CAST(r_regionkey AS STRING), 'EMPTY_' || r_name FROM region
 UNION ALL SELECT 'pg-n' || CAST(n_nationkey AS STRING), 'pg-r' || CAST(n_regionkey AS STRING), n_name FROM nation
+UNION ALL SELECT 'pg-c' || CAST(c_custkey AS STRING), 'pg-n' || CAST(c_nationkey AS STRING), c_name FROM customer
 """,
     "fx_processor": """
 SELECT p || CAST(k AS STRING) AS id, 'pg-n' || CAST(nk AS STRING) AS group_id, nm AS name, ty AS type,
@@ -33,7 +34,8 @@ SELECT p || CAST(k AS STRING) AS id, 'pg-n' || CAST(nk AS STRING) AS group_id, n
   CAST(k % 3 AS BIGINT) AS version,
   CASE WHEN bal < -500 THEN 'balance below limit;balance below zero' WHEN bal < 0 THEN 'balance below zero' END AS validation_errors
 FROM (SELECT 'proc-s' AS p, s_suppkey AS k, s_nationkey AS nk, s_name AS nm, 'SupplierFeed' AS ty, s_acctbal AS bal FROM supplier
-  UNION ALL SELECT 'proc-c', c_custkey, c_nationkey, c_name, 'CustomerSink', c_acctbal FROM customer) x
+  UNION ALL SELECT 'proc-c', c_custkey, c_nationkey, c_name, 'CustomerSink', c_acctbal FROM customer
+  UNION ALL SELECT 'proc-i', n_nationkey, n_nationkey, 'idle ' || n_name, 'IdleTask', CAST(n_nationkey AS DOUBLE) FROM nation) x
 """,
     "fx_transfer": """
 SELECT 'conn-' || CAST(l_suppkey AS STRING) || '-' || CAST(o_custkey AS STRING) AS connection_id,
@@ -44,7 +46,7 @@ SELECT 'conn-' || CAST(l_suppkey AS STRING) || '-' || CAST(o_custkey AS STRING)
   'ff-' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) AS flowfile_uuid,
   CAST(l_quantity AS BIGINT) AS size_bytes, l_shipdate AS queued_at
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
-  JOIN customer ON o_custkey = c_custkey WHERE s_nationkey = c_nationkey
+  JOIN customer ON o_custkey = c_custkey
 """,
     "fx_queue": """
 SELECT connection_id, group_id, flowfile_uuid, size_bytes, queued_at FROM fx_transfer WHERE item_status = 'O'

@@ -15,24 +15,24 @@ def _counts(df, col):
 def test_lint_counts(spark):
     rep = QUERIES["lint_report"](spark, SF01)
     c = _counts(rep, "rule")
-    assert c == Counter({"disconnected": 437, "stopped": 400, "invalid": 128, "no_processors": 11})
-    assert rep.count() == 976
+    assert c == Counter({"disconnected": 462, "stopped": 407, "invalid": 128, "no_processors": 1511})
+    assert rep.count() == 2508
 
 
 def test_effective_parameters(spark):
-    assert QUERIES["effective_parameters"](spark, SF01).count() == 211
+    assert QUERIES["effective_parameters"](spark, SF01).count() == 9211
 
 
 def test_group_status_subtrees(spark):
     rows = {r["group_id"]: r for r in QUERIES["group_status"](spark, SF01).collect()}
-    assert rows["pg-root"]["total_processors"] == 1600 and rows["pg-r2"]["total_processors"] == 332
-    assert rows["pg-root"]["total_queued_items"] == 1209 and rows["pg-r2"]["total_queued_items"] == 273
-    assert rows["pg-root"]["total_queued_bytes"] == 30969 and rows["pg-r2"]["total_queued_bytes"] == 6786
+    assert rows["pg-root"]["total_processors"] == 1625 and rows["pg-r2"]["total_processors"] == 337
+    assert rows["pg-root"]["total_queued_items"] == 30064 and rows["pg-r2"]["total_queued_items"] == 6007
+    assert rows["pg-root"]["total_queued_bytes"] == 761737 and rows["pg-r2"]["total_queued_bytes"] == 152878
 
 
 def test_delete_preflight_allowed(spark):
     df = QUERIES["delete_preflight"](spark, SF01).where("allowed")
-    assert _counts(df, "kind") == Counter({"processor": 114, "connection": 852, "group": 5})
+    assert _counts(df, "kind") == Counter({"processor": 7, "connection": 21532, "group": 1505})
 
 
 def test_connection_validate(spark):
@@ -64,11 +64,11 @@ def test_versioned_counts(spark):
 
 def test_state_apply_counts(spark):
     c = _counts(QUERIES["state_apply"](spark, SF01), "status")
-    assert c == Counter({"set": 1117, "invalid_state": 659, "not_found": 2})
+    assert c == Counter({"set": 1134, "invalid_state": 667, "not_found": 2})
 
 
 def test_group_state_apply(spark):
-    assert QUERIES["group_state_apply"](spark, SF01).count() == 98
+    assert QUERIES["group_state_apply"](spark, SF01).count() == 100
 
 
 def test_route_before_termination(spark, estate01):
@@ -81,7 +81,7 @@ def test_route_before_termination(spark, estate01):
 
 def test_expiry(spark):
     df = QUERIES["flowfile_expiry"](spark, SF01)
-    assert df.count() == 629 and df.where("expired").count() == 320
+    assert df.count() == 14962 and df.where("expired").count() == 7632
 
 
 def test_stream_drain(spark):
@@ -90,5 +90,5 @@ def test_stream_drain(spark):
 
 def test_flow_doc_round_trip(spark):
     counts = QUERIES["flow_counts"](spark, SF01)
-    assert counts.count() == 36
-    assert counts.where("n_processors = 0").count() == 11
+    assert counts.count() == 1536
+    assert counts.where("n_processors = 0").count() == 1511
