@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import changes, versioned
+from ..sources.fixtures import view_over
 from ..sources.tables import Estate
 from ..streaming import streams
 from .registry import nullable_as_double, query
@@ -294,8 +295,8 @@ def q_group_state_apply_table(spark, sf_dir):
 SELECT * FROM fx_provenance WHERE event_type = 'ERROR'""")
 def q_provenance_stream(spark, sf_dir):
     """A3: ERROR provenance events followed as a stream (availableNow drain, event-id dedup)."""
-    ev = streams.read_event_stream(spark, sf_dir)
-    return streams.drain(streams.provenance_stream(ev, event_type="ERROR"), "provenance")
+    prov = view_over("fx_provenance", events=streams.read_event_stream(spark, sf_dir))
+    return streams.drain(streams.provenance_stream(prov, "1 hour", event_type="ERROR"), "provenance")
 
 
 @query("bulletin_stream", ["fx_bulletin"], """
@@ -304,7 +305,8 @@ def q_bulletin_stream(spark, sf_dir):
     """A4: bulletins of group pg-n7 followed as a stream (availableNow drain)."""
     ev = streams.read_event_stream(spark, sf_dir)
     cust = Estate.load(spark, sf_dir).fx.table("customer")
-    return streams.drain(streams.bulletin_stream(ev, cust, group_id="pg-n7"), "bulletins")
+    bulletins = view_over("fx_bulletin", events=ev, customer=cust)
+    return streams.drain(streams.bulletin_stream(bulletins, group_id="pg-n7"), "bulletins")
 
 
 @query("versioned_apply_stream", ["fx_command", "fx_processor"], _VERSIONED_SQL + """
@@ -315,7 +317,7 @@ def q_versioned_apply_stream(spark, sf_dir):
     from ..streaming.versioned_stream import versioned_apply_stream
 
     ev = streams.read_event_stream(spark, sf_dir)
-    cmds = streams.shape(ev, "fx_command")
+    cmds = view_over("fx_command", events=ev)
     initial = Estate.load(spark, sf_dir).processors.select("id", F.lit(0).cast("bigint").alias("version"))
     return nullable_as_double(streams.drain(versioned_apply_stream(cmds, initial), "versioned"), "version_after")
 

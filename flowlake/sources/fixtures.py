@@ -197,6 +197,15 @@ _NAME_RE = re.compile(r"\b(" + "|".join(_NAMES) + r")\b")
 _counter = itertools.count()
 
 
+def view_over(view: str, **tables: DataFrame) -> DataFrame:
+    """A view's text over the given tables, for example streams, in place of the files."""
+    prefix = f"_fl{next(_counter)}_{uuid.uuid4().hex[:6]}_"
+    for name, df in tables.items():
+        df.createOrReplaceTempView(prefix + name)
+    spark = next(iter(tables.values())).sparkSession
+    return spark.sql(_NAME_RE.sub(lambda m: prefix + m.group(1), VIEWS[view]))
+
+
 class Fixtures:
     """Lazily built fixture DataFrames for one scale-factor directory.
 

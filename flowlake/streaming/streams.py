@@ -1,20 +1,17 @@
 """Structured Streaming forms: provenance follow (A3), bulletin follow (A4).
 
-Both read a directory of parquet event files with a fixed schema, shape the
-rows with the same view texts the batch fixtures use, and write to a sink with
-a checkpoint, so a restart resumes where it stopped and adds nothing twice.
+Both take a stream of provenance events or bulletins, as the batch operators
+take tables of them, and write to a sink with a checkpoint, so a restart
+resumes where it stopped and adds nothing twice.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import shared_path
-from ..sources.fixtures import VIEWS
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -32,25 +29,18 @@ def read_event_stream(spark: SparkSession, source_dir: str, glob: str = "events*
     return r.parquet(source_dir)
 
 
-def shape(stream: DataFrame, view: str, table: str = "events") -> DataFrame:
-    """Run a fixture view text over a streaming DataFrame standing in for ``table``."""
-    name = f"_fl_stream_{uuid.uuid4().hex[:12]}"
-    stream.createOrReplaceTempView(name)
-    return stream.sparkSession.sql(VIEWS[view].replace(f"FROM {table}", f"FROM {name}"))
-
-
-def provenance_stream(events: DataFrame, event_type: str | None = None,
-                      component_id: str | None = None, watermark: str = "1 hour") -> DataFrame:
-    """A3: new provenance events, each event id once, optional filters.
+def provenance_stream(provenance: DataFrame, watermark: str, event_type: str | None = None,
+                      component_id: str | None = None) -> DataFrame:
+    """A3: new provenance events (``event_id``, ``event_time`` and others), each id once, optional filters.
 
     ``dropDuplicatesWithinWatermark`` forgets an id once the watermark passes
     it, which bounds the state.  As with every Spark watermark, an event that
-    arrives later than ``watermark`` behind the newest event seen is dropped:
-    pick a delay at least the source's lateness.  The watermark needs a zoned
-    timestamp, so a cast copy of ``event_time`` drives it and the NTZ column is
-    kept as is.
+    comes later than ``watermark`` behind the newest event seen is dropped:
+    choose at least the source's lateness.  ``drain`` tells when rows were
+    dropped.  The watermark needs a zoned timestamp, so a cast copy of
+    ``event_time`` drives it and the column is kept as is.
     """
-    prov = shape(events, "fx_provenance")
+    prov = provenance
     if event_type:
         prov = prov.where(F.col("event_type") == event_type)
     if component_id:
@@ -61,18 +51,9 @@ def provenance_stream(events: DataFrame, event_type: str | None = None,
             .drop("_wm"))
 
 
-def bulletin_stream(events: DataFrame, customer: DataFrame, group_id: str | None = None,
-                    source_id: str | None = None) -> DataFrame:
-    """A4: bulletins as they arrive, with the same group/source filters as the batch feed.
-
-    The customer table is static (stream-static join); ``limit`` is batch-only.
-    """
-    name = f"_fl_customer_{uuid.uuid4().hex[:12]}"
-    customer.createOrReplaceTempView(name)
-    ev = f"_fl_stream_{uuid.uuid4().hex[:12]}"
-    events.createOrReplaceTempView(ev)
-    sql = VIEWS["fx_bulletin"].replace("FROM events JOIN customer", f"FROM {ev} JOIN {name}")
-    df = events.sparkSession.sql(sql)
+def bulletin_stream(bulletins: DataFrame, group_id: str | None = None, source_id: str | None = None) -> DataFrame:
+    """A4: bulletins as they arrive, with the same group/source filters as the batch feed (``limit`` is batch-only)."""
+    df = bulletins
     if group_id:
         df = df.where(F.col("group_id") == group_id)
     if source_id:
@@ -80,10 +61,17 @@ def bulletin_stream(events: DataFrame, customer: DataFrame, group_id: str | None
     return df
 
 
+def late_rows(query) -> int:
+    """Rows that a query's stateful steps dropped because they came after the watermark, in its kept progress."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
 def drain(stream: DataFrame, label: str, sink_path: str | None = None,
-          checkpoint: str | None = None) -> DataFrame:
+          checkpoint: str | None = None, allow_late: bool = False) -> DataFrame:
     """Run ``stream`` to the end of the available input (``availableNow``) into a
-    parquet sink under the shared folder; return the sink as a batch DataFrame."""
+    parquet sink under the shared folder; return the sink as a batch DataFrame.
+
+    Raises if rows were dropped as late, unless ``allow_late``."""
     spark = stream.sparkSession
     sink_path = sink_path or shared_path(spark, f"{label}-sink")
     checkpoint = checkpoint or shared_path(spark, f"{label}-ckpt")
@@ -93,4 +81,6 @@ def drain(stream: DataFrame, label: str, sink_path: str | None = None,
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    if not allow_late and (late := late_rows(q)):
+        raise RuntimeError(f"{late} rows came later than the watermark allows and were dropped")
     return spark.read.schema(stream.schema).parquet(sink_path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from flowlake.plans.catalog import QUERIES
 from flowlake.operators.route import relationship_route, write_by_relationship
+from flowlake.sources.fixtures import view_over
 from flowlake.streaming import streams
 
 
@@ -24,12 +25,12 @@ def test_overlapping_parts_and_restart(spark, tmp_path):
         shutil.copy(tmp_path / d / f, src / f"events-{i}.parquet")
     sink, ck = str(tmp_path / "sink"), str(tmp_path / "ck")
     s = streams.read_event_stream(spark, str(src), max_files_per_trigger=1)
-    out = streams.drain(streams.provenance_stream(s, event_type="ERROR"), "t", sink, ck)
+    out = streams.drain(streams.provenance_stream(view_over("fx_provenance", events=s), "1 hour", event_type="ERROR"), "t", sink, ck)
     assert out.count() == n_err
     assert out.select("event_id").distinct().count() == n_err
     # restart from the checkpoint with no new files: nothing is added
     s2 = streams.read_event_stream(spark, str(src))
-    out2 = streams.drain(streams.provenance_stream(s2, event_type="ERROR"), "t", sink, ck)
+    out2 = streams.drain(streams.provenance_stream(view_over("fx_provenance", events=s2), "1 hour", event_type="ERROR"), "t", sink, ck)
     assert out2.count() == n_err
 
 
@@ -87,3 +88,23 @@ def test_stream_routed_sink(spark, tmp_path):
     q2 = write_stream_by_relationship(routed, out, ck)
     q2.awaitTermination()
     assert spark.read.parquet(out).count() == batch.count()
+
+
+def test_late_events_are_told(spark, tmp_path):
+    """An event far behind the watermark is dropped by Spark; drain says so instead of returning too little."""
+    import datetime as dt
+
+    import pytest
+    schema = "event_id long, event_time timestamp, event_type string, component_id string"
+    src, at = str(tmp_path / "src"), dt.datetime(2024, 1, 1, 12)
+    hour = dt.timedelta(hours=1)
+    for rows in ([(1, at, "A", "p")], [(2, at + 48 * hour, "A", "p")], [(3, at + 47 * hour, "A", "p"), (4, at - hour, "A", "p")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = streams.provenance_stream(spark.readStream.schema(schema).parquet(src), "2 hours")
+        args = (stream, "late", str(tmp_path / "sink"), str(tmp_path / "ck"))
+        if rows[-1][0] == 4:
+            with pytest.raises(RuntimeError, match="1 rows came later"):
+                streams.drain(*args)
+        else:
+            out = streams.drain(*args)
+    assert {r["event_id"] for r in out.collect()} <= {1, 2, 3}
