@@ -27,39 +27,47 @@ def _reasons(*pairs: tuple[Column, str]) -> Column:
 
 def delete_facts(processors: DataFrame, connections: DataFrame, groups: DataFrame,
                  ports: DataFrame, queue: DataFrame) -> DataFrame:
-    """One row per deletable entity: (kind, id, stopped, connected, queued, members, running)."""
-    # endpoint ids of any group: one scan, one distinct
-    ends = connections.select(F.explode(F.array("source_id", "destination_id")).alias("id")) \
-        .where(F.col("id").isNotNull() & (F.col("id") != "")).distinct().withColumn("_conn", F.lit(True))
-    procs = processors.select("id", "run_status").join(ends, "id", "left").select(
-        F.lit("processor").alias("kind"), "id",
-        (F.col("run_status") == "STOPPED").alias("stopped"),
-        F.coalesce("_conn", F.lit(False)).alias("connected"),
-        F.lit(0).cast("bigint").alias("queued"), F.lit(0).cast("bigint").alias("members"))
-    prt = ports.select("id", "kind", "run_status").join(ends, "id", "left").select(
-        F.when(F.col("kind") == "INPUT_PORT", F.lit("input_port")).otherwise(F.lit("output_port")).alias("kind"),
-        "id", (F.col("run_status") == "STOPPED").alias("stopped"),
-        F.coalesce("_conn", F.lit(False)).alias("connected"),
-        F.lit(0).cast("bigint").alias("queued"), F.lit(0).cast("bigint").alias("members"))
-    qn = queue.groupBy(F.col("connection_id").alias("id")).agg(F.count(F.lit(1)).alias("queued"))
-    conns = connections.select("id").join(qn, "id", "left").select(
-        F.lit("connection").alias("kind"), "id", F.lit(True).alias("stopped"), F.lit(False).alias("connected"),
-        F.coalesce("queued", F.lit(0)).cast("bigint").alias("queued"), F.lit(0).cast("bigint").alias("members"))
-    # Members of a group: processors, connections, ports and child groups.
-    member_rows = (processors.select("group_id", "run_status")
-                   .unionByName(ports.select("group_id", "run_status"))
-                   .unionByName(connections.select("group_id", F.lit(None).cast("string").alias("run_status")))
-                   .unionByName(groups.where(F.col("parent_id").isNotNull())
-                                .select(F.col("parent_id").alias("group_id"),
-                                        F.lit(None).cast("string").alias("run_status"))))
-    members = member_rows.groupBy(F.col("group_id").alias("id")).agg(
-        F.count(F.lit(1)).alias("members"), F.count_if(F.col("run_status") == "RUNNING").alias("running"))
-    grps = groups.select("id").join(members, "id", "left").select(
-        F.lit("group").alias("kind"), "id",
-        (F.coalesce("running", F.lit(0)) == 0).alias("stopped"), F.lit(False).alias("connected"),
-        F.lit(0).cast("bigint").alias("queued"),
-        F.coalesce("members", F.lit(0)).cast("bigint").alias("members"))
-    return procs.unionByName(prt).unionByName(conns).unionByName(grps)
+    """One row per deletable entity: (kind, id, stopped, connected, queued, members).
+
+    Every table is read once: its rows become what they say about entities (a
+    connection: that it exists, that both its ends are connected, that its
+    group has a member), and one aggregate by entity, with a map-side partial
+    step, puts that together. An id names one entity of its kind: repeated
+    rows are one entity, stopped if any of them is.
+    """
+    def says(about, id_, kind=None, stopped=None, connected=False, queued=0, members=0, running=None):
+        return F.struct(
+            F.lit(about).alias("about"), id_.alias("id"),
+            (kind if isinstance(kind, Column) else F.lit(kind).cast("string")).alias("kind"),
+            (stopped if isinstance(stopped, Column) else F.lit(stopped).cast("boolean")).alias("stopped"),
+            F.lit(connected).alias("connected"), F.lit(queued).cast("bigint").alias("queued"),
+            F.lit(members).cast("bigint").alias("members"),
+            (running if isinstance(running, Column) else F.lit(False)).alias("running"))
+
+    def rows(df, *facts):
+        return df.select(F.explode(F.array(*facts)).alias("f")).select("f.*")
+
+    c, stopped, running = F.col, F.col("run_status") == "STOPPED", F.coalesce(F.col("run_status") == "RUNNING", F.lit(False))
+    port_kind = F.when(c("kind") == "INPUT_PORT", F.lit("input_port")).otherwise(F.lit("output_port"))
+    said = rows(processors, says("component", c("id"), "processor", stopped),
+                says("group", c("group_id"), members=1, running=running))
+    said = said.unionByName(rows(ports, says("component", c("id"), port_kind, stopped),
+                                 says("group", c("group_id"), members=1, running=running)))
+    said = said.unionByName(rows(connections, says("connection", c("id"), "connection"),
+                                 says("component", c("source_id"), connected=True),
+                                 says("component", c("destination_id"), connected=True),
+                                 says("group", c("group_id"), members=1)))
+    said = said.unionByName(rows(groups, says("group", c("id"), "group"),
+                                 says("group", c("parent_id"), members=1)))
+    said = said.unionByName(rows(queue, says("connection", c("connection_id"), queued=1)))
+    facts = said.where(c("id").isNotNull()).groupBy("about", "id").agg(
+        F.max("kind").alias("kind"), F.max("stopped").alias("stopped"), F.max("connected").alias("connected"),
+        F.sum("queued").alias("queued"), F.sum("members").alias("members"), F.max("running").alias("running"))
+    return facts.where(c("kind").isNotNull()).select(
+        "kind", "id",
+        F.when(c("about") == "component", c("stopped")).when(c("about") == "group", ~c("running"))
+        .otherwise(F.lit(True)).alias("stopped"),
+        "connected", "queued", "members")
 
 
 def delete_preflight(commands: DataFrame, facts: DataFrame) -> DataFrame:

@@ -121,11 +121,22 @@ def lint_report(groups: DataFrame, processors: DataFrame, connections: DataFrame
         F.lit(None).cast("bigint").alias("processor_count"),
         F.lit(None).cast("bigint").alias("connection_count"),
     )
-    rules = (
-        lint_disconnected(proc, conn, scope)
-        .unionByName(lint_stopped(proc, scope))
-        .unionByName(lint_invalid(proc, scope))
-    ).join(counts, gkey, "left")
+    # all three rules in one pass over the processors
+    ends = connected_endpoints(conn, scope).withColumn("_end", F.lit(True))
+    errs = F.col("validation_errors")
+
+    def hit(rule, cond, message):
+        return F.when(cond, F.struct(F.lit(rule).alias("rule"), message.alias("suggestion")))
+
+    hits = F.array_compact(F.array(
+        hit("disconnected", F.col("_end").isNull(), F.format_string(T.MSG_DISCONNECTED, _name(), F.col("id"))),
+        hit("stopped", F.coalesce(F.col("run_status"), F.lit(T.UNKNOWN_STATUS)) == "STOPPED",
+            F.format_string(T.MSG_STOPPED, _name())),
+        hit("invalid", F.coalesce(F.size(errs), F.lit(-1)) > 0,
+            F.format_string(T.MSG_INVALID, _name(), F.array_join(errs, ", ")))))
+    rules = (proc.join(ends, [*gkey, "id"], "left")
+             .select(*gkey, F.col("id").alias("processor_id"), F.explode(hits).alias("hit"))
+             .select(*gkey, "processor_id", "hit.*").join(counts, gkey, "left"))
     order = F.create_map(*[x for k, v in RULE_ORDER.items() for x in (F.lit(k), F.lit(v))])
     return rules.unionByName(empty).withColumn("rule_order", order[F.col("rule")]).select(
         *gkey, "rule", "rule_order", "processor_id", "suggestion",
