@@ -24,12 +24,17 @@ def _ids_frame(spark: SparkSession, ids: Iterable, name: str = "requested_id",
 
 
 def root_group(groups: DataFrame, default_name: str = DEFAULT_ROOT_NAME) -> DataFrame:
-    """B1 on a group table: the group without a parent, name defaulted."""
-    return groups.where(F.col("parent_id").isNull()).select(
+    """B1 on a group table: the group without a parent, name defaulted; an error if there is none."""
+    is_root = F.col("parent_id").isNull()
+    roots = groups.where(is_root).select(
         F.col("id").alias("root_id"),
         F.coalesce(F.col("name"), F.lit(default_name)).alias("name"),
         F.col("parent_id").alias("parent_group_id"),
     )
+    none = groups.agg(F.count_if(is_root).alias("n")).where("n = 0").select(
+        F.raise_error(F.lit("root process group id not found")).cast("string").alias("root_id"),
+        F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("parent_group_id"))
+    return roots.unionByName(none)
 
 
 def group_processors(processors: DataFrame, group_ids: Iterable[str]) -> DataFrame:

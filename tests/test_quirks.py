@@ -330,3 +330,11 @@ def test_config_updates_repeat_and_empty(spark):
                                    "id string, properties map<string,string>, auto_terminated array<string>")
     got = {r["id"]: (r["properties"], r["auto_terminated"]) for r in config_update_maps(nested, ups).collect()}
     assert got == {"p": ({"y": "new", "z": "new"}, ["ok"]), "q": ({}, ["retry"]), "r": ({"c": "3"}, None)}
+
+
+def test_root_group_must_exist(spark):
+    groups = spark.createDataFrame([("a", None, None), ("b", "a", "B")], "id string, parent_id string, name string")
+    assert [tuple(r) for r in browse.root_group(groups, "top").collect()] == [("a", "top", None)]
+    for none in (groups.where("id = 'b'"), groups.limit(0)):
+        with pytest.raises(Exception, match="root process group id not found"):
+            browse.root_group(none).collect()
