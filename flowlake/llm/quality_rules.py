@@ -160,16 +160,17 @@ def quality(docs: DataFrame, rules: Divergence = Divergence()) -> DataFrame:
     line_has_word = lambda line: line.rlike("[^\\x20\\x09-\\x0D]")
     lines = F.filter(F.split(text, "\n"), line_has_word)
     total_chars, n_words = F.col("total_chars"), F.col("total_words")
-    limit_chars = rules.max_chars + rules.noise / F.sqrt(total_chars)
-    limit_words = rules.max_words + rules.noise / F.sqrt(n_words)
+    some_chars, some_words = F.greatest(total_chars, F.lit(1)), F.greatest(n_words, F.lit(1))  # divisors
+    limit_chars = rules.max_chars + rules.noise / F.sqrt(some_chars)
+    limit_words = rules.max_words + rules.noise / F.sqrt(some_words)
     near = [F.lit(not references)]
     for lang, (chars, words) in references.items():
         own = F.array(*[F.col("common")[vocabulary.index(w)] for w in rules.languages[lang]])
         listed = F.aggregate(own, F.lit(0), lambda a, x: a + x)
         counts = F.concat(own, F.array(n_words - listed))
         near.append(((total_chars < rules.min_chars)
-                     | (jensen_shannon(F.col("chars"), total_chars, chars) <= limit_chars))
-                    & ((n_words < rules.min_words) | (jensen_shannon(counts, n_words, words) <= limit_words)))
+                     | (jensen_shannon(F.col("chars"), some_chars, chars) <= limit_chars))
+                    & ((n_words < rules.min_words) | (jensen_shannon(counts, some_words, words) <= limit_words)))
     found = histograms(rows.drop("lang"), rules)
     found = found.select(
         "doc_id", n_words.cast("long").alias("n_words"),
