@@ -66,8 +66,14 @@ def internal(df: DataFrame, name: str) -> str:
     return name
 
 
+#: What encoders of this process remember; freed when other work begins.
+MEMORIES: list[dict] = []
+
+
 def arrow_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column end to end, and the rows' offsets in them (null: empty)."""
+    for memory in MEMORIES:
+        memory.clear()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_binary()), b"")

@@ -11,10 +11,10 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterator
-from contextlib import contextmanager
 
-MEMORY_CHUNKS = 600_000
+from .common import MEMORIES
+
+MEMORY_CHUNKS = 800_000
 LONGEST_CHUNK = 64
 
 
@@ -133,16 +133,13 @@ class ChunkEncoder:
 _encoders: dict[str, ChunkEncoder] = {}
 
 
-@contextmanager
-def encoder(name: str) -> Iterator[ChunkEncoder]:
-    """This process's encoder of a vocabulary, for one task.
+def encoder(name: str) -> ChunkEncoder:
+    """This process's encoder of a vocabulary.
 
-    The vocabulary stays loaded between the tasks of a worker; what the task
-    remembered is forgotten at its end.
+    It and what it remembers are kept between the tasks of a worker, until the
+    worker turns to an operator that reads texts in another way.
     """
     if name not in _encoders:
         _encoders[name] = ChunkEncoder(name)
-    try:
-        yield _encoders[name]
-    finally:
-        _encoders[name].memory.clear()
+        MEMORIES.append(_encoders[name].memory)
+    return _encoders[name]
