@@ -137,12 +137,13 @@ def minimum_slack_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> P
     return plan
 
 
-def sized_documents(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
+def sized_documents(docs: DataFrame, tokenizer: str, capacity: int, end_id: int,
+                    remembered: int | None = None) -> DataFrame:
     """Each row's token count, checksums of its pieces, and ranks of its pieces within its input partition."""
     end = np.array([end_id], "<u4").tobytes()
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(tokenizer), TaskContext.get().partitionId()
+        enc, part = encoder(tokenizer, remembered), TaskContext.get().partitionId()
         ranks: Counter = Counter()
         full = 0
         for batch in batches:
@@ -167,7 +168,7 @@ def sized_documents(docs: DataFrame, tokenizer: str, capacity: int, end_id: int)
 
 
 def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity: int = CAPACITY,
-         end_id: int = END_ID) -> DataFrame:
+         end_id: int = END_ID, remembered: int | None = None) -> DataFrame:
     """One row per piece: k1, k2, doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is the ids of its whole text (null and empty: none) and
@@ -175,9 +176,10 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity: int =
     each for itself. Each id lies in exactly one piece, and pieces fill a
     sequence gapless from offset 0. Sequences have ``capacity`` ids but for
     the last few, whose lengths are powers of two. An empty table has no pieces.
+    ``remembered`` bounds the encoder's memory (see ``tokens.encoder``), not the result.
     """
     named = keyed(docs)
-    sized = written(sized_documents(named, tokenizer, capacity, end_id), "sized")
+    sized = written(sized_documents(named, tokenizer, capacity, end_id, remembered), "sized")
     by_part = (sized.filter("rest > 0").groupBy("part", "rest").agg(F.count(F.lit(1)).alias("n"))
                .union(sized.groupBy("part").agg(F.sum(F.floor(F.col("n") / capacity)).alias("n"))
                       .select("part", F.lit(capacity).alias("rest"), "n")))

@@ -14,7 +14,7 @@ from array import array
 
 from .common import MEMORIES
 
-MEMORY_CHUNKS = 800_000
+MEMORY_CHUNKS = 1_500_000
 LONGEST_CHUNK = 64
 
 
@@ -70,6 +70,7 @@ class ChunkEncoder:
         self.dropped = (spaces or ("dropped" if "word_" in os.path.basename(name) else "kept")) == "dropped"
         self.lead, self.lead_letter = ("", "") if self.dropped else (" ", "\u0120")  # a space, as byte-level letter
         self.memory: dict[str, bytes] = {}
+        self.remembered = MEMORY_CHUNKS
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.line = self.encode(["\n"])[0]
@@ -120,7 +121,7 @@ class ChunkEncoder:
                 start = self._chunk(chunks[0], False)
                 del chunks[0]
             new = {c: self._chunk(c) for c in set(chunks).difference(memory)}
-            if new and len(memory) < MEMORY_CHUNKS:
+            if new and len(memory) < self.remembered:
                 # what comes first is what is common; memory stays bounded
                 memory.update({c: ids for c, ids in new.items() if len(c) <= LONGEST_CHUNK})
             if all(map(memory.__contains__, new)):
@@ -133,8 +134,8 @@ class ChunkEncoder:
 _encoders: dict[str, ChunkEncoder] = {}
 
 
-def encoder(name: str) -> ChunkEncoder:
-    """This process's encoder of a vocabulary.
+def encoder(name: str, remembered: int | None = None) -> ChunkEncoder:
+    """This process's encoder of a vocabulary, which remembers up to ``remembered`` chunks (some 200 bytes each).
 
     It and what it remembers are kept between the tasks of a worker, until the
     worker turns to an operator that reads texts in another way.
@@ -142,4 +143,5 @@ def encoder(name: str) -> ChunkEncoder:
     if name not in _encoders:
         _encoders[name] = ChunkEncoder(name)
         MEMORIES.append(_encoders[name].memory)
+    _encoders[name].remembered = remembered or MEMORY_CHUNKS
     return _encoders[name]
