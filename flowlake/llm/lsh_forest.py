@@ -8,11 +8,15 @@ other in an order that share a long prefix are candidates. How long it must be
 adapts to the region: where many classes share a prefix, deeper levels are
 asked for until few are left together. Candidates are confirmed by the Jaccard
 similarity of their full shingle sets, strongest candidates first; the rest
-only where they would still join two different groups.
+only where they would still join two different groups. Classes whose regions are
+so dense that a link might be among none of their candidates meet in an exact
+join: prefixes of their shingle sets, rarest shingles first, with length and
+positional filters, where they would still join two different groups.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,16 +34,24 @@ class Forest:
     """trees orders of ``depth`` levels each; two sets are never candidates with
     fewer than ``min_depth`` common levels, nor further apart than ``reach``
     places in an order. At similarity 0.8 a lone pair is missed by all 24 trees
-    with probability (1 - 0.8**4)**24, about 4 in a million."""
+    with probability (1 - 0.8**4)**24, about 4 in a million. Classes whose links
+    might be missed with a probability over ``missed``, because their regions
+    ask for more levels or stay larger than the reach, are joined exactly."""
 
     trees: int = 24
     depth: int = 10
     min_depth: int = 4
     reach: int = 7
+    missed: float = 1e-5
 
 
 SIGNATURES = "k1 long, k2 long, doc_id long, n_shingles long, c1 long, signature binary"
 NEIGHBOURS = "kind int, a long, b long, tree int, key binary"
+ENTRIES = "token long, c1 long, root long, n int, place int, indexed boolean"
+#: Shingles are ordered by how often their bucket occurs: one count a bucket, whatever the corpus.
+BUCKET_BITS = 20
+#: Rows of one shingle that a task of the exact join compares with the shingle's others.
+SALT_ROWS = 1000
 
 
 def shingle_rows(buf: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
@@ -110,11 +122,14 @@ def signatures(docs: DataFrame, words: int, forest: Forest) -> DataFrame:
 
 
 def _region_depths(common: np.ndarray, forest: Forest) -> np.ndarray:
-    """Levels asked of each place: the fewest at which its region is no larger than the reach."""
+    """Levels asked of each place: the fewest at which its region is no larger than the reach.
+
+    One more than there are where even the whole key leaves it larger.
+    """
     n = len(common) + 1
-    depth = np.full(n, forest.depth)
+    depth = np.full(n, forest.depth + 1)
     open_ = np.ones(n, bool)
-    for level in range(forest.min_depth, forest.depth):
+    for level in range(forest.min_depth, forest.depth + 1):
         region = np.concatenate([[0], np.cumsum(common < level)])
         small = np.bincount(region)[region] <= forest.reach + 1
         depth[open_ & small] = level
@@ -123,20 +138,21 @@ def _region_depths(common: np.ndarray, forest: Forest) -> np.ndarray:
 
 
 def neighbours(tree: np.ndarray, key: np.ndarray, ids: np.ndarray, forest: Forest):
-    """Candidate pairs of one sorted run: (a, b, hub) arrays.
+    """Candidate pairs of one sorted run, (a, b, hub) arrays, and the levels asked of each place.
 
     hub marks pairs of a region's members with the region's smallest id.
     """
     n = len(ids)
     if n < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.full(n, forest.min_depth)
 
     def shared(i, j):
         return (tree[i] == tree[j]) * np.cumprod(key[i] == key[j], axis=1).sum(1)
 
     at = np.arange(n)
     common = shared(at[:-1], at[1:])
-    depth = _region_depths(common, forest)
+    wanted = _region_depths(common, forest)
+    depth = np.minimum(wanted, forest.depth)
     a, b, hub = [], [], []
     for far in range(1, forest.reach + 1):
         i, j = at[:-far], at[far:]
@@ -149,14 +165,16 @@ def neighbours(tree: np.ndarray, key: np.ndarray, ids: np.ndarray, forest: Fores
     head = np.minimum.reduceat(ids, starts)[region]
     other = head != ids
     a.append(head[other]), b.append(ids[other]), hub.append(np.ones(other.sum(), bool))
-    return np.concatenate(a), np.concatenate(b), np.concatenate(hub)
+    return np.concatenate(a), np.concatenate(b), np.concatenate(hub), wanted
 
 
-def candidate_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
+def candidate_pairs(classes: DataFrame, forest: Forest, percent: int) -> tuple[DataFrame, DataFrame]:
     """(a, b, votes, hub_votes): class pairs found in any tree, a < b, with the places they were found.
 
     Each order is cut into ranges; what stands at the ends of a range goes
     through a second, small pass, so no neighbours are lost at the cuts.
+    The second table (c1) has the classes of dense regions, of which a link may
+    be missed by all trees with a probability over ``forest.missed``.
     """
     width = 2 * forest.depth
     rows = (classes.select("c1", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree"), "signature")
@@ -172,30 +190,49 @@ def candidate_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
         ids = whole.column("a").to_numpy()
         raw, _ = arrow_bytes(whole.column("key"))
         key = raw.view(">u2").reshape(-1, forest.depth)
-        a, b, hub = neighbours(tree, key, ids, forest)
+        a, b, hub, depth = neighbours(tree, key, ids, forest)
         a, b = np.minimum(a, b), np.maximum(a, b)
         ok = a != b
         n = int(ok.sum())
+        at = np.arange(len(ids))
+        # one more than the reach, so that a region cut in two is seen to be larger than it
+        end = with_ends & ((at <= forest.reach) | (at >= len(ids) - forest.reach - 1))
+        if not with_ends:
+            depth = np.maximum(depth, whole.column("b").to_numpy())
         yield pa.RecordBatch.from_arrays(
             [pa.array(hub[ok].astype(np.int32)), pa.array(a[ok]), pa.array(b[ok]), pa.nulls(n, pa.int32()),
              pa.nulls(n, pa.binary())], names=["kind", "a", "b", "tree", "key"])
+        deep = np.flatnonzero((depth > forest.min_depth) & ~end)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(deep), 3, np.int32)), pa.array(ids[deep]), pa.array(depth[deep].astype(np.int64)),
+             pa.nulls(len(deep), pa.int32()), pa.nulls(len(deep), pa.binary())],
+            names=["kind", "a", "b", "tree", "key"])
         if with_ends:
-            at = np.arange(len(ids))
-            at = at[(at < forest.reach) | (at >= len(ids) - forest.reach)]
+            at = at[end]
             ends = whole.take(pa.array(at))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(at), 2, np.int32)), ends.column("a").combine_chunks(),
-                 pa.nulls(len(at), pa.int64()), ends.column("tree").combine_chunks(),
+                 pa.array(depth[at].astype(np.int64)), ends.column("tree").combine_chunks(),
                  ends.column("key").combine_chunks().cast(pa.binary())], names=["kind", "a", "b", "tree", "key"])
 
     partitions = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(partitions, "tree", "key", "a").sortWithinPartitions("tree", "key", "a")
     found = written(ordered.mapInArrow(lambda it: run(it, True), NEIGHBOURS), "forest")
-    ends = found.filter("kind = 2").select("tree", "key", "a")
-    across = (ends.repartition("tree").sortWithinPartitions("tree", "key", "a")
-              .mapInArrow(lambda it: run(it, False), NEIGHBOURS))
-    return (found.filter("kind < 2").union(across)
-            .groupBy("a", "b").agg(F.count_if(F.col("kind") == 0).alias("votes"), F.sum("kind").alias("hub_votes")))
+    ends = found.filter("kind = 2").select("tree", "key", "a", "b")
+    across = written(ends.repartition("tree").sortWithinPartitions("tree", "key", "a")
+                     .mapInArrow(lambda it: run(it, False), NEIGHBOURS), "forest-ends")
+    pairs = (found.filter("kind < 2").union(across.filter("kind < 2"))
+             .groupBy("a", "b").agg(F.count_if(F.col("kind") == 0).alias("votes"), F.sum("kind").alias("hub_votes")))
+    # log of the probability that no tree finds a link at the threshold; deeper levels find fewer
+    similar = min(percent / 100, 0.999)
+    lost = [math.log1p(-similar ** d) if 0 < d <= forest.depth else 0.0 for d in range(forest.depth + 2)]
+    flat, limit = lost[forest.min_depth] * forest.trees, math.log(forest.missed)
+    deep = found.filter("kind = 3").union(across.filter("kind = 3"))
+    more = F.array(*[F.lit(x - lost[forest.min_depth]) for x in lost])[F.col("b").cast("int")]
+    missed = deep.groupBy(F.col("a").alias("c1")).agg(F.sum(more).alias("more"))
+    if flat > limit:
+        missed = classes.select("c1").join(missed, "c1", "left")
+    return pairs, missed.filter(F.coalesce("more", F.lit(0.0)) + flat > limit).select("c1")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -225,6 +262,78 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return both.mapInArrow(check, "a long, b long")
 
 
+def _bucket_counts(texts: DataFrame, words: int) -> np.ndarray:
+    """How many sets hold a shingle of each bucket; one number a bucket reaches the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        for batch in batches:
+            buf, offsets = arrow_bytes(batch.column("text"))
+            for lo, hi in row_groups(offsets, 1 << 20):
+                for s in shingle_rows(buf[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], words):
+                    np.add.at(total, (s >> U64(64 - BUCKET_BITS)).view(np.int64), 1)
+        at = np.flatnonzero(total)
+        for lo in range(0, len(at), 1 << 16):
+            part = at[lo:lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["bucket", "n"])
+
+    sums = (texts.select("text").mapInArrow(count, "bucket int, n long")
+            .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow())
+    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    counts[sums.column("bucket").to_numpy()] = sums.column("n").to_numpy()
+    return counts
+
+
+def links_between_groups(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): every pair of different groups that may be linked, for texts with c1, root and text.
+
+    Exact prefix join. All shingles stand in one order, rarest first. Of a set
+    of n shingles and a smaller one at similarity ``percent`` / 100, one of the
+    first n - ceil(percent n / 100) + 1 of the larger is among the first
+    m - ceil(2 percent m / (100 + percent)) + 1 of the smaller one's m, and
+    enough are left after the first common one. A shingle met in one group only
+    is left out; one met often is dealt to several tasks.
+    """
+    counts = _bucket_counts(texts, words)
+
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buf, offsets = arrow_bytes(batch.column("text"))
+            c1, root = batch.column("c1").to_numpy(), batch.column("root").to_numpy()
+            for lo, hi in row_groups(offsets, 1 << 20):
+                sets = shingle_rows(buf[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], words)
+                firsts, sizes, kept, indexed = [], [], [], []
+                for s in sets:
+                    n = len(s)
+                    first = n + percent * n // -100 + 1 if n else 0
+                    order = np.lexsort((s, counts[(s >> U64(64 - BUCKET_BITS)).view(np.int64)]))[:first]
+                    firsts.append(s[order].view(np.int64)), sizes.append(n), kept.append(first)
+                    indexed.append(np.arange(first) < n + 2 * percent * n // -(100 + percent) + 1)
+                place = [np.arange(k, dtype=np.int32) for k in kept]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(firsts)), pa.array(np.repeat(c1[lo:hi], kept)),
+                     pa.array(np.repeat(root[lo:hi], kept)), pa.array(np.repeat(np.array(sizes, np.int32), kept)),
+                     pa.array(np.concatenate(place)), pa.array(np.concatenate(indexed))],
+                    names=["token", "c1", "root", "n", "place", "indexed"])
+
+    entries = written(texts.select("c1", "root", "text").mapInArrow(enter, ENTRIES), "entries")
+    tokens = entries.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("low"),
+                                          F.max("root").alias("high"))
+    tokens = written(tokens.filter("low < high").select("token", F.ceil(F.col("rows") / SALT_ROWS).alias("salts")),
+                     "tokens")
+    met = written(entries.join(tokens, "token"), "met")
+    long = met.select("token", F.pmod(F.xxhash64("c1"), "salts").alias("salt"), "c1", "root", "n", "place")
+    short = met.filter("indexed").select(
+        "token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
+        F.col("c1").alias("c2"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("place").alias("place2"))
+    left = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+    smaller = (F.col("n2") < F.col("n")) | ((F.col("n2") == F.col("n")) & (F.col("c2") < F.col("c1")))
+    pairs = long.join(short, ["token", "salt"]).filter(
+        (F.col("root") != F.col("root2")) & smaller & (F.col("n2") * 100 >= F.col("n") * percent)
+        & (left * (100 + percent) >= (F.col("n") + F.col("n2")) * percent))
+    return pairs.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
+
+
 def near_duplicate_groups(docs: DataFrame, words: int = 2, percent: int = 80, forest: Forest = Forest()) -> DataFrame:
     """k1, k2, doc_id, n_shingles, component and component_id of every row.
 
@@ -244,8 +353,9 @@ def near_duplicate_groups(docs: DataFrame, words: int = 2, percent: int = 80, fo
         F.min("doc_id").alias("min_doc"), F.any_value("signature").alias("signature"),
         F.min(F.struct("k1", "k2")).alias("rep"))
     classes = written(classes, "classes")
-    pairs = written(candidate_pairs(classes, forest), "pairs")
-    nodes = pairs.select(F.col("a").alias("c1")).union(pairs.select("b")).distinct()
+    pairs, dense = candidate_pairs(classes, forest, percent)
+    pairs, dense = written(pairs, "pairs"), written(dense, "dense")
+    nodes = pairs.select(F.col("a").alias("c1")).union(pairs.select("b")).union(dense).distinct()
     reps = classes.join(nodes, "c1", "left_semi").select("c1", F.col("rep.k1").alias("k1"), F.col("rep.k2").alias("k2"))
     # identical rows share their keys: one text for each class, within the join's partitioning
     texts = written(keyed(docs).select("k1", "k2", "text").join(reps, ["k1", "k2"])
@@ -261,6 +371,14 @@ def near_duplicate_groups(docs: DataFrame, words: int = 2, percent: int = 80, fo
     more = written(confirmed(open_pairs, texts, words, percent), "links")
     joined = sure.union(more)
     groups = connected_components(joined)
+    if not dense.isEmpty():
+        roots = groups.select(F.col("node").alias("c1"), "root")
+        crowded = (texts.join(dense, "c1").join(roots, "c1", "left")
+                   .select("c1", F.coalesce("root", "c1").alias("root"), "text"))
+        last = written(links_between_groups(crowded, words, percent), "last-pairs")
+        last = written(confirmed(last, texts, words, percent), "links")
+        if not last.isEmpty():
+            groups = connected_components(joined.union(last))
     member = (classes.select(F.col("c1").alias("node"), "min_doc").join(groups, "node", "left")
               .select("node", "min_doc", F.coalesce("root", "node").alias("root")))
     # written, so that the join below deals its sides out by itself and can split a large component

@@ -159,3 +159,15 @@ def test_windows_at_the_pieces_of_a_long_text(spark, monkeypatch):
     groups = list(suffix_dedup.pieces(np.array([0, len(text), len(buf)]), 40))
     covered = {(row, p) for g in groups for row, first, end in g for p in range(first, end - 39)}
     assert covered == {(0, p) for p in range(861)} | {(1, p) for p in range(len(other) - 39)}
+
+
+def test_links_within_a_dense_family_are_found(spark):
+    """Thousands of classes at similarity 0.75 to each other; planted pairs of them at 0.82."""
+    family, n, planted = [f"t{i}" for i in range(86)], 3000, 200
+    own = lambda i, k: [f"d{i}x{j}" for j in range(k)]
+    rows = [(i, family + own(i, 14)) for i in range(n)]
+    for i in range(planted):  # all but 10 words of a member
+        rows.append((n + i, rows[i][1][:-10] + own(n + i, 10)))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicate_groups(docs, words=1).collect()}
+    assert got == {i: i - n if i >= n else i for i, _ in rows}
