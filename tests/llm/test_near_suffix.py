@@ -171,3 +171,17 @@ def test_links_within_a_dense_family_are_found(spark):
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(8)
     got = {r.doc_id: r.component_id for r in lsh_forest.near_duplicate_groups(docs, words=1).collect()}
     assert got == {i: i - n if i >= n else i for i, _ in rows}
+
+
+def test_pipeline_cuts_repeated_passages_of_51_short_words(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(8)
+    word = lambda n: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    passage = " ".join(word(4 if i % 2 else 3) for i in range(51))
+    assert 220 <= len(passage) <= 230
+    rows = [(i, " ".join(word(7) for _ in range(60)) + f" {i}{passage}{i} " + " ".join(word(7) for _ in range(60)), "en", "s")
+            for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, docs, "").collect()}
+    assert not any(passage in text for text in kept.values())
