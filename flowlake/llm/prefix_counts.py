@@ -8,6 +8,11 @@ all prefixes follow from those of shorter ones, without encoding anything. A
 word that ends after i characters takes its last token from the vocabulary's
 word-ending tokens. Over a whole text the counts of its words add up, which
 answers budget and truncation questions from the stored counts.
+
+Stretches with letters outside the plain ones go through the library's own
+normalizer and pre-tokenizer, with offsets back to the text, and the words it
+gives through the same program. Only special strings and the few characters of a
+cut between two words are left to the library's encoder.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate, islice
@@ -27,6 +33,10 @@ from .common import short_batches
 from .tokens import ChunkEncoder, byte_letters, tokenizer_path
 
 MEMORY = 600_000
+#: Words of more letters are counted from a list of their own states, which is not remembered.
+LONG_WORD = 64
+#: White space that no normal form, word or special string reaches across.
+STRETCH = re.compile(r"[^\t-\r ]+")
 COUNTED = "n_bytes long, n_tokens long, over_limit boolean, fits_chars long"
 
 
@@ -46,10 +56,20 @@ class PrefixCounter:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {pair: r for r, pair in enumerate(pairs)}
         self.made_of = {a + b: (a, b) for a, b in pairs}
-        self.longest = max(map(len, self.vocab))
+        self.longest: dict[str, int] = {}  # letters of the longest token that ends with a letter (and the word)
+        for token in self.vocab:
+            word_end = token.endswith(self.WORD_END) and len(token) > len(self.WORD_END)
+            letters = token[:-len(self.WORD_END)] if word_end else token
+            end = letters[-1:] + (self.WORD_END if word_end else "")
+            self.longest[end] = max(self.longest.get(end, 0), len(letters))
         self.letters = byte_letters()
         self.piece = regex.compile(self.PIECE)
         self.library = ChunkEncoder(name)
+        tokenizer = self.library.tokenizer
+        self.normalizer, self.pre_tokenizer = tokenizer.normalizer, tokenizer.pre_tokenizer
+        specials = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.special = re.compile(f"({'|'.join(map(re.escape, specials))})") if specials else None
+        self._parted: tuple[str, list] = ("", [])
         self._edges: tuple[dict, dict] = ({}, {})
         self._fits: dict[tuple[str, str], bool] = {}
         self._states: dict[str, tuple[str, int]] = {}
@@ -90,34 +110,39 @@ class PrefixCounter:
                     return False
         return True
 
-    def _last(self, letters: str, ending: str) -> tuple[str, int]:
-        """Last token and count of ``letters`` as a word's beginning, or as a whole word with its end."""
-        n, vocab = len(letters), self.vocab
-        if letters + ending in vocab:
-            return letters + ending, 1
-        for start in range(max(1, n - self.longest), n):
-            token = letters[start:] + ending
+    def _last(self, letters: str, n: int, ending: str, before) -> tuple[str, int]:
+        """Last token and count of ``letters[:n]`` as a word's beginning, or as a whole word with its end.
+
+        ``before`` gives those of each shorter beginning.
+        """
+        vocab = self.vocab
+        for start in range(max(0, n - self.longest.get(letters[n - 1] + ending, 0)), n):
+            token = letters[start:n] + ending
             if token in vocab:
-                before, count = self._states[letters[:start]]
-                if self.fits(before, token):
+                if not start:
+                    return token, 1
+                last, count = before(start)
+                if self.fits(last, token):
                     return token, count + 1
-        raise ValueError(f"no token ends {letters!r}")
+        raise ValueError(f"no token ends {letters[:n]!r}")
 
     def word(self, text: str) -> int:
         """Tokens of one word."""
-        letters = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
+        return self._word(text if text.isascii() else "".join([self.letters[b] for b in text.encode()]))
+
+    def _word(self, letters: str) -> int:
+        if len(letters) > LONG_WORD:
+            return LongWord(self, letters).count(len(letters))
         states = self._states
         if len(states) > MEMORY:
             states.clear()
+        before = lambda start: states[letters[:start]]
         known = len(letters) - 1
         while known and letters[:known] not in states:
             known -= 1
         for i in range(known + 1, len(letters)):
-            states[letters[:i]] = self._last(letters[:i], "")
-        total = self._last(letters, self.WORD_END)[1]
-        if len(letters) > 64:
-            states.clear()
-        return total
+            states[letters[:i]] = self._last(letters, i, "", before)
+        return self._last(letters, len(letters), self.WORD_END, before)[1]
 
     def chunk(self, text: str) -> int:
         """Tokens of a lower-case stretch without white space."""
@@ -134,6 +159,88 @@ class PrefixCounter:
                 self._chunks[text] = known
         return known
 
+    def stretch(self, text: str) -> int:
+        """Tokens of any stretch without white space of ``STRETCH``."""
+        if self.library.chunks(text) is not None:
+            return sum(map(self.chunk, text.lower().split()))
+        known = self._chunks.get(text)
+        if known is None:
+            known = sum(tokens for _, tokens, _ in self.parts(text))
+            if len(text) <= 64:
+                self._chunks[text] = known
+        return known
+
+    def parts(self, text: str) -> list[tuple[int, int, str | None]]:
+        """(first character, tokens, letters) of a stretch's words, as the library cuts it.
+
+        A text cut within a part has the tokens of the parts before it and those
+        of the part's own beginning. Words that a cut between them would change
+        (joined by normal forms, or made of one character) are one part without
+        letters, as is a special string with the word before it.
+        """
+        from tokenizers import PreTokenizedString
+
+        if self._parted[0] == text:
+            return self._parted[1]
+        out: list[tuple[int, int, str | None]] = []
+        at = 0
+        for section in self.special.split(text) if self.special else [text]:
+            if self.special and self.special.fullmatch(section):
+                first, tokens, _ = out.pop() if out else (at, 0, None)
+                out.append((first, tokens + 1, None))
+            elif section:
+                words, end, after = PreTokenizedString(section), 0, len(out)
+                words.normalize(self.normalizer.normalize)
+                self.pre_tokenizer.pre_tokenize(words)
+                for letters, (lo, hi), _ in words.get_splits("original", "char"):
+                    tokens = self._word(letters)
+                    if len(out) > after and (lo < end or _may_join(section[lo])):
+                        first, before, _ = out.pop()
+                        out.append((first, before + tokens, None))
+                    else:
+                        out.append((at + lo, tokens, letters))
+                    end = hi
+            at += len(section)
+        self._parted = text, out
+        return out
+
+    def _beginning(self, text: str, letters: str | None):
+        """A function that gives the tokens of ``text[:n]``, for the text of one part."""
+        if letters is not None and len(text) > LONG_WORD:
+            own = ["".join([self.letters[b] for b in self.normalizer.normalize_str(c).encode()]) for c in text]
+            ends = [0, *accumulate(map(len, own))]
+            # characters after the word (white space that STRETCH does not cut at) have no letters
+            if "".join(own) == letters:
+                word = LongWord(self, letters)
+                return lambda n: word.count(ends[n])
+        return lambda n: len(self.library.encode([text[:n]])[0]) // 4
+
+    def count_within(self, text: str, chars: int) -> int:
+        """Tokens of ``text[:chars]`` of one stretch."""
+        if len(text) <= LONG_WORD and self.library.chunks(text) is not None:
+            return self.chunk(text[:chars].lower())
+        parts = self.parts(text)
+        k = bisect_right([first for first, _, _ in parts], chars) - 1
+        if k < 0:
+            return 0
+        first, _, letters = parts[k]
+        stop = parts[k + 1][0] if k + 1 < len(parts) else len(text)
+        return sum(tokens for _, tokens, _ in parts[:k]) + self._beginning(text[first:stop], letters)(chars - first)
+
+    def fit_within(self, text: str, budget: int) -> int:
+        """Characters of one stretch's longest beginning of at most ``budget`` tokens; the whole has more."""
+        if len(text) <= LONG_WORD and self.library.chunks(text) is not None:
+            # a longer part of a word may have fewer tokens than a shorter one
+            return next((n for n in range(len(text) - 1, 0, -1) if self.chunk(text[:n].lower()) <= budget), 0)
+        parts = self.parts(text)
+        sums = list(accumulate(tokens for _, tokens, _ in parts))
+        k = bisect_right(sums, budget)
+        left = budget - (sums[k - 1] if k else 0)
+        first, _, letters = parts[k]
+        stop = parts[k + 1][0] if k + 1 < len(parts) else len(text)
+        count = self._beginning(text[first:stop], letters)
+        return next((first + n for n in range(stop - first - 1, 0, -1) if count(n) <= left), first)
+
     def count(self, text: str) -> int:
         """Tokens of a whole text, as the library gives them."""
         return self.table(text).total
@@ -142,50 +249,55 @@ class PrefixCounter:
         return PrefixTable(self, text)
 
 
-class PrefixTable:
-    """Stored counts of one text: after each of its white-space-free stretches, and within them on demand.
+def _may_join(c: str) -> bool:
+    """Whether a normal form may join the character with those before it: marks, and vowels and finals of some scripts."""
+    return unicodedata.category(c) in ("Mn", "Mc", "Me", "Cn") or "\u1160" <= c <= "\u11ff" or "\U00016d63" <= c <= "\U00016d6a"
 
-    Texts whose normal form, case or special strings need the library's own
-    rules are counted by the library, for a prefix question once per prefix.
-    """
+
+class LongWord:
+    """Last tokens and counts of all beginnings of one word's letters."""
+
+    def __init__(self, counter: PrefixCounter, letters: str):
+        self.counter, self.letters = counter, letters
+        self.states = [("", 0)]
+        for n in range(1, len(letters)):
+            self.states.append(counter._last(letters, n, "", self.states.__getitem__))
+
+    def count(self, n: int) -> int:
+        """Tokens of the first ``n`` letters as a word."""
+        return self.counter._last(self.letters, n, self.counter.WORD_END, self.states.__getitem__)[1] if n else 0
+
+
+class PrefixTable:
+    """Stored counts of one text: after each of its white-space-free stretches, and within them on demand."""
 
     def __init__(self, counter: PrefixCounter, text: str):
         self.counter, self.text = counter, text
-        self.chunks = counter.library.chunks(text)
-        if self.chunks is None:
-            self.total = len(counter.library.encode([text])[0]) // 4
-        else:
-            self.counts = list(accumulate(map(counter.chunk, self.chunks)))
-            self.total = self.counts[-1] if self.counts else 0
+        plain = counter.library.chunks(text)
+        self.stretch = STRETCH if plain is None else re.compile(r"\S+")
+        self.chunks = STRETCH.findall(text) if plain is None else plain
+        self.counts = list(accumulate(map(counter.stretch if plain is None else counter.chunk, self.chunks)))
+        self.total = self.counts[-1] if self.counts else 0
 
     def _spans(self, first: int, n: int) -> list[tuple[int, int]]:
-        return [m.span() for m in islice(re.finditer(r"\S+", self.text), first, first + n)]
+        return [m.span() for m in islice(self.stretch.finditer(self.text), first, first + n)]
 
     def count(self, chars: int) -> int:
         """Tokens of ``text[:chars]``."""
-        if self.chunks is None:
-            return len(self.counter.library.encode([self.text[:chars]])[0]) // 4
         spans = self._spans(0, len(self.chunks))
         k = bisect_right([end for _, end in spans], chars)  # whole stretches before the cut
         whole = self.counts[k - 1] if k else 0
         if k < len(spans) and spans[k][0] < chars:
-            whole += self.counter.chunk(self.chunks[k][:chars - spans[k][0]])
+            whole += self.counter.count_within(self.chunks[k], chars - spans[k][0])
         return whole
 
     def fits(self, budget: int) -> int:
         """Characters of the longest prefix of at most ``budget`` tokens."""
         if self.total <= budget:
             return len(self.text)
-        if self.chunks is None:
-            return next((n for n in range(len(self.text), -1, -1) if self.count(n) <= budget), 0)
         k = bisect_right(self.counts, budget)
         before = self.counts[k - 1] if k else 0
-        (start, end), chunk = self._spans(k, 1)[0], self.chunks[k]
-        # a longer part of a word may have fewer tokens than a shorter one
-        for size in range(end - start - 1, 0, -1):
-            if before + self.counter.chunk(chunk[:size]) <= budget:
-                return start + size
-        return start
+        return self._spans(k, 1)[0][0] + self.counter.fit_within(self.chunks[k], budget - before)
 
 
 _counters: dict[str, PrefixCounter] = {}
@@ -225,10 +337,7 @@ def token_counts(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", limit: i
 
 
 def prefix_tables(docs: DataFrame, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
-    """doc_id, ends and counts: tokens (counts[i]) of the prefix of ends[i] characters, one per stretch of text.
-
-    Texts that only the library can count have the whole text as their one prefix.
-    """
+    """doc_id, ends and counts: tokens (counts[i]) of the prefix of ends[i] characters, one per stretch of text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counter(tokenizer)
@@ -236,10 +345,7 @@ def prefix_tables(docs: DataFrame, tokenizer: str = "word_bpe_49k.json") -> Data
             ends, tokens = [], []
             for text in batch.column("text").to_pylist():
                 table = counts.table(text or "")
-                if table.chunks is None:
-                    ends.append([len(text)]), tokens.append([table.total])
-                else:
-                    ends.append([end for _, end in table._spans(0, len(table.chunks))]), tokens.append(table.counts)
+                ends.append([end for _, end in table._spans(0, len(table.chunks))]), tokens.append(table.counts)
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ends, lists), pa.array(tokens, lists)],
                                              names=["doc_id", "ends", "counts"])

@@ -45,6 +45,37 @@ def test_prefix_counts_equal_library_at_every_prefix():
             assert table.fits(budget) == max(n for n, c in enumerate(every) if c <= budget), (text, budget)
 
 
+def test_prefix_counts_of_unusual_letters_equal_library():
+    name = "word_bpe_49k.json"
+    library, counter = load_tokenizer(name), prefix_counts.PrefixCounter(name)
+    count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    rnd = random.Random(6)
+    letters = "a'sé\u0301\u0327İΣ日本кий— “”…\xa0\u3000 \x85\u1100\u1161\u11a8각நி1½²!<|\u200d👍\ufeff\x1c\n"
+    texts = ["".join(rnd.choices(letters, k=rnd.randint(1, 40))) for _ in range(150)]
+    texts += ["x!<|endoftext|>é—<|startoftext|>日本", "<|endoftext|>\u0301", "日本語のテキスト" * 12 + " end", "—" * 90 + "a'll"]
+    for text in texts:
+        table = counter.table(text)
+        every = [count(text[:n]) for n in range(len(text) + 1)]
+        assert [table.count(n) for n in range(len(text) + 1)] == every, text
+        for budget in range(every[-1] + 2):
+            assert table.fits(budget) == max(n for n, c in enumerate(every) if c <= budget), (text, budget)
+
+
+def test_budget_of_a_long_text_with_a_curly_quote_needs_few_encodings(monkeypatch):
+    counter = prefix_counts.PrefixCounter("word_bpe_49k.json")
+    calls, encode = [], counter.library.encode
+
+    def watched(texts):
+        calls.extend(map(len, texts))
+        assert sum(calls) < 1000
+        return encode(texts)
+
+    monkeypatch.setattr(counter.library, "encode", watched)
+    for text in ["the quick brown fox " * 5000 + "it’s", "日本語のテキスト" * 2000]:
+        table = counter.table(text)
+        assert 0 < table.fits(2048) < len(text) and len(table.counts) == len(text.split())
+
+
 def test_token_counts_of_odd_rows(odd_docs, no_docs):
     rows = odd_docs.collect()
     want = sorted((str(r.doc_id), len((r.text or "").encode()), len(i), len(i) > 2048)
