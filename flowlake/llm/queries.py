@@ -11,6 +11,7 @@ from ..session import shared_path
 from . import (
     bitplane_store,
     decontaminate,
+    fill_in_middle,
     language_id,
     license_scan,
     lsh_forest,
@@ -96,3 +97,9 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-ids")
     bitplane_store.write_token_ids(table(spark, sf_dir, "documents"), path)
     return bitplane_store.read_token_ids(spark, path, with_ids=False).drop("ids")
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and rearranged for filling in the middle, and restored, as checksums."""
+    return fill_in_middle.transform_digests(table(spark, sf_dir, "documents"))
