@@ -19,6 +19,7 @@ from . import (
     page_text,
     prefix_counts,
     quality_rules,
+    sharding,
     suffix_dedup,
 )
 from .common import table
@@ -99,6 +100,14 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane_store.read_token_ids(spark, path, with_ids=False).drop("ids")
 
 
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in 16 shards with row counts at most one apart, equal texts together."""
+    placed = sharding.balanced_shards(table(spark, sf_dir, "documents"), shards=16, link_by=("text",))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "n_linked", "n_cut")
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and rearranged for filling in the middle, and restored, as checksums."""
