@@ -20,6 +20,7 @@ from . import (
     prefix_counts,
     quality_rules,
     sharding,
+    spelling,
     suffix_dedup,
 )
 from .common import table
@@ -108,6 +109,12 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "n_linked", "n_cut")
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary of all documents, with each word's more frequent form one edit away."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and rearranged for filling in the middle, and restored, as checksums."""
