@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +88,20 @@ def arrow_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return buf, offsets
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """The batches put together to some ``rows`` rows each; empty ones are left out."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def row_groups(offsets: np.ndarray, limit: int):
     """Consecutive row ranges (lo, hi) of at most ``limit`` bytes, or one longer row."""
     lo, n = 0, len(offsets) - 1
@@ -115,6 +132,7 @@ class RangeHash:
     _values: dict[int, np.ndarray] = {}
 
     def __init__(self, buf: np.ndarray, seed: int = 1):
+        """buf: bytes, or 64-bit hashes that stand for longer symbols."""
         n = len(buf) + 1
         if seed not in self._values:
             self._values[seed] = mix64((np.arange(256, dtype=U64) + U64(seed * 1000 + 1)) * U64(self.BASE[seed])) | U64(1)
@@ -128,7 +146,8 @@ class RangeHash:
                 self._powers[seed] = power, inverse
         self.inverse = inverse
         self.sums = np.zeros(n, U64)
-        np.cumsum(self._values[seed][buf] * power[:n - 1], out=self.sums[1:])
+        values = self._values[seed][buf] if buf.dtype == np.uint8 else mix64(buf + U64(seed)) | U64(1)
+        np.cumsum(values * power[:n - 1], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of buf[start:end] for each pair."""
@@ -140,3 +159,25 @@ class RangeHash:
             return np.zeros(0, U64)
         diff = self.sums[width:] - self.sums[:-width]
         return mix64(diff * self.inverse[:len(diff)] + U64(width))
+
+
+#: Words longer than this are hashed by the library: from 1024 bytes on, a polynomial modulo 2^64 can be fooled.
+LONG_WORD = 256
+
+
+def words_of(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and 64-bit hash of each word (ASCII white space separates) of texts end to end."""
+    space = (buf == 32) | ((buf >= 9) & (buf <= 13))
+    first = np.ones(len(buf) + 1, bool)  # a word starts where space or another document ends
+    first[1:-1] = space[:-1]
+    first[offsets] = True
+    start = np.flatnonzero(first[:-1] & ~space)
+    last = np.ones(len(buf) + 1, bool)
+    last[:-1] = space
+    last[offsets] = True
+    stops = np.flatnonzero(last)
+    end = stops[np.searchsorted(stops, start, side="right")] if len(start) else start
+    word = RangeHash(buf).of(start, end)
+    for i in np.flatnonzero(end - start > LONG_WORD):
+        word[i] = xxhash.xxh64_intdigest(buf[start[i]:end[i]].tobytes())
+    return start, word

@@ -17,6 +17,7 @@ positional filters, where they would still join two different groups.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, RangeHash, arrow_bytes, internal, keyed, mix64, row_groups, row_keys, written
+from .common import U64, arrow_bytes, gathered, internal, keyed, mix64, row_groups, row_keys, words_of, written
 from .components import connected_components
 
 
@@ -50,6 +51,8 @@ NEIGHBOURS = "kind int, a long, b long, tree int, key binary"
 ENTRIES = "token long, c1 long, root long, n int, place int, indexed boolean"
 #: Shingles are ordered by how often their bucket occurs: one count a bucket, whatever the corpus.
 BUCKET_BITS = 20
+#: Places of an order that are looked at together.
+PART_ROWS = 1 << 16
 #: Rows of one shingle that a task of the exact join compares with the shingle's others.
 SALT_ROWS = 1000
 
@@ -61,17 +64,7 @@ def shingle_rows(buf: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[n
     """
     low = buf.copy()
     low[(low >= 65) & (low <= 90)] += 32
-    space = (low == 32) | ((low >= 9) & (low <= 13))
-    first = np.ones(len(low) + 1, bool)  # a word starts where space or another document ends
-    first[1:-1] = space[:-1]
-    first[offsets] = True
-    start = np.flatnonzero(first[:-1] & ~space)
-    last = np.ones(len(low) + 1, bool)
-    last[:-1] = space
-    last[offsets] = True
-    stops = np.flatnonzero(last)
-    end = stops[np.searchsorted(stops, start, side="right")] if len(start) else start
-    word = RangeHash(low).of(start, end)
+    start, word = words_of(low, offsets)
     bounds = np.searchsorted(start, offsets)
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         own = word[lo:hi]
@@ -182,10 +175,11 @@ def candidate_pairs(classes: DataFrame, forest: Forest, percent: int) -> tuple[D
                     F.col("c1").alias("a")))
 
     def run(batches, with_ends: bool):
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        whole = pa.Table.from_batches(got).combine_chunks()
+        # a range is gone through in parts with ends of their own; the ends are few and go through whole
+        for part in gathered(batches, PART_ROWS if with_ends else sys.maxsize):
+            yield from found_in(part, with_ends)
+
+    def found_in(whole: pa.RecordBatch, with_ends: bool):
         tree = whole.column("tree").to_numpy()
         ids = whole.column("a").to_numpy()
         raw, _ = arrow_bytes(whole.column("key"))
@@ -211,9 +205,8 @@ def candidate_pairs(classes: DataFrame, forest: Forest, percent: int) -> tuple[D
             at = at[end]
             ends = whole.take(pa.array(at))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), 2, np.int32)), ends.column("a").combine_chunks(),
-                 pa.array(depth[at].astype(np.int64)), ends.column("tree").combine_chunks(),
-                 ends.column("key").combine_chunks().cast(pa.binary())], names=["kind", "a", "b", "tree", "key"])
+                [pa.array(np.full(len(at), 2, np.int32)), ends.column("a"), pa.array(depth[at].astype(np.int64)),
+                 ends.column("tree"), ends.column("key").cast(pa.binary())], names=["kind", "a", "b", "tree", "key"])
 
     partitions = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(partitions, "tree", "key", "a").sortWithinPartitions("tree", "key", "a")

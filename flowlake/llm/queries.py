@@ -42,8 +42,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of every document without all repeated 400-byte strings, as counts and a digest."""
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    """Bytes of every document without all repeated 400-byte strings, as counts and a digest.
+
+    A last column counts the words of repeated passages of over 50 words, which may have fewer bytes.
+    """
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), passage=51).drop("kept")
 
 
 @query

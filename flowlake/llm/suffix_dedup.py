@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import U64, RangeHash, arrow_bytes, internal, keyed, mix64, row_keys, written
+from .common import U64, RangeHash, arrow_bytes, gathered, internal, keyed, mix64, row_keys, words_of, written
 
 PIECE = 1 << 18
 PART = 8
@@ -109,12 +109,22 @@ def _joined(buf, offsets, group):
     return np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes), np.cumsum(sizes) - sizes
 
 
-def suffix_runs(docs: DataFrame, threshold: int, digit: int) -> DataFrame:
-    """Pass 1's rows: every run of every text; lo: its first window, n: windows, lead: from there to the anchor."""
+def word_symbols(column) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a string column end to end, as 64-bit hashes, and the rows' offsets in them."""
+    buf, offsets = arrow_bytes(column)
+    start, word = words_of(buf[:offsets[-1]], offsets)
+    return word, np.searchsorted(start, offsets)
+
+
+def suffix_runs(docs: DataFrame, threshold: int, digit: int, symbols=arrow_bytes) -> DataFrame:
+    """Pass 1's rows: every run of every text; lo: its first window, n: windows, lead: from there to the anchor.
+
+    symbols: what a text is made of, bytes or words.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offsets = arrow_bytes(batch.column("text"))
+            buf, offsets = symbols(batch.column("text"))
             k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
             for group in pieces(offsets, threshold):
                 text, owner, base = _joined(buf, offsets, group)
@@ -199,6 +209,25 @@ def part_windows(parts: DataFrame) -> DataFrame:
     return parts.mapInArrow(scan, ROWS).select("d1", "d2", "k1", "k2", "lo", "n", "lead")
 
 
+def word_windows(open_rows: DataFrame, words: int) -> DataFrame:
+    """The last pass's rows for passages: the single windows of the open runs (arrays lo, n beside k1, k2, text)."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            symbols, offsets = word_symbols(batch.column("text"))
+            for at in range(batch.num_rows):
+                lo, n = (batch.column(c)[at].values.to_numpy().astype(np.int64) for c in ("lo", "n"))
+                text = symbols[offsets[at]:offsets[at + 1]]
+                window = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                d1, d2 = (RangeHash(text, seed).of(window, window + words).view(np.int64) for seed in (1, 2))
+                yield _batch(ROWS, {
+                    "d1": d1, "d2": d2, "k1": np.full(len(window), batch.column("k1")[at].as_py()),
+                    "k2": np.full(len(window), batch.column("k2")[at].as_py()), "lo": window,
+                    "n": np.ones(len(window), np.int16)}, len(window))
+
+    return open_rows.mapInArrow(scan, ROWS).select("d1", "d2", "k1", "k2", "lo", "n", "lead")
+
+
 def radix_pass(rows: DataFrame, last: bool = False) -> DataFrame:
     """Sort by the two digits and tell what is repeated (WHOLE) and what must go on (OPEN).
 
@@ -211,27 +240,54 @@ def radix_pass(rows: DataFrame, last: bool = False) -> DataFrame:
     rows = rows.withColumns({c: F.lit(None).cast("long") for c in ("left", "right") if c not in rows.columns})
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        whole_range = pa.Table.from_batches(got).combine_chunks()
-        d1, d2 = (whole_range.column(c).to_numpy() for c in ("d1", "d2"))
-        same1 = d1[1:] == d1[:-1]
-        same2 = same1 & (d2[1:] == d2[:-1])
-        first2 = np.concatenate([[True], ~same2])
-        repeated = np.concatenate([[False], same2]) | np.concatenate([same2, [False]])
-        bucket = np.concatenate([[0], np.cumsum(~same1)])
-        mixed = np.bincount(bucket, weights=first2) > 1
-        mixed[[0, -1]] = True
-        ends = np.zeros(len(d1), bool)
-        ends[[0, -1]] = True
-        chosen = [(WHOLE, repeated), (EDGE, ends)] if last else [(WHOLE, repeated), (OPEN, first2 & mixed[bucket])]
-        for kind, rows_ in chosen:
-            part = whole_range.filter(pa.array(rows_)).combine_chunks()
-            if part.num_rows:
-                columns = {c: part.column(c).combine_chunks() for c in part.column_names
-                           if kind != WHOLE or c in ("k1", "k2", "lo", "n")}
-                yield _batch(FOUND, columns | {"kind": np.full(part.num_rows, kind, np.int8)}, part.num_rows)
+        """Goes through a sorted range holding a stretch of it, the row before it, and at most one row of the open bucket."""
+        before = None  # the last row so far, still to be told whether the next one repeats it
+        before_repeats = False  # whether it repeats the one before it
+        seconds, held = 2, None  # second digits in the open bucket; its first row, while there is only one of them
+        for rows in gathered(batches):
+            d1, d2 = (rows.column(c).to_numpy() for c in ("d1", "d2"))
+            if before is None:
+                if last:
+                    yield found(EDGE, rows.slice(0, 1))
+                same1 = same2 = False
+            else:
+                same1 = before.column("d1")[0].as_py() == d1[0]
+                same2 = same1 and before.column("d2")[0].as_py() == d2[0]
+                if same2 or before_repeats:
+                    yield found(WHOLE, before)
+            same1 = np.append(same1, d1[1:] == d1[:-1])
+            same2 = np.append(same2, same1[1:] & (d2[1:] == d2[:-1]))
+            whole = same2 | np.append(same2[1:], False)
+            whole[-1] = False
+            yield found(WHOLE, rows.filter(pa.array(whole)))
+            if not last:
+                bucket = np.cumsum(~same1)  # 0: the one that was open
+                digits = np.bincount(bucket, weights=~same2, minlength=1).astype(np.int64)
+                # the first bucket of a range may have begun in the range before
+                digits[0] += seconds if before is not None else 0
+                if before is None:
+                    digits[1] = 2
+                if digits[0] > 1 and held is not None:
+                    yield found(OPEN, held)
+                    held = None
+                yield found(OPEN, rows.filter(pa.array(~same2 & (digits > 1)[bucket])))
+                seconds = int(digits[-1])
+                if bucket[-1] > 0:
+                    held = None
+                if seconds == 1 and held is None:
+                    held = rows.slice(int(np.flatnonzero((bucket == bucket[-1]) & ~same2)[0]), 1)
+            before, before_repeats = rows.slice(rows.num_rows - 1), bool(same2[-1])
+        if before is not None:
+            if before_repeats:
+                yield found(WHOLE, before)
+            if last:
+                yield found(EDGE, before)
+            elif held is not None:  # the last bucket may go on in the next range
+                yield found(OPEN, held)
+
+    def found(kind: int, rows: pa.RecordBatch) -> pa.RecordBatch:
+        columns = {c: rows.column(c) for c in rows.schema.names if kind != WHOLE or c in ("k1", "k2", "lo", "n")}
+        return _batch(FOUND, columns | {"kind": np.full(rows.num_rows, kind, np.int8)}, rows.num_rows)
 
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["d1", "d2", "k1", "k2", "lo"]
@@ -251,19 +307,50 @@ def repeated_windows(docs: DataFrame, threshold: int = 400, digit: int = 128) ->
     ``keyed``) that can have a stretch.
     """
     first = written(radix_pass(suffix_runs(docs, threshold, digit)), "pass1")
+    affected = written(_affected(docs, first, ("lo", "n", "lead")), "affected")
+    second = written(radix_pass(run_parts(affected.filter("size(lo) > 0"), threshold)), "pass2")
+    third = written(radix_pass(part_windows(second.filter(F.col("kind") == OPEN)), last=True), "pass3")
+    return _stretches(first).union(_stretches(second)).union(_stretches(third)).union(_across(third)), affected
+
+
+def _affected(docs: DataFrame, first: DataFrame, columns: tuple) -> DataFrame:
+    """k1, k2, text of the distinct rows with a run told of in pass 1, and arrays of their open runs."""
     is_open = F.col("kind") == OPEN
     per_row = first.groupBy("k1", "k2").agg(
         # at most one entry for each run of the row
-        *[F.collect_list(F.when(is_open, F.col(c))).alias(c) for c in ("lo", "n", "lead")])
+        *[F.collect_list(F.when(is_open, F.col(c))).alias(c) for c in columns])
     # identical rows share their keys; their runs were told as repeated in pass 1
-    affected = written(docs.select("k1", "k2", "text").join(per_row, ["k1", "k2"])
-                       .dropDuplicates(["k1", "k2"]), "affected")
-    second = written(radix_pass(run_parts(affected.filter("size(lo) > 0"), threshold)), "pass2")
-    third = written(radix_pass(part_windows(second.filter(is_open)), last=True), "pass3")
-    edges = third.filter(F.col("kind") == EDGE).select("d1", "d2", "k1", "k2", "lo", "n").distinct()
+    return docs.select("k1", "k2", "text").join(per_row, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+
+
+def _across(last_pass: DataFrame) -> DataFrame:
+    """Stretches that repeat over the ends of the last pass's ranges."""
+    edges = last_pass.filter(F.col("kind") == EDGE).select("d1", "d2", "k1", "k2", "lo", "n").distinct()
     twice = edges.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("places")).filter("places > 1")
-    across = edges.join(twice, ["d1", "d2"], "left_semi").select("k1", "k2", "lo", (F.col("lo") + F.col("n")).alias("hi"))
-    return _stretches(first).union(_stretches(second)).union(_stretches(third)).union(across), affected
+    return edges.join(twice, ["d1", "d2"], "left_semi").select("k1", "k2", "lo", (F.col("lo") + F.col("n")).alias("hi"))
+
+
+def passage_words(docs: DataFrame, words: int = 51) -> DataFrame:
+    """(k1, k2, n_passage_words): how many words of a row lie in a passage of ``words`` words that also stands elsewhere.
+
+    The same sort with words for bytes (ASCII white space separates them): one
+    pass over runs of windows, one over the single windows of what it leaves
+    open. Passages never cross rows; rows without any are left out. docs as of
+    ``keyed``; a repeated row is a copy of itself.
+    """
+    first = written(radix_pass(suffix_runs(docs, words, max(words // 3, 1), word_symbols)), "passages1")
+    open_rows = written(_affected(docs, first, ("lo", "n")).filter("size(lo) > 0"), "passages-open")
+    second = written(radix_pass(word_windows(open_rows, words), last=True), "passages2")
+    found = _stretches(first).union(_stretches(second)).union(_across(second))
+    # a row's stretches are at most as many as its words
+    per_row = found.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("s"))
+    zero = F.lit(0).cast("long")
+
+    def add(so_far, x):
+        begin, end = F.greatest(x.lo, so_far.end), x.hi + (words - 1)
+        return F.struct((so_far.n + F.greatest(end - begin, zero)).alias("n"), F.greatest(so_far.end, end).alias("end"))
+
+    return per_row.select("k1", "k2", F.aggregate("s", F.struct(zero.alias("n"), zero.alias("end")), add).n.alias("n_passage_words"))
 
 
 def cut_rows(docs: DataFrame, threshold: int, digit: int) -> DataFrame:
@@ -295,9 +382,12 @@ def cut_text(threshold: int):
     return cut
 
 
-def remove_repeats(docs: DataFrame, threshold: int = 400, digit: int = 128) -> DataFrame:
+def remove_repeats(docs: DataFrame, threshold: int = 400, digit: int = 128, passage: int | None = None) -> DataFrame:
     """Each row's text without the bytes that lie in a repeated ``threshold``-byte window.
 
+    With ``passage``, also n_passage_words: the words that lie in a repeated
+    passage of that many words, which may have fewer bytes and then stay.
+
     Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
     kept_sha256 and kept (the remaining bytes where any were removed, else
     null). Windows never cross rows and are judged on the input; overlaps
@@ -310,10 +400,13 @@ def remove_repeats(docs: DataFrame, threshold: int = 400, digit: int = 128) -> D
     raw = F.coalesce("text", F.lit("")).cast("binary")
     whole = named.select("k1", "k2", "doc_id", F.octet_length(raw).cast("long").alias("n_bytes"),
                          F.sha2(raw, 256).alias("sha256"))
+    if passage:
+        whole = whole.join(passage_words(named, passage), ["k1", "k2"], "left")
     return (whole.join(cut, ["k1", "k2"], "left")
             .select("doc_id", "n_bytes", F.coalesce("cut.n_removed", F.lit(0)).alias("n_removed"),
                     F.coalesce("cut.n_spans", F.lit(0)).alias("n_spans"),
-                    F.coalesce("cut.kept_sha256", "sha256").alias("kept_sha256"), F.col("cut.kept").alias("kept")))
+                    F.coalesce("cut.kept_sha256", "sha256").alias("kept_sha256"), F.col("cut.kept").alias("kept"),
+                    *[F.coalesce("n_passage_words", F.lit(0)).alias("n_passage_words")] * bool(passage)))
 
 
 def without_repeats(docs: DataFrame, threshold: int = 400, digit: int = 128) -> DataFrame:

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import pytest
 from flowlake.llm import lsh_forest, suffix_dedup
@@ -135,18 +136,70 @@ def test_removed_bytes_equal_brute_force(spark, seed):
         assert bytes(r.kept) == kept if gone else r.kept is None
 
 
+def passage_truth(rows, size):
+    texts = [re.split("[ \\t-\\r]+", (t or "").strip(" \t\n\x0b\x0c\r")) if (t or "").strip(" \t\n\x0b\x0c\r") else [] for t in rows]
+    windows = collections.Counter(tuple(w[p:p + size]) for w in texts for p in range(len(w) - size + 1))
+    out = []
+    for w in texts:
+        covered = set()
+        for p in range(len(w) - size + 1):
+            if windows[tuple(w[p:p + size])] > 1:
+                covered.update(range(p, p + size))
+        out.append(len(covered))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_words_of_repeated_passages_equal_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    words = lambda n: [rnd.choice(["a", "bé", "cc", "ddd"]) for _ in range(n)]
+    shared = [words(n) for n in (5, 11, 12, 13, 30, 90)]
+    texts = [rnd.choice([" ", "\n", "\t "]).join(words(rnd.randint(0, 30)) + rnd.choice(shared) + words(rnd.randint(0, 3))
+                                                 + rnd.choice(shared)) for _ in range(50)]
+    texts += ["x " * 60, " ".join(shared[5]), "  " + " ".join(shared[5]), "", None, " \n", "one"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.n_passage_words
+           for r in suffix_dedup.remove_repeats(docs, threshold=4000, passage=12).collect()}
+    assert [got[i] for i in range(len(texts))] == passage_truth(texts, 12)
+
+
+def test_passages_of_51_words_are_told_whatever_their_bytes(spark):
+    rnd = random.Random(5)
+    word = lambda n: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    passages = {n: " ".join(word(5) for _ in range(n)) for n in (50, 51, 52, 70)}
+    rows = [(10 * n + i, " ".join(word(6) for _ in range(40)) + f" {p} " + " ".join(word(6) for _ in range(40)))
+            for n, p in passages.items() for i in range(2)]
+    rows += [(i, " ".join(word(6) for _ in range(150))) for i in range(8)]  # clean
+    got = {r.doc_id: (r.n_removed, r.n_passage_words) for r in suffix_dedup.remove_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string"), passage=51).collect()}
+    assert all(got[i] == (0, 0) for i in range(8))
+    for n in passages:
+        assert [got[10 * n + i][1] for i in range(2)] == [n if n > 50 else 0] * 2
+    assert got[510][0] == 0 and got[700][0] > 0
+
+
+def test_equal_hashes_of_long_words_need_equal_words(spark):
+    """The Thue-Morse word and its complement: alike for any polynomial hash modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in lsh_forest.near_duplicate_groups(docs).collect()} == {1: 1, 2: 2, 3: 1}
+
+
 def test_suffix_dedup_of_odd_rows(odd_docs, no_docs):
     small = odd_docs.filter("text is null or length(text) < 10000")
     rows = small.collect()
     want = sorted((str(r.doc_id), *t[:4]) for r, t in zip(rows, cut_truth([r.text for r in rows], 400)))
     got = suffix_dedup.remove_repeats(small).drop("kept").collect()
     assert sorted((str(r[0]), *r[1:]) for r in got) == want
+    words = sorted(zip((str(r.doc_id) for r in rows), passage_truth([r.text for r in rows], 51)))
+    assert sorted((str(r.doc_id), r.n_passage_words) for r in suffix_dedup.remove_repeats(small, passage=51).collect()) == words
     long = suffix_dedup.remove_repeats(odd_docs).filter("doc_id = 10").collect()[0]
     assert long.n_removed == long.n_bytes and long.n_spans == 1  # periodic: every window stands elsewhere
     out = suffix_dedup.without_repeats(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
     assert out.filter("text is null").count() == 2
-    assert suffix_dedup.remove_repeats(no_docs).count() == 0 and suffix_dedup.without_repeats(no_docs).count() == 0
+    assert suffix_dedup.remove_repeats(no_docs, passage=51).count() == 0 and suffix_dedup.without_repeats(no_docs).count() == 0
 
 
 def test_windows_at_the_pieces_of_a_long_text(spark, monkeypatch):
