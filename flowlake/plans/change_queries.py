@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import changes, versioned
+from ..operators import changes, deletes, versioned
 from ..sources.fixtures import view_over
 from ..sources.tables import Estate
 from ..streaming import streams
@@ -52,6 +52,64 @@ def q_delete_preflight(spark, sf_dir):
     return changes.delete_preflight(e.delete_commands, facts)
 
 
+# --- C3 with H2: deletes in order -------------------------------------------------
+
+def _delete_apply_sql() -> str:
+    never = str(deletes.NEVER)
+    # the fixture's groups are four levels deep; each level waits for the one below
+    levels = [("l3", "g.id LIKE 'pg-c%'", None), ("l2", "g.id LIKE 'pg-n%' OR g.id LIKE 'pg-e%'", "l3"),
+              ("l1", "g.id LIKE 'pg-r%' AND g.id <> 'pg-root'", "l2"), ("l0", "g.id = 'pg-root'", "l1")]
+    parts = []
+    for name, where, below in levels:
+        kids = (f"SELECT x.parent_id AS id, MAX(coalesce(t, {never})) AS b FROM {below} x GROUP BY x.parent_id" if below
+                else "SELECT CAST(NULL AS VARCHAR) AS id, CAST(NULL AS BIGINT) AS b WHERE false")
+        parts.append(f"""{name} AS (
+  SELECT id, parent_id, b, (SELECT MIN(seq) FROM tries WHERE kind = 'group' AND tries.id = y.id AND seq > coalesce(y.b, -1)) AS t
+  FROM (SELECT g.id, g.parent_id, greatest(m.b, k.b) AS b FROM fx_group g LEFT JOIN members m ON m.id = g.id
+        LEFT JOIN ({kids}) k ON k.id = g.id WHERE {where}) y)""")
+    return f"""
+, ent AS (
+  SELECT 'processor' AS kind, id, version, run_status = 'STOPPED' AS stopped, false AS queued, group_id FROM fx_processor
+  UNION ALL SELECT CASE WHEN kind = 'INPUT_PORT' THEN 'input_port' ELSE 'output_port' END, id, 0, run_status = 'STOPPED', false, group_id FROM fx_port
+  UNION ALL SELECT 'connection', id, 0, true, id IN (SELECT connection_id FROM fx_late_queue), group_id FROM fx_connection
+  UNION ALL SELECT 'group', id, 0, id NOT IN (SELECT group_id FROM fx_processor WHERE run_status = 'RUNNING' UNION SELECT group_id FROM fx_port WHERE run_status = 'RUNNING'),
+    false, parent_id FROM fx_group),
+tries AS (SELECT d.kind, d.target_id AS id, d.seq FROM fx_delete_batch d JOIN ent e ON e.kind = d.kind AND e.id = d.target_id
+          WHERE e.stopped AND NOT e.queued AND e.version = d.expected_version),
+tc AS (SELECT id, MIN(seq) AS t FROM tries WHERE kind = 'connection' GROUP BY id),
+lasts AS (SELECT x.id, MAX(coalesce(tc.t, {never})) AS b FROM (
+    SELECT source_id AS id, id AS c FROM fx_connection UNION ALL SELECT destination_id, id FROM fx_connection) x
+  LEFT JOIN tc ON tc.id = x.c GROUP BY x.id),
+pieces AS (SELECT e.kind, e.id, l.b FROM ent e LEFT JOIN lasts l ON l.id = e.id WHERE e.kind NOT IN ('group', 'connection')),
+tp AS (SELECT p.kind, p.id, MIN(t.seq) AS t FROM pieces p JOIN tries t ON t.kind = p.kind AND t.id = p.id AND t.seq > coalesce(p.b, -1) GROUP BY p.kind, p.id),
+members AS (
+  SELECT e.group_id AS id, MAX(coalesce(tc.t, tp.t, {never})) AS b FROM ent e LEFT JOIN tc ON e.kind = 'connection' AND tc.id = e.id
+    LEFT JOIN tp ON tp.kind = e.kind AND tp.id = e.id WHERE e.kind <> 'group' GROUP BY e.group_id),
+{", ".join(parts)},
+all_t AS (
+  SELECT 'group' AS kind, id, b, t FROM (SELECT * FROM l3 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l0) g
+  UNION ALL SELECT p.kind, p.id, p.b, tp.t FROM pieces p LEFT JOIN tp ON tp.kind = p.kind AND tp.id = p.id
+  UNION ALL SELECT 'connection', c.id, NULL, tc.t FROM fx_connection c LEFT JOIN tc ON tc.id = c.id),
+x AS (
+  SELECT d.*, e.id IS NOT NULL AND coalesce(a.t, {never}) >= d.seq AS there, e.version, concat_ws(', ',
+      CASE WHEN NOT coalesce(e.stopped, false) THEN 'not_stopped' END, CASE WHEN d.kind <> 'group' AND a.b >= d.seq THEN 'connected' END,
+      CASE WHEN e.queued THEN 'queue_not_empty' END, CASE WHEN d.kind = 'group' AND a.b >= d.seq THEN 'not_empty' END) AS why
+  FROM fx_delete_batch d LEFT JOIN ent e ON e.kind = d.kind AND e.id = d.target_id LEFT JOIN all_t a ON a.kind = d.kind AND a.id = d.target_id),
+y AS (
+  SELECT seq, kind, target_id, expected_version, why, CASE WHEN target_id IS NULL THEN 'no_target'
+      WHEN kind NOT IN ('processor', 'input_port', 'output_port', 'connection', 'group') THEN 'invalid_kind'
+      WHEN NOT there THEN 'not_found' WHEN expected_version <> version THEN 'conflict' WHEN why <> '' THEN 'blocked' ELSE 'deleted' END AS outcome FROM x)
+SELECT seq, kind, target_id, expected_version, outcome, CASE WHEN outcome = 'blocked' THEN why ELSE '' END AS reasons FROM y"""
+
+
+@query("delete_apply", ["fx_delete_batch", "fx_processor", "fx_connection", "fx_group", "fx_port", "fx_late_queue"], _delete_apply_sql())
+def q_delete_apply(spark, sf_dir):
+    """C3 with H2: an ordered batch of deletes, each on what the ones before it left."""
+    e = Estate.load(spark, sf_dir)
+    out = deletes.delete_apply(e.delete_batch, e.processors, e.connections, e.groups, e.ports, e.late_queue)
+    return out.withColumn("reasons", F.array_join("reasons", ", "))
+
+
 # --- C4 -------------------------------------------------------------------------
 
 _TYPES = "('PROCESSOR', 'INPUT_PORT', 'OUTPUT_PORT', 'FUNNEL')"

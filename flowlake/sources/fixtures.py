@@ -120,6 +120,21 @@ SELECT 'processor' AS kind, id AS target_id FROM fx_processor
 UNION ALL SELECT 'connection', id FROM fx_connection
 UNION ALL SELECT 'group', id FROM fx_group
 UNION ALL SELECT 'processor', 'proc-none'
+""",
+    "fx_late_queue": """
+SELECT connection_id, group_id, flowfile_uuid, size_bytes, queued_at FROM fx_transfer WHERE queued_at >= TIMESTAMP '2001-10-20 00:00:00'
+""",
+    "fx_delete_batch": """
+SELECT DISTINCT CAST(s_key AS BIGINT) AS seq, 'connection' AS kind, connection_id AS target_id, CAST(CASE WHEN s_key % 50 = 49 THEN 1 ELSE 0 END AS BIGINT) AS expected_version
+FROM fx_transfer
+UNION ALL SELECT CAST(50 + c_custkey % 200 AS BIGINT), 'processor', 'proc-c' || CAST(c_custkey AS STRING), CAST(CASE WHEN c_custkey % 13 = 0 THEN 7 ELSE c_custkey % 3 END AS BIGINT) FROM customer
+UNION ALL SELECT CAST(1000000 + c_custkey AS BIGINT), 'processor', 'proc-c' || CAST(c_custkey AS STRING), CAST(c_custkey % 3 AS BIGINT) FROM customer
+UNION ALL SELECT CAST(2000000 + n_nationkey AS BIGINT), 'processor', 'proc-i' || CAST(n_nationkey AS STRING), CAST(n_nationkey % 3 AS BIGINT) FROM nation
+UNION ALL SELECT CAST(2000000 + n_nationkey AS BIGINT), CASE WHEN n_nationkey % 5 = 0 THEN 'widget' ELSE 'input_port' END, 'in-n' || CAST(n_nationkey AS STRING), CAST(0 AS BIGINT) FROM nation
+UNION ALL SELECT CAST(2000000 + n_nationkey AS BIGINT), 'output_port', CASE WHEN n_nationkey % 7 <> 0 THEN 'out-n' || CAST(n_nationkey AS STRING) END, CAST(0 AS BIGINT) FROM nation
+UNION ALL SELECT CAST(3000000 AS BIGINT), 'group', id, CAST(0 AS BIGINT) FROM fx_group
+UNION ALL SELECT CAST(3000001 AS BIGINT), 'group', id, CAST(0 AS BIGINT) FROM fx_group
+UNION ALL SELECT CAST(3000002 AS BIGINT), 'group', id, CAST(0 AS BIGINT) FROM fx_group
 """,
     "fx_state_command": """
 SELECT id AS target_id, CASE CAST(version AS INT) WHEN 0 THEN 'running' WHEN 1 THEN 'Stopped' ELSE 'PAUSED' END AS state FROM fx_processor
@@ -161,6 +176,8 @@ _DEPENDS = {
     "fx_connection": ["fx_transfer"],
     "fx_connection_rel": ["fx_transfer"],
     "fx_delete_command": ["fx_processor", "fx_connection", "fx_group"],
+    "fx_late_queue": ["fx_transfer"],
+    "fx_delete_batch": ["fx_transfer", "fx_group"],
     "fx_state_command": ["fx_processor", "fx_port"],
     "fx_property": ["fx_processor"],
     "fx_auto_terminated": ["fx_processor"],

@@ -105,6 +105,14 @@ class Estate:
     def delete_commands(self) -> DataFrame:
         return self.fx["fx_delete_command"]
 
+    @property
+    def delete_batch(self) -> DataFrame:
+        return self.fx["fx_delete_batch"]
+
+    @property
+    def late_queue(self) -> DataFrame:
+        return self.fx["fx_late_queue"]
+
     @property
     def state_commands(self) -> DataFrame:
         return self.fx["fx_state_command"]
