@@ -2,10 +2,19 @@
 
 The state per entity is ``(present, version)`` in a value state of
 ``transformWithStateInPandas``; entities present before the stream starts come
-in as the initial state.  Within a micro-batch an entity's new commands are
-applied in ``seq`` order (the batch's commands for one key are bounded by the
-trigger size, e.g. ``maxFilesPerTrigger``); across micro-batches commands are
-applied in arrival order.  The rules are the batch fold's (``versioned.step``).
+in as the initial state. The rules are the batch fold's (``versioned.step``).
+
+In arrival order (no ``watermark``), an entity's commands of one micro-batch
+are applied in ``seq`` order as they come; the micro-batch's commands for one
+key are held, so bound the trigger (``maxFilesPerTrigger``). In event-time
+order, commands wait in a list state and an event-time timer releases them once
+the watermark has passed them: shuffled micro-batches give the outcome of the
+batch fold, as long as no command comes later than the watermark allows. Later
+ones are dropped by Spark, and ``streams.drain`` tells of them. What the
+watermark has not passed yet stays in the state for the next run.
+
+Numbers reach Python as text: pandas turns a whole-number column with a null
+into floats, which are inexact over 2**53.
 """
 
 from __future__ import annotations
@@ -13,69 +22,133 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.versioned import OUTCOME_SCHEMA, step
 
 STATE_SCHEMA = "present boolean, version long"
+WAITING_SCHEMA = "at long, seq string, op string, expected_version string, payload string"
+FOLDED_SCHEMA = T.StructType([*OUTCOME_SCHEMA.fields, T.StructField("payload", T.StringType())])
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _number(text) -> int | None:
+    return None if pd.isna(text) else int(text)
+
+
+def _order(command):
+    """Commands run by time, then seq, op and expected version; nulls first, as Spark sorts them."""
+    return tuple((x is not None, nothing if x is None else x) for x, nothing in zip(command, (0, 0, "", 0)))
+
+
 class VersionedProcessor(StatefulProcessor):
     """Folds each entity's commands into its (present, version) state."""
 
-    def __init__(self, strict_ops=()):
+    def __init__(self, strict_ops=(), by_event_time: bool = False):
         self.strict_ops = tuple(o.upper() for o in strict_ops)
+        self.by_event_time = by_event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("entity", STATE_SCHEMA)
+        if self.by_event_time:
+            self.waiting = handle.getListState("waiting", WAITING_SCHEMA)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         version = initialState["version"]
         v = initialState["version"].iloc[0] if isinstance(version, pd.Series) else version
-        self.state.update((True, None if pd.isna(v) else int(v)))
+        self.state.update((True, _number(v)))
+
+    def _commands(self, rows) -> list[tuple]:
+        out = []
+        for pdf in rows:
+            columns = (pdf[c].tolist() for c in ("at", "seq", "op", "expected_version", "payload"))
+            out += [(_number(at), _number(seq), None if pd.isna(op) else op, _number(e), None if pd.isna(p) else p)
+                    for at, seq, op, e, p in zip(*columns)]
+        return out
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+        commands = self._commands(rows)
+        if not self.by_event_time:
+            yield from self._fold(key, commands)
+            return
+        self.waiting.appendList([(at, *(None if x is None else str(x) for x in (seq, op, e)), p)
+                                 for at, seq, op, e, p in commands])
+        self.handle.registerTimer(min(c[0] for c in commands))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        watermark = timerValues.getCurrentWatermarkInMs()
+        held = [(at, _number(seq), op, _number(e), p) for at, seq, op, e, p in self.waiting.get()] if self.waiting.exists() else []
+        ready, rest = ([c for c in held if (c[0] <= watermark) == passed] for passed in (True, False))
+        if not ready:
+            return
+        self.waiting.clear()
+        if rest:
+            self.waiting.put([(at, *(None if x is None else str(x) for x in (seq, op, e)), p) for at, seq, op, e, p in rest])
+            self.handle.registerTimer(min(c[0] for c in rest))
+        yield from self._fold(key, ready)
+
+    def _fold(self, key, commands):
+        present, version = False, None
         if self.state.exists():
             present, version = self.state.get()
             present = bool(present)
-        else:
-            present, version = False, None
-        out, pres, vers = [], [], []
-        exps = [None if pd.isna(x) else int(x) for x in pdf["expected_version"]]
-        for op, e in zip(pdf["op"].tolist(), exps):
-            o, present, version = step(op, e, present, version, self.strict_ops)
-            out.append(o)
-            pres.append(present)
-            vers.append(version)
+        commands.sort(key=_order)
+        folded = []
+        for _, seq, op, e, payload in commands:
+            outcome, present, version = step(op, e, present, version, self.strict_ops)
+            folded.append((seq, key[0], op, e, outcome, present, version, payload))
         self.state.update((present, version))
-        yield pd.DataFrame({
-            "seq": pdf["seq"].astype("int64").to_numpy(), "target_id": pdf["target_id"].to_numpy(),
-            "op": pdf["op"].to_numpy(), "expected_version": pd.array(exps, dtype="Int64"),
-            "outcome": out, "present_after": pres, "version_after": pd.array(vers, dtype="Int64")})
+        columns = list(zip(*folded))
+        numbers = {0, 3, 6}
+        yield pd.DataFrame({f.name: pd.array(columns[i], dtype="Int64") if i in numbers else pd.Series(columns[i], dtype=object)
+                            for i, f in enumerate(FOLDED_SCHEMA)})
 
     def close(self) -> None:
         pass
 
 
-def versioned_apply_stream(commands: DataFrame, initial: DataFrame, strict_ops=()) -> DataFrame:
+def versioned_apply_stream(commands: DataFrame, initial: DataFrame, strict_ops=(), payload=(),
+                           event_time: str | None = None, watermark: str | None = None) -> DataFrame:
     """Streaming outcomes for a command stream against an initial entity table.
 
-    Needs the RocksDB state store (set on the session when unset).
+    ``payload`` columns come out as they went in. With ``event_time`` (a
+    timestamp column) and ``watermark`` (a delay), commands are applied in
+    order of event time and seq, else in arrival order. A command without a
+    target is ``no_target`` at once; one without an event time is dropped by
+    the watermark; a null seq runs first. Needs the RocksDB state store: set
+    here if the session names none, an error if it names another.
     """
     spark = commands.sparkSession
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, "") != ROCKSDB:
-        spark.conf.set(key, ROCKSDB)
-    cmds = commands.select(F.col("seq").cast("bigint"), "target_id", F.upper("op").alias("op"),
-                           F.col("expected_version").cast("bigint"))
+    if spark.conf.get(PROVIDER, "") not in ("", ROCKSDB):
+        raise RuntimeError(f"{PROVIDER} names another state store; this stream needs {ROCKSDB}")
+    spark.conf.set(PROVIDER, ROCKSDB)
+    payload = list(payload)
+    ordered = event_time is not None
+    at = F.col(event_time).cast("timestamp") if ordered else F.lit(None).cast("timestamp")
+    cmds = commands.select(
+        F.col("seq").cast("bigint").alias("seq"), "target_id", F.upper("op").alias("op"),
+        F.col("expected_version").cast("bigint").alias("expected_version"),
+        F.to_json(F.struct(*payload)).alias("payload") if payload else F.lit(None).cast("string").alias("payload"), at.alias("_at"))
     lost = cmds.where(F.col("target_id").isNull()).select(
-        "*", F.lit("no_target").alias("outcome"), F.lit(False).alias("present_after"),
-        F.lit(None).cast("bigint").alias("version_after"))
-    cmds = cmds.where(F.col("target_id").isNotNull())
-    init = initial.where(F.col("id").isNotNull()).select(F.col("id").alias("target_id"), F.col("version").cast("bigint")).groupBy("target_id")
-    folded = cmds.groupBy("target_id").transformWithStateInPandas(
-        statefulProcessor=VersionedProcessor(strict_ops), outputStructType=OUTCOME_SCHEMA,
-        outputMode="Append", timeMode="None", initialState=init)
-    return folded.unionByName(lost)
+        "seq", "target_id", "op", "expected_version", F.lit("no_target").alias("outcome"), F.lit(False).alias("present_after"),
+        F.lit(None).cast("bigint").alias("version_after"), "payload")
+    known = cmds.where(F.col("target_id").isNotNull())
+    if ordered:
+        known = known.withWatermark("_at", watermark)
+    known = known.select("target_id", "op", "payload", F.col("seq").cast("string").alias("seq"),
+                         F.col("expected_version").cast("string").alias("expected_version"),
+                         F.unix_millis("_at").cast("string").alias("at"), *(["_at"] * ordered))
+    init = initial.where(F.col("id").isNotNull()).select(
+        F.col("id").alias("target_id"), F.col("version").cast("bigint").cast("string").alias("version")).groupBy("target_id")
+    folded = known.groupBy("target_id").transformWithStateInPandas(
+        statefulProcessor=VersionedProcessor(strict_ops, ordered), outputStructType=FOLDED_SCHEMA,
+        outputMode="Append", timeMode="EventTime" if ordered else "None", initialState=init)
+    out = folded.unionByName(lost)
+    if not payload:
+        return out.drop("payload")
+    schema = T.StructType([T.StructField(c, commands.schema[c].dataType) for c in payload])
+    parsed = F.from_json("payload", schema)
+    return out.select(*[f.name for f in OUTCOME_SCHEMA], *[parsed[c].alias(c) for c in payload])
