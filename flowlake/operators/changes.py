@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import written
 
 
 def _reasons(*pairs: tuple[Column, str]) -> Column:
@@ -201,12 +202,17 @@ def pipeline_summary(expanded: DataFrame, names: DataFrame | None = None) -> Dat
 # ---------------------------------------------------------------------------
 
 def _last_commands(updates: DataFrame) -> DataFrame:
-    """The rows of each processor's last command of each type (highest ``seq``; without one, all rows are one command)."""
-    if "seq" not in updates.columns:
-        return updates.select("processor_id", "update_type", "name", "value")
+    """The rows of each processor's last command of each type (highest ``seq``; without one, all rows are one command).
+
+    The updates are read once; what meets itself and every section is a written table.
+    """
     key = ["processor_id", "update_type"]
-    last = updates.groupBy(*key).agg(F.max("seq").alias("seq"))
-    return updates.join(last, [*key, "seq"]).select(*key, "name", "value")
+    rows = written(updates.where(F.col("update_type").isin(T.CONFIG_PROPERTIES, T.CONFIG_AUTO_TERMINATED)).select(
+        *(["seq"] if "seq" in updates.columns else []), *key, "name", "value"), "config-updates")
+    if "seq" not in updates.columns:
+        return rows
+    last = rows.groupBy(*key).agg(F.max("seq").alias("seq"))
+    return rows.join(last, [*key, "seq"]).select(*key, "name", "value")
 
 
 def config_update(properties: DataFrame, updates: DataFrame, processors: DataFrame,
@@ -230,8 +236,7 @@ def config_update(properties: DataFrame, updates: DataFrame, processors: DataFra
         "processor_id", "update_type",
         F.when(~ok_kind, F.lit("invalid_update_type"))
         .when(F.col("_found").isNull(), F.lit("not_found")).otherwise(F.lit("applied")).alias("status"))
-    applied = _last_commands(updates.where(ok_kind)).join(
-        known.select("processor_id"), "processor_id", "left_semi")
+    applied = written(_last_commands(updates).join(known.select("processor_id"), "processor_id", "left_semi"), "config-applied")
 
     def section(kind, label, old, name, value, some):
         new = applied.where(F.col("update_type") == kind)
@@ -256,7 +261,7 @@ def config_update_maps(processors: DataFrame, updates: DataFrame) -> DataFrame:
     value stays.  Each last payload is gathered per processor (bounded by that
     command's size) and joined to its processor.
     """
-    last = _last_commands(updates.where(F.col("update_type").isin(T.CONFIG_PROPERTIES, T.CONFIG_AUTO_TERMINATED)))
+    last = _last_commands(updates)
     is_props = F.col("update_type") == T.CONFIG_PROPERTIES
     entries = last.groupBy("processor_id", "update_type", F.when(is_props, F.col("name")).otherwise(F.col("value"))
                            .alias("entry")).agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("times"))

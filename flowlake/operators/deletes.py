@@ -28,20 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_path
+from ..session import written
 
 KINDS = ("processor", "input_port", "output_port", "connection", "group")
 #: t of an entity that stays
 NEVER = (1 << 63) - 1
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    """Written once to the shared folder: later rounds read files, not the work above them."""
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _version(table: DataFrame) -> Column:
     return F.coalesce(F.col("version").cast("bigint"), F.lit(0).cast("bigint")) if "version" in table.columns else F.lit(0).cast("bigint")
 
@@ -91,7 +84,7 @@ def _settled(tries: DataFrame, bounds: DataFrame) -> DataFrame:
 def _groups_settled(tries: DataFrame, members: DataFrame, groups: DataFrame) -> DataFrame:
     """(id, b, t) of every group that has tries or members; members: (id, b) without child groups."""
     named = tries.select("id").distinct()
-    tree = _written(groups.where(F.col("parent_id").isNotNull() & F.col("id").isNotNull()).select("id", "parent_id").distinct()
+    tree = written(groups.where(F.col("parent_id").isNotNull() & F.col("id").isNotNull()).select("id", "parent_id").distinct()
                     .join(named.withColumn("named", F.lit(True)), "id", "left"), "delete-tree")
     children = tree.groupBy(F.col("parent_id").alias("id")).agg(
         F.count(F.when(F.col("named"), 1)).alias("waits"), F.max(F.col("named").isNull()).alias("kept"))
@@ -99,14 +92,14 @@ def _groups_settled(tries: DataFrame, members: DataFrame, groups: DataFrame) ->
         "id", F.coalesce("tried", F.lit(False)).alias("tried"),
         F.when(F.coalesce("kept", F.lit(False)), NEVER).otherwise(F.coalesce("b", F.lit(-NEVER - 1))).alias("b"),
         F.coalesce("waits", F.lit(0)).alias("waits")))
-    open_ = _written(start, "delete-groups")
+    open_ = written(start, "delete-groups")
     done, rounds = None, 0
     while True:
         # a member that stays settles a group whatever its child groups do
         ready = open_.where((F.col("waits") <= 0) | (F.col("b") == NEVER) | ~F.col("tried"))
         t = tries.select("id", "seq").join(ready.select("id", "b"), "id").groupBy("id").agg(
             F.min(F.when(F.col("seq") > F.col("b"), F.col("seq"))).alias("t"))
-        now = _written(ready.join(t, "id", "left").select("id", "b", F.coalesce("t", F.lit(NEVER)).alias("t"), "tried"), "delete-settled")
+        now = written(ready.join(t, "id", "left").select("id", "b", F.coalesce("t", F.lit(NEVER)).alias("t"), "tried"), "delete-settled")
         if now.isEmpty():
             # parents that name each other in a circle never become empty
             rest = open_.select("id", F.lit(NEVER).alias("b"), F.lit(NEVER).alias("t"))
@@ -115,10 +108,10 @@ def _groups_settled(tries: DataFrame, members: DataFrame, groups: DataFrame) ->
         done = settled if done is None else done.unionByName(settled)
         rounds += 1
         if rounds % 16 == 0:  # keeps the plan short
-            done = _written(done, "delete-settled")
+            done = written(done, "delete-settled")
         told = (now.where("tried").select("id", "t").join(tree.select("id", "parent_id"), "id")
                 .groupBy(F.col("parent_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("latest")))
-        open_ = _written(
+        open_ = written(
             open_.join(now.select("id"), "id", "left_anti").join(told, "id", "left").select(
                 "id", "tried", F.greatest("b", F.coalesce("latest", F.col("b"))).alias("b"),
                 (F.col("waits") - F.coalesce("n", F.lit(0))).alias("waits")), "delete-groups")
@@ -138,16 +131,18 @@ def delete_apply(commands: DataFrame, processors: DataFrame, connections: DataFr
     """
     cmds = commands.select(F.col("seq").cast("bigint").alias("seq"), "kind", "target_id",
                            F.col("expected_version").cast("bigint").alias("expected_version"))
-    cmds = _written(cmds, "delete-commands")
-    entities = _written(deletable_entities(processors, connections, groups, ports, queue), "delete-entities")
+    cmds = written(cmds, "delete-commands")
+    connections = written(connections.select("id", "group_id", "source_id", "destination_id", _version(connections).alias("version")),
+                          "delete-connections")
+    entities = written(deletable_entities(processors, connections, groups, ports, queue), "delete-entities")
     when = F.coalesce("seq", F.lit(-NEVER))
     tries = (cmds.select("kind", F.col("target_id").alias("id"), when.alias("seq"), "expected_version")
              .join(entities, ["kind", "id"])
              .where("stopped and queued = 0 and expected_version = version").select("kind", "id", "seq"))
-    tries = _written(tries, "delete-tries")
+    tries = written(tries, "delete-tries")
     nothing = entities.select("kind", "id", F.lit(None).cast("bigint").alias("b")).limit(0)
 
-    own = _written(_settled(tries.where("kind = 'connection'"), nothing), "delete-t")
+    own = written(_settled(tries.where("kind = 'connection'"), nothing), "delete-t")
     gone = own.select(F.col("id").alias("connection_id"), "t")
     ends = (connections.select(F.col("id").alias("connection_id"), F.explode(F.array("source_id", "destination_id")).alias("id"))
             .where("id is not null and connection_id is not null"))
@@ -156,8 +151,8 @@ def delete_apply(commands: DataFrame, processors: DataFrame, connections: DataFr
               .agg(F.max(F.coalesce("t", F.lit(NEVER))).alias("b")))
     pieces = tries.where("kind in ('processor', 'input_port', 'output_port')")
     kinds = entities.where("kind in ('processor', 'input_port', 'output_port')").select("kind", "id")
-    bounds = _written(kinds.join(latest, "id").select("kind", "id", "b"), "delete-bounds")
-    t_pieces = _written(_settled(pieces, bounds), "delete-t")
+    bounds = written(kinds.join(latest, "id").select("kind", "id", "b"), "delete-bounds")
+    t_pieces = written(_settled(pieces, bounds), "delete-t")
 
     settled = own.unionByName(t_pieces)
     member = (processors.select("group_id", F.lit("processor").alias("kind"), "id")

@@ -1,8 +1,8 @@
 """Status roll-up and queue rules.
 
 Facts (processors, connections, queued items) are aggregated to one row per
-group or connection *before* they meet the group closure, so the closure join
-multiplies group rows, never fact rows.
+group or connection *before* they meet the group tree, and the tree is summed
+up without a closure, so no step has more rows than there are groups.
 
 ``scope`` (for example ``["snapshot_id"]``) is added to every join key and
 grouping and leads the output columns.
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import written
+from . import tree
 
 METRICS = ["processors", "running", "stopped", "disabled", "invalid",
            "connections", "queued_items", "queued_bytes"]
@@ -42,21 +44,17 @@ def own_status(groups: DataFrame, processors: DataFrame, connections: DataFrame,
     return out.select(*gkey, *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in METRICS])
 
 
-def group_status(groups: DataFrame, closure: DataFrame, processors: DataFrame,
-                 connections: DataFrame, queue: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Own counts and counts rolled up over each group's subtree.
+def group_status(groups: DataFrame, processors: DataFrame, connections: DataFrame,
+                 queue: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Own counts and counts rolled up over each group's subtree (``tree.subtree_sums``).
 
-    One aggregation over (closure x per-group counts): the closure holds every
-    group at distance 0, so the own counts are the distance-0 part of the same
-    sums and the per-group counts are computed once.
+    Raises ``ValueError`` if parent links form a cycle.
     """
-    own = own_status(groups, processors, connections, queue, scope)
-    at_self = F.col("distance") == 0
-    return closure.join(own.withColumnRenamed("group_id", "descendant"), [*scope, "descendant"]) \
-        .groupBy(*scope, F.col("ancestor").alias("group_id")) \
-        .agg(*[F.sum(F.when(at_self, F.col(m)).otherwise(F.lit(0))).cast("bigint").alias(f"own_{m}")
-               for m in METRICS],
-             *[F.sum(m).cast("bigint").alias(f"total_{m}") for m in METRICS])
+    scope = list(scope)
+    own = written(own_status(groups, processors, connections, queue, scope), "own-status")
+    totals = tree.subtree_sums(groups, own.withColumnRenamed("group_id", "id"), METRICS, scope)
+    return own.select(*scope, "group_id", *[F.col(m).alias(f"own_{m}") for m in METRICS]).join(
+        totals.select(*scope, F.col("id").alias("group_id"), *[F.col(m).alias(f"total_{m}") for m in METRICS]), [*scope, "group_id"])
 
 
 def queue_load(queue: DataFrame, scope: Sequence[str] = ()) -> DataFrame:

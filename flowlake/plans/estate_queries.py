@@ -54,7 +54,7 @@ SELECT group_id, name, value, defined_in, CAST(distance AS INTEGER) AS distance
 def q_effective_parameters(spark, sf_dir):
     """Parameters visible to every group, inherited included, nearest definition wins."""
     e = Estate.load(spark, sf_dir)
-    return tree.effective_parameters(tree.group_closure(e.groups), e.parameters)
+    return tree.effective_parameters(e.groups, e.parameters)
 
 
 # --- D4 -------------------------------------------------------------------------
@@ -90,7 +90,7 @@ FROM own JOIN rolled ON rolled.group_id = own.group_id""", recursive=True)
 def q_group_status(spark, sf_dir):
     """Own and subtree-rolled processor states, connections and queue load per group."""
     e = Estate.load(spark, sf_dir)
-    return status.group_status(e.groups, tree.group_closure(e.groups), e.processors, e.connections, e.queue)
+    return status.group_status(e.groups, e.processors, e.connections, e.queue)
 
 
 # --- I2, I3 ---------------------------------------------------------------------

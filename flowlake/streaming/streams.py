@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 
 from ..session import shared_path
 
+PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+#: Micro-batches whose progress a drained query keeps, between two looks at it.
+KEPT_PROGRESS = 10_000
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
@@ -61,9 +65,26 @@ def bulletin_stream(bulletins: DataFrame, group_id: str | None = None, source_id
     return df
 
 
+def _dropped(query, seen: dict[int, int]) -> None:
+    """Adds to ``seen`` the rows that each micro-batch in the query's kept progress dropped as late."""
+    for p in query.recentProgress:
+        late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        seen[p.batchId] = max(seen.get(p.batchId, 0), late)
+
+
 def late_rows(query) -> int:
-    """Rows that a query's stateful steps dropped because they came after the watermark, in its kept progress."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    """Rows that a query's stateful steps dropped because they came after the watermark, until it ends.
+
+    Spark keeps the progress of the last micro-batches only, so it is looked at
+    while the query runs. Raises if a micro-batch was missed all the same.
+    """
+    seen: dict[int, int] = {}
+    while not query.awaitTermination(0.5):
+        _dropped(query, seen)
+    _dropped(query, seen)
+    if seen and max(seen) - min(seen) + 1 != len(seen):
+        raise RuntimeError("Spark no longer had the progress of some micro-batches; late rows cannot be told")
+    return sum(seen.values())
 
 
 def drain(stream: DataFrame, label: str, sink_path: str | None = None,
@@ -75,12 +96,17 @@ def drain(stream: DataFrame, label: str, sink_path: str | None = None,
     spark = stream.sparkSession
     sink_path = sink_path or shared_path(spark, f"{label}-sink")
     checkpoint = checkpoint or shared_path(spark, f"{label}-ckpt")
-    q = (stream.writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    kept = spark.conf.get(PROGRESS, None)
+    spark.conf.set(PROGRESS, KEPT_PROGRESS)  # the query takes the session's settings when it starts
+    try:
+        q = (stream.writeStream.format("parquet").option("path", sink_path)
+             .option("checkpointLocation", checkpoint).outputMode("append")
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(PROGRESS, kept) if kept else spark.conf.unset(PROGRESS)
+    late = late_rows(q)
     if q.exception() is not None:
         raise q.exception()
-    if not allow_late and (late := late_rows(q)):
+    if late and not allow_late:
         raise RuntimeError(f"{late} rows came later than the watermark allows and were dropped")
     return spark.read.schema(stream.schema).parquet(sink_path)

@@ -49,10 +49,9 @@ CASES = {
     "lint_report": lambda t, sc=(): lint.lint_report(t["groups"], t["processors"], t["connections"], sc),
     "pipeline_tree": lambda t, sc=(): tree.pipeline_tree(t["groups"], sc),
     "pipeline_list": lambda t, sc=(): tree.pipeline_list(t["groups"], sc),
-    "effective_parameters": lambda t, sc=(): tree.effective_parameters(
-        tree.group_closure(t["groups"], sc), t["parameters"], sc),
+    "effective_parameters": lambda t, sc=(): tree.effective_parameters(t["groups"], t["parameters"], sc),
     "group_status": lambda t, sc=(): status.group_status(
-        t["groups"], tree.group_closure(t["groups"], sc), t["processors"], t["connections"], t["queue"], sc),
+        t["groups"], t["processors"], t["connections"], t["queue"], sc),
     "backpressure_check": lambda t, sc=(): status.backpressure_check(t["connections"], t["queue"], sc),
     "flowfile_expiry": lambda t, sc=(): status.flowfile_expiry(t["connections"], t["queue"],
                                                                "1999-06-01 00:00:00", sc),
