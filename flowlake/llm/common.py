@@ -46,6 +46,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_way_of(df: DataFrame, label: str, step, result: str) -> DataFrame:
+    """``step(df)`` written, from a table of ``df``'s rows that is removed when the result is there.
+
+    For steps that read their input twice, as a sort by ranges does.
+    """
+    spark = df.sparkSession
+    short_batches(spark)
+    path = shared_path(spark, label)
+    df.write.parquet(path)
+    out = written(step(spark.read.schema(df.schema).parquet(path)), result)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return out
+
+
 def row_keys(doc_id: Column, text: Column) -> list[Column]:
     """128 bits that name a row by content; identical rows share them.
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import U64, RangeHash, arrow_bytes, gathered, internal, keyed, mix64, row_keys, words_of, written
+from .common import U64, RangeHash, arrow_bytes, by_way_of, gathered, internal, keyed, mix64, row_keys, words_of, written
 
 PIECE = 1 << 18
 PART = 8
@@ -298,15 +298,18 @@ def _stretches(found: DataFrame) -> DataFrame:
     return found.filter(F.col("kind") == WHOLE).select("k1", "k2", "lo", (F.col("lo") + F.col("n")).alias("hi"))
 
 
-def repeated_windows(docs: DataFrame, threshold: int = 400, digit: int = 128) -> tuple[DataFrame, DataFrame]:
+def repeated_windows(docs: DataFrame, threshold: int = 400, digit: int = 128, keep_runs: bool = False) -> tuple[DataFrame, DataFrame]:
     """Every repeated window, and the texts that have any.
 
     First: (k1, k2, lo, hi), stretches of window starts lo <= p < hi whose
     window also starts elsewhere; some may be listed twice. Second: (k1, k2,
     text, ...), one row for each distinct row of ``docs`` (k1, k2, text as of
-    ``keyed``) that can have a stretch.
+    ``keyed``) that can have a stretch. keep_runs: whether pass 1's rows are
+    written before they are sorted, which takes disk and saves a second scan of
+    the texts; the result is the same.
     """
-    first = written(radix_pass(suffix_runs(docs, threshold, digit)), "pass1")
+    runs = suffix_runs(docs, threshold, digit)
+    first = by_way_of(runs, "runs", radix_pass, "pass1") if keep_runs else written(radix_pass(runs), "pass1")
     affected = written(_affected(docs, first, ("lo", "n", "lead")), "affected")
     second = written(radix_pass(run_parts(affected.filter("size(lo) > 0"), threshold)), "pass2")
     third = written(radix_pass(part_windows(second.filter(F.col("kind") == OPEN)), last=True), "pass3")
@@ -338,7 +341,7 @@ def passage_words(docs: DataFrame, words: int = 51) -> DataFrame:
     open. Passages never cross rows; rows without any are left out. docs as of
     ``keyed``; a repeated row is a copy of itself.
     """
-    first = written(radix_pass(suffix_runs(docs, words, max(words // 3, 1), word_symbols)), "passages1")
+    first = by_way_of(suffix_runs(docs, words, max(words // 3, 1), word_symbols), "passage-runs", radix_pass, "passages1")
     open_rows = written(_affected(docs, first, ("lo", "n")).filter("size(lo) > 0"), "passages-open")
     second = written(radix_pass(word_windows(open_rows, words), last=True), "passages2")
     found = _stretches(first).union(_stretches(second)).union(_across(second))
@@ -353,9 +356,9 @@ def passage_words(docs: DataFrame, words: int = 51) -> DataFrame:
     return per_row.select("k1", "k2", F.aggregate("s", F.struct(zero.alias("n"), zero.alias("end")), add).n.alias("n_passage_words"))
 
 
-def cut_rows(docs: DataFrame, threshold: int, digit: int) -> DataFrame:
+def cut_rows(docs: DataFrame, threshold: int, digit: int, keep_runs: bool = False) -> DataFrame:
     """k1, k2 and ``cut`` (see ``cut_text``) of the distinct rows that lose bytes; docs as of ``keyed``."""
-    stretches, texts = repeated_windows(docs, threshold, digit)
+    stretches, texts = repeated_windows(docs, threshold, digit, keep_runs)
     # a row's stretches are at most as many as its windows
     per_row = (stretches.groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("s"))
                .select("k1", "k2", F.expr("transform(s, x -> x.lo)").alias("from"),
@@ -396,7 +399,7 @@ def remove_repeats(docs: DataFrame, threshold: int = 400, digit: int = 128, pass
     doc_id and text are read.
     """
     named = keyed(docs)
-    cut = cut_rows(named, threshold, digit)
+    cut = cut_rows(named, threshold, digit, keep_runs=True)
     raw = F.coalesce("text", F.lit("")).cast("binary")
     whole = named.select("k1", "k2", "doc_id", F.octet_length(raw).cast("long").alias("n_bytes"),
                          F.sha2(raw, 256).alias("sha256"))
