@@ -1,6 +1,8 @@
 """License scan by an exact set-similarity join, in DataFrame operations only.
 
-Text blocks (lines) and license templates are sets of tokens. A block matches a
+Text blocks and license templates are sets of tokens. A block is a line and as
+many of the words after it as the longest template has, so that a notice is
+found however it is wrapped; it ends at a line without a word. A block matches a
 template when it holds at least a given share of the template's tokens. All
 tokens are ordered by how often they occur in the corpus, rarest first. A block
 that meets the threshold must hold one of the template's first few tokens in
@@ -73,29 +75,64 @@ def ascii_lower(text: Column) -> Column:
 
 def token_set(text: str) -> set[str]:
     """Tokens of a template, which is ASCII."""
-    return set("".join(c if c.isalnum() else " " for c in text.lower()).split())
+    return set(words_in(text))
 
 
-def blocks(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """k1, k2 and tokens of every line that has any: its distinct tokens among the templates' ones.
+def words_in(text: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
-    Tokens of no template can never be common ones, so a line's size counts those of the vocabulary.
+
+def longest(templates: list[tuple[str, str]]) -> int:
+    """Words of the longest template: no wrapped notice has more of them after its first line."""
+    return max(len(words_in(text)) for _, text in templates)
+
+
+def blocks(docs: DataFrame, vocabulary: list[str], ahead: int) -> DataFrame:
+    """k1, k2 and tokens of every line's block that has any: its distinct tokens among the templates' ones.
+
+    ahead: words that a block takes from the lines after its own, up to a line
+    without a word. Tokens of no template can never be common ones, so a
+    block's size counts those of the vocabulary.
     """
-    lines = docs.filter("text is not null").select(
-        *row_keys(F.col("doc_id"), F.col("text")), F.explode(F.split(ascii_lower(F.col("text")), "\n")).alias("line"))
-    known = F.filter(F.split("line", NO_WORD), lambda t: t.isin(vocabulary))
-    return lines.select("k1", "k2", F.array_distinct(known).alias("tokens")).filter(F.size("tokens") > 0)
+    key = row_keys(F.col("doc_id"), F.col("text"))
+    lines = F.split(ascii_lower(F.col("text")), "\n")
+    rows = docs.filter("text is not null")
+
+    def known(words):
+        return F.filter(words, lambda t: t.isin(vocabulary))
+
+    if not ahead:
+        found = rows.select(*key, F.explode(lines).alias("line")).select(
+            "k1", "k2", F.array_distinct(known(F.split("line", NO_WORD))).alias("tokens"))
+        return found.filter(F.size("tokens") > 0)
+    words = F.transform(lines, lambda line: F.filter(F.split(line, NO_WORD), lambda w: w != ""))
+    cut = F.transform(words, lambda ws: F.struct(known(ws).alias("own"), F.slice(ws, 1, ahead).alias("first")))
+    none = F.array().cast("array<string>")
+
+    def take(so_far, line):
+        ends = so_far.ended | (F.size(line.first) == 0)
+        more = F.concat(so_far.words, line.first)
+        return F.struct(F.when(ends, so_far.words).otherwise(more).alias("words"),
+                        (ends | (F.size(more) >= ahead)).alias("ended"))
+
+    def block(line, i):
+        # each line before the end has a word, so ``ahead`` lines are enough
+        after = F.aggregate(F.slice("lines", i + 2, ahead), F.struct(none.alias("words"), F.lit(False).alias("ended")), take)
+        return F.array_distinct(F.concat(line.own, known(F.slice(after.words, 1, ahead))))
+
+    found = rows.select(*key, cut.alias("lines")).select("k1", "k2", F.explode(F.transform("lines", block)).alias("tokens"))
+    return found.filter(F.size("tokens") > 0)
 
 
 def ordered_templates(docs: DataFrame, templates: list[tuple[str, str]],
                       percent: int) -> tuple[list[Template], list[str]]:
     """Templates in corpus order, and that order: template tokens by the number of blocks that hold them.
 
-    Counts come from all blocks, ties go by token; one row for each template token comes back.
+    Counts come from all lines, ties go by token; one row for each template token comes back.
     """
     sets = [(label, token_set(text)) for label, text in templates]
     vocabulary = sorted(set().union(*(s for _, s in sets)))
-    counts = (blocks(docs, vocabulary).select(F.explode("tokens").alias("t")).groupBy("t")
+    counts = (blocks(docs, vocabulary, 0).select(F.explode("tokens").alias("t")).groupBy("t")
               .agg(F.count(F.lit(1)).alias("n")).collect())
     often = {r.t: r.n for r in counts}
     order = sorted(vocabulary, key=lambda t: (often.get(t, 0), t))
@@ -103,7 +140,7 @@ def ordered_templates(docs: DataFrame, templates: list[tuple[str, str]],
             for label, s in sets if s], order
 
 
-def matching_blocks(docs: DataFrame, templates: list[Template], order: list[str]) -> DataFrame:
+def matching_blocks(docs: DataFrame, templates: list[Template], order: list[str], ahead: int) -> DataFrame:
     """(k1, k2, label, score) for every block and template it matches; score: share of the template's tokens."""
     # at most as many rows as the given templates have tokens
     prefixes = docs.sparkSession.range(1).select(F.inline(F.array(*[
@@ -113,7 +150,7 @@ def matching_blocks(docs: DataFrame, templates: list[Template], order: list[str]
         for x in templates for place, t in enumerate(x.prefix)])))
     starts = sorted({t for x in templates for t in x.prefix})
     least = min(x.need for x in templates)
-    probed = (blocks(docs, order).filter(F.size("tokens") >= least)
+    probed = (blocks(docs, order, ahead).filter(F.size("tokens") >= least)
               .filter(F.arrays_overlap("tokens", F.array(*map(F.lit, starts))))
               # an intersection keeps the order of its first part
               .select("k1", "k2", F.array_intersect(F.array(*map(F.lit, order)), F.col("tokens")).alias("tokens"))
@@ -136,14 +173,15 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
     Words are ASCII lower case. n_base counts the places where a phrase's words
     stand consecutively, also over line ends; first_word and last_word are the
     smallest and largest word numbers at which one starts, null without any.
-    labels adds those of the templates of which some line holds at least
-    ``percent`` / 100 of the tokens; score is the largest share among these, 0
+    labels adds those of the templates of which some block (see ``blocks``)
+    holds at least ``percent`` / 100 of the tokens; score is the largest share among these, 0
     without a match. Null and empty texts have no words. Repeated rows get
     equal results; only doc_id and text are read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    ordered, order = ordered_templates(rows, TEMPLATES if templates is None else templates, percent)
-    found = (matching_blocks(rows, ordered, order).groupBy("k1", "k2")
+    templates = TEMPLATES if templates is None else templates
+    ordered, order = ordered_templates(rows, templates, percent)
+    found = (matching_blocks(rows, ordered, order, longest(templates)).groupBy("k1", "k2")
              .agg(F.collect_set("label").alias("more"), F.max("score").alias("score")))  # a set of given labels
     text = F.coalesce("text", F.lit(""))
     some = {label: phrase.replace(" ", CASED_NO_WORD) for phrase, label in PHRASES.items()}

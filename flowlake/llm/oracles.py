@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .license_scan import NO_WORD, PHRASES, TEMPLATES, token_set
+from .license_scan import NO_WORD, PHRASES, TEMPLATES, longest, token_set
 from .quality_rules import CLASSES, Divergence
 
 ORACLE: dict[str, str] = {}
@@ -100,7 +100,7 @@ ORACLE["op1_quality_rules"] = _quality_sql(Divergence())
 
 
 def _license_sql(percent: int = 90) -> str:
-    """Phrases at every word, and every line against every template, without any filter.
+    """Phrases at every word, and every block (a line and the words after it) against every template, without any filter.
 
     first_word and last_word can be null; as DOUBLE they reach pandas like Spark's nullable longs do.
     """
@@ -108,6 +108,7 @@ def _license_sql(percent: int = 90) -> str:
     templates = [(n, label, token_set(text)) for n, (label, text) in enumerate(TEMPLATES)]
     rows = ", ".join(f"({n}, '{label}', {len(s)}, {-(-len(s) * percent // 100)}, '{t}')"
                      for n, label, s in templates for t in sorted(s))
+    ahead = longest(TEMPLATES)
     return f"""
 WITH docs AS (SELECT doc_id, lower(coalesce(text, '')) AS text FROM documents),
 phrases(p, label) AS (VALUES {phrases}),
@@ -119,10 +120,16 @@ places AS (
   WHERE w[i:i + len(p) - 1] = p),
 base AS (
   SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word FROM places GROUP BY doc_id),
+line_words AS (
+  SELECT doc_id, list_transform(string_split(text, chr(10)),
+      lambda x: list_filter(regexp_split_to_array(x, '{NO_WORD}'), lambda y: y <> '')) AS lw FROM docs),
+after_line AS (
+  SELECT doc_id, i AS line_no, lw[i] AS own, lw[i + 1:i + {ahead}] AS nxt
+  FROM (SELECT doc_id, lw, unnest(range(1, len(lw) + 1)) AS i FROM line_words)),
 lines AS (
-  SELECT doc_id, line_no, unnest(list_distinct(regexp_split_to_array(line, '{NO_WORD}'))) AS token
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-               unnest(range(len(string_split(text, chr(10))))) AS line_no FROM docs)),
+  SELECT doc_id, line_no, unnest(list_distinct(list_concat(own, flatten(
+      nxt[1:coalesce(nullif(list_position(list_transform(nxt, lambda x: len(x) = 0), true), 0), len(nxt) + 1) - 1])[1:{ahead}]))) AS token
+  FROM after_line),
 matches AS (
   SELECT doc_id, label, count(*) / any_value(size) AS score FROM lines JOIN templates USING (token)
   GROUP BY doc_id, line_no, n, label HAVING count(*) >= any_value(need)),

@@ -60,10 +60,17 @@ def license_truth(text, percent=90):
     places = sorted((i, label) for phrase, label in license_scan.PHRASES.items() for i in range(len(words))
                     if words[i:i + len(phrase.split())] == phrase.split())
     more, score = set(), 0.0
-    for line in low.split("\n"):
+    lines = [cut(line) for line in low.split("\n")]
+    ahead = max(len(cut(t)) for _, t in license_scan.TEMPLATES)
+    for i, own in enumerate(lines):
+        after = []
+        for line in lines[i + 1:]:
+            if not line:
+                break
+            after += line
         for label, template in license_scan.TEMPLATES:
             t = license_scan.token_set(template)
-            n = len(t & set(cut(line)))
+            n = len(t & set(own + after[:ahead]))
             if 100 * n >= percent * len(t):
                 more.add(label)
                 score = max(score, n / len(t))
@@ -80,6 +87,23 @@ TEXTS = [
 ]
 
 
+WRAPPED = {
+    "mit": "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and "
+           "associated documentation files (the Software)",
+    "bsd": " * Redistribution and use in source and binary forms,\n * with or without modification,\n * are permitted provided",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy",
+}
+
+
+@pytest.mark.parametrize("label", sorted(WRAPPED))
+def test_wrapped_notices_are_found(spark, label):
+    texts = [WRAPPED[label], "some words before it\n" + WRAPPED[label] + "\nand after", WRAPPED[label].replace("\n", "\n\n")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.license_scan(docs).collect()}
+    assert got[0] == got[1] == (label, 1.0)
+    assert got[2] == ("", 0.0)  # a blank line ends a block
+
+
 def test_license_scan_against_brute_force(spark, odd_docs):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     for got in license_scan.license_scan(docs).collect():
