@@ -1,9 +1,10 @@
 """Main text of web pages, with site templates found over all pages of a host.
 
 A page is parsed into elements. Every element's subtree has a hash of its tags
-and its text; Spark counts on how many different pages of a host each hash
-occurs, and subtrees that recur on a large share of them are the site's
-template and are deleted. From what is left, the text blocks of the article
+and its text; Spark counts on how many different pages of a host, and of a
+section of it, each hash occurs, and subtrees that recur on a large share of
+them are the site's template and are deleted, as are menus that recur on any
+share. From what is left, the text blocks of the article
 are taken, without the elements that HTML itself or their class names mark as
 menus, headers, footers, sidebars, notices, adverts, forms or comments.
 """
@@ -14,12 +15,11 @@ import html
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import internal, written
+from .common import written
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
@@ -53,6 +53,7 @@ MARKUP = re.compile(
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+LETTER = re.compile(r"[^\W_]")
 
 
 class Element:
@@ -115,18 +116,25 @@ def parse(source: str) -> Element:
     return root
 
 
+def _top_down(root: Element) -> list[Element]:
+    """Every element, each before those in it."""
+    order, todo = [], [root]
+    while todo:
+        element = todo.pop()
+        order.append(element)
+        todo.extend(c for c in element.children if isinstance(c, Element))
+    return order
+
+
 def subtree_hashes(root: Element) -> dict[int, int]:
-    """id(element) -> 64-bit hash of its tags and text, for every element with text in it.
+    """id(element) -> 64-bit hash of its tags and text, for every element with text that can be a template.
 
+    Elements within a line of running text (a link or a bold word in a sentence) cannot.
     Works from the leaves up without recursion; each element is hashed from its children's hashes.
     """
     import xxhash
 
-    order, todo = [], [root]
-    while todo:
-        element = todo.pop()
-        order.append(element)
-        todo.extend(c for c in element.children if isinstance(c, Element))
+    order = _top_down(root)
     out: dict[int, int] = {}
     for element in reversed(order):
         h, some = xxhash.xxh64(element.tag.encode()), False
@@ -140,6 +148,31 @@ def subtree_hashes(root: Element) -> dict[int, int]:
                 some = True
         if some:
             out[id(element)] = int.from_bytes(h.digest(), "big", signed=True)
+    for element in order:
+        if any(isinstance(c, str) and LETTER.search(c) for c in element.children):
+            for c in element.children:
+                if isinstance(c, Element) and c.tag not in BLOCKS:
+                    out.pop(id(c), None)
+    return out
+
+
+def link_lists(root: Element) -> set[int]:
+    """id(element) of every block outside articles and main elements that has half of its letters or more in links."""
+    order = _top_down(root)
+    inside: set[int] = set()
+    for element in order:
+        if element.tag in ("article", "main") or id(element) in inside:
+            inside.update([id(element)], (id(c) for c in element.children if isinstance(c, Element)))
+    total: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    out = set()
+    for element in reversed(order):
+        parts = [c for c in element.children if isinstance(c, Element)]
+        n = sum(len("".join(c.split())) for c in element.children if isinstance(c, str)) + sum(total[id(c)] for c in parts)
+        m = n if element.tag == "a" else sum(linked[id(c)] for c in parts)
+        total[id(element)], linked[id(element)] = n, m
+        if element.tag in BLOCKS and n and 2 * m >= n and id(element) not in inside:
+            out.add(id(element))
     return out
 
 
@@ -203,60 +236,92 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def host_templates(pages: DataFrame, min_pages: int = 8, share: float = 0.5) -> DataFrame:
-    """(host, template): hashes of the subtrees that at least ``min_pages`` and ``share`` of a host's pages have.
+def section_of(url: Column) -> Column:
+    """First directory of a URL's path; empty if there is none."""
+    return F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)/", 1), F.lit(""))
 
-    Pages of equal html count once, so copies of one page make no template. A
-    host has at most elements-per-page / share such subtrees, however many pages.
+
+def subtrees(pages: DataFrame) -> DataFrame:
+    """host, section, page, subtree and links (whether it is a list of links) of every element with text.
+
+    ``page`` is a hash of the whole html. Pages without a host or html have no rows.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, page, subtree = [], [], []
-            for host, source, h in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "page"))):
-                own = set(subtree_hashes(parse(source)).values())
-                hosts += [host] * len(own)
-                page += [h] * len(own)
+            rows, subtree, links = [], [], []
+            for i, source in enumerate(batch.column("html").to_pylist()):
+                root = parse(source)
+                lists = link_lists(root)
+                own: dict[int, bool] = {}  # a subtree that is an article's somewhere is no menu
+                for element, h in subtree_hashes(root).items():
+                    own[h] = own.get(h, True) and element in lists
+                rows += [i] * len(own)
                 subtree += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(page, pa.int64()),
-                                              pa.array(subtree, pa.int64())], names=["host", "page", "subtree"])
+                links += own.values()
+            at = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(at) for c in ("host", "section", "page")), pa.array(subtree, pa.int64()),
+                 pa.array(links, pa.bool_())], names=["host", "section", "page", "subtree", "links"])
 
-    rows = pages.select(host_of(F.col("url")).alias("host"), F.col("html").alias("html"),
-                        F.xxhash64("html").alias("page")).filter("host is not null and html is not null")
-    seen = written(rows.mapInArrow(scan, "host string, page long, subtree long"), "subtrees")
-    size = seen.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = (seen.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") >= min_pages))
-    return (often.join(size, "host").filter(F.col("n") >= share * F.col("pages"))
-            .groupBy("host").agg(F.collect_set("subtree").alias("template")))
+    rows = pages.select(host_of(F.col("url")).alias("host"), section_of(F.col("url")).alias("section"),
+                        F.xxhash64("html").alias("page"), F.col("html").alias("html"))
+    return rows.filter("host is not null and html is not null").mapInArrow(
+        scan, "host string, section string, page long, subtree long, links boolean")
 
 
-def page_texts(pages: DataFrame, min_pages: int = 8, share: float = 0.5) -> DataFrame:
+def site_templates(seen: DataFrame, share: float = 0.5, many: int = 8) -> DataFrame:
+    """(host, section, subtree): what is deleted from the pages of a host, or of one section where that is not null.
+
+    Pages of equal html count once (in the first of their sections), so copies
+    of one page make no template. A subtree is a host's template if more than
+    ``share`` of its pages, and one besides, have it (4 of 5 pages, 51 of 100;
+    at least 4), or if it is a list of links outside any article on three pages
+    or more. It is a section's template by the same share of the section's
+    pages, at least ``many`` of them, as a few copied articles may well stand in one section.
+    """
+    once = (seen.groupBy("host", "subtree", "page")
+            .agg(F.min("section").alias("section"), F.min("links").alias("links")))
+    by_section = once.groupBy("host", "section", "subtree").agg(
+        F.count(F.lit(1)).alias("n"), F.min("links").alias("links"))
+    by_section = written(by_section, "subtree-counts")
+    sizes = (seen.groupBy("host", "page").agg(F.min("section").alias("section"))
+             .groupBy("host", "section").agg(F.count(F.lit(1)).alias("pages")))
+    sizes = written(sizes, "host-sizes")
+    often = (by_section.groupBy("host", "subtree").agg(F.sum("n").alias("n"), F.min("links").alias("links"))
+             .filter("n >= 3"))
+    enough = F.col("n") - 1 >= share * F.col("pages")
+    whole = (often.join(sizes.groupBy("host").agg(F.sum("pages").alias("pages")), "host")
+             .filter((F.col("n") >= 4) & enough | F.col("links")).select("host", F.lit(None).cast("string").alias("section"), "subtree"))
+    part = (by_section.filter((F.col("n") >= many) & (F.col("section") != "")).join(sizes, ["host", "section"])
+            .filter(enough).select("host", "section", "subtree")
+            .join(whole.select("host", "subtree"), ["host", "subtree"], "left_anti"))
+    return whole.unionByName(part.select("host", "section", "subtree"))
+
+
+def page_texts(pages: DataFrame, share: float = 0.5, many: int = 8) -> DataFrame:
     """page_id, url, text and n_chars of every row: the article without its site's template.
 
     Null and empty html give an empty text; pages without a host in their url
     lose no template. Character references are decoded, white space within a
     block is one space, blocks are joined by two line feeds. Repeated rows get
-    equal results; other columns are not read.
+    equal results; other columns are not read. A page meets only the templates
+    it has itself, so no row grows with its host.
     """
-    template = written(host_templates(pages, min_pages, share), "templates")
-    key = internal(pages, "host")
-    rows = (pages.select("page_id", "url", "html", host_of(F.col("url")).alias(key))
-            .join(template.withColumnRenamed("host", key), key, "left").select("page_id", "url", "html", "template"))
+    seen = written(subtrees(pages), "subtrees")
+    found = written(site_templates(seen, share, many), "templates").withColumnRenamed("section", "only")
+    own = (seen.join(found, ["host", "subtree"]).filter("only is null or only = section")
+           .groupBy("host", "section", "page").agg(F.collect_set("subtree").alias("template")))
+    rows = (pages.select("page_id", "url", "html").withColumns({
+        "host": host_of(F.col("url")), "section": section_of(F.col("url")), "page": F.xxhash64("html")})
+        .join(written(own, "page-templates"), ["host", "section", "page"], "left")
+        .select("page_id", "url", "html", "template"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, frozenset[int]] = {}
         for batch in batches:
             texts = []
             for source, found in zip(batch.column("html"), batch.column("template")):
-                gone: frozenset[int] = frozenset()
-                if found.is_valid:
-                    values = found.values.to_numpy(zero_copy_only=False).astype(np.int64)
-                    if (raw := values.tobytes()) not in known:
-                        if len(known) > 1000:
-                            known.clear()
-                        known[raw] = frozenset(values.tolist())
-                    gone = known[raw]
+                gone = frozenset(found.as_py() or ())
                 texts.append(main_text(source.as_py() or "", gone))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),

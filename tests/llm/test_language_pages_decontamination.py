@@ -104,6 +104,27 @@ def test_site_template_goes(spark):
     assert page_text.page_texts(df.limit(0)).count() == 0
 
 
+def test_small_hosts_and_sections_lose_their_menus(spark):
+    menu = "<div><ul><li><a href='/'>Start</a><li><a href='/x'>More of it</a></ul></div>"
+    own = lambda i: f"<div><p>Own text {i}, see <a href='z'>the list</a> for more</p></div>"
+    text = lambda i: f"Own text {i}, see the list for more"
+    rows = [(i, f"http://five.example/{i}", f"<body>{menu}{own(i)}<div>A plain notice</div></body>") for i in range(5)]
+    # a section's menu and notice on 10 of 30 pages
+    rows += [(100 + i, f"http://thirty.example/{'news' if i < 10 else 'other'}/{i}",
+              f"<body>{menu + '<div>Press notice</div>' if i < 10 else ''}{own(i)}</body>") for i in range(30)]
+    # an article's own blocks: a passage on 6 of 30 pages, a link line on 4
+    rows += [(200 + i, f"http://article.example/{i}",
+              f"<article><p>{text(i)}</p>{'<p>Copied passage</p>' if i < 6 else ''}"
+              f"{'<p><a>Source</a></p>' if i < 4 else ''}</article>") for i in range(30)]
+    rows += [(300 + i, f"http://two.example/{i}", f"<p>Twice</p>{own(i)}") for i in range(2)]
+    got = {r.page_id: r.text for r in page_text.page_texts(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == text(i) for i in range(5))
+    assert all(got[100 + i] == text(i) for i in range(30))
+    assert got[203] == f"{text(3)}\n\nCopied passage\n\nSource" and got[205] == f"{text(5)}\n\nCopied passage"
+    assert got[301] == f"Twice\n\n{text(1)}"
+
+
 def contained(docs, items, n=5, percent=80):
     from test_near_suffix import shingles
     return sorted((str(d), str(i), len(q), len(q & s)) for d, t in set(docs) for i, u in set(items)
