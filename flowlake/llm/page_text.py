@@ -15,6 +15,7 @@ import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -237,8 +238,9 @@ def host_of(url: Column) -> Column:
 
 
 def section_of(url: Column) -> Column:
-    """First directory of a URL's path; empty if there is none."""
-    return F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)/", 1), F.lit(""))
+    """Hash of the first directory of a URL's path; null if there is none."""
+    name = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)/", 1)
+    return F.when(name != "", F.xxhash64(name))
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
@@ -267,62 +269,73 @@ def subtrees(pages: DataFrame) -> DataFrame:
     rows = pages.select(host_of(F.col("url")).alias("host"), section_of(F.col("url")).alias("section"),
                         F.xxhash64("html").alias("page"), F.col("html").alias("html"))
     return rows.filter("host is not null and html is not null").mapInArrow(
-        scan, "host string, section string, page long, subtree long, links boolean")
+        scan, "host string, section long, page long, subtree long, links boolean")
 
 
-def site_templates(seen: DataFrame, share: float = 0.5, many: int = 8) -> DataFrame:
+def site_templates(seen: DataFrame, share: float = 0.5, many: int = 8, link_share: float = 0.02) -> DataFrame:
     """(host, section, subtree): what is deleted from the pages of a host, or of one section where that is not null.
 
     Pages of equal html count once (in the first of their sections), so copies
     of one page make no template. A subtree is a host's template if more than
     ``share`` of its pages, and one besides, have it (4 of 5 pages, 51 of 100;
     at least 4), or if it is a list of links outside any article on three pages
-    or more. It is a section's template by the same share of the section's
-    pages, at least ``many`` of them, as a few copied articles may well stand in one section.
+    and ``link_share`` of them or more. It is a section's template by the same
+    share of the section's pages, at least ``many`` of them, as a few copied
+    articles may well stand in one section. The shares bound the templates of a
+    host by those of a page, however many pages it has.
     """
     once = (seen.groupBy("host", "subtree", "page")
             .agg(F.min("section").alias("section"), F.min("links").alias("links")))
-    by_section = once.groupBy("host", "section", "subtree").agg(
-        F.count(F.lit(1)).alias("n"), F.min("links").alias("links"))
-    by_section = written(by_section, "subtree-counts")
-    sizes = (seen.groupBy("host", "page").agg(F.min("section").alias("section"))
-             .groupBy("host", "section").agg(F.count(F.lit(1)).alias("pages")))
-    sizes = written(sizes, "host-sizes")
+    by_section = written(once.groupBy("host", "subtree", "section").agg(
+        F.count(F.lit(1)).alias("n"), F.min("links").alias("links")), "subtree-counts")
+    sizes = written(seen.groupBy("host", "page").agg(F.min("section").alias("section"))
+                    .groupBy("host", "section").agg(F.count(F.lit(1)).alias("pages")), "host-sizes")
+    enough = F.col("n") - 1 >= share * F.col("pages")
     often = (by_section.groupBy("host", "subtree").agg(F.sum("n").alias("n"), F.min("links").alias("links"))
              .filter("n >= 3"))
-    enough = F.col("n") - 1 >= share * F.col("pages")
     whole = (often.join(sizes.groupBy("host").agg(F.sum("pages").alias("pages")), "host")
-             .filter((F.col("n") >= 4) & enough | F.col("links")).select("host", F.lit(None).cast("string").alias("section"), "subtree"))
-    part = (by_section.filter((F.col("n") >= many) & (F.col("section") != "")).join(sizes, ["host", "section"])
-            .filter(enough).select("host", "section", "subtree")
-            .join(whole.select("host", "subtree"), ["host", "subtree"], "left_anti"))
-    return whole.unionByName(part.select("host", "section", "subtree"))
+             .filter((F.col("n") >= 4) & enough | F.col("links") & (F.col("n") >= link_share * F.col("pages")))
+             .select("host", F.lit(None).cast("long").alias("section"), "subtree"))
+    part = (by_section.filter(F.col("n") >= many).join(sizes, ["host", "section"])
+            .filter(enough).select("host", "section", "subtree"))
+    return whole.unionByName(part)
 
 
-def page_texts(pages: DataFrame, share: float = 0.5, many: int = 8) -> DataFrame:
+def page_texts(pages: DataFrame, share: float = 0.5, many: int = 8, link_share: float = 0.02) -> DataFrame:
     """page_id, url, text and n_chars of every row: the article without its site's template.
 
     Null and empty html give an empty text; pages without a host in their url
     lose no template. Character references are decoded, white space within a
     block is one space, blocks are joined by two line feeds. Repeated rows get
-    equal results; other columns are not read. A page meets only the templates
-    it has itself, so no row grows with its host.
+    equal results; other columns are not read.
     """
-    seen = written(subtrees(pages), "subtrees")
-    found = written(site_templates(seen, share, many), "templates").withColumnRenamed("section", "only")
-    own = (seen.join(found, ["host", "subtree"]).filter("only is null or only = section")
-           .groupBy("host", "section", "page").agg(F.collect_set("subtree").alias("template")))
-    rows = (pages.select("page_id", "url", "html").withColumns({
-        "host": host_of(F.col("url")), "section": section_of(F.col("url")), "page": F.xxhash64("html")})
-        .join(written(own, "page-templates"), ["host", "section", "page"], "left")
-        .select("page_id", "url", "html", "template"))
+    found = written(site_templates(written(subtrees(pages), "subtrees"), share, many, link_share), "templates")
+    lists = F.collect_list("subtree")
+    whole = found.filter("section is null").groupBy("host").agg(lists.alias("template"))
+    part = found.filter("section is not null").groupBy("host", "section").agg(lists.alias("own"))
+    rows = (pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"),
+                         section_of(F.col("url")).alias("section"))
+            .join(whole, "host", "left").join(part, ["host", "section"], "left")
+            .select("page_id", "url", "html", "template", "own"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, frozenset[int]] = {}
+
+        def values(found) -> frozenset[int]:
+            if not found.is_valid:
+                return frozenset()
+            numbers = found.values.to_numpy(zero_copy_only=False).astype(np.int64)
+            if (raw := numbers.tobytes()) not in known:
+                if len(known) > 1000:
+                    known.clear()
+                known[raw] = frozenset(numbers.tolist())
+            return known[raw]
+
         for batch in batches:
             texts = []
-            for source, found in zip(batch.column("html"), batch.column("template")):
-                gone = frozenset(found.as_py() or ())
-                texts.append(main_text(source.as_py() or "", gone))
+            for source, template, own in zip(*(batch.column(c) for c in ("html", "template", "own"))):
+                gone, more = values(template), values(own)
+                texts.append(main_text(source.as_py() or "", gone | more if more else gone))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
