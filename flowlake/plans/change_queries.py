@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import changes, deletes, versioned
+from ..session import shared_path
 from ..sources.fixtures import view_over
 from ..sources.tables import Estate
-from ..streaming import streams
+from ..streaming import batch_sink, streams
 from .registry import nullable_as_double, query
 
 # --- C3 -------------------------------------------------------------------------
@@ -357,6 +358,22 @@ def q_provenance_stream(spark, sf_dir):
     return streams.drain(streams.provenance_stream(prov, "1 hour", event_type="ERROR"), "provenance")
 
 
+@query("provenance_settled", ["fx_provenance"], """
+SELECT * FROM fx_provenance""")
+def q_provenance_settled(spark, sf_dir):
+    """A3 with late events kept: the newer half first, then all events, so that half comes twice and half late."""
+    prov = Estate.load(spark, sf_dir).provenance
+    middle = prov.agg(F.percentile_approx(F.unix_micros(F.col("event_time").cast("timestamp")), 0.5).alias("m")).first().m
+    src, sink, checkpoint = (shared_path(spark, f"settled-{d}") for d in ("src", "sink", "ckpt"))
+    newer = F.unix_micros(F.col("event_time").cast("timestamp")) >= (middle or 0)
+    for part in (prov.where(newer), prov):
+        part.write.mode("append").parquet(src)
+        stream = spark.readStream.schema(prov.schema).parquet(src)
+        q = batch_sink.settle_events(stream, sink, checkpoint)
+        q.awaitTermination()
+    return batch_sink.settled_events(spark, sink, prov.schema)
+
+
 @query("bulletin_stream", ["fx_bulletin"], """
 SELECT * FROM fx_bulletin WHERE group_id = 'pg-n7'""")
 def q_bulletin_stream(spark, sf_dir):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import graph, provenance, route, status, tree
 from ..session import shared_path
 from ..sources.tables import Estate
+from ..streaming import batch_sink
 from .registry import nullable_as_double, query
 
 # --- E1 -------------------------------------------------------------------------
@@ -256,22 +257,40 @@ def q_relationship_route(spark, sf_dir):
     return _routed(spark, sf_dir)
 
 
+def _rules():
+    return {"success": F.col("l_returnflag") == "A", "large": F.col("l_quantity") > 40,
+            "failure": F.col("l_returnflag") == "R"}
+
+
 def _routed(spark, sf_dir):
     li = Estate.load(spark, sf_dir).fx.table("lineitem")
-    rules = {"success": F.col("l_returnflag") == "A", "large": F.col("l_quantity") > 40,
-             "failure": F.col("l_returnflag") == "R"}
-    return route.relationship_route(li, rules, auto_terminated=["failure"])
+    return route.relationship_route(li, _rules(), auto_terminated=["failure"])
 
 
-@query("write_by_relationship", [], """
+_ROUTED_SQL = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'success' AS relationship FROM lineitem WHERE l_returnflag = 'A'
 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'large' FROM lineitem WHERE l_quantity > 40
 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'unmatched' FROM lineitem
   WHERE NOT (coalesce(l_returnflag = 'A', false) OR coalesce(l_quantity > 40, false)
-             OR coalesce(l_returnflag = 'R', false))""")
+             OR coalesce(l_returnflag = 'R', false))"""
+
+
+@query("write_by_relationship", [], _ROUTED_SQL)
 def q_write_by_relationship(spark, sf_dir):
     """A5: routed lineitem rows written with one directory per relationship, and read back."""
     path = shared_path(spark, "routed")
     route.write_by_relationship(
         _routed(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "relationship"), path)
     return spark.read.parquet(path)
+
+
+@query("write_stream_batches", [], _ROUTED_SQL)
+def q_write_stream_batches(spark, sf_dir):
+    """A5 on a stream: routed lineitem rows written by micro-batch ids, and read back."""
+    kept = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "relationship"]
+    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    rows = spark.readStream.schema(li.schema).option("pathGlobFilter", "lineitem*.parquet").parquet(sf_dir)
+    routed = route.relationship_route(rows, _rules(), auto_terminated=["failure"]).select(*kept)
+    path = shared_path(spark, "routed-batches")
+    batch_sink.write_batches(routed, path, shared_path(spark, "routed-ckpt"), ["relationship"]).awaitTermination()
+    return batch_sink.read_batches(spark, path, routed.schema)
