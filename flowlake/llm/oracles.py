@@ -31,8 +31,7 @@ GROUP BY d.id, b.id HAVING 100 * count(*) >= 80 * any_value(sizes.n)
 
 
 def _quality_sql(rules: Divergence) -> str:
-    """The base counts, the corpus histograms by language, and the verdict, all from the texts."""
-    vocabulary = sorted({w for words in rules.languages.values() for w in words})
+    """The base counts, every language's histograms over its documents, and the verdict, all from the texts."""
     strip = "text"
     lefts = ["text"]
     for c in CLASSES:
@@ -41,27 +40,13 @@ def _quality_sql(rules: Divergence) -> str:
     chars = [f"length({a}) - length({b}) AS c{k}" for k, (a, b) in enumerate(zip(lefts, lefts[1:]))]
     chars.append(f"length({lefts[-1]}) AS c{len(CLASSES)}")
     n_classes = len(CLASSES) + 1
-    counts = [f"len(list_filter(words, lambda x: x = '{w}')) AS w{k}" for k, w in enumerate(vocabulary)]
 
-    def distance(pairs):
-        terms = []
-        for p, q in pairs:
-            p, q = f"({p})", f"({q})"
-            terms.append(f"CASE WHEN {p} > 0 THEN {p} * log2({p} / (({p} + {q}) / 2)) ELSE 0 END"
-                         f" + CASE WHEN {q} > 0 THEN {q} * log2({q} / (({p} + {q}) / 2)) ELSE 0 END")
-        return f"sqrt(greatest(({' + '.join(terms)}) / 2, 0))"
+    def term(p, q):
+        return (f"CASE WHEN {p} > 0 THEN {p} * log2({p} / (({p} + {q}) / 2)) ELSE 0 END"
+                f" + CASE WHEN {q} > 0 THEN {q} * log2({q} / (({p} + {q}) / 2)) ELSE 0 END")
 
-    near = []
     total = " + ".join(f"r.c{k}" for k in range(n_classes))
-    for lang, words in rules.languages.items():
-        ks = [vocabulary.index(w) for w in words]
-        own, ref = (" + ".join(f"{t}.w{k}" for k in ks) for t in ("d", "r"))
-        by_char = distance((f"1.0 * d.c{k} / d.total_chars", f"1.0 * r.c{k} / ({total})") for k in range(n_classes))
-        by_word = distance([*((f"1.0 * d.w{k} / d.n_words", f"1.0 * r.w{k} / r.n_words") for k in ks),
-                            (f"1.0 * (d.n_words - ({own})) / d.n_words", f"1.0 * (r.n_words - ({ref})) / r.n_words")])
-        near.append(f"""(r.lang = '{lang}'
-          AND (d.total_chars < {rules.min_chars} OR {by_char} <= {rules.max_chars} + {rules.noise} / sqrt(d.total_chars))
-          AND (d.n_words < {rules.min_words} OR {by_word} <= {rules.max_words} + {rules.noise} / sqrt(d.n_words)))""")
+    by_char = " + ".join(term(f"(1.0 * d.c{k} / d.total_chars)", f"(1.0 * r.c{k} / ({total}))") for k in range(n_classes))
     return f"""
 WITH docs AS (
   SELECT doc_id, lang, coalesce(text, '') AS text,
@@ -75,13 +60,32 @@ covered AS (
 counted AS (
   SELECT doc_id, lang, text, len(words) AS n_words, length(text) AS total_chars,
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
-         {", ".join(chars)}, {", ".join(counts)}
+         {", ".join(chars)}
   FROM docs),
 refs AS (
-  SELECT lang, sum(n_words) AS n_words, {", ".join(f"sum(c{k}) AS c{k}" for k in range(n_classes))},
-         {", ".join(f"sum(w{k}) AS w{k}" for k in range(len(vocabulary)))}
-  FROM counted WHERE lang IN ({", ".join(f"'{x}'" for x in rules.languages)}) GROUP BY lang HAVING sum(n_words) > 0),
-near AS (SELECT DISTINCT d.doc_id FROM counted d, refs r WHERE d.n_words >= 50 AND ({" OR ".join(near)})),
+  SELECT lang, sum(n_words) AS n_words, {", ".join(f"sum(c{k}) AS c{k}" for k in range(n_classes))}
+  FROM counted WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n_words) >= {rules.min_reference}),
+doc_words AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(words) AS w FROM docs) GROUP BY doc_id, w),
+top AS (
+  SELECT lang, w, n FROM (
+    SELECT lang, w, count(*) AS n FROM (SELECT lang, unnest(words) AS w FROM docs) GROUP BY lang, w) JOIN refs USING (lang)
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) <= {rules.common}),
+bins AS (
+  SELECT d.doc_id, r.lang, coalesce(x.n, 0) AS own, t.n AS ref FROM counted d, refs r, top t
+  LEFT JOIN doc_words x ON x.doc_id = d.doc_id AND x.w = t.w WHERE t.lang = r.lang AND d.n_words >= 50),
+all_bins AS (
+  SELECT * FROM bins UNION ALL
+  SELECT d.doc_id, b.lang, any_value(d.n_words) - sum(own), any_value(r.n_words) - sum(ref)
+  FROM bins b JOIN counted d USING (doc_id) JOIN refs r ON r.lang = b.lang GROUP BY d.doc_id, b.lang),
+by_word AS (
+  SELECT doc_id, lang, sum({term("p", "q")}) AS s FROM (
+    SELECT b.doc_id, b.lang, 1.0 * own / d.n_words AS p, 1.0 * ref / r.n_words AS q
+    FROM all_bins b JOIN counted d USING (doc_id) JOIN refs r ON r.lang = b.lang) GROUP BY doc_id, lang),
+near AS (
+  SELECT DISTINCT d.doc_id FROM counted d JOIN by_word w USING (doc_id) JOIN refs r ON r.lang = w.lang
+  WHERE (d.total_chars < {rules.min_chars}
+         OR sqrt(greatest(({by_char}) / 2, 0)) <= {rules.max_chars} + {rules.noise} / sqrt(d.total_chars))
+    AND (d.n_words < {rules.min_words} OR sqrt(greatest(s / 2, 0)) <= {rules.max_words} + {rules.noise} / sqrt(d.n_words))),
 base AS (
   SELECT counted.doc_id, n_words::BIGINT AS n_words,
          length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,

@@ -2,44 +2,49 @@
 
 A document's character-class histogram and its common-word histogram are
 compared with those of each language's whole corpus by Jensen-Shannon distance
-(base 2, 0 to 1). A document that is far from every language is no running
-text. Short documents have noisy histograms, so a histogram only counts
-against a document from a minimum length on.
+(base 2, 0 to 1). The languages are the values of ``lang``, and a language's
+common words are the most frequent ones of its documents. A document that is
+far from every language is no running text. Short documents have noisy
+histograms, so a histogram only counts against a document from a minimum length
+on; a language is a reference from a minimum length on as well.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
-# Frequent function words of each language.
-COMMON_WORDS = {
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als".split(),
-    "en": "the of and to in a is that it was for on are as with be by at this from".split(),
-    "es": "de la que el en y a los se del las un por con no una su para es al".split(),
-    "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au".split(),
-}
-
-
 @dataclass(frozen=True)
 class Divergence:
     """Farthest distances from a language's histograms, and the lengths from which they count.
 
     Even running text lies off its language's histogram by about one over the
     square root of its length; ``noise`` times that is added to both limits.
+    ``common`` is the number of common words of a language, and a value of
+    ``lang`` with fewer than ``min_reference`` words in all is no reference.
     """
 
-    languages: dict[str, list[str]] = field(default_factory=lambda: COMMON_WORDS, hash=False)
     max_chars: float = 0.2
     max_words: float = 0.2
     noise: float = 1.2
     min_chars: int = 200
     min_words: int = 50
+    common: int = 20
+    min_reference: int = 1000
+
+
+@dataclass(frozen=True)
+class Reference:
+    """A language's shares of the character classes, its common words, and their shares with that of all others."""
+
+    chars: list[float]
+    common: list[str]
+    words: list[float]
 
 
 def _bound(value: Column, body) -> Column:
@@ -55,51 +60,57 @@ def _without(text: Column, characters: str) -> Column:
 CLASSES = ["[a-z]+", SPACE, "[A-Z]+", "[^\\x00-\\x7F\\P{L}]+", "[.,;:!?'\"()-]+", "[0-9]+"]
 
 
-def histograms(docs: DataFrame, rules: Divergence) -> DataFrame:
-    """``docs`` with words, chars (characters by class), common (counts of the common words) and both totals."""
-    vocabulary = sorted({w for words in rules.languages.values() for w in words})
-    text = F.coalesce("text", F.lit(""))
-    out = docs.withColumn("words", F.array_remove(F.split(text, SPACE), ""))
-    rest = text
-    names = ["left0"]
-    out = out.withColumn("left0", rest)
-    for k, characters in enumerate(CLASSES):
-        out = out.withColumn(f"left{k + 1}", _without(F.col(f"left{k}"), characters))
-        names.append(f"left{k + 1}")
+def _text() -> Column:
+    return F.coalesce("text", F.lit(""))
+
+
+def character_counts(docs: DataFrame) -> DataFrame:
+    """``docs`` with chars (characters by class) and total_chars."""
+    names = [f"left{k}" for k in range(len(CLASSES) + 1)]
+    out = docs.withColumn(names[0], _text())
+    for characters, before, after in zip(CLASSES, names, names[1:]):
+        out = out.withColumn(after, _without(F.col(before), characters))
     sizes = [F.length(c) for c in names]
     chars = [a - b for a, b in zip(sizes, sizes[1:])] + [sizes[-1]]
+    return out.withColumns({"chars": F.array(*chars), "total_chars": sizes[0]}).drop(*names)
+
+
+def histograms(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """``docs`` with words, chars (characters by class), common (counts of the vocabulary) and both totals."""
+    out = character_counts(docs.withColumn("words", F.array_remove(F.split(_text(), SPACE), "")))
     common = F.filter("words", lambda w: w.isin(vocabulary))
-    counts = _bound(common, lambda c: F.transform(
-        F.array(*map(F.lit, vocabulary)), lambda w: F.size(c) - F.size(F.array_remove(c, w))))
-    return out.withColumns({"chars": F.array(*chars), "common": counts, "total_chars": sizes[0],
-                            "total_words": F.size("words")}).drop(*names)
+    listed = F.array(*map(F.lit, vocabulary)) if vocabulary else F.array().cast("array<string>")
+    counts = _bound(common, lambda c: F.transform(listed, lambda w: F.size(c) - F.size(F.array_remove(c, w))))
+    return out.withColumns({"common": counts, "total_words": F.size("words")})
 
 
-def language_references(docs: DataFrame, rules: Divergence) -> dict[str, tuple[list[float], list[float]]]:
-    """Character-class and common-word shares of each listed language over all its documents.
+def language_references(docs: DataFrame, rules: Divergence) -> dict[str, Reference]:
+    """The reference of every value of ``lang``, over whole texts of all its documents.
 
-    Sums over whole texts of every row whose lang is listed; one row for each
-    listed language comes back.
+    Words are counted by (lang, word) with a map-side step; each task then keeps
+    a language's most frequent words only. ``common`` rows for each language
+    come back, and one with its characters.
     """
-    vocabulary = sorted({w for words in rules.languages.values() for w in words})
-    n_classes = len(CLASSES) + 1
-    listed = docs.filter(F.col("lang").isin(list(rules.languages))).select("lang", "text")
-    rows = (histograms(listed, rules).groupBy("lang").agg(
-        F.sum("total_words").alias("n_words"),
-        *[F.sum(F.col("chars")[k]).alias(f"c{k}") for k in range(n_classes)],
-        *[F.sum(F.col("common")[k]).alias(f"w{k}") for k in range(len(vocabulary))]).collect())
+    labelled = docs.filter(F.col("lang").isNotNull()).select(F.col("lang").cast("string").alias("lang"), "text")
+    counts = (labelled.select("lang", F.explode(F.split(_text(), SPACE)).alias("word")).where("word <> ''")
+              .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("n_words")).where(F.col("n_words") >= rules.min_reference)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    top = counts.withColumn("place", place).where(F.col("place") <= rules.common)
+    words: dict[str, list] = {}
+    for r in top.join(totals, "lang").orderBy("lang", "place").collect():
+        words.setdefault(r.lang, []).append(r)
+    sums = [F.sum(F.col("chars")[k]).alias(f"c{k}") for k in range(len(CLASSES) + 1)]
+    by_class = character_counts(labelled).groupBy("lang").agg(*sums).where(F.col("lang").isin(list(words)))
     out = {}
-    for r in rows:
-        n_chars = sum(r[f"c{k}"] for k in range(n_classes))
-        if not n_chars or not r.n_words:
-            continue
-        own = [r[f"w{vocabulary.index(w)}"] for w in rules.languages[r.lang]]
-        out[r.lang] = ([r[f"c{k}"] / n_chars for k in range(n_classes)],
-                       [n / r.n_words for n in own] + [(r.n_words - sum(own)) / r.n_words])
-    return dict(sorted(out.items()))
+    for lang, *chars in sorted(by_class.collect()):
+        own, n_words = [r.n for r in words[lang]], words[lang][0].n_words
+        out[lang] = Reference([c / sum(chars) for c in chars], [r.word for r in words[lang]],
+                              [n / n_words for n in [*own, n_words - sum(own)]])
+    return out
 
 
-def jensen_shannon(counts: Column, total: Column, reference: list[float]) -> Column:
+def jensen_shannon(counts: Column, total: Column, reference: Column) -> Column:
     """Distance of counts / total from a reference distribution."""
 
     def term(n: Column, q: Column) -> Column:
@@ -107,7 +118,7 @@ def jensen_shannon(counts: Column, total: Column, reference: list[float]) -> Col
         m = (p + q) / 2
         return (F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)) / 2
 
-    terms = F.zip_with(counts, F.array(*map(F.lit, reference)), term)
+    terms = F.zip_with(counts, reference, term)
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)))
 
 
@@ -141,6 +152,32 @@ def _repeated_words(words: Column) -> Column:
     return F.when(F.size(words) > 3, _bound(windows, count)).otherwise(0)
 
 
+def _near(references: dict[str, Reference], vocabulary: list[str], rules: Divergence) -> Column:
+    """Whether some language has both histograms near enough; every document is, without any reference."""
+    if not references:
+        return F.lit(True)
+    total_chars, n_words = F.col("total_chars"), F.col("total_words")
+    some_chars, some_words = F.greatest(total_chars, F.lit(1)), F.greatest(n_words, F.lit(1))  # divisors
+    limit_chars = rules.max_chars + rules.noise / F.sqrt(some_chars)
+    limit_words = rules.max_words + rules.noise / F.sqrt(some_words)
+    place = {w: k for k, w in enumerate(vocabulary)}
+    known = F.array(*[F.struct(
+        F.array(*map(F.lit, r.chars)).alias("chars"), F.array(*[F.lit(place[w]) for w in r.common]).alias("at"),
+        F.array(*map(F.lit, r.words)).alias("words")) for r in references.values()])
+
+    def with_rest(own: Column) -> Column:
+        return F.concat(own, F.array(n_words - F.aggregate(own, F.lit(0), lambda a, x: a + x)))
+
+    def near(r: Column) -> Column:
+        own = F.transform(r["at"], lambda k: F.col("common")[k])
+        return (((total_chars < rules.min_chars)
+                 | (jensen_shannon(F.col("chars"), some_chars, r["chars"]) <= limit_chars))
+                & ((n_words < rules.min_words)
+                   | (jensen_shannon(_bound(own, with_rest), some_words, r["words"]) <= limit_words)))
+
+    return F.exists(known, near)
+
+
 def quality(docs: DataFrame, rules: Divergence = Divergence()) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
@@ -148,37 +185,25 @@ def quality(docs: DataFrame, rules: Divergence = Divergence()) -> DataFrame:
     3-word windows (windows are compared by 64-bit hashes). kept: not
     base_failed, and some language has both histograms near enough; one that
     is too short to be judged counts as near. Null and empty texts have no
-    words and fail. Without any reference (an empty table,
-    no listed language) nothing is far. Repeated rows get equal results; only
+    words and fail. Without any reference (an empty table, no lang, no
+    language with enough words) nothing is far. Repeated rows get equal results; only
     doc_id, text and lang are read, and lang only for the references.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
                        F.col("lang").alias("lang"))
     references = language_references(rows, rules)
-    vocabulary = sorted({w for words in rules.languages.values() for w in words})
-    text = F.coalesce("text", F.lit(""))
+    vocabulary = sorted({w for r in references.values() for w in r.common})
+    text = _text()
     line_has_word = lambda line: line.rlike("[^\\x20\\x09-\\x0D]")
     lines = F.filter(F.split(text, "\n"), line_has_word)
     total_chars, n_words = F.col("total_chars"), F.col("total_words")
-    some_chars, some_words = F.greatest(total_chars, F.lit(1)), F.greatest(n_words, F.lit(1))  # divisors
-    limit_chars = rules.max_chars + rules.noise / F.sqrt(some_chars)
-    limit_words = rules.max_words + rules.noise / F.sqrt(some_words)
-    near = [F.lit(not references)]
-    for lang, (chars, words) in references.items():
-        own = F.array(*[F.col("common")[vocabulary.index(w)] for w in rules.languages[lang]])
-        listed = F.aggregate(own, F.lit(0), lambda a, x: a + x)
-        counts = F.concat(own, F.array(n_words - listed))
-        near.append(((total_chars < rules.min_chars)
-                     | (jensen_shannon(F.col("chars"), some_chars, chars) <= limit_chars))
-                    & ((n_words < rules.min_words) | (jensen_shannon(counts, some_words, words) <= limit_words)))
-    found = histograms(rows.drop("lang"), rules)
-    found = found.select(
+    found = histograms(rows.drop("lang"), vocabulary).select(
         "doc_id", n_words.cast("long").alias("n_words"),
         F.length(_without(text, SPACE)).cast("long").alias("word_chars"),
         (total_chars - F.length(_without(text, "[#*$%&|<>]+"))).cast("long").alias("n_symbols"),
         _bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         _repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
-        F.greatest(*near, F.lit(False)).alias("near"))
+        _near(references, vocabulary, rules).alias("near"))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

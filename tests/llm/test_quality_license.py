@@ -53,6 +53,23 @@ def test_running_text_is_kept_and_symbol_runs_are_not(spark):
     assert not kept[100] and not kept[101]
 
 
+def test_every_language_of_the_table_is_a_reference(spark):
+    import random
+    rnd = random.Random(5)
+    words = {"en": "the of and to in a is that it was".split(), "it": "di che e la il un a per in una sono".split()}
+    def prose(lang):
+        return " ".join(rnd.choice(words[lang]) if rnd.random() < 0.5 else "".join(rnd.choices("etaoinshr", k=6)) for _ in range(120))
+    rows = [(i, prose(lang), lang) for i, lang in enumerate(["en"] * 60 + ["it"] * 50)]
+    rows += [(200, " ".join("".join(rnd.choices("etaoinshr", k=6)) for _ in range(400)), "zz"), (201, prose("it"), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    references = quality_rules.language_references(docs, quality_rules.Divergence())
+    assert sorted(references) == ["en", "it"]  # zz has fewer words than a reference needs
+    assert set(words["it"]) <= set(references["it"].common) and len(references["it"].common) == 20
+    kept = {r.doc_id: r.kept for r in quality_rules.quality(docs).collect()}
+    assert all(kept[i] for i in range(110)) and kept[201]
+    assert not kept[200]
+
+
 def license_truth(text, percent=90):
     low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     cut = lambda x: re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", x)
