@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_bytes, row_groups, short_batches
@@ -37,6 +37,51 @@ def _sigmoid(x):
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def loss_and_gradients(p: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean cross entropy over all positions of windows x (n, T) with label indexes y, and its gradients by p.
+
+    Backpropagation through time: the states of the forward pass are kept and walked back.
+    """
+    (b_n, t_n), h_n, like = x.shape, p["wh"].shape[1], p["wx"].dtype
+    both = np.stack([x, x[:, ::-1]])  # direction, row, time
+    h = np.zeros((2, b_n, h_n), like)
+    kept, states = [], np.empty((t_n, 2, b_n, h_n), like)
+    for t in range(t_n):
+        a = np.stack([p["wx"][0][both[0, :, t]], p["wx"][1][both[1, :, t]]])
+        g = h @ p["wh"]
+        zr = _sigmoid(a[..., :2 * h_n] + g[..., :2 * h_n])
+        z, r = zr[..., :h_n], zr[..., h_n:]
+        c = np.tanh(a[..., 2 * h_n:] + r * g[..., 2 * h_n:])
+        kept.append((h, z, r, c, g[..., 2 * h_n:]))
+        h = c + z * (h - c)
+        states[t] = h
+    hf, hb = states[:, 0], states[::-1, 1]  # both by position
+    logits = hf @ p["wo"][0] + hb @ p["wo"][1] + p["bo"]
+    logits -= logits.max(-1, keepdims=True)
+    e = np.exp(logits)
+    d = e / e.sum(-1, keepdims=True)
+    loss = -np.log(d[:, np.arange(b_n), y]).mean()
+    d[:, np.arange(b_n), y] -= 1
+    d /= b_n * t_n
+    grad = {"bo": d.sum((0, 1)), "wx": np.zeros_like(p["wx"]), "wh": np.zeros_like(p["wh"]),
+            "wo": np.stack([np.einsum("tbh,tbk->hk", s, d) for s in (hf, hb)])}
+    dstate = np.stack([d @ p["wo"][0].T, (d @ p["wo"][1].T)[::-1]], axis=1)
+    dh = np.zeros((2, b_n, h_n), like)
+    for t in range(t_n - 1, -1, -1):
+        dh = dh + dstate[t]
+        before, z, r, c, gc = kept[t]
+        dc = dh * (1 - z) * (1 - c * c)
+        dz = dh * (before - c) * z * (1 - z)
+        dr = dc * gc * r * (1 - r)
+        dx = np.concatenate([dz, dr, dc], -1)
+        dg = np.concatenate([dz, dr, dc * r], -1)
+        for way in (0, 1):
+            np.add.at(grad["wx"][way], both[way, :, t], dx[way])
+        grad["wh"] += before.transpose(0, 2, 1) @ dg
+        dh = dh * z + dg @ p["wh"].transpose(0, 2, 1)
+    return float(loss), grad
+
+
 def train_bigru(windows: np.ndarray, targets: np.ndarray, labels: list[str], hidden: int = 8,
                 steps: int = 350, batch: int = 128, rate: float = 0.02, seed: int = 7) -> BiGru:
     """Fit by backpropagation through time; windows: (n, T) bytes, targets: label index of each.
@@ -45,7 +90,7 @@ def train_bigru(windows: np.ndarray, targets: np.ndarray, labels: list[str], hid
     common ones. Deterministic for given input.
     """
     rng = np.random.default_rng(seed)
-    h_n, k_n, t_n = hidden, len(labels), windows.shape[1]
+    h_n, k_n = hidden, len(labels)
     p = {"wx": rng.normal(0, 0.3, (2, 256, 3 * h_n)).astype(np.float32),
          "wh": rng.normal(0, 0.5 / np.sqrt(h_n), (2, h_n, 3 * h_n)).astype(np.float32),
          "wo": rng.normal(0, 0.5 / np.sqrt(h_n), (2, h_n, k_n)).astype(np.float32),
@@ -57,42 +102,7 @@ def train_bigru(windows: np.ndarray, targets: np.ndarray, labels: list[str], hid
     for step in range(1, steps + 1):
         pick = np.concatenate([rng.choice(pool, -(-batch // len(pools))) for _, pool in pools])
         x, y = windows[pick], targets[pick]
-        b_n = len(pick)
-        both = np.stack([x, x[:, ::-1]])  # direction, row, time
-        h = np.zeros((2, b_n, h_n), np.float32)
-        kept, states = [], np.empty((t_n, 2, b_n, h_n), np.float32)
-        for t in range(t_n):
-            a = np.stack([p["wx"][0][both[0, :, t]], p["wx"][1][both[1, :, t]]])
-            g = h @ p["wh"]
-            zr = _sigmoid(a[..., :2 * h_n] + g[..., :2 * h_n])
-            z, r = zr[..., :h_n], zr[..., h_n:]
-            c = np.tanh(a[..., 2 * h_n:] + r * g[..., 2 * h_n:])
-            kept.append((h, z, r, c, g[..., 2 * h_n:]))
-            h = c + z * (h - c)
-            states[t] = h
-        hf, hb = states[:, 0], states[::-1, 1]  # both by position
-        logits = hf @ p["wo"][0] + hb @ p["wo"][1] + p["bo"]
-        logits -= logits.max(-1, keepdims=True)
-        e = np.exp(logits)
-        d = e / e.sum(-1, keepdims=True)
-        d[:, np.arange(b_n), y] -= 1
-        d /= b_n * t_n
-        grad = {"bo": d.sum((0, 1)), "wx": np.zeros_like(p["wx"]), "wh": np.zeros_like(p["wh"]),
-                "wo": np.stack([np.einsum("tbh,tbk->hk", s, d) for s in (hf, hb)])}
-        dstate = np.stack([d @ p["wo"][0].T, (d @ p["wo"][1].T)[::-1]], axis=1)
-        dh = np.zeros((2, b_n, h_n), np.float32)
-        for t in range(t_n - 1, -1, -1):
-            dh = dh + dstate[t]
-            before, z, r, c, gc = kept[t]
-            dc = dh * (1 - z) * (1 - c * c)
-            dz = dh * (before - c) * z * (1 - z)
-            dr = dc * gc * r * (1 - r)
-            dx = np.concatenate([dz, dr, dc], -1)
-            dg = np.concatenate([dz, dr, dc * r], -1)
-            for way in (0, 1):
-                np.add.at(grad["wx"][way], both[way, :, t], dx[way])
-            grad["wh"] += before.transpose(0, 2, 1) @ dg
-            dh = dh * z + dg @ p["wh"].transpose(0, 2, 1)
+        _, grad = loss_and_gradients(p, x, y)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
         pace = rate * min(1.0, 2.0 * (1 - step / (steps + 1)))
         for k in p:
@@ -187,23 +197,30 @@ def fit_language_model(docs: DataFrame, sample_rows: int = 4000, sample_bytes: i
     """Train on at most ``sample_rows`` labelled rows, ``sample_bytes`` of each.
 
     Only rows with a text, a lang and a doc_id whose crc32 (of the id as text)
-    is not divisible by 5 are learned from. The sample is the rows with the
-    smallest hash of (doc_id, text): the same for any partitioning, drawn
-    evenly over the whole table. Long texts give the bytes in their middle.
-    None when no row qualifies.
+    is not divisible by 5 are learned from. Every language gives an equal part
+    of the sample (one row at least), or all its rows if it has fewer: those with the smallest hash
+    of (doc_id, text), which are the same for any partitioning and drawn evenly
+    over the whole table. Long texts give the bytes in their middle. None when
+    no row qualifies.
     """
     text, doc_id = F.col("text"), F.col("doc_id").cast("long")
-    usable = F.col("lang").isNotNull() & text.rlike(r"\p{L}") & ~held_out(doc_id) & doc_id.isNotNull()
-    # only rows that can be among the smallest hashes are sent; three times as many as are needed
-    n = docs.filter(F.col("lang").isNotNull() & doc_id.isNotNull() & ~held_out(doc_id)).count()
-    share = min(1.0, 3 * sample_rows / max(n, 1))
-    h = F.xxhash64(doc_id, text)
-    usable = usable & (h <= int(-2 ** 63 + share * (2 ** 64 - 1)) if share < 1 else F.lit(True))
-    middle = F.greatest(F.lit(1), F.floor((F.length(text) - sample_bytes) / 2)).cast("int")
-    rows = (docs.filter(usable)
-            .select(h.alias("h"), F.col("lang").cast("string").alias("lang"),
-                    F.substring(text, middle, F.lit(sample_bytes)).alias("text"))
-            .orderBy("h", "lang").limit(sample_rows).collect())
+    rows = docs.filter(F.col("lang").isNotNull() & ~held_out(doc_id) & doc_id.isNotNull()).select(
+        F.xxhash64(doc_id, text).alias("h"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
+        return None
+    part = max(1, sample_rows // len(counts))
+    # only rows that can be among the smallest hashes are sorted; three times as many as are needed
+    least = {lang: int(-2 ** 63 + 3 * part / n * (2 ** 64 - 1)) for lang, n in counts.items() if n > 3 * part}
+    if least:
+        below = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])[F.col("lang")]
+        rows = rows.filter(below.isNull() | (F.col("h") <= below))
+    middle = F.greatest(F.lit(1), F.floor((F.length("text") - sample_bytes) / 2)).cast("int")
+    rows = rows.filter(text.rlike(r"\p{L}")).select(
+        "h", "lang", F.substring(F.col("text"), middle, F.lit(sample_bytes)).alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    rows = (rows.withColumn("place", place).where(F.col("place") <= part)
+            .orderBy("h", "lang", "text").select("lang", "text").collect())
     labels = sorted({r.lang for r in rows})
     if not labels:
         return None

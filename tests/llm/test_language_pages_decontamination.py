@@ -41,6 +41,39 @@ def test_scorer_equals_plain_forward_pass():
     assert np.allclose(got, [distribution(t) for t in texts], atol=1e-5)
 
 
+def test_gradients_equal_finite_differences():
+    rng = np.random.default_rng(2)
+    h, k, t = 3, 3, 7
+    p = {name: rng.normal(0, 0.5, shape) for name, shape in
+         {"wx": (2, 256, 3 * h), "wh": (2, h, 3 * h), "wo": (2, h, k), "bo": (k,)}.items()}
+    x, y = rng.integers(60, 66, (4, t)), np.array([0, 1, 2, 1])
+    _, grad = language_id.loss_and_gradients(p, x, y)
+    for name, weights in p.items():
+        if name == "wx":
+            assert not grad[name][:, 66:].any()  # bytes that do not occur
+        places = list(np.ndindex(weights.shape)) if name != "wx" else [(w, b, i) for w in (0, 1) for b in (60, 63, 65) for i in range(3 * h)]
+        for at in places:
+            kept, eps, losses = weights[at], 1e-5, []
+            for way in (1, -1):
+                weights[at] = kept + way * eps
+                losses.append(language_id.loss_and_gradients(p, x, y)[0])
+            weights[at] = kept
+            assert abs((losses[0] - losses[1]) / (2 * eps) - grad[name][at]) < 1e-8, (name, at)
+
+
+def test_rare_languages_are_learned(spark):
+    rng = np.random.default_rng(4)
+    words = {"aa": "lumo tepi sanu", "bb": "krex vordt gnilk", "cc": "zhuia oaeo iuyy"}
+    rows = [(i, " ".join(rng.choice(words[lang].split(), 20)), lang) for i, lang in enumerate(
+        ["aa"] * 700 + ["bb"] * 700 + ["cc"] * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_language_model(docs, sample_rows=60, steps=120)
+    assert model.labels == ["aa", "bb", "cc"]
+    found = {r.doc_id: r.lang_pred for r in language_id.language_id(docs, model).collect()}
+    assert sum(found[d] == lang for d, _, lang in rows if lang == "cc") == 12
+    assert sum(found[d] == lang for d, _, lang in rows) > 0.98 * len(rows)
+
+
 def test_held_out_accuracy(spark):
     docs = table(spark, SF01, "documents")
     model = language_id.fit_language_model(docs)
