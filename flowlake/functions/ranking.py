@@ -22,13 +22,22 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import ensure_checkpoint_dir
 
+#: Column of ``sorted_checkpoint``: the number of the row's partition. It is stored with the
+#: rows, because a task's own number is another one once the result is part of a union.
+PART = "_part"
+
+
+def part_of(batch: pa.RecordBatch) -> int:
+    """Number of the partition that a batch (not empty) comes from."""
+    return batch.column(PART)[0].as_py()
+
 
 def _row_key(batch: pa.RecordBatch, by, i: int) -> tuple:
     return tuple(batch.column(c)[i].as_py() for c in by)
@@ -68,11 +77,11 @@ def sorted_checkpoint(df: DataFrame, keys, num_partitions: int | None = None) ->
     Without ``num_partitions`` the range shuffle starts from
     ``spark.sql.shuffle.partitions`` and AQE merges adjacent small partitions
     (merging neighbours keeps the global order), so the layout follows the data
-    size.
+    size.  A column ``PART`` numbers the partitions.
     """
     ensure_checkpoint_dir(df.sparkSession)
     parts = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    return parts.sortWithinPartitions(*keys).checkpoint(eager=True)
+    return parts.sortWithinPartitions(*keys).withColumn(PART, F.spark_partition_id()).checkpoint(eager=True)
 
 
 def partition_runs(ck: DataFrame, by) -> list:
@@ -85,7 +94,7 @@ def partition_runs(ck: DataFrame, by) -> list:
         + [T.StructField(f"l_{f.name}", f.dataType) for f in key_fields])
 
     def summarize(batches):
-        pid, n = TaskContext.get().partitionId(), 0
+        pid, n = None, 0
         first = last = None
         first_run = last_run = 0
         for batch in batches:
@@ -93,6 +102,7 @@ def partition_runs(ck: DataFrame, by) -> list:
                 continue
             starts = np.flatnonzero(_changes(batch, by, last))
             if first is None:
+                pid = part_of(batch)
                 first = _row_key(batch, by, 0)
                 starts = starts[1:]  # the first key's own start
                 first_open = True
@@ -107,7 +117,7 @@ def partition_runs(ck: DataFrame, by) -> list:
             row |= {f"f_{c}": v for c, v in zip(by, first)} | {f"l_{c}": v for c, v in zip(by, last)}
             yield pa.RecordBatch.from_pylist([row], schema=to_arrow_schema(schema))
 
-    rows = ck.select(*by).mapInArrow(summarize, schema).collect()
+    rows = ck.select(*by, PART).mapInArrow(summarize, schema).collect()
     return sorted(rows, key=lambda r: r["pid"])
 
 
@@ -135,20 +145,23 @@ def position_within(df: DataFrame, by, order, name: str = "position",
     by, order = list(by), list(order)
     ck = sorted_checkpoint(df, by + order, num_partitions)
     info = carries(partition_runs(ck, by), by)
-    schema = T.StructType(ck.schema.fields + [T.StructField(name, T.LongType(), False)])
+    fields = [f for f in ck.schema if f.name != PART]
+    schema = T.StructType(fields + [T.StructField(name, T.LongType(), False)])
 
     def assign(batches):
-        prev_key, prev_count = info.get(TaskContext.get().partitionId(), (None, 0))
+        begun, prev_key, prev_count = False, None, 0
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
+            if not begun:
+                begun, (prev_key, prev_count) = True, info.get(part_of(batch), (None, 0))
             change = _changes(batch, by, prev_key)
             at = np.arange(n)
             start = np.maximum.accumulate(np.where(change, at, -1))
             position = np.where(start < 0, prev_count + at + 1, at - start + 1)
             prev_key, prev_count = _row_key(batch, by, n - 1), int(position[-1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(position, pa.int64())],
-                                             names=[*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(position, pa.int64())],
+                                             names=schema.names)
 
     return ck.mapInArrow(assign, schema)

@@ -26,18 +26,22 @@ written as one run; a second job walks each entity's runs in partition order,
 every entity by itself and holding one state only, and so finds the true start
 state of each partition; pass B folds every row once with that state.  Rows
 stay Arrow batches, so no integer passes through a float.
+
+``scope`` (for example ``["snapshot_id"]``, without nulls) names columns of both
+tables: entities of one id in different snapshots are different entities.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.ranking import sorted_checkpoint
+from ..functions.ranking import PART, part_of, sorted_checkpoint
 
 CREATE, UPDATE, DELETE = "CREATE", "UPDATE", "DELETE"
 ABSENT = "absent"  # key of the absent state in a summary
@@ -151,11 +155,12 @@ def _summaries(strict):
     schema = to_arrow_schema(SUMMARY_SCHEMA)
 
     def run(batches):
-        pid = TaskContext.get().partitionId()
-        first = key = None
+        pid = first = key = None
         seen = False  # a row was read; keys themselves are never null here
         summary, present, version = _Summary(), False, None
         for batch in batches:
+            if pid is None and batch.num_rows:
+                pid = part_of(batch)
             for k, is_cmd, op, e in _rows(batch):
                 if not seen:
                     seen, first = True, k
@@ -209,7 +214,7 @@ def _chain(batches):
 
 
 def versioned_apply(commands: DataFrame, initial: DataFrame, num_partitions: int | None = None,
-                    strict_ops=(), payload=()) -> DataFrame:
+                    strict_ops=(), payload=(), scope: Sequence[str] = ()) -> DataFrame:
     """Outcome of every command; see the module docstring for the rules.
 
     ``commands``: ``seq bigint, target_id string, op string, expected_version bigint``
@@ -218,6 +223,15 @@ def versioned_apply(commands: DataFrame, initial: DataFrame, num_partitions: int
     (rows without an id are no entities).  Commands of one entity with equal
     ``seq`` run in order of op and expected version.
     """
+    if scope:
+        # one text for (scope, id); a null id stays null
+        def entity(c):
+            return F.when(F.col(c).isNotNull(), F.to_json(F.struct(*scope, F.col(c).alias("id"))))
+        out = versioned_apply(
+            commands.withColumns({"_target": F.col("target_id"), "target_id": entity("target_id")}),
+            initial.withColumn("id", entity("id")), num_partitions, strict_ops, [*scope, "_target", *payload])
+        return out.withColumn("target_id", F.col("_target")).select(
+            *scope, *[f.name for f in OUTCOME_SCHEMA], *payload)
     strict = tuple(o.upper() for o in strict_ops)
     payload = list(payload)
     cmds = commands.select(F.col("seq").cast("bigint"), "target_id", F.upper("op").alias("op"),
@@ -230,7 +244,7 @@ def versioned_apply(commands: DataFrame, initial: DataFrame, num_partitions: int
     # false sorts before true: an entity's initial row precedes its commands
     ck = sorted_checkpoint(rows, ["target_id", "is_cmd", "seq", "op", "expected_version"], num_partitions)
 
-    summaries = ck.select("target_id", "is_cmd", "op", "expected_version").mapInArrow(_summaries(strict), SUMMARY_SCHEMA)
+    summaries = ck.select("target_id", "is_cmd", "op", "expected_version", PART).mapInArrow(_summaries(strict), SUMMARY_SCHEMA)
     chained = (summaries.repartition("key").sortWithinPartitions("key", "pid", "kind", "lo")
                .mapInArrow(_chain, START_SCHEMA))
     # one row per partition at most
@@ -238,9 +252,10 @@ def versioned_apply(commands: DataFrame, initial: DataFrame, num_partitions: int
     out_schema = T.StructType(OUTCOME_SCHEMA.fields + [ck.schema[c] for c in payload])
 
     def fold(batches):
-        first, present, version = starts.get(TaskContext.get().partitionId(), (None, False, None))
-        key = first
+        begun, key, present, version = False, None, False, None
         for batch in batches:
+            if not begun and batch.num_rows:
+                begun, (key, present, version) = True, starts.get(part_of(batch), (None, False, None))
             outcomes, presents, versions = [], [], []
             for k, is_cmd, op, e in _rows(batch):
                 if k != key:
@@ -262,7 +277,7 @@ def versioned_apply(commands: DataFrame, initial: DataFrame, num_partitions: int
     return ck.mapInArrow(fold, out_schema).unionByName(lost)
 
 
-def versioned_table(outcomes: DataFrame, initial: DataFrame, payload=()) -> DataFrame:
+def versioned_table(outcomes: DataFrame, initial: DataFrame, payload=(), scope: Sequence[str] = ()) -> DataFrame:
     """The entity table after the batch: last outcome per entity, untouched rows kept.
 
     With ``payload`` (columns of both tables), a ``created`` or ``updated``
@@ -270,25 +285,25 @@ def versioned_table(outcomes: DataFrame, initial: DataFrame, payload=()) -> Data
     they had, those of an entity created in this batch start from nothing.
     Everything is an aggregate per entity with a map-side partial step.
     """
-    payload = list(payload)
+    payload, target, key = list(payload), [*scope, "target_id"], [*scope, "id"]
     real = outcomes.where(F.col("target_id").isNotNull())
-    last = real.groupBy("target_id").agg(
+    last = real.groupBy(*target).agg(
         F.max_by(F.struct("present_after", "version_after"), F.struct("seq", "op", "expected_version")).alias("s"),
         F.max(F.when(F.col("outcome").isin("created", "deleted"), F.col("seq"))).alias("_since"))
     touched = last.where(F.col("s.present_after")).select(
-        F.col("target_id").alias("id"), F.col("s.version_after").alias("version"), "_since")
-    rest = initial.select("id", F.col("version").cast("bigint"), *payload)
-    untouched = rest.join(last.select(F.col("target_id").alias("id")), "id", "left_anti")
+        *scope, F.col("target_id").alias("id"), F.col("s.version_after").alias("version"), "_since")
+    rest = initial.select(*key, F.col("version").cast("bigint"), *payload)
+    untouched = rest.join(last.select(*scope, F.col("target_id").alias("id")), key, "left_anti")
     if not payload:
         return untouched.unionByName(touched.drop("_since"))
     writes = real.where(F.col("outcome").isin("created", "updated")).join(
-        last.select("target_id", "_since"), "target_id").where(
+        last.select(*target, "_since"), target).where(
         F.col("_since").isNull() | (F.col("seq") >= F.col("_since")))
-    new = writes.groupBy(F.col("target_id").alias("id")).agg(
+    new = writes.groupBy(*scope, F.col("target_id").alias("id")).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(f"_new_{i}") for i, c in enumerate(payload)])
-    old = rest.select("id", *[F.col(c).alias(f"_old_{i}") for i, c in enumerate(payload)])
-    written = touched.join(new, "id", "left").join(old, "id", "left").select(
-        "id", "version",
+    old = rest.select(*key, *[F.col(c).alias(f"_old_{i}") for i, c in enumerate(payload)])
+    written = touched.join(new, key, "left").join(old, key, "left").select(
+        *key, "version",
         *[F.coalesce(F.col(f"_new_{i}"), F.when(F.col("_since").isNull(), F.col(f"_old_{i}"))).alias(c)
           for i, c in enumerate(payload)])
     return untouched.unionByName(written)

@@ -284,3 +284,27 @@ def test_ordered_operators_with_empty_partitions(spark):
     assert got == {1: "created", 2: "updated", 3: "deleted"}
     empty = spark.createDataFrame([], "seq bigint, target_id string, op string, expected_version bigint")
     assert versioned_apply(empty, spark.createDataFrame([], "id string, version bigint")).count() == 0
+
+
+def test_ordered_operators_inside_a_union(spark):
+    """Partition numbers come with the rows: neither a union before them nor merged partitions change a result."""
+    import random
+    rnd = random.Random(11)
+    rows = [(i, rnd.choice(["hot", "hot", "a", "b"]), rnd.choice(["UPDATE", "DELETE", "CREATE"]), rnd.randrange(3))
+            for i in range(400)]
+    cmds = spark.createDataFrame(rows, "seq long, target_id string, op string, expected_version long")
+    initial = spark.createDataFrame([("hot", 0), ("a", 1)], "id string, version long")
+    runs = [versioned_apply(cmds, initial, num_partitions=n) for n in (3, 9, 6)]
+    want = sorted(map(tuple, runs[0].collect()), key=str)
+    both = runs[0].withColumn("run", F.lit(0))
+    for k, df in enumerate(runs[1:], 1):
+        both = both.unionByName(df.withColumn("run", F.lit(k)))
+    for got in (both, both.coalesce(2)):
+        found = got.collect()
+        for k in range(3):
+            assert sorted((tuple(r)[:-1] for r in found if r.run == k), key=str) == want
+    positions = [position_within(cmds, ["target_id"], ["seq"], "pos", num_partitions=n) for n in (4, 7)]
+    want = {(r.target_id, r.seq): r.pos for r in positions[0].collect()}
+    assert len(want) == 400
+    assert {(r.target_id, r.seq): r.pos for r in positions[0].union(positions[1]).coalesce(3).collect()} == want
+    assert positions[0].union(positions[1]).distinct().count() == 400
