@@ -9,7 +9,7 @@ from ..session import shared_path
 from ..sources.fixtures import view_over
 from ..sources.tables import Estate
 from ..streaming import batch_sink, streams
-from .registry import nullable_as_double, query
+from .registry import nullable_as_double, query, two_snapshots
 
 # --- C3 -------------------------------------------------------------------------
 
@@ -116,7 +116,7 @@ def q_delete_apply(spark, sf_dir):
 _TYPES = "('PROCESSOR', 'INPUT_PORT', 'OUTPUT_PORT', 'FUNNEL')"
 
 
-@query("connection_validate", ["fx_connection_request", "fx_processor", "fx_port"], f"""
+_CONNECTION_SQL = f"""
 , comp AS (SELECT id, group_id, 'PROCESSOR' AS kind FROM fx_processor UNION ALL SELECT id, group_id, kind FROM fx_port),
 r AS (SELECT *, upper(coalesce(source_type, 'PROCESSOR')) AS st, upper(coalesce(destination_type, 'PROCESSOR')) AS dt
       FROM fx_connection_request),
@@ -138,7 +138,10 @@ x AS (
   FROM r LEFT JOIN comp s ON s.id = r.source_id LEFT JOIN comp d ON d.id = r.destination_id)
 SELECT request_id, group_id, source_id, source_type, group_id AS source_group_id, destination_id, destination_type,
   group_id AS destination_group_id, name, relationships, bp_objects, bp_size, expiration, reasons = '' AS valid, reasons
-FROM x""")
+FROM x"""
+
+
+@query("connection_validate", ["fx_connection_request", "fx_processor", "fx_port"], _CONNECTION_SQL)
 def q_connection_validate(spark, sf_dir):
     """C4: connection requests normalised, defaulted and checked against the components."""
     e = Estate.load(spark, sf_dir)
@@ -150,7 +153,7 @@ def q_connection_validate(spark, sf_dir):
 
 # --- H1 -------------------------------------------------------------------------
 
-@query("pipeline_spec_expand", ["fx_pipeline_spec"], """
+_SPEC_SQL = """
 , fb AS (SELECT pipeline_id, MIN(CASE WHEN type IS NULL OR name IS NULL THEN i END) AS first_bad
          FROM fx_pipeline_spec GROUP BY pipeline_id),
 x AS (SELECT s.*, CASE WHEN fb.first_bad IS NULL OR s.i < fb.first_bad THEN 'created'
@@ -161,7 +164,10 @@ SELECT pipeline_id, i, status,
        || CASE WHEN type IS NULL THEN 'type' ELSE 'name' END || ''' field' END AS message,
   type, name, CAST(coalesce(x, 200.0 + 200.0 * i) AS DOUBLE) AS x, CAST(200.0 AS DOUBLE) AS y,
   coalesce(config, '') AS config
-FROM x""")
+FROM x"""
+
+
+@query("pipeline_spec_expand", ["fx_pipeline_spec"], _SPEC_SQL)
 def q_pipeline_spec_expand(spark, sf_dir):
     """H1: pipeline specs expanded to created / rejected / skipped steps with default positions and configs."""
     return _as_text(changes.pipeline_spec_expand(_specs(Estate.load(spark, sf_dir))), "config")
@@ -234,7 +240,7 @@ def q_versioned_apply(spark, sf_dir):
     return nullable_as_double(_versioned(spark, sf_dir)[0], "version_after")
 
 
-@query("versioned_table", ["fx_command", "fx_processor"], _VERSIONED_SQL + """
+_TABLE_SQL = _VERSIONED_SQL + """
 , last AS (SELECT target_id, present_after, version_after,
              row_number() OVER (PARTITION BY target_id ORDER BY rn DESC) AS k FROM r),
 since AS (SELECT target_id, max(seq) AS s FROM r WHERE outcome IN ('created', 'deleted') GROUP BY target_id),
@@ -248,7 +254,10 @@ UNION ALL
 SELECT last.target_id, last.version_after,
   coalesce(payload.config, CASE WHEN since.s IS NULL THEN 'initial' END)
 FROM last LEFT JOIN payload ON payload.target_id = last.target_id LEFT JOIN since ON since.target_id = last.target_id
-WHERE k = 1 AND present_after""", recursive=True)
+WHERE k = 1 AND present_after"""
+
+
+@query("versioned_table", ["fx_command", "fx_processor"], _TABLE_SQL, recursive=True)
 def q_versioned_table(spark, sf_dir):
     """H2: the entity table (id, version, config) after the command batch; applied commands write their config."""
     e = Estate.load(spark, sf_dir)
@@ -285,7 +294,7 @@ _LAST_CONFIG_SQL = """
 """
 
 
-@query("config_update", ["fx_config_update", "fx_processor", "fx_property", "fx_auto_terminated"], _LAST_CONFIG_SQL + """
+_CONFIG_SQL = _LAST_CONFIG_SQL + """
 SELECT processor_id, 'properties' AS section, name, value FROM fx_property
   WHERE processor_id NOT IN (SELECT processor_id FROM lst WHERE update_type = 'properties')
 UNION ALL SELECT processor_id, 'properties', name, value FROM lst
@@ -293,7 +302,10 @@ UNION ALL SELECT processor_id, 'properties', name, value FROM lst
 UNION ALL SELECT processor_id, 'autoTerminatedRelationships', CAST(NULL AS VARCHAR), value FROM fx_auto_terminated
   WHERE processor_id NOT IN (SELECT processor_id FROM lst WHERE update_type = 'auto-terminatedrelationships')
 UNION ALL SELECT processor_id, 'autoTerminatedRelationships', CAST(NULL AS VARCHAR), value FROM lst
-  WHERE update_type = 'auto-terminatedrelationships' AND value IS NOT NULL""")
+  WHERE update_type = 'auto-terminatedrelationships' AND value IS NOT NULL"""
+
+
+@query("config_update", ["fx_config_update", "fx_processor", "fx_property", "fx_auto_terminated"], _CONFIG_SQL)
 def q_config_update(spark, sf_dir):
     """H3: processor config after the updates (the last payload of each kind replaces what was there)."""
     e = Estate.load(spark, sf_dir)
@@ -302,7 +314,7 @@ def q_config_update(spark, sf_dir):
 
 # --- H4, H5 ---------------------------------------------------------------------
 
-@query("state_apply", ["fx_state_command", "fx_processor", "fx_port"], """
+_STATE_SQL = """
 , comp AS (SELECT id, 'processor' AS kind, run_status FROM fx_processor
            UNION ALL SELECT id, 'port', run_status FROM fx_port),
 x AS (SELECT s.target_id, c.kind, upper(s.state) AS requested_state, c.run_status AS previous_state,
@@ -310,7 +322,10 @@ x AS (SELECT s.target_id, c.kind, upper(s.state) AS requested_state, c.run_statu
              WHEN c.id IS NULL THEN 'not_found'
              WHEN c.kind = 'processor' AND upper(s.state) = 'DISABLED' THEN 'invalid_state' ELSE 'set' END AS status
       FROM fx_state_command s LEFT JOIN comp c ON c.id = s.target_id)
-SELECT *, CASE WHEN status = 'set' THEN requested_state ELSE previous_state END AS new_state FROM x""")
+SELECT *, CASE WHEN status = 'set' THEN requested_state ELSE previous_state END AS new_state FROM x"""
+
+
+@query("state_apply", ["fx_state_command", "fx_processor", "fx_port"], _STATE_SQL)
 def q_state_apply(spark, sf_dir):
     """H4: run-state commands upper-cased and checked per kind (set / invalid_state / not_found)."""
     e = Estate.load(spark, sf_dir)
@@ -334,10 +349,13 @@ def q_group_state_apply(spark, sf_dir):
     return changes.group_state_apply(spark, requests, e.processors, e.ports)
 
 
-@query("group_state_apply_table", ["fx_group", "fx_processor", "fx_port"], _MEMBERS_SQL + """
+_GROUP_STATE_SQL = _MEMBERS_SQL + """
 SELECT m.id, group_id, run_status AS previous_state, CASE WHEN parent_id = 'pg-r1' THEN 'STOPPED' ELSE 'RUNNING' END AS new_state
 FROM m JOIN fx_group g ON g.id = m.group_id WHERE coalesce(run_status, '') <> 'DISABLED'
-  AND (validation_errors IS NULL OR validation_errors = '')""")
+  AND (validation_errors IS NULL OR validation_errors = '')"""
+
+
+@query("group_state_apply_table", ["fx_group", "fx_processor", "fx_port"], _GROUP_STATE_SQL)
 def q_group_state_apply_table(spark, sf_dir):
     """H5 with requests as a table: all groups started, those below pg-r1 then stopped, all asked for an unknown state."""
     e = Estate.load(spark, sf_dir)
@@ -451,3 +469,102 @@ def q_config_update_maps(spark, sf_dir):
     procs = e.processors.select("id").join(current, "id", "left").join(auto, "id", "left")
     out = _as_text(changes.config_update_maps(procs, e.config_updates), "properties")
     return out.select("id", "properties", F.array_join("auto_terminated", ";").alias("auto_terminated"))
+
+
+# --- two snapshots in one job -----------------------------------------------------
+
+SCOPE = ["snapshot_id"]
+_RESTARTED = ("SELECT id, group_id, CASE WHEN run_status = 'STOPPED' THEN 'RUNNING' ELSE 'STOPPED' END AS run_status, "
+              "validation_errors FROM fx_processor")
+_FEWER_PROCESSORS = "SELECT * FROM fx_processor WHERE id NOT LIKE '%7'"
+
+
+def _two(first, second=None):
+    """Rows of two snapshots, the second like the first where nothing else is given."""
+    return first.withColumn("snapshot_id", F.lit(1)).unionByName(
+        (first if second is None else second).withColumn("snapshot_id", F.lit(2)))
+
+
+def _restarted(processors):
+    return _two(processors, processors.withColumn(
+        "run_status", F.when(F.col("run_status") == "STOPPED", "RUNNING").otherwise("STOPPED")))
+
+
+def _fewer(table, column="id"):
+    return _two(table, table.where(~F.col(column).endswith("7")))
+
+
+@query("delete_preflight_snapshots", ["fx_delete_command", "fx_processor", "fx_connection", "fx_group", "fx_port", "fx_queue"],
+       two_snapshots(_DELETE_SQL, fx_processor=_RESTARTED, fx_connection="SELECT * FROM fx_connection WHERE group_id <> 'pg-n3'"))
+def q_delete_preflight_snapshots(spark, sf_dir):
+    """C3 over two snapshots: in the second other processors run and a group has no connections."""
+    e = Estate.load(spark, sf_dir)
+    facts = changes.delete_facts(_restarted(e.processors), _two(e.connections, e.connections.where("group_id <> 'pg-n3'")),
+                                 _two(e.groups), _two(e.ports), _two(e.queue), SCOPE)
+    return changes.delete_preflight(_two(e.delete_commands), facts, SCOPE)
+
+
+@query("connection_validate_snapshots", ["fx_connection_request", "fx_processor", "fx_port"],
+       two_snapshots(_CONNECTION_SQL, fx_processor=_FEWER_PROCESSORS))
+def q_connection_validate_snapshots(spark, sf_dir):
+    """C4 over two snapshots: some endpoints exist in the first only."""
+    e = Estate.load(spark, sf_dir)
+    comp = _fewer(e.processors.select("id", "group_id", F.lit("PROCESSOR").alias("kind"))).unionByName(
+        _two(e.ports.select("id", "group_id", "kind")))
+    requests = _two(e.connection_requests.withColumn("relationships", F.split("relationships", ";")))
+    out = changes.connection_validate(requests, comp, SCOPE)
+    return out.withColumn("relationships", F.array_join("relationships", ";"))
+
+
+@query("pipeline_spec_expand_snapshots", ["fx_pipeline_spec"], two_snapshots(
+    _SPEC_SQL, fx_pipeline_spec="SELECT * FROM fx_pipeline_spec WHERE (pipeline_id + i) % 11 <> 0"))
+def q_pipeline_spec_expand_snapshots(spark, sf_dir):
+    """H1 over two snapshots: specs of one pipeline id that break at different steps."""
+    specs = _specs(Estate.load(spark, sf_dir))
+    both = _two(specs, specs.where("(pipeline_id + i) % 11 <> 0"))
+    return _as_text(changes.pipeline_spec_expand(both, SCOPE), "config")
+
+
+@query("versioned_table_snapshots", ["fx_command", "fx_processor"], two_snapshots(
+    _TABLE_SQL, recursive=True, fx_command="SELECT * FROM fx_command WHERE seq % 3 <> 0",
+    fx_processor=_FEWER_PROCESSORS))
+def q_versioned_table_snapshots(spark, sf_dir):
+    """H2 over two snapshots: other commands to fewer entities in the second; both tables after their batches."""
+    e = Estate.load(spark, sf_dir)
+    initial = _fewer(e.processors.select("id", F.lit(0).cast("bigint").alias("version"), F.lit("initial").alias("config")))
+    commands = _two(e.commands, e.commands.where("seq % 3 <> 0"))
+    outcomes = versioned.versioned_apply(commands, initial, payload=["config"], scope=SCOPE)
+    return versioned.versioned_table(outcomes, initial, payload=["config"], scope=SCOPE)
+
+
+@query("config_update_snapshots", ["fx_config_update", "fx_processor", "fx_property", "fx_auto_terminated"], two_snapshots(
+    _CONFIG_SQL, fx_config_update="SELECT * FROM fx_config_update WHERE seq <> 2", fx_processor=_FEWER_PROCESSORS,
+    fx_property="SELECT * FROM fx_property WHERE processor_id NOT LIKE '%7'"))
+def q_config_update_snapshots(spark, sf_dir):
+    """H3 over two snapshots: the second lacks some commands, processors and properties."""
+    e = Estate.load(spark, sf_dir)
+    updates = _two(e.config_updates, e.config_updates.where("seq <> 2"))
+    return changes.config_update(_fewer(e.properties, "processor_id"), updates, _fewer(e.processors),
+                                 _two(e.auto_terminated), SCOPE)[1]
+
+
+@query("state_apply_snapshots", ["fx_state_command", "fx_processor", "fx_port"], two_snapshots(
+    _STATE_SQL, fx_processor=_RESTARTED,
+    fx_state_command="SELECT * FROM fx_state_command WHERE coalesce(state, '') <> 'running'"))
+def q_state_apply_snapshots(spark, sf_dir):
+    """H4 over two snapshots: other states before and fewer commands in the second."""
+    e = Estate.load(spark, sf_dir)
+    commands = _two(e.state_commands, e.state_commands.where("coalesce(state, '') <> 'running'"))
+    return changes.state_apply(commands, _restarted(e.processors), _two(e.ports), SCOPE)
+
+
+@query("group_state_apply_snapshots", ["fx_group", "fx_processor", "fx_port"], two_snapshots(
+    _GROUP_STATE_SQL, fx_processor=_RESTARTED, fx_group="SELECT * FROM fx_group WHERE parent_id <> 'pg-r2'"))
+def q_group_state_apply_snapshots(spark, sf_dir):
+    """H5 over two snapshots: other states before, and no request for the groups below pg-r2 in the second."""
+    e = Estate.load(spark, sf_dir)
+    ask = lambda df, state, seq: df.select(
+        "snapshot_id", F.col("id").alias("group_id"), F.lit(state).alias("state"), F.lit(seq).alias("seq"))
+    groups = _two(e.groups, e.groups.where("parent_id <> 'pg-r2'"))
+    requests = ask(groups, "running", 1).unionByName(ask(groups.where("parent_id = 'pg-r1'"), "stopped", 2))
+    return changes.group_state_apply(spark, requests, _restarted(e.processors), _two(e.ports), SCOPE)

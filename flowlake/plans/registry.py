@@ -7,6 +7,7 @@ list ahead of the query text, so DuckDB runs it without any of our code.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,21 @@ ORACLE: dict[str, str] = {}
 DOCS: dict[str, str] = {}
 
 
+def two_snapshots(sql: str, recursive: bool = False, **second: str) -> str:
+    """Oracle text of two snapshots: ``sql`` as it is, and over the views that ``second`` puts in their place."""
+    views = "".join(f", {v.replace('fx_', 'fx2_')} AS ({text})" for v, text in second.items())
+    names = re.compile(r"\b(" + "|".join(second) + r")\b")
+
+    def body(text):
+        text = text.strip()
+        return f"WITH {'RECURSIVE ' if recursive else ''}{text[1:]}" if text.startswith(",") else text
+
+    again = names.sub(lambda m: m.group().replace("fx_", "fx2_"), sql)
+    return f"""{views}
+SELECT 1 AS snapshot_id, a.* FROM ({body(sql)}) a
+UNION ALL SELECT 2, b.* FROM ({body(again)}) b"""
+
+
 def query(name: str, views=(), sql: str | None = None, recursive: bool = False):
     """Register ``fn`` under ``name``; ``sql`` (if any) is its oracle.
 
