@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.facts import DATE_COL
+
 from ..functions import text as T
 
 # Search-term names (as the remote product spells them) → columns of our table.
@@ -36,14 +38,22 @@ def _term_column(key: str, columns) -> str:
 
 
 def provenance_search(events: DataFrame, terms: dict, max_results: int = 1000,
-                      summarize: bool = True) -> DataFrame:
+                      summarize: bool = True, start=None, end=None) -> DataFrame:
     """events matching all terms, newest first, at most ``max_results``.
 
     ``terms`` maps a key to a value or to ``(value, inverse)``; an inverse term
     keeps the events that do *not* match, those without a value included.  ``summarize`` drops the detail
-    columns.
+    columns.  ``start`` and ``end`` bound the event time, both included; an
+    event without a time is in no such range.  On the fact layout they also bound
+    the date, which prunes partitions.
     """
-    df = events
+    df, time = events, events.schema["event_time"].dataType
+    for bound, within in ((start, "__ge__"), (end, "__le__")):
+        if bound is not None:
+            at = F.lit(str(bound)).cast(time)
+            df = df.where(getattr(F.col("event_time"), within)(at))
+            if DATE_COL in events.columns:
+                df = df.where(getattr(F.col(DATE_COL), within)(at.cast("date")))
     for key, spec in terms.items():
         value, inverse = (spec if isinstance(spec, tuple) else (spec, False))
         col = _term_column(key, events.columns)

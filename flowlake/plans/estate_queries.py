@@ -162,6 +162,17 @@ def q_provenance_search_component(spark, sf_dir):
     return provenance.provenance_search(ev, {"componentId": "proc-c46"}, max_results=20)
 
 
+@query("provenance_search_dates", ["fx_provenance"], f"""
+SELECT {_PROV_COLS} FROM fx_provenance WHERE event_type <> 'ERROR'
+  AND event_time >= TIMESTAMP '2024-01-10 12:00:00' AND event_time <= TIMESTAMP '2024-01-20 06:30:00'
+ORDER BY event_time DESC, event_id DESC LIMIT 500""")
+def q_provenance_search_dates(spark, sf_dir):
+    """newest 500 events of ten days that are no errors."""
+    ev = Estate.load(spark, sf_dir).provenance
+    return provenance.provenance_search(ev, {"event_type": ("ERROR", True)}, max_results=500,
+                                        start="2024-01-10 12:00:00", end="2024-01-20 06:30:00")
+
+
 @query("provenance_search_flowfile", ["fx_provenance"], f"""
 SELECT {_PROV_COLS} FROM fx_provenance WHERE flowfile_uuid = 'ff-7'
 ORDER BY event_time DESC, event_id DESC LIMIT 1000""")

@@ -90,6 +90,11 @@ def test_fact_layout_prunes_dates(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert df.count() == prov.where(F.to_date("event_time") >= F.lit(dates[-1])) \
         .where("component_id = 'proc-c46'").limit(20).count()
+    start, end = f"{dates[1]} 06:00:00", f"{dates[3]} 18:00:00"
+    df = provenance_search(spark.read.parquet(path), {}, 10**6, start=start, end=end)
+    filters = next(line for line in _formatted(df).splitlines() if "PartitionFilters" in line)
+    assert "event_date" in filters and str(dates[1]) in filters and str(dates[3]) in filters
+    assert 0 < df.count() == prov.where(f"event_time between '{start}' and '{end}'").count() < prov.count()
 
 
 def test_lookup_pushes_ids_into_scan(spark, tmp_path):
