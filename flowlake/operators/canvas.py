@@ -2,7 +2,8 @@
 
 Exploding is narrow: each document row becomes its member rows in the same
 task, no shuffle.  ``explode`` (not ``explode_outer``): a missing list gives no
-rows.
+rows.  A document may come in parts (``sources.flowdocs``): members are read
+from all its lines, the group's own fields from the first.
 """
 
 from __future__ import annotations
@@ -21,6 +22,22 @@ def list_size(c: Column) -> Column:
     return F.when(c.isNull(), F.lit(0)).otherwise(F.size(c)).cast("bigint")
 
 
+def in_parts(docs: DataFrame) -> Column:
+    """Whether a line is one part of its document (false: the whole)."""
+    return F.col("part").isNotNull() if "part" in docs.columns else F.lit(False)
+
+
+def whole_only(docs: DataFrame) -> DataFrame:
+    """The documents of a stream, where a part is an error: a micro-batch may hold some parts of a document only."""
+    return docs.where(F.when(in_parts(docs), F.raise_error(F.lit("documents in parts need a batch"))
+                             .cast("boolean")).otherwise(F.lit(True)))
+
+
+def _first_lines(docs: DataFrame) -> DataFrame:
+    """One line per document."""
+    return docs.where(~in_parts(docs) | (F.col("part.number") == 0)) if "part" in docs.columns else docs
+
+
 def _members(docs: DataFrame, kind: str) -> DataFrame:
     return docs.select(F.col(GROUP_ID).alias("group_id"), F.explode(f"processGroupFlow.flow.{kind}").alias("m"))
 
@@ -64,18 +81,30 @@ def canvas_explode(docs: DataFrame) -> dict[str, DataFrame]:
 
 
 def flow_counts(docs: DataFrame) -> DataFrame:
-    """Number of entries per member kind in each document (missing list = 0)."""
+    """Number of entries per member kind in each document (missing list = 0).
+
+    Narrow for whole documents; the parts of a document are counted one by one
+    and summed, which needs a batch.
+    """
     names = {"processors": "n_processors", "connections": "n_connections",
              "processGroups": "n_process_groups", "inputPorts": "n_input_ports",
              "outputPorts": "n_output_ports", "funnels": "n_funnels", "labels": "n_labels"}
-    return docs.select(F.col(GROUP_ID).alias("group_id"),
-                       *[list_size(F.col(f"processGroupFlow.flow.{k}")).alias(names[k]) for k in S.FLOW_KINDS])
+    sizes = [list_size(F.col(f"processGroupFlow.flow.{k}")).alias(names[k]) for k in S.FLOW_KINDS]
+    if "part" not in docs.columns:
+        return docs.select(F.col(GROUP_ID).alias("group_id"), *sizes)
+    if docs.isStreaming:
+        return whole_only(docs).select(F.col(GROUP_ID).alias("group_id"), *sizes)
+    whole = docs.where(~in_parts(docs)).select(F.col(GROUP_ID).alias("group_id"), *sizes)
+    parts = docs.where(in_parts(docs)).select(F.col("part.document").alias("document"), F.col(GROUP_ID).alias("group_id"), *sizes)
+    return whole.unionByName(parts.groupBy("document").agg(
+        F.max("group_id").alias("group_id"), *[F.sum(n).alias(n) for n in names.values()]).drop("document"))
 
 
 def document_groups(docs: DataFrame) -> DataFrame:
     """Group rows of the documents: id, parent id, breadcrumb name."""
-    return docs.select(F.col(GROUP_ID).alias("id"), F.col("processGroupFlow.parentGroupId").alias("parent_id"),
-                       F.col("processGroupFlow.breadcrumb.breadcrumb.name").alias("name"))
+    return _first_lines(docs).select(
+        F.col(GROUP_ID).alias("id"), F.col("processGroupFlow.parentGroupId").alias("parent_id"),
+        F.col("processGroupFlow.breadcrumb.breadcrumb.name").alias("name"))
 
 
 def root_from_documents(docs: DataFrame, default_name: str = DEFAULT_ROOT_NAME) -> DataFrame:
@@ -86,7 +115,7 @@ def root_from_documents(docs: DataFrame, default_name: str = DEFAULT_ROOT_NAME)
     top = F.nullif(F.col("id"), F.lit(""))
     inner = F.nullif(F.col("processGroupFlow.id"), F.lit(""))
     rid = F.coalesce(top, inner)
-    roots = docs.where(F.col("processGroupFlow.parentGroupId").isNull())
+    roots = _first_lines(docs).where(F.col("processGroupFlow.parentGroupId").isNull())
     return roots.select(
         F.when(rid.isNull(), F.raise_error(F.lit("root process group id not found"))).otherwise(rid)
         .alias("root_id"),
@@ -102,14 +131,16 @@ def pipeline_list_from_documents(docs: DataFrame, root_name: str = "root",
 
     The root's name comes from its breadcrumb (default ``root``), its parent is
     ``root``; a child without a name is ``ProcessGroup-<id>``.  Narrow: one
-    explode of the root document's child list.
+    explode of the child lists in the root document's lines.
     """
-    roots = docs.where(F.col("processGroupFlow.parentGroupId").isNull()).select(
-        F.coalesce(F.col(GROUP_ID), F.lit("root")).alias("id"),
-        F.coalesce(F.col("processGroupFlow.breadcrumb.breadcrumb.name"), F.lit(root_name)).alias("root_name"),
-        F.col("processGroupFlow.flow.processGroups").alias("kids"))
-    top = roots.select("id", F.col("root_name").alias("name"), F.lit(root_name).alias("parent"))
-    kids = roots.select("root_name", F.explode("kids").alias("k")).select(
+    def root(lines):
+        return lines.where(F.col("processGroupFlow.parentGroupId").isNull()).select(
+            F.coalesce(F.col(GROUP_ID), F.lit("root")).alias("id"),
+            F.coalesce(F.col("processGroupFlow.breadcrumb.breadcrumb.name"), F.lit(root_name)).alias("root_name"),
+            F.col("processGroupFlow.flow.processGroups").alias("kids"))
+
+    top = root(_first_lines(docs)).select("id", F.col("root_name").alias("name"), F.lit(root_name).alias("parent"))
+    kids = root(docs).select("root_name", F.explode("kids").alias("k")).select(
         F.col("k.id").alias("id"),
         F.coalesce(F.col("k.component").getField("name"), F.concat(F.lit(child_prefix), F.col("k.id"))).alias("name"),
         F.col("root_name").alias("parent"))

@@ -9,8 +9,8 @@ Input tables (flat, one row per entity):
 Every rule is a filter or an anti join on (group_id, id), so each rule shuffles
 at most once on a unique key; no rule gathers a group into one task.
 ``lint_documents`` computes the same report per flow document (one document
-is one group as read), with array functions and no shuffle, on batches or
-streams.
+is one group as read): ``lint_lines`` with array functions and no shuffle, on
+batches or streams, and ``lint_settled`` for the documents that come in parts.
 
 ``scope`` names columns that partition the estate (for example
 ``["snapshot_id"]`` when several snapshots are loaded together): they are added
@@ -21,13 +21,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .canvas import in_parts, whole_only
 
 # Order of the rules inside one group's report (the reference appends in this order).
 RULE_ORDER = {"no_processors": 0, "disconnected": 1, "stopped": 2, "invalid": 3}
+# What a part of a document says besides the rules: an endpoint of its connections, its own counts.
+ENDPOINT, PART = "endpoint", "part"
 
 
 def _name(c="name"):
@@ -145,16 +148,59 @@ def lint_report(groups: DataFrame, processors: DataFrame, connections: DataFrame
 
 
 def lint_documents(docs: DataFrame) -> DataFrame:
-    """D1 on flow documents, one document at a time, without any join.
+    """D1 on flow documents, whole or in parts. Same columns and rows as ``lint_report`` on the flattened tables.
 
-    Each document holds one group's processors and connections, so the rules
+    On a stream of whole documents the result is a stream. The report of a
+    document in parts needs all its lines, so a stream of those takes two
+    steps: ``lint_lines`` on the stream, ``lint_settled`` on what it wrote.
+    """
+    if docs.isStreaming:
+        return lint_lines(whole_only(docs)).drop("document")
+    return lint_settled(lint_lines(docs)) if "part" in docs.columns else lint_lines(docs).drop("document")
+
+
+def lint_settled(lines: DataFrame) -> DataFrame:
+    """The report from all ``lint_lines`` of the documents.
+
+    Those of whole documents are the report. Of documents in parts, a
+    processor is disconnected if no part has it as an endpoint: one window by
+    document and processor tells, so no document is gathered into one task.
+    """
+    rows = ["group_id", "rule", "rule_order", "processor_id", "suggestion", "processor_count", "connection_count"]
+    whole = lines.where(F.col("document").isNull()).select(*rows)
+    parts = lines.where(F.col("document").isNotNull())
+    counts = parts.where(F.col("rule") == PART).groupBy("document").agg(
+        F.max("group_id").alias("group_id"), F.sum("processor_count").alias("processor_count"),
+        F.sum("connection_count").alias("connection_count"))
+    none = F.lit(None).cast("bigint")
+    empty = counts.where("processor_count = 0").select(
+        "group_id", F.lit("no_processors").alias("rule"), F.lit(RULE_ORDER["no_processors"]).alias("rule_order"),
+        F.lit(None).cast("string").alias("processor_id"), F.lit(T.MSG_NO_PROCESSORS).alias("suggestion"),
+        none.alias("processor_count"), none.alias("connection_count"))
+    # no endpoint is null: processors without an id stay disconnected
+    connected = F.max(F.col("rule") == ENDPOINT).over(Window.partitionBy("document", "processor_id"))
+    found = (parts.where(F.col("rule") != PART).withColumn("connected", connected)
+             .where((F.col("rule") != ENDPOINT) & ((F.col("rule") != "disconnected") | ~F.col("connected")))
+             .drop("group_id", "processor_count", "connection_count", "connected")
+             .join(counts.where("processor_count > 0"), "document").select(*rows))
+    return whole.unionByName(found).unionByName(empty)
+
+
+def lint_lines(docs: DataFrame) -> DataFrame:
+    """D1 on flow documents, one line at a time, without any join.
+
+    A line holds one group's processors and connections, so the rules
     run on its arrays with built-in higher-order functions.  A processor is
     looked up among the endpoint ids or among the ids that are no endpoint
     (``array_except``, hash based), whichever are fewer; processors without an
     id or with a repeated one are each reported.  Narrow and stateless, so it
-    runs unchanged on a stream of documents.  Same columns and rows as
-    ``lint_report`` on the flattened tables.
+    runs unchanged on a stream of documents.  ``document`` is null for whole
+    documents, whose rows are final.  A part of a document says which of its
+    processors are not connected by itself, which ids it connects, and its
+    counts; ``lint_settled`` makes the report of it.
     """
+    part = in_parts(docs)
+    document = F.col("part.document") if "part" in docs.columns else F.lit(None).cast("string")
     flow = F.col("processGroupFlow.flow")
     procs = flow.getField("processors")
     conns = flow.getField("connections")
@@ -174,7 +220,7 @@ def lint_documents(docs: DataFrame) -> DataFrame:
         F.array(F.array_except(ids, e)), lambda free: lone(procs, e, free)))[0][0]
 
     def line(rule, pid, text):
-        return F.struct(F.lit(rule).alias("rule"), F.lit(RULE_ORDER[rule]).alias("rule_order"),
+        return F.struct(F.lit(rule).alias("rule"), F.lit(RULE_ORDER.get(rule, -1)).alias("rule_order"),
                         pid.alias("processor_id"), text.alias("suggestion"))
 
     def pname(p):
@@ -184,10 +230,7 @@ def lint_documents(docs: DataFrame) -> DataFrame:
         return F.coalesce(p["status"]["validationErrors"], p["component"]["validationErrors"])
 
     n_procs = F.when(procs.isNull(), F.lit(0)).otherwise(F.size(procs))
-    lines = F.when(
-        n_procs == 0,
-        F.array(line("no_processors", F.lit(None).cast("string"), F.lit(T.MSG_NO_PROCESSORS))),
-    ).otherwise(F.concat(
+    found = F.concat(
         F.transform(disconnected, lambda p: line(
             "disconnected", p["id"], F.format_string(T.MSG_DISCONNECTED, pname(p), p["id"]))),
         F.transform(F.filter(procs, lambda p: F.coalesce(p["status"]["runStatus"], F.lit(T.UNKNOWN_STATUS))
@@ -195,13 +238,19 @@ def lint_documents(docs: DataFrame) -> DataFrame:
                     lambda p: line("stopped", p["id"], F.format_string(T.MSG_STOPPED, pname(p)))),
         F.transform(F.filter(procs, lambda p: F.coalesce(F.size(perrs(p)), F.lit(-1)) > 0),
                     lambda p: line("invalid", p["id"], F.format_string(
-                        T.MSG_INVALID, pname(p), F.array_join(perrs(p), ", "))))))
+                        T.MSG_INVALID, pname(p), F.array_join(perrs(p), ", ")))))
+    nothing = F.lit(None).cast("string")
     has = n_procs > 0
+    said = F.when(
+        part, F.concat(F.when(has, found).otherwise(F.array()),
+                       F.transform(ends, lambda e: line(ENDPOINT, e, nothing)), F.array(line(PART, nothing, nothing)))
+    ).when(n_procs == 0, F.array(line("no_processors", nothing, F.lit(T.MSG_NO_PROCESSORS)))).otherwise(found)
     return docs.select(
+        document.alias("document"),
         F.col("processGroupFlow.id").alias("group_id"),
-        F.when(has, n_procs.cast("bigint")).alias("processor_count"),
-        F.when(has, F.when(conns.isNull(), F.lit(0)).otherwise(F.size(conns)).cast("bigint"))
+        F.when(part | has, n_procs.cast("bigint")).alias("processor_count"),
+        F.when(part | has, F.when(conns.isNull(), F.lit(0)).otherwise(F.size(conns)).cast("bigint"))
         .alias("connection_count"),
-        F.explode(lines).alias("l"),
-    ).select("group_id", "l.rule", "l.rule_order", "l.processor_id", "l.suggestion",
+        F.explode(said).alias("l"),
+    ).select("document", "group_id", "l.rule", "l.rule_order", "l.processor_id", "l.suggestion",
              "processor_count", "connection_count")

@@ -328,14 +328,14 @@ def q_pipeline_list_doc(spark, sf_dir):
 
 @query("lint_documents", ["fx_group", "fx_processor", "fx_connection"], _lint_report_sql())
 def q_lint_documents(spark, sf_dir):
-    """D1 per flow document with array functions (no join), batch read of the documents."""
+    """D1 per flow document with array functions, batch read of the documents."""
     return nullable_as_double(lint.lint_documents(_docs(spark, sf_dir)), *COUNTS)
 
 
 @query("lint_documents_stream", ["fx_group", "fx_processor", "fx_connection"], _lint_report_sql())
 def q_lint_documents_stream(spark, sf_dir):
-    """D1 per flow document on a document stream (availableNow drain)."""
+    """D1 per flow document on a document stream (availableNow drain), documents in parts settled after it."""
     from ..streaming import streams
     path = _docs_path(spark, sf_dir)
-    out = streams.drain(lint.lint_documents(read_flow_docs(spark, path, streaming=True)), "lintdocs")
-    return nullable_as_double(out, *COUNTS)
+    lines = streams.drain(lint.lint_lines(read_flow_docs(spark, path, streaming=True)), "lintdocs")
+    return nullable_as_double(lint.lint_settled(lines), *COUNTS)

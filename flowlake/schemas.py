@@ -71,6 +71,8 @@ FLOW_DOCUMENT = T.StructType([
             T.StructField("breadcrumb", T.StructType([T.StructField("name", S)]))])),
         T.StructField("flow", FLOW),
     ])),
+    # null: the line is a whole document; else the line is one part of it (number 0: its first line)
+    T.StructField("part", T.StructType([T.StructField("document", S), T.StructField("number", T.LongType())])),
     T.StructField("_corrupt_record", S),
 ])
 

@@ -4,19 +4,30 @@ A flow document is one group's canvas: the group's own fields plus seven
 member lists.  Documents are read as JSON lines with the explicit schema in
 ``flowlake.schemas`` (``PERMISSIVE``; a malformed line lands in
 ``_corrupt_record``), batch or streaming with the same schema.
+
+A group can have more members than one JSON line or one row can hold, so a
+document may come in parts: lines with the group's own fields and ``part``
+(``document``, the same for all its lines; ``number``, 0 for exactly one of
+them), each with some of the members.  A line without ``part`` is a whole
+document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 
+#: Entries in one line of a document in parts, at most.
+PART_ENTRIES = 500
+#: A group's members are dealt to this many tasks by the hash of the row.
+DEALT = 16
+
 
 def read_flow_docs(spark: SparkSession, path: str, multi_line: bool = False,
                    streaming: bool = False) -> DataFrame:
-    """A1: one row per flow document; missing keys read as null.
+    """A1: one row per flow document, or per part of one; missing keys read as null.
 
     ``multi_line`` is for pretty-printed single-document files (not
     splittable); JSON lines is the scalable layout.
@@ -31,71 +42,83 @@ def read_flow_docs(spark: SparkSession, path: str, multi_line: bool = False,
 
 def build_flow_docs(groups: DataFrame, processors: DataFrame, connections: DataFrame,
                     ports: DataFrame, funnels: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
-    """Nest flat tables into flow documents (test input only).
+    """Nest flat tables into flow documents in parts (test input only).
 
-    Each member table is grouped by its group id and left-joined to the
-    groups, so a group without members has a null list.  This builds stand-in
-    input; no operator depends on it.
+    Each group row is a document: a first line with the group's own fields, and
+    lines of at most ``PART_ENTRIES`` members.  A group without members has null
+    lists.  No list is longer than a line, and no group is gathered into one
+    task.  This builds stand-in input; no operator depends on it.
     """
-    proc_struct = F.struct(
-        F.col("id"),
-        F.struct(F.lit(None).cast("string").alias("clientId"), F.col("version").cast("bigint").alias("version"))
-        .alias("revision"),
-        F.struct(F.col("name"), F.col("type"), F.lit(None).cast(S.POSITION).alias("position"),
-                 F.lit(None).cast(S.PROCESSOR["component"].dataType["config"].dataType).alias("config"),
-                 F.lit(None).cast("array<string>").alias("validationErrors")).alias("component"),
-        F.struct(F.col("run_status").alias("runStatus"),
-                 F.col("validation_errors").alias("validationErrors")).alias("status"),
-    )
-    procs = processors.groupBy("group_id").agg(F.collect_list(proc_struct).alias("processors"))
-    conn_struct = F.struct(
-        F.col("id"),
-        F.lit(None).cast(S.REVISION).alias("revision"),
-        F.struct(
-            F.lit(None).cast("string").alias("name"),
-            F.struct(F.col("source_id").alias("id"), F.col("group_id").alias("groupId"),
-                     F.lit("PROCESSOR").alias("type")).alias("source"),
-            F.struct(F.col("destination_id").alias("id"), F.col("group_id").alias("groupId"),
-                     F.lit("PROCESSOR").alias("type")).alias("destination"),
-            F.lit(None).cast("array<string>").alias("selectedRelationships"),
-            F.col("bp_objects").cast("bigint").alias("backPressureObjectThreshold"),
-            F.col("bp_size").alias("backPressureDataSizeThreshold"),
-            F.col("expiration").alias("flowFileExpiration"),
-        ).alias("component"),
-    )
-    conns = connections.groupBy("group_id").agg(F.collect_list(conn_struct).alias("connections"))
-    port_struct = F.struct(F.col("id"), F.lit(None).cast(S.REVISION).alias("revision"),
-                           F.struct(F.col("name"), F.col("run_status").alias("state")).alias("component"))
-    inp = ports.where(F.col("kind") == "INPUT_PORT").groupBy("group_id") \
-        .agg(F.collect_list(port_struct).alias("inputPorts"))
-    outp = ports.where(F.col("kind") == "OUTPUT_PORT").groupBy("group_id") \
-        .agg(F.collect_list(port_struct).alias("outputPorts"))
-    kids = groups.where(F.col("parent_id").isNotNull()).groupBy(F.col("parent_id").alias("group_id")).agg(
-        F.collect_list(F.struct(F.col("id"), F.struct(F.col("name")).alias("component"))).alias("processGroups"))
-    df = groups.select(F.col("id").alias("group_id"), "parent_id", "name")
-    parts = [procs, conns, kids, inp, outp]
+    null = F.lit(None).cast
+    tables = {
+        "processors": (processors, "group_id", F.struct(
+            F.col("id"),
+            F.struct(null("string").alias("clientId"), F.col("version").cast("bigint").alias("version")).alias("revision"),
+            F.struct(F.col("name"), F.col("type"), null(S.POSITION).alias("position"),
+                     null(S.PROCESSOR["component"].dataType["config"].dataType).alias("config"),
+                     null("array<string>").alias("validationErrors")).alias("component"),
+            F.struct(F.col("run_status").alias("runStatus"),
+                     F.col("validation_errors").alias("validationErrors")).alias("status"))),
+        "connections": (connections, "group_id", F.struct(
+            F.col("id"),
+            null(S.REVISION).alias("revision"),
+            F.struct(
+                null("string").alias("name"),
+                F.struct(F.col("source_id").alias("id"), F.col("group_id").alias("groupId"),
+                         F.lit("PROCESSOR").alias("type")).alias("source"),
+                F.struct(F.col("destination_id").alias("id"), F.col("group_id").alias("groupId"),
+                         F.lit("PROCESSOR").alias("type")).alias("destination"),
+                null("array<string>").alias("selectedRelationships"),
+                F.col("bp_objects").cast("bigint").alias("backPressureObjectThreshold"),
+                F.col("bp_size").alias("backPressureDataSizeThreshold"),
+                F.col("expiration").alias("flowFileExpiration")).alias("component"))),
+        "processGroups": (groups, "parent_id", F.struct(F.col("id"), F.struct(F.col("name")).alias("component"))),
+    }
+    for kind, label in (("inputPorts", "INPUT_PORT"), ("outputPorts", "OUTPUT_PORT")):
+        tables[kind] = (ports.where(F.col("kind") == label), "group_id", F.struct(
+            F.col("id"), null(S.REVISION).alias("revision"),
+            F.struct(F.col("name"), F.col("run_status").alias("state")).alias("component")))
     for table, kind in ((funnels, "funnels"), (labels, "labels")):
         if table is not None:
-            parts.append(table.groupBy("group_id").agg(F.collect_list(F.struct("id")).alias(kind)))
-        else:
-            df = df.withColumn(kind, F.lit(None).cast(S.FLOW[kind].dataType))
-    for part in parts:
-        df = df.join(part, "group_id", "left")
-    flow = F.struct(
-        F.col("processors"), F.col("connections"), F.col("processGroups"),
-        F.col("inputPorts"), F.col("outputPorts"),
-        F.col("funnels"), F.col("labels"))
-    return df.select(
+            tables[kind] = (table, "group_id", F.struct("id"))
+
+    members = None
+    for kind, (table, group, entry) in tables.items():
+        rows = table.where(F.col(group).isNotNull()).select(
+            F.col(group).alias("group_id"), entry.alias("entry"),
+            F.pmod(F.xxhash64(*table.columns), F.lit(DEALT)).cast("int").alias("dealt")).select(
+            "group_id", "dealt",
+            *[(F.col("entry") if k == kind else null(S.FLOW[k].dataType.elementType)).alias(k) for k in S.FLOW_KINDS])
+        members = rows if members is None else members.unionByName(rows)
+
+    # group rows that share an id are documents of their own, each with all members
+    copy = F.row_number().over(Window.partitionBy("id").orderBy("parent_id", "name"))
+    heads = groups.select(F.col("id").alias("group_id"), "parent_id", "name", F.when(
+        F.col("id").isNotNull(), F.concat_ws("/", "id", copy.cast("string"))).alias("document"))
+    head = ["group_id", "document", "parent_id", "name"]
+    dealt = heads.where(F.col("document").isNotNull()).withColumn(
+        "dealt", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
+    # shuffled by group and dealt number, which the steps after it keep: never one group in one task or broadcast
+    at = F.row_number().over(Window.partitionBy("group_id", "dealt", "document").orderBy(F.lit(0)))
+    lists = [F.collect_list(k).alias(k) for k in S.FLOW_KINDS]
+    parts = (members.join(dealt.hint("merge"), ["group_id", "dealt"])
+             .withColumn("cut", F.floor((at - 1) / PART_ENTRIES))
+             .groupBy("dealt", *head, "cut").agg(*lists)
+             .select(*head, (F.col("cut") * DEALT + F.col("dealt") + 1).alias("number"),
+                     *[F.when(F.size(k) > 0, F.col(k)).alias(k) for k in S.FLOW_KINDS]))
+    firsts = heads.select(*head, F.lit(0).cast("bigint").alias("number"),
+                          *[null(S.FLOW[k].dataType).alias(k) for k in S.FLOW_KINDS])
+    return firsts.unionByName(parts).select(
         F.col("group_id").alias("id"),
         F.struct(
             F.col("group_id").alias("id"),
             F.concat(F.lit("/flow/process-groups/"), F.col("group_id")).alias("uri"),
             F.col("parent_id").alias("parentGroupId"),
-            F.lit(None).cast(S.FLOW_DOCUMENT["processGroupFlow"].dataType["parameterContext"].dataType)
-            .alias("parameterContext"),
+            null(S.FLOW_DOCUMENT["processGroupFlow"].dataType["parameterContext"].dataType).alias("parameterContext"),
             F.struct(F.struct(F.col("name")).alias("breadcrumb")).alias("breadcrumb"),
-            flow.alias("flow"),
-        ).alias("processGroupFlow"))
+            F.struct(*S.FLOW_KINDS).alias("flow"),
+        ).alias("processGroupFlow"),
+        F.when(F.col("document").isNotNull(), F.struct("document", "number")).alias("part"))
 
 
 def write_flow_docs(docs: DataFrame, path: str) -> None:
