@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import written
 from .canvas import in_parts, whole_only
 
 # Order of the rules inside one group's report (the reference appends in this order).
@@ -156,7 +157,9 @@ def lint_documents(docs: DataFrame) -> DataFrame:
     """
     if docs.isStreaming:
         return lint_lines(whole_only(docs)).drop("document")
-    return lint_settled(lint_lines(docs)) if "part" in docs.columns else lint_lines(docs).drop("document")
+    if "part" not in docs.columns:
+        return lint_lines(docs).drop("document")
+    return lint_settled(written(lint_lines(docs), "lint-lines"))  # documents are parsed once
 
 
 def lint_settled(lines: DataFrame) -> DataFrame:
