@@ -32,6 +32,10 @@ def _reasons(*pairs: tuple[Column, str]) -> Column:
 # Delete preflight
 # ---------------------------------------------------------------------------
 
+#: Kinds by name: their places are numbers, whose largest one hash aggregates find (that of a text takes sorted rows).
+KINDS = ("connection", "group", "input_port", "output_port", "processor")
+
+
 def delete_facts(processors: DataFrame, connections: DataFrame, groups: DataFrame,
                  ports: DataFrame, queue: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """One row per deletable entity: (kind, id, stopped, connected, queued, members).
@@ -45,7 +49,7 @@ def delete_facts(processors: DataFrame, connections: DataFrame, groups: DataFram
     def says(about, id_, kind=None, stopped=None, connected=False, queued=0, members=0, running=None):
         return F.struct(
             F.lit(about).alias("about"), id_.alias("id"),
-            (kind if isinstance(kind, Column) else F.lit(kind).cast("string")).alias("kind"),
+            (kind if isinstance(kind, Column) else F.lit(kind and KINDS.index(kind)).cast("int")).alias("kind"),
             (stopped if isinstance(stopped, Column) else F.lit(stopped).cast("boolean")).alias("stopped"),
             F.lit(connected).alias("connected"), F.lit(queued).cast("bigint").alias("queued"),
             F.lit(members).cast("bigint").alias("members"),
@@ -55,7 +59,7 @@ def delete_facts(processors: DataFrame, connections: DataFrame, groups: DataFram
         return df.select(*scope, F.explode(F.array(*facts)).alias("f")).select(*scope, "f.*")
 
     c, stopped, running = F.col, F.col("run_status") == "STOPPED", F.coalesce(F.col("run_status") == "RUNNING", F.lit(False))
-    port_kind = F.when(c("kind") == "INPUT_PORT", F.lit("input_port")).otherwise(F.lit("output_port"))
+    port_kind = F.when(c("kind") == "INPUT_PORT", KINDS.index("input_port")).otherwise(KINDS.index("output_port"))
     said = rows(processors, says("component", c("id"), "processor", stopped),
                 says("group", c("group_id"), members=1, running=running))
     said = said.unionByName(rows(ports, says("component", c("id"), port_kind, stopped),
@@ -71,7 +75,7 @@ def delete_facts(processors: DataFrame, connections: DataFrame, groups: DataFram
         F.max("kind").alias("kind"), F.max("stopped").alias("stopped"), F.max("connected").alias("connected"),
         F.sum("queued").alias("queued"), F.sum("members").alias("members"), F.max("running").alias("running"))
     return facts.where(c("kind").isNotNull()).select(
-        *scope, "kind", "id",
+        *scope, F.get(F.array(*map(F.lit, KINDS)), c("kind")).alias("kind"), "id",
         F.when(c("about") == "component", c("stopped")).when(c("about") == "group", ~c("running"))
         .otherwise(F.lit(True)).alias("stopped"),
         "connected", "queued", "members")

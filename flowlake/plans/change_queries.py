@@ -479,19 +479,21 @@ _RESTARTED = ("SELECT id, group_id, CASE WHEN run_status = 'STOPPED' THEN 'RUNNI
 _FEWER_PROCESSORS = "SELECT * FROM fx_processor WHERE id NOT LIKE '%7'"
 
 
-def _two(first, second=None):
-    """Rows of two snapshots, the second like the first where nothing else is given."""
-    return first.withColumn("snapshot_id", F.lit(1)).unionByName(
-        (first if second is None else second).withColumn("snapshot_id", F.lit(2)))
+def _two(first, kept=None):
+    """Rows of two snapshots, the second with those of the first that ``kept`` keeps (all, if not given); the table is computed once."""
+    both, one = F.array(F.lit(1), F.lit(2)), F.array(F.lit(1))
+    kept = F.expr(kept) if isinstance(kept, str) else kept
+    return first.withColumn("snapshot_id", F.explode(both if kept is None else F.when(kept, both).otherwise(one)))
 
 
 def _restarted(processors):
-    return _two(processors, processors.withColumn(
-        "run_status", F.when(F.col("run_status") == "STOPPED", "RUNNING").otherwise("STOPPED")))
+    return _two(processors).withColumn(
+        "run_status", F.when(F.col("snapshot_id") == 1, F.col("run_status"))
+        .when(F.col("run_status") == "STOPPED", "RUNNING").otherwise("STOPPED"))
 
 
 def _fewer(table, column="id"):
-    return _two(table, table.where(~F.col(column).endswith("7")))
+    return _two(table, ~F.col(column).endswith("7"))
 
 
 @query("delete_preflight_snapshots", ["fx_delete_command", "fx_processor", "fx_connection", "fx_group", "fx_port", "fx_queue"],
@@ -499,7 +501,7 @@ def _fewer(table, column="id"):
 def q_delete_preflight_snapshots(spark, sf_dir):
     """C3 over two snapshots: in the second other processors run and a group has no connections."""
     e = Estate.load(spark, sf_dir)
-    facts = changes.delete_facts(_restarted(e.processors), _two(e.connections, e.connections.where("group_id <> 'pg-n3'")),
+    facts = changes.delete_facts(_restarted(e.processors), _two(e.connections, "group_id <> 'pg-n3'"),
                                  _two(e.groups), _two(e.ports), _two(e.queue), SCOPE)
     return changes.delete_preflight(_two(e.delete_commands), facts, SCOPE)
 
@@ -521,7 +523,7 @@ def q_connection_validate_snapshots(spark, sf_dir):
 def q_pipeline_spec_expand_snapshots(spark, sf_dir):
     """H1 over two snapshots: specs of one pipeline id that break at different steps."""
     specs = _specs(Estate.load(spark, sf_dir))
-    both = _two(specs, specs.where("(pipeline_id + i) % 11 <> 0"))
+    both = _two(specs, "(pipeline_id + i) % 11 <> 0")
     return _as_text(changes.pipeline_spec_expand(both, SCOPE), "config")
 
 
@@ -532,7 +534,7 @@ def q_versioned_table_snapshots(spark, sf_dir):
     """H2 over two snapshots: other commands to fewer entities in the second; both tables after their batches."""
     e = Estate.load(spark, sf_dir)
     initial = _fewer(e.processors.select("id", F.lit(0).cast("bigint").alias("version"), F.lit("initial").alias("config")))
-    commands = _two(e.commands, e.commands.where("seq % 3 <> 0"))
+    commands = _two(e.commands, "seq % 3 <> 0")
     outcomes = versioned.versioned_apply(commands, initial, payload=["config"], scope=SCOPE)
     return versioned.versioned_table(outcomes, initial, payload=["config"], scope=SCOPE)
 
@@ -543,7 +545,7 @@ def q_versioned_table_snapshots(spark, sf_dir):
 def q_config_update_snapshots(spark, sf_dir):
     """H3 over two snapshots: the second lacks some commands, processors and properties."""
     e = Estate.load(spark, sf_dir)
-    updates = _two(e.config_updates, e.config_updates.where("seq <> 2"))
+    updates = _two(e.config_updates, "seq <> 2")
     return changes.config_update(_fewer(e.properties, "processor_id"), updates, _fewer(e.processors),
                                  _two(e.auto_terminated), SCOPE)[1]
 
@@ -554,7 +556,7 @@ def q_config_update_snapshots(spark, sf_dir):
 def q_state_apply_snapshots(spark, sf_dir):
     """H4 over two snapshots: other states before and fewer commands in the second."""
     e = Estate.load(spark, sf_dir)
-    commands = _two(e.state_commands, e.state_commands.where("coalesce(state, '') <> 'running'"))
+    commands = _two(e.state_commands, "coalesce(state, '') <> 'running'")
     return changes.state_apply(commands, _restarted(e.processors), _two(e.ports), SCOPE)
 
 
@@ -565,6 +567,6 @@ def q_group_state_apply_snapshots(spark, sf_dir):
     e = Estate.load(spark, sf_dir)
     ask = lambda df, state, seq: df.select(
         "snapshot_id", F.col("id").alias("group_id"), F.lit(state).alias("state"), F.lit(seq).alias("seq"))
-    groups = _two(e.groups, e.groups.where("parent_id <> 'pg-r2'"))
+    groups = _two(e.groups, "parent_id <> 'pg-r2'")
     requests = ask(groups, "running", 1).unionByName(ask(groups.where("parent_id = 'pg-r1'"), "stopped", 2))
     return changes.group_state_apply(spark, requests, _restarted(e.processors), _two(e.ports), SCOPE)
