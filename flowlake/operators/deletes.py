@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from ..session import written
 
 KINDS = ("processor", "input_port", "output_port", "connection", "group")
+#: join keys of an entity
+ENTITY = ["key", "kind", "id"]
 #: t of an entity that stays
 NEVER = (1 << 63) - 1
 
@@ -43,9 +45,13 @@ def _port_kind() -> Column:
     return F.when(F.col("kind") == "INPUT_PORT", "input_port").otherwise("output_port")
 
 
-def deletable_entities(processors: DataFrame, connections: DataFrame, groups: DataFrame,
-                       ports: DataFrame, queue: DataFrame) -> DataFrame:
-    """(kind, id, version, stopped, queued): what stands against a delete whatever else goes.
+def _key(kind: Column, id_: Column) -> Column:
+    """Leads the join keys of entities: sorts compare numbers, not ids that begin alike."""
+    return F.xxhash64(kind, id_).alias("key")
+
+
+def deletable_entities(processors: DataFrame, groups: DataFrame, ports: DataFrame) -> DataFrame:
+    """(key, kind, id, version, stopped) of all but connections: what stands against a delete whatever else goes.
 
     A group is stopped if none of its processors and ports runs. Tables without
     a ``version`` column have version 0. Repeated rows are one entity: stopped
@@ -53,32 +59,43 @@ def deletable_entities(processors: DataFrame, connections: DataFrame, groups: Da
     """
     running = (processors.select("group_id", "run_status").unionByName(ports.select("group_id", "run_status"))
                .where(F.col("run_status") == "RUNNING").select(F.col("group_id").alias("id")).distinct())
-    waiting = queue.groupBy(F.col("connection_id").alias("id")).agg(F.count(F.lit(1)).alias("queued"))
     stopped = F.coalesce(F.col("run_status") == "STOPPED", F.lit(False))
-    none = F.lit(0).cast("bigint")
     parts = [
-        processors.select(F.lit("processor").alias("kind"), "id", _version(processors).alias("version"),
-                          stopped.alias("stopped"), none.alias("queued")),
-        ports.select(_port_kind().alias("kind"), "id", _version(ports).alias("version"), stopped.alias("stopped"), none.alias("queued")),
-        connections.withColumn("_v", _version(connections)).join(waiting, "id", "left").select(
-            F.lit("connection").alias("kind"), "id", F.col("_v").alias("version"), F.lit(True).alias("stopped"),
-            F.coalesce("queued", none).alias("queued")),
+        processors.select(F.lit("processor").alias("kind"), "id", _version(processors).alias("version"), stopped.alias("stopped")),
+        ports.select(_port_kind().alias("kind"), "id", _version(ports).alias("version"), stopped.alias("stopped")),
         groups.withColumn("_v", _version(groups)).join(running.withColumn("_runs", F.lit(True)), "id", "left").select(
-            F.lit("group").alias("kind"), "id", F.col("_v").alias("version"), F.col("_runs").isNull().alias("stopped"),
-            none.alias("queued")),
+            F.lit("group").alias("kind"), "id", F.col("_v").alias("version"), F.col("_runs").isNull().alias("stopped")),
     ]
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
-    return (union.where(F.col("id").isNotNull()).groupBy("kind", "id")
-            .agg(F.max("version").alias("version"), F.max("stopped").alias("stopped"), F.max("queued").alias("queued")))
+    return (union.where(F.col("id").isNotNull()).withColumn("key", _key(F.col("kind"), F.col("id"))).groupBy(*ENTITY)
+            .agg(F.max("version").alias("version"), F.max("stopped").alias("stopped")))
+
+
+def _connections_settled(tries: DataFrame, connections: DataFrame, queue: DataFrame) -> DataFrame:
+    """(key, id, version, queued, t) of the connections of ``tries``, which nothing but their own queues hold.
+
+    tries: key, id, seq, expected_version; connections: key, id, version. Queue
+    counts are rows of the aggregate over the connections, not a join.
+    """
+    waiting = queue.where("connection_id is not null").groupBy(F.col("connection_id").alias("id")).agg(F.count(F.lit(1)).alias("queued"))
+    there = (connections.where("id is not null").select("key", "id", "version", F.lit(0).cast("bigint").alias("queued"))
+             .unionByName(waiting.select(_key(F.lit("connection"), F.col("id")), "id", F.lit(None).cast("bigint").alias("version"), "queued"))
+             .groupBy("key", "id").agg(F.max("version").alias("version"), F.max("queued").alias("queued"))
+             .where("version is not null"))
+    # judged in the aggregate: as a filter the versions would become a join key, and all rows be shuffled once more
+    stands = (F.col("queued") == 0) & (F.col("expected_version") == F.col("version"))
+    return tries.join(there, ["key", "id"]).groupBy("key", "id").agg(
+        F.max("version").alias("version"), F.max("queued").alias("queued"),
+        F.coalesce(F.min(F.when(stands, F.col("seq"))), F.lit(NEVER)).alias("t"))
 
 
 def _settled(tries: DataFrame, bounds: DataFrame) -> DataFrame:
-    """(kind, id, b, t) of the entities of ``tries`` (kind, id, seq: commands that only b can block); bounds: kind, id, b."""
+    """(key, kind, id, t) of the entities of ``tries`` (with seq: commands that only b can block); bounds: key, kind, id, b."""
     b = F.coalesce("b", F.lit(-NEVER - 1))
-    return (tries.join(bounds, ["kind", "id"], "left").groupBy("kind", "id")
-            .agg(F.first(b).alias("b"), F.coalesce(F.min(F.when(F.col("seq") > b, F.col("seq"))), F.lit(NEVER)).alias("t")))
+    return (tries.join(bounds, ENTITY, "left").groupBy(*ENTITY)
+            .agg(F.coalesce(F.min(F.when(F.col("seq") > b, F.col("seq"))), F.lit(NEVER)).alias("t")))
 
 
 def _groups_settled(tries: DataFrame, members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -129,44 +146,47 @@ def delete_apply(commands: DataFrame, processors: DataFrame, connections: DataFr
     before all others, a null expected version matches none. Rows of all tables
     without an id are no entities; no commands give no rows.
     """
-    cmds = commands.select(F.col("seq").cast("bigint").alias("seq"), "kind", "target_id",
-                           F.col("expected_version").cast("bigint").alias("expected_version"))
-    cmds = written(cmds, "delete-commands")
-    connections = written(connections.select("id", "group_id", "source_id", "destination_id", _version(connections).alias("version")),
-                          "delete-connections")
-    entities = written(deletable_entities(processors, connections, groups, ports, queue), "delete-entities")
+    cmds = written(commands.select(
+        F.col("seq").cast("bigint").alias("seq"), "kind", "target_id",
+        F.col("expected_version").cast("bigint").alias("expected_version"), _key(F.col("kind"), F.col("target_id"))), "delete-commands")
+    connections = written(connections.select("id", "group_id", "source_id", "destination_id", _version(connections).alias("version"),
+                                             _key(F.lit("connection"), F.col("id"))), "delete-connections")
     when = F.coalesce("seq", F.lit(-NEVER))
-    tries = (cmds.select("kind", F.col("target_id").alias("id"), when.alias("seq"), "expected_version")
-             .join(entities, ["kind", "id"])
-             .where("stopped and queued = 0 and expected_version = version").select("kind", "id", "seq"))
-    tries = written(tries, "delete-tries")
-    nothing = entities.select("kind", "id", F.lit(None).cast("bigint").alias("b")).limit(0)
-
-    own = written(_settled(tries.where("kind = 'connection'"), nothing), "delete-t")
-    gone = own.select(F.col("id").alias("connection_id"), "t")
-    ends = (connections.select(F.col("id").alias("connection_id"), F.explode(F.array("source_id", "destination_id")).alias("id"))
-            .where("id is not null and connection_id is not null"))
-    # the latest of a component's connections to go, kinds told apart only by the component's own table
-    latest = (ends.join(gone, "connection_id", "left").groupBy("id")
-              .agg(F.max(F.coalesce("t", F.lit(NEVER))).alias("b")))
-    pieces = tries.where("kind in ('processor', 'input_port', 'output_port')")
-    kinds = entities.where("kind in ('processor', 'input_port', 'output_port')").select("kind", "id")
-    bounds = written(kinds.join(latest, "id").select("kind", "id", "b"), "delete-bounds")
-    t_pieces = written(_settled(pieces, bounds), "delete-t")
-
-    settled = own.unionByName(t_pieces)
+    linking = F.coalesce(F.col("kind") == "connection", F.lit(False))
+    asked = cmds.select("key", "kind", F.col("target_id").alias("id"), when.alias("seq"), "expected_version")
+
+    links = written(_connections_settled(asked.where(linking & F.col("id").isNotNull()).drop("kind"), connections, queue), "delete-links")
+    # the latest to go of a component's connections (kinds told apart only by the component's own table) and of a group's
+    latest = written(connections.where("id is not null").join(links.select("key", "id", "t"), ["key", "id"], "left").select(
+        F.coalesce("t", F.lit(NEVER)).alias("t"), F.explode(F.array(F.struct(F.lit("end").alias("of"), F.col("source_id").alias("id")),
+                               F.struct(F.lit("end").alias("of"), F.col("destination_id").alias("id")),
+                               F.struct(F.lit("group").alias("of"), F.col("group_id").alias("id")))).alias("at"))
+        .where("at.id is not null").groupBy("at.of", "at.id").agg(F.max("t").alias("b")), "delete-latest")
+
+    entities = written(deletable_entities(processors, groups, ports), "delete-entities")
+    tries = written(asked.where(~linking).join(entities, ENTITY)
+                    .where("stopped and expected_version = version").select(*ENTITY, "seq"), "delete-tries")
+    bounds = written(entities.where("kind <> 'group'").select(*ENTITY).join(latest.where("of = 'end'").select("id", "b"), "id")
+                     .select(*ENTITY, "b"), "delete-bounds")
+    t_pieces = written(_settled(tries.where("kind <> 'group'"), bounds), "delete-t")
+
     member = (processors.select("group_id", F.lit("processor").alias("kind"), "id")
               .unionByName(ports.select("group_id", _port_kind().alias("kind"), "id"))
-              .unionByName(connections.select("group_id", F.lit("connection").alias("kind"), "id"))
-              .where("group_id is not null and id is not null"))
-    members = (member.join(settled.select("kind", "id", "t"), ["kind", "id"], "left")
-               .groupBy(F.col("group_id").alias("id")).agg(F.max(F.coalesce("t", F.lit(NEVER))).alias("b")))
+              .where("group_id is not null and id is not null").withColumn("key", _key(F.col("kind"), F.col("id"))))
+    members = (member.join(t_pieces, ENTITY, "left").select(F.col("group_id").alias("id"), F.coalesce("t", F.lit(NEVER)).alias("b"))
+               .unionByName(latest.where("of = 'group'").select("id", "b")).groupBy("id").agg(F.max("b").alias("b")))
     t_groups = _groups_settled(tries.where("kind = 'group'"), members, groups)
 
     # what blocks and deletes each entity; entities without commands are not asked about
-    facts = (entities.join(bounds.unionByName(t_groups.select(F.lit("group").alias("kind"), "id", "b")), ["kind", "id"], "left")
-             .join(settled.select("kind", "id", "t").unionByName(t_groups.select(F.lit("group").alias("kind"), "id", "t")),
-                   ["kind", "id"], "left").withColumnRenamed("id", "target_id"))
+    group = [_key(F.lit("group"), F.col("id")), F.lit("group").alias("kind"), "id"]
+    facts = (entities.join(bounds.unionByName(t_groups.select(*group, "b")), ENTITY, "left")
+             .join(t_pieces.unionByName(t_groups.select(*group, "t")), ENTITY, "left")
+             .select("key", "kind", F.col("id").alias("target_id"), "version", "stopped", F.lit(0).cast("bigint").alias("queued"), "b", "t"))
+    held_links = links.select("key", F.col("id").alias("target_id"), "version", F.lit(True).alias("stopped"), "queued",
+                              F.lit(None).cast("bigint").alias("b"), "t")
+    known = (cmds.where(linking).join(held_links, ["key", "target_id"], "left")
+             .unionByName(cmds.where(~linking).join(facts, ["key", "kind", "target_id"], "left")))
+
     there = F.col("version").isNotNull() & (F.coalesce("t", F.lit(NEVER)) >= when)
     held = F.coalesce(F.col("b") >= when, F.lit(False))
     reasons = F.array_compact(F.array(
@@ -177,7 +197,7 @@ def delete_apply(commands: DataFrame, processors: DataFrame, connections: DataFr
                .when(~there, "not_found")
                .when(~F.coalesce(F.col("expected_version") == F.col("version"), F.lit(False)), "conflict")
                .when(F.size(reasons) > 0, "blocked").otherwise("deleted"))
-    judged = cmds.join(facts, ["kind", "target_id"], "left").withColumn("outcome", outcome)
+    judged = known.withColumn("outcome", outcome)
     return judged.select("seq", "kind", "target_id", "expected_version", "outcome",
                          F.when(F.col("outcome") == "blocked", reasons).otherwise(F.array().cast("array<string>")).alias("reasons"))
 

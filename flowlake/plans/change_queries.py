@@ -107,6 +107,7 @@ SELECT seq, kind, target_id, expected_version, outcome, CASE WHEN outcome = 'blo
 def q_delete_apply(spark, sf_dir):
     """C3 with H2: an ordered batch of deletes, each on what the ones before it left."""
     e = Estate.load(spark, sf_dir)
+    e.fx.keep("fx_transfer")  # the batch, the connections and the queue are views over it
     out = deletes.delete_apply(e.delete_batch, e.processors, e.connections, e.groups, e.ports, e.late_queue)
     return out.withColumn("reasons", F.array_join("reasons", ", "))
 

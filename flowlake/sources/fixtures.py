@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import written
+
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -247,6 +249,10 @@ class Fixtures:
     def _sql(self, name: str) -> str:
         return _NAME_RE.sub(lambda m: self.prefix + m.group(1), VIEWS[name])
 
+    def keep(self, name: str) -> None:
+        """Write a view's rows once; the views over it that are built after this read files, not the view."""
+        self._frames[name] = written(self[name], name)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             for dep in closure([name]):
