@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import discard, rounds, written, written_in_rounds
 
 KINDS = ("processor", "input_port", "output_port", "connection", "group")
 #: join keys of an entity
@@ -146,22 +146,40 @@ def delete_apply(commands: DataFrame, processors: DataFrame, connections: DataFr
     before all others, a null expected version matches none. Rows of all tables
     without an id are no entities; no commands give no rows.
     """
-    cmds = written(commands.select(
+    stored_cmds = written(commands.select(
         F.col("seq").cast("bigint").alias("seq"), "kind", "target_id",
-        F.col("expected_version").cast("bigint").alias("expected_version"), _key(F.col("kind"), F.col("target_id"))), "delete-commands")
-    connections = written(connections.select("id", "group_id", "source_id", "destination_id", _version(connections).alias("version"),
-                                             _key(F.lit("connection"), F.col("id"))), "delete-connections")
+        F.col("expected_version").cast("bigint").alias("expected_version")), "delete-commands")
+    stored = written(connections.select("id", "group_id", "source_id", "destination_id", _version(connections).alias("version")), "delete-connections")
+    # keys do not compress: they are made as rows are read
+    cmds = stored_cmds.select("*", _key(F.col("kind"), F.col("target_id")))
+    connections = stored.select("*", _key(F.lit("connection"), F.col("id")))
+    n = rounds(stored_cmds.count() + stored.count())
+    if n > 1:
+        queue = written(queue.select("connection_id"), "delete-queue")  # each round reads it
+
+    def cut(table, i, key="key"):
+        return table if n == 1 else table.where(F.pmod(key, F.lit(n)) == i)
+
     when = F.coalesce("seq", F.lit(-NEVER))
     linking = F.coalesce(F.col("kind") == "connection", F.lit(False))
     asked = cmds.select("key", "kind", F.col("target_id").alias("id"), when.alias("seq"), "expected_version")
 
-    links = written(_connections_settled(asked.where(linking & F.col("id").isNotNull()).drop("kind"), connections, queue), "delete-links")
+    own = asked.where(linking & F.col("id").isNotNull()).drop("kind")
+    queue_key = _key(F.lit("connection"), F.col("connection_id"))
+    stored_links = written_in_rounds((
+        _connections_settled(cut(own, i), cut(connections, i), cut(queue, i, queue_key)).drop("key") for i in range(n)), "delete-links")
+    links = stored_links.select("*", _key(F.lit("connection"), F.col("id")))
     # the latest to go of a component's connections (kinds told apart only by the component's own table) and of a group's
-    latest = written(connections.where("id is not null").join(links.select("key", "id", "t"), ["key", "id"], "left").select(
-        F.coalesce("t", F.lit(NEVER)).alias("t"), F.explode(F.array(F.struct(F.lit("end").alias("of"), F.col("source_id").alias("id")),
-                               F.struct(F.lit("end").alias("of"), F.col("destination_id").alias("id")),
-                               F.struct(F.lit("group").alias("of"), F.col("group_id").alias("id")))).alias("at"))
-        .where("at.id is not null").groupBy("at.of", "at.id").agg(F.max("t").alias("b")), "delete-latest")
+    latest = written_in_rounds((
+        cut(connections, i).where("id is not null").join(cut(links, i).select("key", "id", "t"), ["key", "id"], "left").select(
+            F.coalesce("t", F.lit(NEVER)).alias("t"), F.explode(F.array(F.struct(F.lit("end").alias("of"), F.col("source_id").alias("id")),
+                                   F.struct(F.lit("end").alias("of"), F.col("destination_id").alias("id")),
+                                   F.struct(F.lit("group").alias("of"), F.col("group_id").alias("id")))).alias("at"))
+        .where("at.id is not null").groupBy("at.of", "at.id").agg(F.max("t").alias("b")) for i in range(n)), "delete-latest")
+    if n > 1:
+        of_rounds, latest = latest, written(latest.groupBy("of", "id").agg(F.max("b").alias("b")), "delete-latest")
+        discard(of_rounds)
+    discard(stored)
 
     entities = written(deletable_entities(processors, groups, ports), "delete-entities")
     tries = written(asked.where(~linking).join(entities, ENTITY)
@@ -184,8 +202,11 @@ def delete_apply(commands: DataFrame, processors: DataFrame, connections: DataFr
              .select("key", "kind", F.col("id").alias("target_id"), "version", "stopped", F.lit(0).cast("bigint").alias("queued"), "b", "t"))
     held_links = links.select("key", F.col("id").alias("target_id"), "version", F.lit(True).alias("stopped"), "queued",
                               F.lit(None).cast("bigint").alias("b"), "t")
-    known = (cmds.where(linking).join(held_links, ["key", "target_id"], "left")
-             .unionByName(cmds.where(~linking).join(facts, ["key", "kind", "target_id"], "left")))
+    told = [cut(cmds, i).where(linking).join(cut(held_links, i), ["key", "target_id"], "left").drop("key") for i in range(n)]
+    if n > 1:
+        told = [written_in_rounds(told, "delete-told")]
+        discard(stored_links)
+    known = told[0].unionByName(cmds.where(~linking).join(facts, ["key", "kind", "target_id"], "left").drop("key"))
 
     there = F.col("version").isNotNull() & (F.coalesce("t", F.lit(NEVER)) >= when)
     held = F.coalesce(F.col("b") >= when, F.lit(False))

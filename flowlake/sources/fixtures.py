@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import written
+from ..session import discard, written
 
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -249,9 +249,13 @@ class Fixtures:
     def _sql(self, name: str) -> str:
         return _NAME_RE.sub(lambda m: self.prefix + m.group(1), VIEWS[name])
 
-    def keep(self, name: str) -> None:
-        """Write a view's rows once; the views over it that are built after this read files, not the view."""
-        self._frames[name] = written(self[name], name)
+    def keep(self, name: str, *columns: str) -> None:
+        """Write a view's rows once (``columns``: these only); the views over it that are built after this read files, not the view."""
+        self._frames[name] = written(self[name].select(*columns or "*"), name)
+
+    def discard(self, name: str) -> None:
+        """Delete the files of a kept view that nothing reads any more."""
+        discard(self._frames.pop(name))
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
