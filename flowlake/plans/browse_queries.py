@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import DEFAULT_ROOT_NAME
 from ..operators import browse, canvas, lint
 from ..session import shared_path
-from ..sources.flowdocs import build_flow_docs, read_flow_docs, write_flow_docs
+from ..sources.flowdocs import read_flow_docs, write_estate_docs
 from ..sources.tables import Estate
 from .lint_queries import COUNTS
 from .lint_queries import lint_report_sql as _lint_report_sql
@@ -178,7 +178,12 @@ def q_queue_listing_connection(spark, sf_dir):
 def _docs_path(spark, sf_dir):
     e = Estate.load(spark, sf_dir)
     path = shared_path(spark, "flowdocs")
-    write_flow_docs(build_flow_docs(e.groups, e.processors, e.connections, e.ports, e.funnels, e.labels), path)
+    # the joins' shuffles go before the connections are told apart, and those of that before documents are made
+    e.fx.keep("fx_transfer", "connection_id", "group_id", "s_key", "source_id", "destination_id")
+    e.fx.keep("fx_connection")
+    e.fx.discard("fx_transfer")
+    write_estate_docs(path, e.groups, e.processors, e.connections, e.ports, e.funnels, e.labels)
+    e.fx.discard("fx_connection")
     return path
 
 

@@ -18,11 +18,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import rounds, shuffles_dropped
 
 #: Entries in one line of a document in parts, at most.
 PART_ENTRIES = 500
 #: A group's members are dealt to this many tasks by the hash of the row.
 DEALT = 16
+#: Documents in one file, at most: compressed files are read by one task each.
+FILE_DOCS = 2000
 
 
 def read_flow_docs(spark: SparkSession, path: str, multi_line: bool = False,
@@ -49,6 +52,22 @@ def build_flow_docs(groups: DataFrame, processors: DataFrame, connections: DataF
     lists.  No list is longer than a line, and no group is gathered into one
     task.  This builds stand-in input; no operator depends on it.
     """
+    return _first_docs(groups).unionByName(_part_docs(groups, _members(groups, processors, connections, ports, funnels, labels)))
+
+
+def write_estate_docs(path: str, groups: DataFrame, processors: DataFrame, connections: DataFrame,
+                      ports: DataFrame, funnels: DataFrame | None = None, labels: DataFrame | None = None) -> None:
+    """Write the rows of ``build_flow_docs``, the lines of many members in rounds: disk holds the shuffle of one at a time."""
+    members = _members(groups, processors, connections, ports, funnels, labels)
+    n = min(rounds(members.select("group_id").count()), DEALT)
+    for i in range(n):
+        lines = _part_docs(groups, members, range(i, DEALT, n))
+        write_flow_docs(lines if i else _first_docs(groups).unionByName(lines), path, "append" if i else "overwrite")
+
+
+def _members(groups: DataFrame, processors: DataFrame, connections: DataFrame,
+             ports: DataFrame, funnels: DataFrame | None, labels: DataFrame | None) -> DataFrame:
+    """(group_id, dealt, one column a kind with the entry) of every member with a group."""
     null = F.lit(None).cast
     tables = {
         "processors": (processors, "group_id", F.struct(
@@ -90,25 +109,45 @@ def build_flow_docs(groups: DataFrame, processors: DataFrame, connections: DataF
             "group_id", "dealt",
             *[(F.col("entry") if k == kind else null(S.FLOW[k].dataType.elementType)).alias(k) for k in S.FLOW_KINDS])
         members = rows if members is None else members.unionByName(rows)
+    return members
+
+
+HEAD = ["group_id", "document", "parent_id", "name"]
+
 
+def _heads(groups: DataFrame) -> DataFrame:
     # group rows that share an id are documents of their own, each with all members
     copy = F.row_number().over(Window.partitionBy("id").orderBy("parent_id", "name"))
-    heads = groups.select(F.col("id").alias("group_id"), "parent_id", "name", F.when(
+    return groups.select(F.col("id").alias("group_id"), "parent_id", "name", F.when(
         F.col("id").isNotNull(), F.concat_ws("/", "id", copy.cast("string"))).alias("document"))
-    head = ["group_id", "document", "parent_id", "name"]
-    dealt = heads.where(F.col("document").isNotNull()).withColumn(
-        "dealt", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
+
+
+def _first_docs(groups: DataFrame) -> DataFrame:
+    """The first line of every document."""
+    return _documents(_heads(groups).select(*HEAD, F.lit(0).cast("bigint").alias("number"),
+                                            *[F.lit(None).cast(S.FLOW[k].dataType).alias(k) for k in S.FLOW_KINDS]))
+
+
+def _part_docs(groups: DataFrame, members: DataFrame, numbers: range = range(DEALT)) -> DataFrame:
+    """The lines of the members that were dealt these numbers."""
+    dealt = _heads(groups).where(F.col("document").isNotNull()).withColumn(
+        "dealt", F.explode(F.array(*[F.lit(i) for i in numbers])))
+    if len(numbers) < DEALT:
+        members = members.where(F.col("dealt").isin(*numbers))
     # shuffled by group and dealt number, which the steps after it keep: never one group in one task or broadcast
     at = F.row_number().over(Window.partitionBy("group_id", "dealt", "document").orderBy(F.lit(0)))
     lists = [F.collect_list(k).alias(k) for k in S.FLOW_KINDS]
     parts = (members.join(dealt.hint("merge"), ["group_id", "dealt"])
              .withColumn("cut", F.floor((at - 1) / PART_ENTRIES))
-             .groupBy("dealt", *head, "cut").agg(*lists)
-             .select(*head, (F.col("cut") * DEALT + F.col("dealt") + 1).alias("number"),
+             .groupBy("dealt", *HEAD, "cut").agg(*lists)
+             .select(*HEAD, (F.col("cut") * DEALT + F.col("dealt") + 1).alias("number"),
                      *[F.when(F.size(k) > 0, F.col(k)).alias(k) for k in S.FLOW_KINDS]))
-    firsts = heads.select(*head, F.lit(0).cast("bigint").alias("number"),
-                          *[null(S.FLOW[k].dataType).alias(k) for k in S.FLOW_KINDS])
-    return firsts.unionByName(parts).select(
+    return _documents(parts)
+
+
+def _documents(lines: DataFrame) -> DataFrame:
+    null = F.lit(None).cast
+    return lines.select(
         F.col("group_id").alias("id"),
         F.struct(
             F.col("group_id").alias("id"),
@@ -121,6 +160,7 @@ def build_flow_docs(groups: DataFrame, processors: DataFrame, connections: DataF
         F.when(F.col("document").isNotNull(), F.struct("document", "number")).alias("part"))
 
 
-def write_flow_docs(docs: DataFrame, path: str) -> None:
-    """Write documents as JSON lines (nulls omitted, as an API would)."""
-    docs.write.mode("overwrite").json(path)
+def write_flow_docs(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write documents as compressed JSON lines (nulls omitted, as an API would)."""
+    with shuffles_dropped(docs.sparkSession):
+        docs.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", FILE_DOCS).json(path)
