@@ -178,10 +178,7 @@ def q_queue_listing_connection(spark, sf_dir):
 def _docs_path(spark, sf_dir):
     e = Estate.load(spark, sf_dir)
     path = shared_path(spark, "flowdocs")
-    # the joins' shuffles go before the connections are told apart, and those of that before documents are made
-    e.fx.keep("fx_transfer", "connection_id", "group_id", "s_key", "source_id", "destination_id")
-    e.fx.keep("fx_connection")
-    e.fx.discard("fx_transfer")
+    e.fx.keep("fx_connection")  # the shuffles that it takes go before documents are made
     write_estate_docs(path, e.groups, e.processors, e.connections, e.ports, e.funnels, e.labels)
     e.fx.discard("fx_connection")
     return path
